@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import staged
 from ..functions.hashing import minhash, shingle_hashes, signature_similarity
 from ..functions.text import shingles, word_tokens
 from ..session import written
@@ -25,13 +26,15 @@ def contents(df: DataFrame, id_col: str, keep_empty: bool = False) -> DataFrame:
     rows = df.where(F.col("split").isin("train", "test")).select(
         F.col(id_col).alias("id"), "split", F.coalesce("function", F.lit("")).alias("function")
     )
-    rows = rows.select(
-        "id", "split",
-        F.md5(F.array_join(word_tokens("function"), " ")).alias("key"),
-        minhash(shingle_hashes("function")).alias("signature"),
-    )
+    # Staged: the filter below must not drag the hashing, nor the signature, through twice.
+    rows = staged(
+        rows,
+        key=F.md5(F.array_join(word_tokens("function"), " ")),
+        hashes=shingle_hashes("function"),
+    ).drop("function")
     if not keep_empty:
-        rows = rows.where(F.col("signature").isNotNull())
+        rows = rows.where(F.size("hashes") > 0)
+    rows = rows.withColumn("signature", minhash(F.col("hashes")))
     return rows.groupBy("key").agg(
         F.min(F.when(is_test, F.col("id"))).alias("test_id"),
         F.min(F.when(is_train, F.col("id"))).alias("train_id"),

@@ -12,8 +12,7 @@ SALTS = 64
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, from file sizes up; no job is run."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(df: DataFrame) -> int:
