@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import as_col
 from .project import source_url
-from .skew import skew_join
+from .skew import hot_keys, skew_join
 
 
 def library_of(context) -> Column:
@@ -55,10 +55,12 @@ def call_links(
         calls = calls.where(~F.col("identifier").isin(stopwords))
     # Calls no library defines leave before the imports multiply the rest.
     known = targets.select("identifier").distinct()
-    calls = skew_join(calls, known, ["identifier"], ["path", "start_row"], "left_semi")
+    hot = hot_keys(calls, ["identifier"])
+    spread = ["path", "start_row"]
+    calls = skew_join(calls, known, ["identifier"], spread, "left_semi", hot=hot)
     scope = imports.select("nwo", "path", "library").distinct()
     scoped = calls.join(scope, ["nwo", "path"])
-    linked = skew_join(scoped, targets, ["library", "identifier"], ["path", "start_row"])
+    linked = skew_join(scoped, targets, ["library", "identifier"], spread, hot_on=["identifier"], hot=hot)
     return linked.select(
         "nwo", "sha", "path", "identifier", "argument_list",
         source_url("nwo", "sha", "path", "start_row", "end_row").alias("call_url"),

@@ -44,18 +44,15 @@ def contents(df: DataFrame, id_col: str, keep_empty: bool = False) -> DataFrame:
     )
 
 
-def _bands(signature: Column, thresholds) -> Column:
-    """(threshold, band, hash of the band's rows) of every banding."""
-    bands = [
-        F.struct(
-            F.lit(t).alias("threshold"),
-            F.lit(i).alias("band"),
-            F.xxhash64(F.slice(signature, i * BANDS[t][1] + 1, BANDS[t][1])).alias("bucket"),
-        )
+def _bands(thresholds) -> Column:
+    """(threshold, band, hash of the band's rows) of every banding of ``signature``."""
+    bands = ", ".join(
+        f"named_struct('threshold', {t}D, 'band', {i}, 'bucket', xxhash64(slice(signature, {i * rows + 1}, {rows})))"
         for t in thresholds
-        for i in range(BANDS[t][0])
-    ]
-    return F.array(*bands)
+        for n, rows in [BANDS[t]]
+        for i in range(n)
+    )
+    return F.expr(f"array({bands})")
 
 
 def candidates(table: DataFrame, thresholds=tuple(BANDS)) -> DataFrame:
@@ -63,9 +60,7 @@ def candidates(table: DataFrame, thresholds=tuple(BANDS)) -> DataFrame:
 
     def banded(side: str) -> DataFrame:
         rows = table.where(F.col(f"n_{side}") > 0)
-        return rows.select(
-            F.col("key").alias(f"{side}_key"), F.inline(_bands(F.col("signature"), thresholds))
-        )
+        return rows.select(F.col("key").alias(f"{side}_key"), F.inline(_bands(thresholds)))
 
     met = skew_join(banded("train"), banded("test"), ["threshold", "band", "bucket"], ["train_key"])
     return met.groupBy("test_key", "train_key").agg(

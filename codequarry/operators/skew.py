@@ -43,18 +43,25 @@ def skew_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot_on: list[str] | None = None,
+    hot: list[int] | None = None,
 ) -> DataFrame:
     """Equi-join in which the left side's hot keys are cut into ``salts`` parts.
 
+    Hot keys are looked up on the left side, at the price of one pass over its key columns; give
+    ``hot``, found on ``hot_on`` (some of the key columns) where a cheaper table shows them.
+
     Left rows of a hot key take the part their ``spread`` columns hash to, so a re-run task puts
     them in the same part again; right rows of a hot key are repeated once per part. All other
     rows join as usual, nothing of them is repeated. Every left row still meets every right row
     of its key, so inner, left, semi and anti joins keep their meaning.
     """
-    hot = hot_keys(left, on, hot_rows)
+    hot_on = hot_on or on
+    if hot is None:
+        hot = hot_keys(left, hot_on, hot_rows)
     if not hot:
         return left.join(right, on, how)
-    is_hot: Column = F.coalesce(F.xxhash64(*on).isin(hot), F.lit(False))
+    is_hot: Column = F.coalesce(F.xxhash64(*hot_on).isin(hot), F.lit(False))
     part = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     left = left.withColumn("_part", F.when(is_hot, part).otherwise(F.lit(0)))
     parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

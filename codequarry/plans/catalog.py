@@ -9,7 +9,7 @@ from ..operators import curate, extract, leakage, links, neardup, pages, project
 from ..session import SETTINGS
 from ..sources import readers, sinks
 from . import views
-from .views import files, functions, licenses, repos, table, view
+from .views import documents, files, functions, licenses, repos, table, view
 
 QUERIES = {}
 
@@ -61,7 +61,7 @@ def to_jsonl(spark, sf):
 
 @query
 def pending_units(spark, sf):
-    units = table(spark, sf, "documents").select("doc_id", "source")
+    units = documents(spark, sf).select("doc_id", "source")
     return curate.pending_units(units, table(spark, sf, "labels"), ["doc_id"], ["doc_id"])
 
 
@@ -103,7 +103,7 @@ def join_topics(spark, sf):
 
 @query
 def remote_to_nwo(spark, sf):
-    df = table(spark, sf, "documents").selectExpr(
+    df = documents(spark, sf).selectExpr(
         "doc_id",
         "case doc_id % 5 when 0 then 'https://github.com/' || lang || '/' || source "
         "when 1 then 'https://github.com/' || lang || '/' || source || '.git' "
@@ -122,7 +122,7 @@ def path_to_nwo(spark, sf):
 
 @query
 def repo_key(spark, sf):
-    df = table(spark, sf, "documents").selectExpr(
+    df = documents(spark, sf).selectExpr(
         "doc_id",
         "case when doc_id % 2 = 0 then 'github' else 'gitee' end as site",
         "case doc_id % 5 when 0 then lang || '/' || source when 1 then lang || '##' || source "
@@ -145,7 +145,7 @@ def min_tokens(spark, sf):
 
 @query
 def name_blacklist(spark, sf):
-    df = table(spark, sf, "documents").selectExpr(
+    df = documents(spark, sf).selectExpr(
         "doc_id",
         "case doc_id % 4 when 0 then 'toString' when 1 then 'valueOf' else 'fn' || cast(doc_id as string) end as identifier",
     )
@@ -211,12 +211,12 @@ def duplicate_lists(spark, sf):
 
 @query
 def merge_datasets(spark, sf):
-    documents = functions(spark, sf).select("id", "nwo", "docstring", "function", "source", F.lit("()").alias("parameters"))
+    records = functions(spark, sf).select("id", "nwo", "docstring", "function", "source", F.lit("()").alias("parameters"))
     turns = table(spark, sf, "conversations").selectExpr(
         "conv_id * 1000 + turn as id", "nullif(role, 'user') as docstring", "text as function", "turn as stars"
     )
     passages = table(spark, sf, "benchmark").selectExpr("item_id as id", "text as function")
-    merged = curate.merge_datasets([documents, turns, passages], ["id"], ["github", "gitee", "other"])
+    merged = curate.merge_datasets([records, turns, passages], ["id"], ["github", "gitee", "other"])
     return merged.select("id", "source", "nwo", "docstring", "function", "stars")
 
 
@@ -230,6 +230,7 @@ def _imports(spark, sf) -> DataFrame:
     """Every call's file imports the library of the part the call names, as a dotted context."""
     parts = table(spark, sf, "part").selectExpr("p_partkey as l_partkey", "lower(p_type) || '.api' as context")
     used = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(parts, "l_partkey")
+    used = used.select("l_orderkey", "context").distinct()
     context = F.create_map(F.lit("as"), F.col("context"))
     return used.select(
         F.lit("orders/shop").alias("nwo"),
@@ -360,33 +361,33 @@ def top_repos(spark, sf):
 @query
 def docstring_tokens(spark, sf):
     toks = text.docstring_tokens(text.docstring_summary("text"))
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", F.size(toks).cast("bigint").alias("n_tokens"), F.array_join(toks, " ").alias("tokens")
     )
 
 
 @query
 def word_tokens(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(text.word_tokens("text"), " ").alias("tokens"))
+    return documents(spark, sf).select("doc_id", F.array_join(text.word_tokens("text"), " ").alias("tokens"))
 
 
 @query
 def flatten_tokens(spark, sf):
     lines = F.transform(F.split("text", "\n", -1), text.word_tokens)
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", F.array_join(project.flatten_tokens(lines), " ").alias("tokens")
     )
 
 
 @query
 def shingles(spark, sf):
-    df = table(spark, sf, "documents").select("doc_id", text.shingles("text").alias("s"))
+    df = documents(spark, sf).select("doc_id", text.shingles("text").alias("s"))
     return df.select("doc_id", F.size("s").cast("bigint").alias("n"), F.array_join(F.array_sort("s"), "|").alias("shingles"))
 
 
 @query
 def normalize_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.normalize("text").alias("normalized"))
+    return documents(spark, sf).select("doc_id", text.normalize("text").alias("normalized"))
 
 
 @query
@@ -401,14 +402,14 @@ def pair_key(spark, sf):
 
 @query
 def minhash_signature(spark, sf):
-    df = staged(table(spark, sf, "documents").select("doc_id", "text"), hashes=hashing.shingle_hashes("text"))
+    df = staged(documents(spark, sf).select("doc_id", "text"), hashes=hashing.shingle_hashes("text"))
     df = df.where(F.size("hashes") > 0).select("doc_id", hashing.minhash(F.col("hashes")).alias("s"))
     return df.select("doc_id", F.array_join(F.col("s").cast("array<string>"), ",").alias("signature"))
 
 
 @query
 def strip_comment(spark, sf):
-    df = table(spark, sf, "documents").selectExpr(
+    df = documents(spark, sf).selectExpr(
         "doc_id", "'/** ' || replace(text, chr(10), chr(10) || '  * ') || ' */' as comment"
     )
     return df.select("doc_id", text.strip_comment("comment").alias("stripped"))
@@ -416,7 +417,7 @@ def strip_comment(spark, sf):
 
 @query
 def docstring_summary(spark, sf):
-    df = table(spark, sf, "documents").selectExpr(
+    df = documents(spark, sf).selectExpr(
         "doc_id",
         "case doc_id % 3 when 0 then replace(text, chr(10), chr(10) || chr(10)) "
         "when 1 then replace(text, '. ', ' @') else text end as docstring",
@@ -426,7 +427,7 @@ def docstring_summary(spark, sf):
 
 @query
 def license_comment(spark, sf):
-    df = table(spark, sf, "documents").selectExpr(
+    df = documents(spark, sf).selectExpr(
         "doc_id", "text || case when doc_id % 2 = 0 then ' Copyright' else '' end as comment"
     )
     return df.select("doc_id", text.is_license_comment("comment").alias("is_license"))

@@ -6,6 +6,8 @@ SQL counterpart start from the same rows.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import readers
+
 NL = "chr(10)"
 ID = "cast(doc_id as string)"
 FIRST_LINE = f"split_part(text, {NL}, 1)"
@@ -129,7 +131,12 @@ LISTINGS = {
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return readers.spread(df) if name in ("documents", "lineitem", "pages") else df
+
+
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents")
 
 
 def view(spark: SparkSession, sf: str, name: str, exprs: dict[str, str]) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators.leakage import load_splits
 from ..operators.project import LANGUAGES
+from ..operators.skew import plan_bytes
 
 REPO_INFO_SCHEMA = (
     "full_name string, fork boolean, forks int, stargazers_count int, watchers int, topics array<string>"
@@ -21,6 +22,16 @@ FUNCTION_SCHEMA = (
 )
 
 
+def spread(df: DataFrame, bytes_per_core: int = 16 << 20) -> DataFrame:
+    """Give a small input to all cores.
+
+    A file of one row group is one task whatever the number of cores. Inputs beyond a few
+    mebibytes per core come in enough splits and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_core else df
+
+
 def functions_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
