@@ -3,10 +3,10 @@
 import hashlib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .expr import as_col
+from .expr import as_col, staged
 from .text import normalize, shingles_of, word_tokens
 
 PRIME = (1 << 31) - 1
@@ -62,8 +62,8 @@ def permutations(num_perm: int = NUM_PERM) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def minhash(hashes: Column, num_perm: int = NUM_PERM) -> Column:
-    """MinHash signature array<bigint> of an array of shingle hashes; null when it is empty.
+def with_minhash(df: DataFrame, hashes: Column, name: str = "signature", num_perm: int = NUM_PERM) -> DataFrame:
+    """Add the MinHash signature array<bigint> of an array of shingle hashes; null when it is empty.
 
     128 multiply-mod-min passes per shingle are numpy's kind of work: one vector operation per
     block of shingles inside an Arrow batch. Rows never leave their partition.
@@ -94,7 +94,11 @@ def minhash(hashes: Column, num_perm: int = NUM_PERM) -> Column:
 
         return batch.map(one)
 
-    return F.pandas_udf(signatures, "array<bigint>")(hashes)
+    # Staged, so that the function's argument is a plain column: the planner does not reliably
+    # take a Python function out of a projection when its argument contains lambdas.
+    staged_df = staged(df, _hashes=hashes)
+    signature = F.pandas_udf(signatures, "array<bigint>")("_hashes")
+    return staged_df.withColumn(name, signature).drop("_hashes")
 
 
 def signature_similarity(a: Column, b: Column, num_perm: int = NUM_PERM) -> Column:

@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import staged
-from ..functions.hashing import minhash, shingle_hashes, signature_similarity
-from ..functions.text import shingles, word_tokens
+from ..functions.hashing import signature_similarity, text_hash31, with_minhash
+from ..functions.text import shingles, shingles_of, word_tokens
 from ..session import written
 from .similarity import similar_sets
 from .skew import lookup_join, skew_join
@@ -26,15 +26,11 @@ def contents(df: DataFrame, id_col: str, keep_empty: bool = False) -> DataFrame:
     rows = df.where(F.col("split").isin("train", "test")).select(
         F.col(id_col).alias("id"), "split", F.coalesce("function", F.lit("")).alias("function")
     )
-    # Staged: the filter below must not drag the hashing, nor the signature, through twice.
-    rows = staged(
-        rows,
-        key=F.md5(F.array_join(word_tokens("function"), " ")),
-        hashes=shingle_hashes("function"),
-    ).drop("function")
+    rows = staged(rows, tokens=word_tokens("function")).drop("function")
     if not keep_empty:
-        rows = rows.where(F.size("hashes") > 0)
-    rows = rows.withColumn("signature", minhash(F.col("hashes")))
+        rows = rows.where(F.size("tokens") > 0)
+    rows = rows.withColumn("key", F.md5(F.array_join("tokens", " ")))
+    rows = with_minhash(rows, F.transform(shingles_of(F.col("tokens")), text_hash31))
     return rows.groupBy("key").agg(
         F.min(F.when(is_test, F.col("id"))).alias("test_id"),
         F.min(F.when(is_train, F.col("id"))).alias("train_id"),

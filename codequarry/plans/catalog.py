@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, lexing, text
-from ..functions.expr import staged
 from ..operators import curate, extract, leakage, links, neardup, pages, project, similarity, stats
 from ..session import SETTINGS
 from ..sources import readers, sinks
@@ -402,8 +401,8 @@ def pair_key(spark, sf):
 
 @query
 def minhash_signature(spark, sf):
-    df = staged(documents(spark, sf).select("doc_id", "text"), hashes=hashing.shingle_hashes("text"))
-    df = df.where(F.size("hashes") > 0).select("doc_id", hashing.minhash(F.col("hashes")).alias("s"))
+    df = documents(spark, sf).select("doc_id", "text").where(F.size(text.word_tokens("text")) > 0)
+    df = hashing.with_minhash(df, hashing.shingle_hashes("text"), "s")
     return df.select("doc_id", F.array_join(F.col("s").cast("array<string>"), ",").alias("signature"))
 
 
