@@ -22,7 +22,8 @@ WORD_TOKEN = r"[a-zA-Z0-9_]+"
 
 def strip(c) -> Column:
     """Unicode-aware strip of both ends."""
-    return F.regexp_replace(as_col(c), rf"(?U)\A{_WS}+|{_WS}+\z", "")
+    # The look-behind tries a run of blanks inside the text once, not from each of its characters.
+    return F.regexp_replace(as_col(c), rf"(?U)\A{_WS}+|(?<!{_WS}){_WS}+\z", "")
 
 
 def normalize(c) -> Column:

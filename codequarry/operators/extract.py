@@ -34,21 +34,26 @@ KINDS = (
     "function_expression arrow"
 ).split()
 
+# Characters per piece of a file's text when functions are cut out of it.
+_CHUNK = 1024
+
 _NOISE = rf"""(?:{STRING}|[^{{}};"'`/=]++|=(?!>)|/(?![/*]))*+"""
 _EVENT = rf"{_NOISE}(?:(?:{COMMENT})(?:\s*+(?:{COMMENT}))*+|=>|[{{}};]|\z)"
 
 _PARAMS = r"\((?:[^()]++|\((?:[^()]++|\((?:[^()]++|\([^()]*+\))*+\))*+\))*+\)"
-_TYPE = r"""(?:\s*:[\w$.<>\[\]|&, \t'"]+)?"""
+_TYPE = r"""(?:\s*:[\w$.<>\[\]|&, \t'"]++)?"""
 _GENERIC = r"(?:<[^<>(){}]*(?:<[^<>(){}]*>[^<>(){}]*)*>\s*)?"
 _DECORATORS = rf"(?:@{NAME}(?:{_PARAMS})?\s*+)*+"
 _MODIFIERS = (
     r"(?:(?:public|private|protected|static|async|override|abstract|readonly|declare|get|set)\s++)*+"
 )
+# A header starts where a word does; looking nowhere else keeps long words and blobs linear.
+_START = r"(?<![\p{L}\p{N}_$.])"
 _DECLARATION = (
-    rf"{_DECORATORS}(?:export\s++(?:default\s++)?)?{_DECORATORS}{_MODIFIERS}"
+    rf"{_START}{_DECORATORS}(?:export\s++(?:default\s++)?)?{_DECORATORS}{_MODIFIERS}"
     rf"(?:function\b\s*\*?\s*(?:{NAME})?|\*?{NAME})\s*{_GENERIC}{_PARAMS}{_TYPE}\s*\z"
 )
-_ARROW = rf"(?:async\b\s*)?(?:{_GENERIC}{_PARAMS}{_TYPE}|{NAME})\s*\z"
+_ARROW = rf"(?:{_START}async\b\s*)?(?:{_GENERIC}{_PARAMS}{_TYPE}|{_START}{NAME})\s*\z"
 _EXPRESSION = (
     rf"""\A\s*+(?:{STRING}|[^\n;,(){{}}\[\]"'`]++|{_PARAMS}|\[(?:[^\[\]]++|\[[^\[\]]*+\])*+\])*+"""
 )
@@ -75,7 +80,11 @@ def _placed(events: DataFrame) -> DataFrame:
     w = Window.partitionBy("file_id").orderBy("pos")
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     step = F.when(F.col("kind") == "{", 1).when(F.col("kind") == "}", -1).otherwise(0)
-    rows = events.withColumns({"len": F.length("piece"), "lines": count_newlines(F.col("piece"))}).drop("piece")
+    rows = events.withColumns({
+        "len": F.length("piece"),
+        "lines": count_newlines(F.col("piece")),
+        "tail": F.length(F.substring_index("piece", "\n", -1)),
+    }).drop("piece")
     rows = rows.withColumns({
         "end": F.sum("len").over(so_far),
         "end_row": F.sum("lines").over(so_far),
@@ -90,6 +99,14 @@ def _placed(events: DataFrame) -> DataFrame:
         "next_noise": F.lead("noise", 1).over(w),
         "next_kind": F.lead("kind", 1).over(w),
     })
+    # Offsets at which the line a piece starts in, and the one before it starts in, begin.
+    line_start = F.max(F.when(F.col("lines") > 0, F.col("end") - F.col("tail")))
+    rows = rows.withColumns({
+        f"line_{back}": F.coalesce(
+            line_start.over(w.rowsBetween(Window.unboundedPreceding, -back)), F.lit(0).cast("bigint")
+        )
+        for back in (1, 2)
+    })
     level = F.when(F.col("kind") == "{", F.col("depth") - 1).when(F.col("kind") == "}", F.col("depth"))
     return rows.where(F.col("kind").isin("{", "}", "=>")).withColumn("level", level)
 
@@ -133,7 +150,7 @@ def _bodies(rows: DataFrame) -> DataFrame:
         rows,
         from_arrow=F.col("opens") & F.col("behind_arrow") & joined,
         plain=~F.col("opens") & ~((F.col("next_kind") == "{") & joined),
-        expr=F.regexp_replace("expr", r"\s+\z", ""),
+        expr=F.regexp_replace("expr", r"(?<!\s)\s+\z", ""),
         own_start=F.col("end") - F.col("len"),
         own_row=F.col("end_row") - F.col("lines"),
     )
@@ -144,6 +161,7 @@ def _bodies(rows: DataFrame) -> DataFrame:
         F.when(from_arrow, F.col("noise_1")).otherwise(F.col("noise")).alias("header"),
         F.when(from_arrow, F.col("own_start") - F.col("len_1")).otherwise(F.col("own_start")).alias("header_start"),
         F.when(from_arrow, F.col("own_row") - F.col("lines_1")).otherwise(F.col("own_row")).alias("header_row"),
+        F.when(from_arrow, F.col("line_2")).otherwise(F.col("line_1")).alias("header_line"),
         F.when(from_arrow, F.when(F.col("kind_2") == "comment", F.col("mark_2")))
         .otherwise(F.when(F.col("kind_1") == "comment", F.col("mark_1"))).alias("comments"),
         F.when(plain, F.col("end") + F.length("expr"))
@@ -176,7 +194,7 @@ def _declared(bodies: DataFrame) -> DataFrame:
         is_function=F.col("core").rlike(rf"\A{_MODIFIERS}function\b") & ~F.col("is_arrow"),
         exported=F.col("head").rlike(rf"\A{_DECORATORS}export\b") | F.col("prefix").rlike(r"\A\s*export\b"),
         decorated=F.col("head").startswith("@"),
-        starts_statement=F.col("prefix").rlike(r"(?:\A|[\n,])\s*\z"),
+        starts_statement=F.col("prefix").rlike(r"(?:\A|[\n,])[^\S\n]*+\z"),
     )
     in_expression = (F.col("identifier") == "") | F.col("prefix").rlike(r"(?:[=(,:?&|\[!+]|\breturn|\bnew)\s*\z")
     kind = (
@@ -242,19 +260,32 @@ def extract_functions(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> D
         (F.col("header_start") + before).alias("start"),
         "stop",
         (F.col("header_row") + count_newlines(lead_text)).alias("start_row"),
+        F.when(F.contains(lead_text, F.lit("\n")), F.length(F.substring_index(lead_text, "\n", -1)))
+        .otherwise(F.col("header_start") + before - F.col("header_line")).alias("start_col"),
         "end_row",
     )
-    cut = texts.join(found, "file_id").withColumn(
-        "function", F.substr(F.col("content"), F.col("start").cast("int") + 1, (F.col("stop") - F.col("start")).cast("int"))
-    )
-    line_head = F.substring_index(F.substr(F.col("content"), F.lit(1), F.col("start").cast("int")), "\n", -1)
+    # Cutting each function out of the whole text would walk the text once per function; cut out
+    # of short chunks it costs the function's own length. A file's finds meet its text in one row.
+    fields = [c for c in found.columns if c != "file_id"]
+    finds = found.groupBy("file_id").agg(F.collect_list(F.struct(*fields)).alias("finds"))
+    chunks = F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+
+    def cut_out(chunk: Column, find: Column) -> Column:
+        start, stop = find["start"], find["stop"]
+        numbers = F.sequence(F.floor(start / _CHUNK).cast("int"), F.floor((stop - 1) / _CHUNK).cast("int"))
+        around = F.array_join(F.transform(numbers, lambda i: F.get(chunk, i)), "")
+        function = F.substr(around, (start % _CHUNK).cast("int") + 1, (stop - start).cast("int"))
+        return F.struct(*[find[c].alias(c) for c in fields], function.alias("function"))
+
+    cuts = let(chunks, lambda chunk: F.transform("finds", lambda find: cut_out(chunk, find)))
+    # inline_outer: a plain one is given a filter on the array's size, which would cut twice.
+    cut = texts.join(finds, "file_id").select("file_id", F.inline_outer(cuts))
     last_line = F.substring_index("function", "\n", -1)
-    cut = cut.withColumn("start_col", F.length(line_head))
     end_col = F.length(last_line) + F.when(F.col("start_row") == F.col("end_row"), F.col("start_col")).otherwise(F.lit(0))
     cut = cut.withColumns({
         "end_col": end_col,
         "docstring": docstring_of(F.col("comments")),
-    }).drop("content", "comments", "start", "stop")
+    }).drop("comments", "start", "stop")
     others = files.drop("content")
     return others.join(cut, "file_id") if others.columns != ["file_id"] else cut
 

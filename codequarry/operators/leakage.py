@@ -72,11 +72,9 @@ def cross_split_keys(df: DataFrame, ignore_missing: bool = False) -> DataFrame:
 
 
 def split_intersect(df: DataFrame, column: str, a: str, b: str) -> DataFrame:
-    """Values two splits have in common."""
-    return (
-        df.where(F.col("split") == a).select(column)
-        .intersect(df.where(F.col("split") == b).select(column))
-    )
+    """Distinct values two splits have in common."""
+    keys = keys_by_split(df.where(F.col("split").isin(a, b)), F.col(column))
+    return keys.where((F.col(f"in_{a}") == 1) & (F.col(f"in_{b}") == 1)).select(F.col("key").alias(column))
 
 
 def split_repo_stats(df: DataFrame) -> DataFrame:

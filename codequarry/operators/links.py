@@ -55,11 +55,11 @@ def call_links(
         calls = calls.where(~F.col("identifier").isin(stopwords))
     # Calls no library defines leave before the imports multiply the rest.
     known = targets.select("identifier").distinct()
-    hot = hot_keys(calls, ["identifier"])
+    hot, hot_files = hot_keys(calls, ["identifier"]), hot_keys(calls, ["nwo", "path"])
     spread = ["path", "start_row"]
     calls = skew_join(calls, known, ["identifier"], spread, "left_semi", hot=hot)
     scope = imports.select("nwo", "path", "library").distinct()
-    scoped = calls.join(scope, ["nwo", "path"])
+    scoped = skew_join(calls, scope, ["nwo", "path"], ["start_row", "identifier"], hot=hot_files)
     linked = skew_join(scoped, targets, ["library", "identifier"], spread, hot_on=["identifier"], hot=hot)
     return linked.select(
         "nwo", "sha", "path", "identifier", "argument_list",
