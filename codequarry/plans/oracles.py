@@ -262,10 +262,11 @@ SELECT id, source, nwo, docstring, function, stars FROM r WHERE rn = 1""",
 SELECT c.nwo, c.sha, c.path, c.identifier, c.argument_list,
   'https://github.com/' || c.nwo || '/blob/' || c.sha || '/' || c.path || '#L' || (start_row + 1) || '-L' || (end_row + 1) AS call_url,
   d.url AS definition_url
-FROM calls c JOIN imports i ON i.path = c.path JOIN definitions d ON d.library = i.library
-  AND ((d.identifier = c.identifier || '.__init__')
-    OR (d.identifier = c.identifier
-        AND (length(c.identifier) > 9 OR (c.identifier NOT LIKE '\\_%' ESCAPE '\\' AND contains(c.identifier, '_')))))""",
+FROM calls c JOIN imports i ON i.path = c.path JOIN (
+  SELECT library, url, replace(identifier, '.__init__', '') AS answers_to FROM definitions WHERE identifier LIKE '%.\\_\\_init\\_\\_' ESCAPE '\\'
+  UNION ALL SELECT library, url, identifier FROM definitions
+  WHERE length(identifier) > 9 OR (NOT starts_with(identifier, '_') AND contains(identifier, '_'))
+) d ON d.library = i.library AND d.answers_to = c.identifier""",
     "exact_dup_overlap": f"""WITH {FN}, k AS (
   SELECT split, coalesce(function_sha, '') AS sha, md5({norm('docstring')} || '|||' || {norm('function')}) AS pk FROM functions)
 SELECT split_a, split_b,
