@@ -215,6 +215,10 @@ def _declared(bodies: DataFrame) -> DataFrame:
     return rows.where(~F.col("kind").isin("method", "build", "constructor") | F.col("is_method"))
 
 
+def _found(texts: DataFrame) -> DataFrame:
+    return _declared(_bodies(_matched(_placed(_events(texts)))))
+
+
 def docstring_of(comments: Column) -> Column:
     """Docstring out of the run of comments in front of a function.
 
@@ -249,7 +253,7 @@ def extract_functions(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> D
     texts = files.where(within_size("content", max_bytes)).select("file_id", "content")
     # Both sides of the join below start from this one exchange and stay partitioned by file_id.
     texts = texts.repartition("file_id")
-    found = _declared(_bodies(_matched(_placed(_events(texts)))))
+    found = _found(texts)
     lead_ws = F.length("head") - F.length(F.regexp_replace("head", r"\A\s+", ""))
     before = F.length("prefix") + lead_ws
     lead_text = F.substr(F.col("header"), F.lit(1), before)
@@ -323,9 +327,9 @@ def repository_rows(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> Dat
 
 def extract_status(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> DataFrame:
     """(status, files): ok, too_large, or unmatched when nothing was found in a file."""
-    found = extract_functions(files.select("file_id", "content"), max_bytes).select("file_id").distinct()
-    flagged = files.select("file_id", within_size("content", max_bytes).alias("fits")).join(
-        found.withColumn("found", F.lit(True)), "file_id", "left"
-    )
+    fits = within_size("content", max_bytes)
+    texts = files.where(fits).select("file_id", "content").repartition("file_id")
+    found = _found(texts).select("file_id").distinct().withColumn("found", F.lit(True))
+    flagged = files.select("file_id", fits.alias("fits")).join(found, "file_id", "left")
     status = F.when(~F.col("fits"), "too_large").when(F.col("found"), "ok").otherwise("unmatched")
     return flagged.groupBy(status.alias("status")).agg(F.count("*").alias("files"))

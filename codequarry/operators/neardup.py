@@ -72,9 +72,8 @@ def verified(table: DataFrame, pairs: DataFrame) -> DataFrame:
     train = table.where("n_train > 0").select(
         F.col("key").alias("train_key"), "train_id", "n_train", F.col("signature").alias("train_signature")
     )
-    pairs = written(pairs, "pairs")
-    joined = lookup_join(pairs, test, ["test_key"], ["train_key"], "inner")
-    joined = lookup_join(joined, train, ["train_key"], ["test_key"], "inner")
+    joined = lookup_join(pairs, test, ["test_key"], ["train_key"], "inner", costly=True)
+    joined = lookup_join(joined, train, ["train_key"], ["test_key"], "inner", costly=True)
     return joined.withColumn(
         "similarity", signature_similarity(F.col("test_signature"), F.col("train_signature"))
     ).drop("test_signature", "train_signature")
@@ -159,11 +158,10 @@ def near_dup_exact(df: DataFrame, id_col: str = "id", threshold: float = 0.7) ->
     )
     test, train = table.where("n_test > 0"), table.where("n_train > 0")
     pairs = similar_sets(test.select("key", "tokens"), train.select("key", "tokens"), threshold)
-    pairs = written(pairs, "pairs")
     l_ids = test.select(F.col("key").alias("left_key"), "test_id", "n_test")
     r_ids = train.select(F.col("key").alias("right_key"), "train_id", "n_train")
-    pairs = lookup_join(pairs, l_ids, ["left_key"], ["right_key"], "inner")
-    pairs = lookup_join(pairs, r_ids, ["right_key"], ["left_key"], "inner")
+    pairs = lookup_join(pairs, l_ids, ["left_key"], ["right_key"], "inner", costly=True)
+    pairs = lookup_join(pairs, r_ids, ["right_key"], ["left_key"], "inner", costly=True)
     return pairs.select(
         "test_id", "train_id", F.col("n_test").alias("test_rows"), F.col("n_train").alias("train_rows"), "similarity"
     )

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 # At most this many keys are treated as hot; it bounds what the driver sees and what is repeated.
 MAX_HOT = 256
 # Rows of one key that a single task may be left with.
@@ -24,15 +26,15 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(value)
 
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys with at least ``hot_rows`` rows, MAX_HOT at most.
+def hot_keys(df: DataFrame, on: list[str]) -> list[int]:
+    """Hashes of the keys with at least HOT_ROWS rows, MAX_HOT at most.
 
     A mergeable sketch over the key columns alone: nothing is shuffled and one bounded row comes
     back. It finds every key above about 1/2000 of the rows.
     """
     sketch = F.call_function("approx_top_k", F.xxhash64(*on), F.lit(MAX_HOT), F.lit(MAX_HOT * 32))
     top = df.agg(sketch.alias("top")).first()["top"]
-    return [row["item"] for row in top or [] if row["count"] >= hot_rows]
+    return [row["item"] for row in top or [] if row["count"] >= HOT_ROWS]
 
 
 def skew_join(
@@ -41,15 +43,15 @@ def skew_join(
     on: list[str],
     spread: list[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
     hot_on: list[str] | None = None,
     hot: list[int] | None = None,
+    costly: bool = False,
 ) -> DataFrame:
-    """Equi-join in which the left side's hot keys are cut into ``salts`` parts.
+    """Equi-join in which the left side's hot keys are cut into SALTS parts.
 
     Hot keys are looked up on the left side, at the price of one pass over its key columns; give
-    ``hot``, found on ``hot_on`` (some of the key columns) where a cheaper table shows them.
+    ``hot``, found on ``hot_on`` (some of the key columns) where a cheaper table shows them, or
+    say that the left side is ``costly``: it is then written before it is read twice.
 
     Left rows of a hot key take the part their ``spread`` columns hash to, so a re-run task puts
     them in the same part again; right rows of a hot key are repeated once per part. All other
@@ -58,13 +60,14 @@ def skew_join(
     """
     hot_on = hot_on or on
     if hot is None:
-        hot = hot_keys(left, hot_on, hot_rows)
+        left = written(left, "join-side") if costly else left
+        hot = hot_keys(left, hot_on)
     if not hot:
         return left.join(right, on, how)
     is_hot: Column = F.coalesce(F.xxhash64(*hot_on).isin(hot), F.lit(False))
-    part = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    part = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
     left = left.withColumn("_part", F.when(is_hot, part).otherwise(F.lit(0)))
-    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = right.withColumn("_part", F.explode(parts))
     return left.join(right, [*on, "_part"], how).drop("_part")
 
@@ -75,7 +78,7 @@ def lookup_join(
     on: list[str],
     spread: list[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    costly: bool = False,
 ) -> DataFrame:
     """Join rows with a table of one row per key.
 
@@ -84,4 +87,4 @@ def lookup_join(
     """
     if plan_bytes(lookup) <= broadcast_limit(facts):
         return facts.join(lookup, on, how)
-    return skew_join(facts, lookup, on, spread, how, hot_rows)
+    return skew_join(facts, lookup, on, spread, how, costly=costly)

@@ -387,7 +387,7 @@ SELECT nwo, path, identifier, docstring,
   regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, coalesce(regexp_extract_all(html, '<a href="([^"]*)"', 1)[1], '') AS first_link,
   len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS links FROM pages""",
     "listing_items": """SELECT s_suppkey AS page_id, s_name || '/repo' || s_suppkey AS full_name,
-  'https://gitee.com/' || replace(s_name, '#', '-') AS url, s_nationkey AS stars, 'a & b <' || s_suppkey || '>' AS description, 'ArkTS' AS language
+  'https://gitee.com/' || replace(s_name, '#', '-') AS url, s_nationkey AS stars, 'a & b <' || s_suppkey || '>' AS description, 'TypeScript' AS language
 FROM supplier UNION ALL SELECT s_suppkey, 'bare' || s_suppkey, 'https://gitee.com/bare', 0, '', '' FROM supplier""",
     "license_from_payload": """SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN c_mktsegment
   WHEN c_custkey % 6 IN (1, 3) THEN upper(c_mktsegment) END AS license FROM customer""",

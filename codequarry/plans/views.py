@@ -122,7 +122,7 @@ LISTINGS = {
         f"title=\" ' || {_ITEM_NAME} || ' \" href=\"/' || replace(s_name, '#', '-') || '\">t</a></h3>"
         "<div class=\"stars-count\" data-count=\"' || cast(s_nationkey as string) || '\">*</div>"
         "<div class=\"project-desc\" title=\"a &amp; b &lt;' || cast(s_suppkey as string) || '&gt;\">d</div>"
-        "<a class=\"project-language\" title=\"ArkTS\">l</a></div>"
+        "<a class=\"project-language\" title=\"TypeScript\">l</a></div>"
         "<div class=\"item\"><h3><a class=\"other\" title=\"no\" href=\"/no\">n</a></h3></div>"
         f"<div class=\"ui item\"><h3> <a href=\"/bare\" title=\"bare' || cast(s_suppkey as string) || '\" "
         "class=\"project-namespace-path title\">b</a></h3></div></body></html>'"

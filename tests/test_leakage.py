@@ -108,11 +108,23 @@ def test_similar_sets_misses_nothing(spark, corpus, frequent):
 
 
 def test_similar_sets_with_hot_tokens_split(spark, corpus, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 3)
-    monkeypatch.setattr(skew.skew_join, "__defaults__", ("inner", 3, 4, None, None))
+    with_hot_keys_split(spark, monkeypatch)
     test_similar_sets_misses_nothing(spark, corpus, 8)
 
 
+def with_hot_keys_split(spark, monkeypatch):
+    """Three rows make a key hot, and no lookup is small enough to be broadcast."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "SALTS", 4)
+    monkeypatch.setattr(skew, "broadcast_limit", lambda df: -1)
+
+
+def test_near_duplicates_with_hot_keys_split(spark, df, corpus, monkeypatch):
+    with_hot_keys_split(spark, monkeypatch)
+    test_near_duplicates(df, corpus)
+    test_docstring_fuzzy(df, corpus)
+
+
 def test_empty_side(spark):
     some = spark.createDataFrame([(1, ["a"])], "key int, tokens array<string>")
     assert similarity.similar_sets(some.where("key > 1"), some, 0.5).count() == 0

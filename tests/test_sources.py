@@ -59,14 +59,14 @@ def test_line_order_over_many_splits(spark, tmp_path):
 
 
 def test_lists(spark, tmp_path):
-    (tmp_path / "enry.json").write_text(json.dumps({"ArkTS": ["a.ets", "b/c.ets"], "JSON": ["d.json"]}))
-    rows = readers.classified_files(spark, f"{tmp_path}/enry.json", "ArkTS").collect()
+    (tmp_path / "enry.json").write_text(json.dumps({"TypeScript": ["a.ets", "b/c.ets"], "JSON": ["d.json"]}))
+    rows = readers.classified_files(spark, f"{tmp_path}/enry.json", "TypeScript").collect()
     assert sorted(r.path for r in rows) == ["a.ets", "b/c.ets"]
     assert readers.classified_files(spark, f"{tmp_path}/enry.json", "Go").count() == 0
     (tmp_path / "repos.csv").write_text("full_name,url\na/b, https://x/a/b \nc/d,\ne/f,https://x/a/b\n")
     urls = readers.repo_urls(readers.repo_list_csv(spark, f"{tmp_path}/repos.csv"))
     assert [r.url for r in urls.collect()] == ["https://x/a/b"]
-    repos = spark.createDataFrame([("a/b", 3, "ArkTS"), ('q"x', 0, None)], "full_name string, stars int, language string")
+    repos = spark.createDataFrame([("a/b", 3, "TypeScript"), ('q"x', 0, None)], "full_name string, stars int, language string")
     sinks.write_csv(repos, f"{tmp_path}/csv")
     back = readers.repo_list_csv(spark, f"{tmp_path}/csv").collect()
     assert back[0].asDict().keys() == {"full_name", "stars", "language"} and len(back) == 2
