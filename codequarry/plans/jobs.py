@@ -1,4 +1,4 @@
-"""End-to-end jobs: read, run operators, write."""
+"""End-to-end jobs: read, run operators, write. They return the number of rows written."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -7,81 +7,87 @@ from ..operators import curate, extract, leakage, neardup, similarity, stats
 from ..sources import readers, sinks
 
 
-def deduplicate(spark: SparkSession, functions_dir: str, info_dir: str, output_dir: str) -> None:
+def deduplicate(spark: SparkSession, functions_dir: str, info_dir: str, output_dir: str) -> int:
     """Enriched best row per hash to output_dir/functions, duplicate urls to output_dir/duplicates."""
     enriched = curate.enrich(
         readers.functions_parquet(spark, functions_dir), readers.repo_info(spark, info_dir)
     )
-    sinks.write_parquet(curate.best_functions(enriched), f"{output_dir}/functions")
     sinks.write_parquet(curate.duplicate_lists(enriched), f"{output_dir}/duplicates")
+    return sinks.write_parquet(curate.best_functions(enriched), f"{output_dir}/functions")
 
 
-def extract_parquet(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> None:
+def extract_parquet(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> int:
     files = readers.source_parquet(spark, input_dir)
     rows = extract.function_rows(files, extract.PARQUET_MAX_BYTES)
-    sinks.write_parquet(rows, output_dir or f"{input_dir}/parsed", "append")
+    return sinks.write_parquet(rows, output_dir or f"{input_dir}/parsed", "append")
 
 
-def extract_json(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> None:
+def extract_json(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> int:
     files = readers.source_json(spark, input_dir)
     rows = extract.function_rows(files, extract.JSON_MAX_BYTES)
-    sinks.write_parquet(rows, output_dir or f"{input_dir}/parsed")
+    return sinks.write_parquet(rows, output_dir or f"{input_dir}/parsed")
 
 
-def extract_jsonl(spark: SparkSession, path: str, output: str) -> None:
-    rows = extract.function_rows(readers.source_jsonl(spark, path))
-    if output.endswith(".json"):
-        sinks.write_jsonl(rows, output)
-    else:
-        sinks.write_parquet(rows, output)
+def extract_jsonl(spark: SparkSession, path: str, output: str) -> int:
+    return sinks.write_by_extension(extract.function_rows(readers.source_jsonl(spark, path)), output)
+
+
+def extract_path(spark: SparkSession, path: str, output: str, nwo: str = "", sha: str = "") -> int:
+    """Function rows of one source file, or of all source files under a folder."""
+    files = readers.source_tree(spark, path).withColumns({"nwo": F.lit(nwo), "sha": F.lit(sha)})
+    inside = F.substr(F.col("path"), F.lit(len(path.rstrip("/")) + 2))
+    return sinks.write_by_extension(extract.function_rows(files.withColumn("path", inside)), output)
 
 
 def scan_repositories(
     spark: SparkSession, repos_dir: str, output_dir: str, shas: DataFrame | None = None,
-    finished: DataFrame | None = None,
-) -> None:
-    """Function rows of all checked-out repositories under a folder.
+    finished: DataFrame | None = None, classified: DataFrame | None = None,
+) -> int:
+    """Function rows of all checked-out repositories (owner/name folders) under a folder.
 
     ``shas`` (nwo, sha) names the checked-out commits; repositories in ``finished`` (nwo) are
-    left out, and results are appended.
+    left out; ``classified`` (path), from a language classifier, limits the files. Results are
+    appended.
     """
     files = readers.source_tree(spark, repos_dir)
-    inner = F.regexp_replace("path", r"\A" + repos_dir.rstrip("/") + "/", "/data/repos/")
-    files = files.withColumn("path", inner)
+    if classified is not None:
+        files = files.join(classified.select("path"), "path", "left_semi")
+    inner = F.substr(F.col("path"), F.lit(len(repos_dir.rstrip("/")) + 2))
+    files = files.withColumn("path", F.concat(F.lit("/data/repos/"), inner))
     nwo, _ = extract.path_to_nwo("path")
     files = files.withColumn("nwo", nwo)
     if finished is not None:
         files = curate.pending_units(files, finished, ["nwo"], ["path"])
     if shas is not None:
         files = files.join(shas.select("nwo", "sha"), "nwo", "left")
-    sinks.write_parquet(extract.repository_rows(files), output_dir, "append")
+    return sinks.write_parquet(extract.repository_rows(files), output_dir, "append")
 
 
-def parquet_to_jsonl(spark: SparkSession, input_dir: str, output: str) -> None:
-    sinks.write_jsonl(spark.read.parquet(input_dir), output)
+def parquet_to_jsonl(spark: SparkSession, input_dir: str, output: str) -> int:
+    return sinks.write_jsonl(spark.read.parquet(input_dir), output)
 
 
-def filter_docstring(spark: SparkSession, path: str, schema: str, output: str, deduplicate: bool = True) -> None:
+def filter_docstring(spark: SparkSession, path: str, schema: str, output: str, deduplicate: bool = True) -> int:
     rows = readers.tolerant_jsonl(spark, path, schema)
     kept = curate.filter_docstring(rows, readers.LINE_ORDER, deduplicate)
-    sinks.write_jsonl(kept.drop(*readers.LINE_ORDER), output)
+    return sinks.write_jsonl(kept.drop(*readers.LINE_ORDER), output)
 
 
-def filter_license(spark: SparkSession, path: str, schema: str, licenses: str, output: str) -> None:
+def filter_license(spark: SparkSession, path: str, schema: str, licenses: str, output: str) -> int:
     rows = readers.tolerant_jsonl(spark, path, schema)
     allowed = curate.license_map(readers.license_records(spark, licenses))
     kept = curate.filter_license(rows, allowed, spread=readers.LINE_ORDER)
-    sinks.write_jsonl(kept.drop(*readers.LINE_ORDER), output)
+    return sinks.write_jsonl(kept.drop(*readers.LINE_ORDER), output)
 
 
 def merge(
     spark: SparkSession, inputs: list[tuple[str, str]], output: str,
     labels: list[str] | None = None, drop_keys=curate.DROPPED_KEYS,
-) -> None:
+) -> int:
     """Merge JSON-lines files given as (path, schema)."""
     sources = [readers.tolerant_jsonl(spark, path, schema) for path, schema in inputs]
     merged = curate.merge_datasets(sources, readers.LINE_ORDER, labels, drop_keys)
-    sinks.write_jsonl(merged.drop(*readers.LINE_ORDER), output)
+    return sinks.write_jsonl(merged.drop(*readers.LINE_ORDER), output)
 
 
 def audit(splits: DataFrame, id_col: str = "id") -> dict[str, DataFrame]:

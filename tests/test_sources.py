@@ -101,7 +101,7 @@ def test_extraction_to_deduplication(spark, tmp_path):
         (tmp_path / "repos" / repo / "src" / "a.ets").write_text(CODE)
     shas = spark.createDataFrame([("o/r1", "c1"), ("o/r2", "c2")], "nwo string, sha string")
     done = spark.createDataFrame([("o/skip",)], "nwo string")
-    jobs.scan_repositories(spark, f"{tmp_path}/repos", f"{tmp_path}/functions", shas, done)
+    assert jobs.scan_repositories(spark, f"{tmp_path}/repos", f"{tmp_path}/functions", shas, done) == 2
     rows = spark.read.parquet(f"{tmp_path}/functions")
     assert {f.split()[0] for f in readers.FUNCTION_SCHEMA.split(", ")} == set(rows.columns)
     assert sorted((r.nwo, r.sha, r.path, r.identifier) for r in rows.collect()) == [
@@ -109,7 +109,7 @@ def test_extraction_to_deduplication(spark, tmp_path):
     ]
     info = spark.createDataFrame([("o/r2", False, 0, 9, 1, ["t"])], readers.REPO_INFO_SCHEMA)
     info.write.parquet(f"{tmp_path}/info")
-    jobs.deduplicate(spark, f"{tmp_path}/functions", f"{tmp_path}/info", f"{tmp_path}/out")
+    assert jobs.deduplicate(spark, f"{tmp_path}/functions", f"{tmp_path}/info", f"{tmp_path}/out") == 1
     (best,) = spark.read.parquet(f"{tmp_path}/out/functions").collect()
     assert (best.nwo, best.duplicate_count, len(best.function_sha), best.docstring) == ("o/r2", 2, 32, "adds")
     (dup,) = spark.read.parquet(f"{tmp_path}/out/duplicates").collect()
@@ -126,6 +126,26 @@ def test_extraction_to_deduplication(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/final").count() == 1
 
 
+def test_extract_path(spark, tmp_path):
+    (tmp_path / "repo" / "test").mkdir(parents=True)
+    (tmp_path / "repo" / "test" / "a.ets").write_text(CODE)
+    assert jobs.extract_path(spark, f"{tmp_path}/repo", f"{tmp_path}/out.json", "o/r", "c1") == 1
+    (row,) = spark.read.json(f"{tmp_path}/out.json").collect()
+    assert (row.path, row.url) == ("test/a.ets", "https://github.com/o/r/blob/c1/test/a.ets#L2-L2")
+    assert jobs.extract_path(spark, f"{tmp_path}/repo/test/a.ets", f"{tmp_path}/single") == 1
+    (row,) = spark.read.parquet(f"{tmp_path}/single").collect()
+    assert (row.path, row.nwo, row.identifier) == ("", "", "add")
+
+
+def test_scan_takes_classified_files_only(spark, tmp_path):
+    (tmp_path / "repos" / "o" / "r").mkdir(parents=True)
+    for name in ("a", "b"):
+        (tmp_path / "repos" / "o" / "r" / f"{name}.ets").write_text(CODE)
+    listed = spark.createDataFrame([(f"{tmp_path}/repos/o/r/b.ets",)], "path string")
+    jobs.scan_repositories(spark, f"{tmp_path}/repos", f"{tmp_path}/out", classified=listed)
+    assert [r.path for r in spark.read.parquet(f"{tmp_path}/out").collect()] == ["b.ets"]
+
+
 @pytest.mark.parametrize("job, folder", [(jobs.extract_parquet, "pq"), (jobs.extract_json, "js"), (jobs.extract_jsonl, "raw")])
 def test_bulk_jobs(spark, tmp_path, job, folder):
     spark.createDataFrame([("p1", CODE), ("p2", " " * 40000 + CODE)], "max_stars_repo_path string, content string").write.parquet(f"{tmp_path}/pq")
