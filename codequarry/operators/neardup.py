@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import staged
-from ..functions.hashing import signature_similarity, text_hash31, with_minhash
+from ..functions.hashing import NUM_PERM, PRIME, signature_similarity, text_hash31, with_minhash
 from ..functions.text import shingles, shingles_of, word_tokens
 from ..session import written
 from .similarity import similar_sets
@@ -20,7 +20,8 @@ def contents(df: DataFrame, id_col: str, keep_empty: bool = False) -> DataFrame:
 
     Functions with the same word tokens have the same shingles, so they share one row that
     counts its copies per split and names the smallest id of each. Copies combine before the
-    shuffle; from here on no work grows with the number of copies.
+    shuffle; from here on no work grows with the number of copies. Functions without tokens are
+    left out, or with ``keep_empty`` are one content of their own.
     """
     is_test, is_train = F.col("split") == "test", F.col("split") == "train"
     rows = df.where(F.col("split").isin("train", "test")).select(
@@ -31,6 +32,10 @@ def contents(df: DataFrame, id_col: str, keep_empty: bool = False) -> DataFrame:
         rows = rows.where(F.size("tokens") > 0)
     rows = rows.withColumn("key", F.md5(F.array_join("tokens", " ")))
     rows = with_minhash(rows, F.transform(shingles_of(F.col("tokens")), text_hash31))
+    if keep_empty:
+        # No hash reaches the modulus, so empty functions are like each other and nothing else.
+        nothing = F.array_repeat(F.lit(PRIME).cast("bigint"), NUM_PERM)
+        rows = rows.withColumn("signature", F.coalesce("signature", nothing))
     return rows.groupBy("key").agg(
         F.min(F.when(is_test, F.col("id"))).alias("test_id"),
         F.min(F.when(is_train, F.col("id"))).alias("train_id"),
@@ -79,13 +84,15 @@ def verified(table: DataFrame, pairs: DataFrame) -> DataFrame:
     ).drop("test_signature", "train_signature")
 
 
-def near_dup_pairs(df: DataFrame, id_col: str = "id", thresholds=tuple(BANDS)) -> DataFrame:
+def near_dup_pairs(
+    df: DataFrame, id_col: str = "id", thresholds=tuple(BANDS), keep_empty: bool = False
+) -> DataFrame:
     """Candidate pairs whose estimated similarity reaches a threshold, one row per threshold.
 
     A pair stands for all copies of its two contents: test_rows x train_rows row pairs, named by
     the smallest id on either side.
     """
-    table = written(contents(df, id_col), "contents")
+    table = written(contents(df, id_col, keep_empty), "contents")
     pairs = verified(table, candidates(table, thresholds))
     return (
         pairs.select("*", F.explode("thresholds").alias("threshold"))
@@ -97,9 +104,11 @@ def near_dup_pairs(df: DataFrame, id_col: str = "id", thresholds=tuple(BANDS)) -
     )
 
 
-def near_dup_summary(df: DataFrame, id_col: str = "id", thresholds=tuple(BANDS)) -> DataFrame:
+def near_dup_summary(
+    df: DataFrame, id_col: str = "id", thresholds=tuple(BANDS), keep_empty: bool = False
+) -> DataFrame:
     """Per threshold: test rows with a candidate, test rows with a verified match, row pairs."""
-    table = written(contents(df, id_col), "contents")
+    table = written(contents(df, id_col, keep_empty), "contents")
     pairs = verified(table, candidates(table, thresholds)).select("*", F.explode("thresholds").alias("threshold"))
     close = F.col("similarity") >= F.col("threshold")
     per_test = pairs.groupBy("threshold", "test_key").agg(

@@ -187,9 +187,14 @@ def test_near_dup_exact_counts_rows(df, corpus):
     assert got == want
 
 
-def test_empty_functions_can_be_kept(df):
-    assert neardup.contents(df, "id", keep_empty=True).where("signature is null").count() == 1
-    assert neardup.contents(df, "id").where("signature is null").count() == 0
+def test_empty_functions_can_be_kept(spark):
+    rows = [(1, "train", ""), (2, "train", " ;"), (3, "test", None), (4, "test", "a b c d"), (5, "train", "e f g h")]
+    df = spark.createDataFrame(rows, "id int, split string, function string")
+    assert neardup.near_dup_pairs(df).count() == 0
+    pairs = neardup.near_dup_pairs(df, thresholds=(0.9,), keep_empty=True).collect()
+    assert [(r.test_id, r.train_id, r.test_rows, r.train_rows, r.similarity) for r in pairs] == [(3, 1, 1, 2, 1.0)]
+    summary = neardup.near_dup_summary(df, keep_empty=True).collect()
+    assert {(r.candidate_rows, r.verified_pairs, r.test_rows, r.pct) for r in summary} == {(1, 2, 2, 50.0)}
 
 
 def test_statistics(spark):
