@@ -48,12 +48,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several branches start from one expensive table: lineage ends at the files, a
     lost executor costs a re-read, and each branch prunes to the columns it needs.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
