@@ -1,10 +1,13 @@
 """One query per operator, with production parameters over whole tables, and their SQL."""
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, sharding
+from ..session import scratch
+from . import bpe, exact_dedup, license_scan, sharding, token_counts
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,16 +18,35 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def _file(name: str) -> bytes:
+    """A tokenizer file, read on the driver."""
+    return Path(public_tokenizers.path(name)).read_bytes()
+
+
 @query
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(documents(spark, sf_dir))
 
 
+@query
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _file("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(documents(spark, sf_dir), source, public_tokenizers.PATTERN)
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts with an empty cache of its own, so every distinct text is encoded."""
+    return token_counts.counts(
+        documents(spark, sf_dir), _file("byte_bpe_50k.json"), scratch(spark, "token-cache"), limit=512
+    )
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.places(documents(spark, sf_dir), shards=40, seed=20)
