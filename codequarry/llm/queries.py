@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch
-from . import bpe, exact_dedup, license_scan, sharding, token_counts
+from . import bpe, exact_dedup, license_scan, sharding, simhash, token_counts
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(documents(spark, sf_dir))
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.membership(documents(spark, sf_dir))
+
+
 @query
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _file("byte_bpe_multi_50k.tiktoken")
