@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch
-from . import bpe, exact_dedup, license_scan, sharding, simhash, token_counts
+from . import bpe, exact_dedup, license_scan, packing, sharding, simhash, token_counts
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), _file("byte_bpe_50k.json"), capacity=2048, seed=6)
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.places(documents(spark, sf_dir), shards=40, seed=20)
