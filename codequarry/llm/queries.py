@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch
-from . import bpe, exact_dedup, license_scan, packing, sharding, simhash, token_counts
+from . import bpe, exact_dedup, langid, license_scan, packing, pii, quality, sharding, simhash, token_counts
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,21 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), _file("byte_bpe_50k.json"), capacity=2048, seed=6)
 
 
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.places(documents(spark, sf_dir), shards=40, seed=20)

@@ -99,11 +99,19 @@ def finer_masks(mask: int) -> list[int]:
 def _dealt(rows: DataFrame, masks: list[int]) -> DataFrame:
     """(mask, pattern, fp): each fingerprint once for each finer mask of its own mask.
 
-    The masks are as many as there are levels to the power of four, whatever the data.
+    The masks are at most four to the power of the level, whatever the data.
     """
-    finer = [(_signed(m), _signed(f)) for m in masks for f in finer_masks(m)]
-    table = rows.sparkSession.createDataFrame(finer, "mask long, finer long")
-    each = rows.join(F.broadcast(table), "mask").select(F.col("finer").alias("mask"), "fp")
+    finer = F.create_map(
+        *[
+            c
+            for m in masks
+            for c in (
+                F.lit(_signed(m)).cast("long"),
+                F.array(*[F.lit(_signed(f)).cast("long") for f in finer_masks(m)]),
+            )
+        ]
+    )
+    each = rows.select(F.explode(F.element_at(finer, F.col("mask"))).alias("mask"), "fp")
     return each.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("pattern"), "fp")
 
 
