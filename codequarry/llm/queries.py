@@ -18,7 +18,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-def _file(name: str) -> bytes:
+def tokenizer_file(name: str) -> bytes:
     """A tokenizer file, read on the driver."""
     return Path(public_tokenizers.path(name)).read_bytes()
 
@@ -35,7 +35,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _file("byte_bpe_multi_50k.tiktoken")
+    source = tokenizer_file("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(documents(spark, sf_dir), source, public_tokenizers.PATTERN)
 
 
@@ -48,13 +48,13 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts with an empty cache of its own, so every distinct text is encoded."""
     return token_counts.counts(
-        documents(spark, sf_dir), _file("byte_bpe_50k.json"), scratch(spark, "token-cache"), limit=512
+        documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), scratch(spark, "token-cache"), limit=512
     )
 
 
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), _file("byte_bpe_50k.json"), capacity=2048, seed=6)
+    return packing.pack(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), capacity=2048, seed=6)
 
 
 @query
