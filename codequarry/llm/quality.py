@@ -12,7 +12,6 @@ under 20 words; rows may repeat; null ids are fine; an empty table gives an empt
 columns never matter.
 """
 
-from collections.abc import Callable
 from operator import eq
 
 import numpy as np
@@ -181,28 +180,30 @@ def fitted(patterns: DataFrame) -> dict[int, float]:
     return posteriors({r["pattern"]: r["n"] for r in counted.collect()})
 
 
-def _good(probability: dict[int, float]) -> Callable[[Column], Column]:
-    """The posterior of a pattern, looked up in an array of all 3**rules patterns."""
-    table = [probability.get(p, 0.5) for p in range(3 ** len(RULES))]
-    array = "array(" + ",".join(f"{v!r}D" for v in table) + ")"
-    return lambda pattern: F.element_at(F.expr(array), pattern + 1)
+def scored(rows: DataFrame, probability: dict[int, float]) -> DataFrame:
+    """``rows`` with the posterior of their column ``pattern`` as ``p_good``.
+
+    The table has at most 3**rules rows, so it is broadcast whatever the corpus.
+    """
+    table = rows.sparkSession.createDataFrame(list(probability.items()), "pattern int, p_good double")
+    joined = rows.join(F.broadcast(table), "pattern", "left")
+    return joined.withColumn("p_good", F.coalesce("p_good", F.lit(0.5)))
 
 
 def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, p_good."""
     rows = written(features(docs).withColumn("pattern", votes()), "quality-features")
-    good = _good(fitted(rows))
-    scored = rows.withColumns({"base_failed": base_failed(), "p_good": good(F.col("pattern"))})
-    return scored.select(
-        "doc_id", *FEATURES[:5], "base_failed", (~F.col("base_failed") & (F.col("p_good") >= threshold)).alias("kept"), "p_good"
+    kept = ~F.col("base_failed") & (F.col("p_good") >= threshold)
+    return scored(rows, fitted(rows)).withColumn("base_failed", base_failed()).select(
+        "doc_id", *FEATURES[:5], "base_failed", kept.alias("kept"), "p_good"
     )
 
 
 def passed(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents the verdict keeps, with all their columns. Texts are measured twice, once to
     fit and once to filter, so that they need not move."""
-    good = _good(fitted(features(docs).select(votes().alias("pattern"))))
+    probability = fitted(features(docs).select(votes().alias("pattern")))
 
     @F.pandas_udf("array<long>")
     def measure(part: pd.Series) -> pd.Series:
@@ -211,4 +212,5 @@ def passed(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, measure(whole_text()).alias("m"))
     rows = rows.select("row", *[F.col("m")[i].alias(f) for i, f in enumerate(FEATURES)])
-    return rows.where(~base_failed() & (good(votes()) >= threshold)).select("row.*")
+    judged = scored(rows.withColumn("pattern", votes()), probability)
+    return judged.where(~base_failed() & (F.col("p_good") >= threshold)).select("row.*")
