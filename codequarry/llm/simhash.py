@@ -35,9 +35,10 @@ SHINGLE = 3
 SEED = 42
 # Nodes with more fingerprints are refined; a task compares at most this many squared.
 NODE = 2048
-# Children of a tree node, and pairs of nodes looked at in one step.
+# Children of a tree node, and pairs of nodes looked at in one step: they have up to FANOUT squared
+# times as many pairs of children, of some 64 bytes each while these are formed.
 FANOUT = 8
-FRONTIER = 1 << 18
+FRONTIER = 1 << 14
 # Shingles whose bits are counted at once.
 BLOCK = 1 << 16
 
