@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,37 +63,46 @@ def permutations(num_perm: int = NUM_PERM) -> tuple[list[int], list[int]]:
     return a, b
 
 
+# Shingle hashes permuted at once: 128 rows of so many 8-byte numbers.
+_BLOCK = 1 << 13
+
+
+def signatures_of(hashes: pd.Series, num_perm: int = NUM_PERM) -> pd.Series:
+    """MinHash signatures of arrays of 31-bit hashes; None for empty ones.
+
+    The batch's hashes form one sequence that is permuted block by block whatever the rows; a
+    block's minima per row are merged into the rows' signatures.
+    """
+    a, b = permutations(num_perm)
+    mul, add = np.array(a, np.int64)[:, None], np.array(b, np.int64)[:, None]
+    sizes = np.array([0 if h is None else len(h) for h in hashes], np.int64)
+    low = np.full((num_perm, len(sizes)), PRIME, np.int64)
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        flat = np.concatenate([np.asarray(hashes.iloc[i], np.int64) for i in filled])
+        owner = np.repeat(filled, sizes[filled])
+        for at in range(0, len(flat), _BLOCK):
+            own = owner[at : at + _BLOCK]
+            # x mod (2^31-1) by folding: 31-bit factors keep the product below 2^63.
+            x = mul * flat[None, at : at + _BLOCK] + add
+            x = (x & PRIME) + (x >> 31)
+            x = (x & PRIME) + (x >> 31)
+            x[x == PRIME] = 0
+            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            rows = own[starts]
+            low[:, rows] = np.minimum(low[:, rows], np.minimum.reduceat(x, starts, axis=1))
+    return pd.Series([low[:, i] if n else None for i, n in enumerate(sizes)], index=hashes.index, dtype=object)
+
+
 def with_minhash(df: DataFrame, hashes: Column, name: str = "signature", num_perm: int = NUM_PERM) -> DataFrame:
     """Add the MinHash signature array<bigint> of an array of shingle hashes; null when it is empty.
 
-    128 multiply-mod-min passes per shingle are numpy's kind of work: one vector operation per
-    block of shingles inside an Arrow batch. Rows never leave their partition.
+    128 multiply-mod-min passes per shingle are numpy's kind of work, done on whole Arrow batches.
+    Rows never leave their partition.
     """
-    a, b = permutations(num_perm)
-    prime = PRIME
 
     def signatures(batch: pd.Series) -> pd.Series:
-        import numpy as np
-
-        mul = np.array(a, dtype=np.int64)[:, None]
-        add = np.array(b, dtype=np.int64)[:, None]
-
-        def one(hashes):
-            if hashes is None or len(hashes) == 0:
-                return None
-            low = None
-            for start in range(0, len(hashes), 4096):
-                block = np.asarray(hashes[start : start + 4096], dtype=np.int64)[None, :]
-                # x mod (2^31-1) by folding: 31-bit factors keep the product below 2^63.
-                x = mul * block + add
-                x = (x & prime) + (x >> 31)
-                x = (x & prime) + (x >> 31)
-                x[x == prime] = 0
-                m = x.min(axis=1)
-                low = m if low is None else np.minimum(low, m)
-            return low
-
-        return batch.map(one)
+        return signatures_of(batch, num_perm)
 
     # Staged, so that the function's argument is a plain column: the planner does not reliably
     # take a Python function out of a projection when its argument contains lambdas.

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import exact_key, short_sha
-from .project import join_topics
-from .skew import lookup_join
+from .project import join_topics, repo_key
 
 # Licence ids whose code may be redistributed; spelling matters.
 ALLOWED_LICENSES = (
@@ -50,7 +49,7 @@ def enrich(functions: DataFrame, repos: DataFrame) -> DataFrame:
         "watchers",
     )
     functions = functions.withColumn("function_sha", short_sha("function_sha"))
-    joined = lookup_join(functions, info, ["nwo"], spread=["url", "function_sha"])
+    joined = functions.join(info, "nwo", "left")
     return joined.select(*[c for c in ENRICHED_COLUMNS if c in joined.columns])
 
 
@@ -152,12 +151,20 @@ def merge_datasets(
     return keep_first(union, F.col("_merge_key"), ["_ordinal", *order]).drop("_merge_key", "_ordinal")
 
 
+def canonical_repo(name: str, source: str) -> Column:
+    """owner/repo where a name can be read as such, else the name; null as ''."""
+    return F.coalesce(repo_key(name, F.coalesce(F.col(source), F.lit(""))), F.col(name), F.lit(""))
+
+
 def license_map(records: DataFrame, order: str = "line_no") -> DataFrame:
-    """(source, repo) -> license; the last record of a repository wins."""
+    """(source, repo) -> license; the last record of a repository wins.
+
+    Names are compared as owner/repo, so ``owner##repo`` and a ``.git`` suffix do not tell apart.
+    """
     return (
         records.groupBy(
             F.coalesce("source", F.lit("")).alias("source"),
-            F.coalesce("repo", F.lit("")).alias("repo"),
+            canonical_repo("repo", "source").alias("repo"),
         )
         .agg(F.max_by(F.struct("license"), F.col(order)).alias("r"))
         .select("source", "repo", "r.license")
@@ -176,21 +183,20 @@ def with_allowed_flag(records: DataFrame, any_case: bool = False) -> DataFrame:
     return records.withColumn("allowed", is_allowed_license(F.col("license"), any_case))
 
 
-def filter_license(df: DataFrame, licenses: DataFrame, spread: list[str], any_case: bool = False) -> DataFrame:
+def filter_license(df: DataFrame, licenses: DataFrame, any_case: bool = False) -> DataFrame:
     """Rows of repositories whose licence is allowed. ``licenses`` has one row per (source, repo)."""
     allowed = licenses.where(is_allowed_license(F.col("license"), any_case)).select(
         F.col("source").alias("_source"), F.col("repo").alias("_nwo")
     )
     keyed = df.withColumn("_source", F.coalesce("source", F.lit(""))).withColumn(
-        "_nwo", F.coalesce("nwo", F.lit(""))
+        "_nwo", canonical_repo("nwo", "source")
     )
-    return lookup_join(keyed, allowed, ["_source", "_nwo"], spread, "left_semi").drop("_source", "_nwo")
+    return keyed.join(allowed, ["_source", "_nwo"], "left_semi").drop("_source", "_nwo")
 
 
-def pending_units(units: DataFrame, finished: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
+def pending_units(units: DataFrame, finished: DataFrame, on: list[str]) -> DataFrame:
     """Units whose result does not exist yet."""
-    done = finished.select(*on).distinct()
-    return lookup_join(units, done, on, spread, "left_anti")
+    return units.join(finished.select(*on), on, "left_anti")
 
 
 def success_and_failure(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:

@@ -34,6 +34,9 @@ KINDS = (
     "function_expression arrow"
 ).split()
 
+# The language of files that do not say.
+DEFAULT_LANGUAGE = "arkts"
+
 # Characters per piece of a file's text when functions are cut out of it.
 _CHUNK = 1024
 
@@ -243,12 +246,12 @@ def docstring_of(comments: Column) -> Column:
     return F.when(comments.isNotNull(), let(pieces, build)).otherwise(F.lit(""))
 
 
-def extract_functions(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> DataFrame:
+def extract_functions(files: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Functions of source files: one row per function, nested ones included.
 
     ``files`` has a unique ``file_id``, ``content`` and any further columns, which are kept.
     Adds kind, identifier, parameters, exported, docstring, function, start/end row and column.
-    Files over ``max_bytes`` give no rows.
+    Files over ``max_bytes`` give no rows; without it there is no limit.
     """
     texts = files.where(within_size("content", max_bytes)).select("file_id", "content")
     # Both sides of the join below start from this one exchange and stay partitioned by file_id.
@@ -308,13 +311,34 @@ def is_kept(identifier: str = "identifier", tokens: str = "function_tokens") ->
     return ~F.col(identifier).isin(*BLACKLISTED_NAMES) & has_min_tokens(tokens)
 
 
-def function_rows(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> DataFrame:
+def kept_functions(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
+    """Extracted functions with their text forms, without inherited names and one-token ones.
+
+    ``language`` names the language of files that have no column of that name.
+    """
+    if "language" not in files.columns:
+        files = files.withColumn("language", F.lit(language))
+    return with_text_forms(extract_functions(files, max_bytes)).where(is_kept())
+
+
+def function_rows(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
     """The whole extraction job over a files table: 22-column rows ready for deduplication."""
-    found = with_text_forms(extract_functions(files, max_bytes)).where(is_kept())
-    return function_record(found)
+    return function_record(kept_functions(files, max_bytes, language))
 
 
-def repository_rows(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> DataFrame:
+def bulk_rows(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
+    """Function rows with the construct's type and its place: the 22 columns, type, start_point and
+    end_point as structs of row and column, counted from zero."""
+    place = F.struct("type", "start_point", "end_point")
+    found = kept_functions(files, max_bytes, language).withColumns({
+        "type": F.col("kind"),
+        "start_point": F.struct(F.col("start_row").cast("int").alias("row"), F.col("start_col").cast("int").alias("col")),
+        "end_point": F.struct(F.col("end_row").cast("int").alias("row"), F.col("end_col").cast("int").alias("col")),
+    })
+    return function_record(found.withColumn("_place", place), "_place").select("*", "_place.*").drop("_place")
+
+
+def repository_rows(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
     """Function rows of checked-out repositories.
 
     ``files`` has path, content and sha; owner and relative path come from the path, test and
@@ -322,14 +346,25 @@ def repository_rows(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> Dat
     """
     nwo, inner = path_to_nwo("path")
     files = files.withColumns({"file_id": F.col("path"), "nwo": nwo, "path": inner})
-    return function_rows(files.where(is_source_path("path")), max_bytes)
+    return function_rows(files.where(is_source_path("path")), max_bytes, language)
 
 
-def extract_status(files: DataFrame, max_bytes: int = PARQUET_MAX_BYTES) -> DataFrame:
-    """(status, files): ok, too_large, or unmatched when nothing was found in a file."""
+def file_status(files: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """(file_id, status) of each file: ok, undecodable for null content, too_large, or unmatched
+    when nothing was found in it."""
     fits = within_size("content", max_bytes)
     texts = files.where(fits).select("file_id", "content").repartition("file_id")
     found = _found(texts).select("file_id").distinct().withColumn("found", F.lit(True))
-    flagged = files.select("file_id", fits.alias("fits")).join(found, "file_id", "left")
-    status = F.when(~F.col("fits"), "too_large").when(F.col("found"), "ok").otherwise("unmatched")
-    return flagged.groupBy(status.alias("status")).agg(F.count("*").alias("files"))
+    flagged = files.select("file_id", F.col("content").isNull().alias("undecodable"), fits.alias("fits"))
+    status = (
+        F.when(F.col("undecodable"), "undecodable")
+        .when(~F.col("fits"), "too_large")
+        .when(F.col("found"), "ok")
+        .otherwise("unmatched")
+    )
+    return flagged.join(found, "file_id", "left").select("file_id", status.alias("status"))
+
+
+def extract_status(files: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """(status, files) over all files."""
+    return file_status(files, max_bytes).groupBy("status").agg(F.count("*").alias("files"))

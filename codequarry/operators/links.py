@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import as_col
 from .project import source_url
-from .skew import hot_keys, skew_join
 
 
 def library_of(context) -> Column:
@@ -37,8 +36,10 @@ def call_links(
     calls: nwo, sha, path, identifier, argument_list, start_row, end_row;
     imports: nwo, path, library; definitions: library, identifier, url.
     A constructor definition ``X.__init__`` answers to a call of ``X``; any other needs its exact,
-    telling name. Definitions are keyed by the name they answer to, so both rules are one join.
-    Returns the call columns, its url and the definition's url.
+    telling name. Definitions are keyed by the name they answer to, so both rules are one join, and
+    telling names have few definitions: calls meet those first, and the imports of a file only
+    confirm a library, which multiplies nothing. Returns the call columns (with ``language`` where
+    calls have it), the call's url and the definition's url.
     """
     init = F.substring_index("identifier", ".", -1) == "__init__"
     first = library_of("identifier")
@@ -50,19 +51,18 @@ def call_links(
         definitions.select("library", F.col("url").alias("definition_url"), F.inline(answers))
         .withColumnRenamed("name", "identifier")
         .where(F.col("by_class") | is_telling(F.col("identifier")))
+        .drop("by_class")
     )
     if stopwords:
         calls = calls.where(~F.col("identifier").isin(stopwords))
-    # Calls no library defines leave before the imports multiply the rest.
-    known = targets.select("identifier").distinct()
-    hot, hot_files = hot_keys(calls, ["identifier"]), hot_keys(calls, ["nwo", "path"])
-    spread = ["path", "start_row"]
-    calls = skew_join(calls, known, ["identifier"], spread, "left_semi", hot=hot)
-    scope = imports.select("nwo", "path", "library").distinct()
-    scoped = skew_join(calls, scope, ["nwo", "path"], ["start_row", "identifier"], hot=hot_files)
-    linked = skew_join(scoped, targets, ["library", "identifier"], spread, hot_on=["identifier"], hot=hot)
+    scope = imports.select("nwo", "path", "library")
+    linked = calls.join(targets, "identifier").join(scope, ["nwo", "path", "library"], "left_semi")
+    kept = ["nwo", "sha", "path", *[c for c in ("language",) if c in calls.columns], "identifier", "argument_list"]
     return linked.select(
-        "nwo", "sha", "path", "identifier", "argument_list",
-        source_url("nwo", "sha", "path", "start_row", "end_row").alias("call_url"),
-        "definition_url",
+        *kept, source_url("nwo", "sha", "path", "start_row", "end_row").alias("call_url"), "definition_url"
     )
+
+
+def link_edges(links: DataFrame) -> DataFrame:
+    """The distinct edges (call_url, definition_url) alone."""
+    return links.select("call_url", "definition_url").distinct()

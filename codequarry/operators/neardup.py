@@ -1,5 +1,8 @@
 """Near-duplicate detection between train and test by MinHash-LSH."""
 
+import functools
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,20 +11,35 @@ from ..functions.hashing import NUM_PERM, PRIME, signature_similarity, text_hash
 from ..functions.text import shingles, shingles_of, word_tokens
 from ..session import written
 from .similarity import similar_sets
-from .skew import lookup_join, skew_join
+from .skew import skew_join
+
+# The thresholds a report has.
+THRESHOLDS = (0.5, 0.7, 0.8, 0.9)
 
-# Threshold -> (bands, rows per band) of a 128-row signature, the optimum for
-# equally weighted false positives and negatives.
-BANDS = {0.5: (25, 5), 0.7: (14, 9), 0.8: (9, 13), 0.9: (5, 25)}
+
+@functools.cache
+def banding(threshold: float, num_perm: int = NUM_PERM) -> tuple[int, int]:
+    """(bands, rows per band) with the least sum of both error areas: the chance of meeting below
+    the threshold and the chance of missing above it, weighted equally."""
+    s = np.linspace(0.0, 1.0, 2001)
+    below = s <= threshold
+    best = None
+    for rows in range(1, num_perm + 1):
+        for bands in range(1, num_perm // rows + 1):
+            meet = 1.0 - (1.0 - s**rows) ** bands
+            error = np.trapezoid(np.where(below, meet, 0.0), s) + np.trapezoid(np.where(below, 0.0, 1.0 - meet), s)
+            if best is None or error < best[0]:
+                best = (error, bands, rows)
+    return best[1:]
 
 
 def contents(df: DataFrame, id_col: str, keep_empty: bool = False) -> DataFrame:
     """Distinct train/test contents: (key, test_id, train_id, n_test, n_train, signature).
 
     Functions with the same word tokens have the same shingles, so they share one row that
-    counts its copies per split and names the smallest id of each. Copies combine before the
-    shuffle; from here on no work grows with the number of copies. Functions without tokens are
-    left out, or with ``keep_empty`` are one content of their own.
+    counts its copies per split and names the smallest id of each. Copies combine on ids and keys
+    alone; then one function of each key is looked up again (ids are unique within a split) and
+    signed. Functions without tokens are left out, or with ``keep_empty`` are one content of their own.
     """
     is_test, is_train = F.col("split") == "test", F.col("split") == "train"
     rows = df.where(F.col("split").isin("train", "test")).select(
@@ -31,18 +49,24 @@ def contents(df: DataFrame, id_col: str, keep_empty: bool = False) -> DataFrame:
     if not keep_empty:
         rows = rows.where(F.size("tokens") > 0)
     rows = rows.withColumn("key", F.md5(F.array_join("tokens", " ")))
-    rows = with_minhash(rows, F.transform(shingles_of(F.col("tokens")), text_hash31))
-    if keep_empty:
-        # No hash reaches the modulus, so empty functions are like each other and nothing else.
-        nothing = F.array_repeat(F.lit(PRIME).cast("bigint"), NUM_PERM)
-        rows = rows.withColumn("signature", F.coalesce("signature", nothing))
-    return rows.groupBy("key").agg(
+    keys = rows.groupBy("key").agg(
         F.min(F.when(is_test, F.col("id"))).alias("test_id"),
         F.min(F.when(is_train, F.col("id"))).alias("train_id"),
         F.count(F.when(is_test, 1)).alias("n_test"),
         F.count(F.when(is_train, 1)).alias("n_train"),
-        F.first("signature").alias("signature"),
     )
+    # The smallest test id, or train id where there is none, carries the tokens.
+    carriers = keys.withColumns({
+        "split": F.when(F.col("n_test") > 0, "test").otherwise("train"),
+        "id": F.coalesce("test_id", "train_id"),
+    })
+    signed = rows.select("key", "split", "id", "tokens").join(carriers, ["key", "split", "id"])
+    signed = with_minhash(signed, F.transform(shingles_of(F.col("tokens")), text_hash31))
+    if keep_empty:
+        # No hash reaches the modulus, so empty functions are like each other and nothing else.
+        nothing = F.array_repeat(F.lit(PRIME).cast("bigint"), NUM_PERM)
+        signed = signed.withColumn("signature", F.coalesce("signature", nothing))
+    return signed.select("key", "test_id", "train_id", "n_test", "n_train", "signature")
 
 
 def _bands(thresholds) -> Column:
@@ -50,20 +74,20 @@ def _bands(thresholds) -> Column:
     bands = ", ".join(
         f"named_struct('threshold', {t}D, 'band', {i}, 'bucket', xxhash64(slice(signature, {i * rows + 1}, {rows})))"
         for t in thresholds
-        for n, rows in [BANDS[t]]
+        for n, rows in [banding(t)]
         for i in range(n)
     )
     return F.expr(f"array({bands})")
 
 
-def candidates(table: DataFrame, thresholds=tuple(BANDS)) -> DataFrame:
+def candidates(table: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """Pairs of distinct contents that share a band: (test_key, train_key, thresholds)."""
 
     def banded(side: str) -> DataFrame:
         rows = table.where(F.col(f"n_{side}") > 0)
         return rows.select(F.col("key").alias(f"{side}_key"), F.inline(_bands(thresholds)))
 
-    met = skew_join(banded("train"), banded("test"), ["threshold", "band", "bucket"], ["train_key"])
+    met = skew_join(banded("train"), banded("test"), ["threshold", "band", "bucket"], ["train_key"], ["test_key"])
     return met.groupBy("test_key", "train_key").agg(
         F.collect_set("threshold").alias("thresholds")  # at most one entry per threshold
     )
@@ -77,15 +101,15 @@ def verified(table: DataFrame, pairs: DataFrame) -> DataFrame:
     train = table.where("n_train > 0").select(
         F.col("key").alias("train_key"), "train_id", "n_train", F.col("signature").alias("train_signature")
     )
-    joined = lookup_join(pairs, test, ["test_key"], ["train_key"], "inner", costly=True)
-    joined = lookup_join(joined, train, ["train_key"], ["test_key"], "inner", costly=True)
+    joined = pairs.join(test, ["test_key"])
+    joined = joined.join(train, ["train_key"])
     return joined.withColumn(
         "similarity", signature_similarity(F.col("test_signature"), F.col("train_signature"))
     ).drop("test_signature", "train_signature")
 
 
 def near_dup_pairs(
-    df: DataFrame, id_col: str = "id", thresholds=tuple(BANDS), keep_empty: bool = False
+    df: DataFrame, id_col: str = "id", thresholds=THRESHOLDS, keep_empty: bool = False
 ) -> DataFrame:
     """Candidate pairs whose estimated similarity reaches a threshold, one row per threshold.
 
@@ -104,8 +128,20 @@ def near_dup_pairs(
     )
 
 
+def near_dup_best(df: DataFrame, id_col: str = "id", threshold: float = 0.7, keep_empty: bool = False) -> DataFrame:
+    """The most similar train content of each test content, if it reaches ``threshold``; ties go to
+    the smaller train id. One row per test content, however many train contents are near it."""
+    pairs = near_dup_pairs(df, id_col, (threshold,), keep_empty).drop("threshold")
+    best = F.min_by(F.struct("train_id", "train_rows"), F.struct(-F.col("similarity"), F.col("train_id")))
+    return (
+        pairs.groupBy("test_id", "test_rows")
+        .agg(F.max("similarity").alias("similarity"), best.alias("b"))
+        .select("test_id", "b.train_id", "test_rows", "b.train_rows", "similarity")
+    )
+
+
 def near_dup_summary(
-    df: DataFrame, id_col: str = "id", thresholds=tuple(BANDS), keep_empty: bool = False
+    df: DataFrame, id_col: str = "id", thresholds=THRESHOLDS, keep_empty: bool = False
 ) -> DataFrame:
     """Per threshold: test rows with a candidate, test rows with a verified match, row pairs."""
     table = written(contents(df, id_col, keep_empty), "contents")
@@ -169,8 +205,8 @@ def near_dup_exact(df: DataFrame, id_col: str = "id", threshold: float = 0.7) ->
     pairs = similar_sets(test.select("key", "tokens"), train.select("key", "tokens"), threshold)
     l_ids = test.select(F.col("key").alias("left_key"), "test_id", "n_test")
     r_ids = train.select(F.col("key").alias("right_key"), "train_id", "n_train")
-    pairs = lookup_join(pairs, l_ids, ["left_key"], ["right_key"], "inner", costly=True)
-    pairs = lookup_join(pairs, r_ids, ["right_key"], ["left_key"], "inner", costly=True)
+    pairs = pairs.join(l_ids, ["left_key"])
+    pairs = pairs.join(r_ids, ["right_key"])
     return pairs.select(
         "test_id", "train_id", F.col("n_test").alias("test_rows"), F.col("n_train").alias("train_rows"), "similarity"
     )

@@ -43,8 +43,8 @@ def source_url(nwo, sha, path, start_row, end_row) -> Column:
     )
 
 
-def function_record(df: DataFrame) -> DataFrame:
-    """The 22-column function row.
+def function_record(df: DataFrame, *further: str) -> DataFrame:
+    """The 22-column function row, and ``further`` columns as they are.
 
     Missing columns take their default, texts are stripped, the url and the hash are computed.
     Needs ``start_row`` and ``end_row``.
@@ -60,7 +60,7 @@ def function_record(df: DataFrame) -> DataFrame:
         .withColumns({c: text.strip(c) for c in STRIPPED_FIELDS})
         .withColumn("url", source_url("nwo", "sha", "path", "start_row", "end_row"))
         .withColumn("function_sha", function_sha("docstring", "function"))
-        .select(*FUNCTION_COLUMNS)
+        .select(*FUNCTION_COLUMNS, *further)
     )
 
 
@@ -113,8 +113,10 @@ def has_allowed_name(identifier) -> Column:
     return ~as_col(identifier).isin(*BLACKLISTED_NAMES)
 
 
-def within_size(content, max_bytes: int) -> Column:
-    return F.octet_length(as_col(content)) <= max_bytes
+def within_size(content, max_bytes: int | None) -> Column:
+    """Whether a text is within a limit; without one every text is, null ones aside."""
+    size = F.octet_length(as_col(content))
+    return size.isNotNull() if max_bytes is None else F.coalesce(size <= max_bytes, F.lit(False))
 
 
 def is_supported_language(language) -> Column:

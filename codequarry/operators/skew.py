@@ -1,90 +1,55 @@
-"""Joins that hold up when one key owns a large share of the rows."""
+"""Joins that hold up when one key owns a large share of the rows.
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from ..session import written
-
-# At most this many keys are treated as hot; it bounds what the driver sees and what is repeated.
-MAX_HOT = 256
-# Rows of one key that a single task may be left with.
-HOT_ROWS = 500_000
-SALTS = 64
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan, from file sizes up; no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+A join with a table of one row per key is left to Spark as it is: adaptive execution broadcasts a
+small side and splits the partition of a hot key on the other, both by sizes measured at run time.
+Only a join in which a key has many rows on *both* sides needs more, since its rows multiply:
+``skew_join`` cuts such keys into cells.
+"""
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-def broadcast_limit(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    value = value.lower().strip()
-    for suffix, factor in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("b", 1)):
-        if value.endswith(suffix):
-            return int(value[: -len(suffix)]) * factor
-    return int(value)
+# Rows of one key that one cell takes from either side; a cell makes at most the square of it.
+SIDE = 2_000
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> list[int]:
-    """Hashes of the keys with at least HOT_ROWS rows, MAX_HOT at most.
+def cells(left: DataFrame, right: DataFrame, on: list[str], side: int = SIDE) -> DataFrame:
+    """Keys whose two sides together make more than ``side`` squared rows, and the number of parts
+    each side is cut into: in proportion to its rows, so no cell exceeds the limit.
 
-    A mergeable sketch over the key columns alone: nothing is shuffled and one bounded row comes
-    back. It finds every key above about 1/2000 of the rows.
+    Both sides are counted by partial aggregation on the key columns; nothing comes to the driver
+    and no job runs until the join does.
     """
-    sketch = F.call_function("approx_top_k", F.xxhash64(*on), F.lit(MAX_HOT), F.lit(MAX_HOT * 32))
-    top = df.agg(sketch.alias("top")).first()["top"]
-    return [row["item"] for row in top or [] if row["count"] >= HOT_ROWS]
+    n_left = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n_left"))
+    n_right = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_n_right"))
+    hot = n_left.join(n_right, on).where(
+        F.col("_n_left").cast("double") * F.col("_n_right") > float(side) ** 2
+    )
+    return hot.select(
+        *on,
+        F.ceil(F.col("_n_left") / side).cast("int").alias("_left_parts"),
+        F.ceil(F.col("_n_right") / side).cast("int").alias("_right_parts"),
+    )
 
 
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    spread: list[str],
-    how: str = "inner",
-    hot_on: list[str] | None = None,
-    hot: list[int] | None = None,
-    costly: bool = False,
-) -> DataFrame:
-    """Equi-join in which the left side's hot keys are cut into SALTS parts.
-
-    Hot keys are looked up on the left side, at the price of one pass over its key columns; give
-    ``hot``, found on ``hot_on`` (some of the key columns) where a cheaper table shows them, or
-    say that the left side is ``costly``: it is then written before it is read twice.
-
-    Left rows of a hot key take the part their ``spread`` columns hash to, so a re-run task puts
-    them in the same part again; right rows of a hot key are repeated once per part. All other
-    rows join as usual, nothing of them is repeated. Every left row still meets every right row
-    of its key, so inner, left, semi and anti joins keep their meaning.
-    """
-    hot_on = hot_on or on
-    if hot is None:
-        left = written(left, "join-side") if costly else left
-        hot = hot_keys(left, hot_on)
-    if not hot:
-        return left.join(right, on, how)
-    is_hot: Column = F.coalesce(F.xxhash64(*hot_on).isin(hot), F.lit(False))
-    part = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    left = left.withColumn("_part", F.when(is_hot, part).otherwise(F.lit(0)))
-    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = right.withColumn("_part", F.explode(parts))
-    return left.join(right, [*on, "_part"], how).drop("_part")
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    spread: list[str],
-    how: str = "left",
-    costly: bool = False,
+    left: DataFrame, right: DataFrame, on: list[str], spread_left: list[str], spread_right: list[str], side: int = SIDE
 ) -> DataFrame:
-    """Join rows with a table of one row per key.
+    """Inner equi-join in which keys with many rows on both sides are cut into cells.
 
-    A lookup whose estimated size is under Spark's own broadcast threshold joins plainly (Spark
-    then broadcasts it, the facts do not move); a larger one goes through ``skew_join``.
+    A row of a hot key takes the part of its own side that its ``spread`` columns hash to (the same
+    one again in a re-run task) and goes to all parts of the other side; each pair of rows meets in
+    exactly one cell. Rows of all other keys join as usual and nothing of them is repeated.
     """
-    if plan_bytes(lookup) <= broadcast_limit(facts):
-        return facts.join(lookup, on, how)
-    return skew_join(facts, lookup, on, spread, how, costly=costly)
+    hot = cells(left, right, on, side)
+
+    def dealt(df: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
+        marked = df.join(hot, on, "left")
+        parts = F.coalesce(F.col(f"_{own}_parts"), F.lit(1))
+        mine = F.pmod(F.xxhash64(*spread), parts).cast("int").alias(f"_{own}_part")
+        theirs = F.sequence(F.lit(0), F.coalesce(F.col(f"_{other}_parts"), F.lit(1)) - 1)
+        return marked.select(*df.columns, mine, F.explode(theirs).alias(f"_{other}_part"))
+
+    cut = dealt(left, "left", "right", spread_left)
+    met = dealt(right, "right", "left", spread_right)
+    return cut.join(met, [*on, "_left_part", "_right_part"]).drop("_left_part", "_right_part")

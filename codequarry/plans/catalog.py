@@ -61,7 +61,7 @@ def to_jsonl(spark, sf):
 @query
 def pending_units(spark, sf):
     units = documents(spark, sf).select("doc_id", "source")
-    return curate.pending_units(units, table(spark, sf, "labels"), ["doc_id"], ["doc_id"])
+    return curate.pending_units(units, table(spark, sf, "labels"), ["doc_id"])
 
 
 # --- projections and filters
@@ -166,7 +166,7 @@ def filter_docstring(spark, sf):
 @query
 def filter_license(spark, sf):
     allowed = curate.license_map(licenses(spark, sf))
-    return curate.filter_license(functions(spark, sf), allowed, ["id"]).select("id", "source", "nwo")
+    return curate.filter_license(functions(spark, sf), allowed).select("id", "source", "nwo")
 
 
 @query
@@ -296,6 +296,11 @@ def near_dup_pairs(spark, sf):
     return neardup.near_dup_pairs(functions(spark, sf))
 
 
+@query
+def near_dup_best(spark, sf):
+    return neardup.near_dup_best(functions(spark, sf))
+
+
 @query
 def near_dup_summary(spark, sf):
     return neardup.near_dup_summary(functions(spark, sf))
@@ -479,8 +484,22 @@ def obfuscate_tokens(spark, sf):
 
 @query
 def function_rows(spark, sf):
-    rows = extract.repository_rows(files(spark, sf))
-    return rows.select("nwo", "path", "identifier", "docstring", "url", "function_sha")
+    """All 22 columns; lists joined by a blank."""
+    return _lists_joined(extract.repository_rows(files(spark, sf)))
+
+
+@query
+def bulk_rows(spark, sf):
+    """The 22 columns with type and place, of files within the bulk limit."""
+    rows = extract.bulk_rows(files(spark, sf), extract.PARQUET_MAX_BYTES)
+    rows = rows.withColumns({
+        f"{p}_{c}": F.col(f"{p}_point.{c}").cast("bigint") for p in ("start", "end") for c in ("row", "col")
+    })
+    return _lists_joined(rows.drop("start_point", "end_point"))
+
+
+def _lists_joined(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.array_join(c, " ") for c, t in rows.dtypes if t == "array<string>"})
 
 
 # --- pages and payloads

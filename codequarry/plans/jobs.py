@@ -16,16 +16,20 @@ def deduplicate(spark: SparkSession, functions_dir: str, info_dir: str, output_d
     return sinks.write_parquet(curate.best_functions(enriched), f"{output_dir}/functions")
 
 
+def _bulk(files: DataFrame, max_bytes: int, output: str, mode: str) -> int:
+    """Bulk rows to ``output``, and each file's status next to it."""
+    sinks.write_parquet(extract.file_status(files, max_bytes), f"{output}_status", mode)
+    return sinks.write_parquet(extract.bulk_rows(files, max_bytes), output, mode)
+
+
 def extract_parquet(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> int:
     files = readers.source_parquet(spark, input_dir)
-    rows = extract.function_rows(files, extract.PARQUET_MAX_BYTES)
-    return sinks.write_parquet(rows, output_dir or f"{input_dir}/parsed", "append")
+    return _bulk(files, extract.PARQUET_MAX_BYTES, output_dir or f"{input_dir}/parsed", "append")
 
 
 def extract_json(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> int:
     files = readers.source_json(spark, input_dir)
-    rows = extract.function_rows(files, extract.JSON_MAX_BYTES)
-    return sinks.write_parquet(rows, output_dir or f"{input_dir}/parsed")
+    return _bulk(files, extract.JSON_MAX_BYTES, output_dir or f"{input_dir}/parsed", "overwrite")
 
 
 def extract_jsonl(spark: SparkSession, path: str, output: str) -> int:
@@ -33,10 +37,12 @@ def extract_jsonl(spark: SparkSession, path: str, output: str) -> int:
 
 
 def extract_path(spark: SparkSession, path: str, output: str, nwo: str = "", sha: str = "") -> int:
-    """Function rows of one source file, or of all source files under a folder."""
+    """Function rows of one source file, or of all source files under a folder but test and
+    dependency files."""
     files = readers.source_tree(spark, path).withColumns({"nwo": F.lit(nwo), "sha": F.lit(sha)})
     inside = F.substr(F.col("path"), F.lit(len(path.rstrip("/")) + 2))
-    return sinks.write_by_extension(extract.function_rows(files.withColumn("path", inside)), output)
+    files = files.withColumn("path", inside).where(extract.is_source_path("path"))
+    return sinks.write_by_extension(extract.function_rows(files), output)
 
 
 def scan_repositories(
@@ -46,8 +52,8 @@ def scan_repositories(
     """Function rows of all checked-out repositories (owner/name folders) under a folder.
 
     ``shas`` (nwo, sha) names the checked-out commits; repositories in ``finished`` (nwo) are
-    left out; ``classified`` (path), from a language classifier, limits the files. Results are
-    appended.
+    left out; ``classified`` (path), from ``readers.classified_files``, limits the files. Results
+    are appended, each file's status next to them.
     """
     files = readers.source_tree(spark, repos_dir)
     if classified is not None:
@@ -57,9 +63,10 @@ def scan_repositories(
     nwo, _ = extract.path_to_nwo("path")
     files = files.withColumn("nwo", nwo)
     if finished is not None:
-        files = curate.pending_units(files, finished, ["nwo"], ["path"])
+        files = curate.pending_units(files, finished, ["nwo"])
     if shas is not None:
         files = files.join(shas.select("nwo", "sha"), "nwo", "left")
+    sinks.write_parquet(extract.file_status(files), f"{output_dir}_status", "append")
     return sinks.write_parquet(extract.repository_rows(files), output_dir, "append")
 
 
@@ -76,7 +83,7 @@ def filter_docstring(spark: SparkSession, path: str, schema: str, output: str, d
 def filter_license(spark: SparkSession, path: str, schema: str, licenses: str, output: str) -> int:
     rows = readers.tolerant_jsonl(spark, path, schema)
     allowed = curate.license_map(readers.license_records(spark, licenses))
-    kept = curate.filter_license(rows, allowed, spread=readers.LINE_ORDER)
+    kept = curate.filter_license(rows, allowed)
     return sinks.write_jsonl(kept.drop(*readers.LINE_ORDER), output)
 
 

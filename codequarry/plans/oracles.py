@@ -4,12 +4,17 @@ Where a query prunes, bands or walks windows, the SQL here compares everything w
 or builds the expected answer from the view's own parts.
 """
 
-from ..functions.hashing import NUM_PERM, PRIME
-from ..operators.curate import ALLOWED_LICENSES
-from ..operators.neardup import BANDS
 from . import views
 from .views import NL, cte
 
+# Written out here, not imported: a wrong value in the library has to show.
+NUM_PERM, PRIME = 128, 2147483647
+BANDS = {0.5: (25, 5), 0.7: (14, 9), 0.8: (9, 13), 0.9: (5, 25)}
+ALLOWED_LICENSES = (
+    "0BSD", "ZLIB", "ISC", "BSD-3-CLAUSE", "BSD-2-CLAUSE", "APACHE-2.0", "Apache-2.0", "MIT", "LGPL-3.0",
+    "LGPL-2.1", "EPL-1.0", "MULANPSL-2.0", "MulanPSL-2.0", "CC-BY-4.0", "MPL-2.0", "BSD-3-Clause", "Unlicense",
+)
+
 # Whitespace as an RE2 class, spelled out: RE2's \s is ASCII.
 _WS = (
     r"[\t\n\v\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -181,6 +186,23 @@ _OBF = f"""
     '( arg_0 : number , arg_1 : number ) => {{ return arg_0 - arg_1 }}' FROM documents
 """.replace("{{", "{").replace("}}", "}")
 
+# All columns of the extracted rows, from the same parts.
+ROWS = f"""{FOUND}, {FILES}, obf AS ({_OBF}), found_rows AS (
+  SELECT p.file_id, p.kind, d.lang, d.source, '' AS nwo, f.sha, f.path, 'arkts' AS language, p.identifier, p.parameters,
+    '' AS argument_list, '' AS return_statement, '' AS imports, '' AS calls, '' AS local_calls,
+    {strip('p.docstring')} AS docstring, {strip(summary('p.docstring'))} AS docstring_summary,
+    array_to_string(regexp_extract_all({strip(summary('p.docstring'))}, {_DOC_TOKEN}), ' ') AS docstring_tokens,
+    {strip('p.function')} AS function,
+    array_to_string(list_filter(regexp_extract_all(p.function, {_CODE}), lambda x: NOT regexp_matches(x, '^{_WS}')), ' ') AS function_tokens,
+    '' AS ast_function, '' AS ast_function_tokens, {strip('o.obf_function')} AS obf_function, o.obf_tokens AS obf_function_tokens,
+    'https://github.com//blob/' || f.sha || '/' || f.path || '#L' || (p.start_row + 1) || '-L' || (p.end_row + 1) AS url,
+    sha1({strip('p.docstring')} || {NL} || {strip('p.function')}) AS function_sha,
+    p.start_row, p.start_col, p.end_row, p.end_col, strlen(f.content) AS content_bytes
+  FROM placed p JOIN documents d ON d.doc_id = p.file_id JOIN files f ON f.file_id = p.file_id
+  JOIN obf o ON o.file_id = p.file_id AND o.kind = p.kind AND o.identifier = p.identifier
+  WHERE p.identifier <> 'toString'
+)"""
+
 MEASURED = f"""{FN}, lengths AS (
   SELECT id, CASE WHEN coalesce(function, '') = '' THEN 0 ELSE len(string_split(function, {NL})) END::INTEGER AS function_lines,
          CASE WHEN coalesce(docstring, '') = '' THEN 0 ELSE length(docstring) END::INTEGER AS docstring_len,
@@ -303,6 +325,11 @@ SELECT *, round(coalesce(matched_07 * 100.0::DOUBLE / nullif(unique_test, 0), 0)
 FROM fuzzy ORDER BY similarity DESC, fuzzy.test_docstring LIMIT 5""",
     "near_dup_pairs": f"""WITH {LSH} SELECT threshold, test_id, train_id, n_test AS test_rows, n_train AS train_rows, similarity
 FROM lsh WHERE similarity >= threshold""",
+    "near_dup_best": f"""WITH {LSH}
+SELECT test_id, train_id, n_test AS test_rows, n_train AS train_rows, similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY similarity DESC, train_id) AS rn
+  FROM lsh WHERE threshold = 0.7 AND similarity >= threshold
+) WHERE rn = 1""",
     "near_dup_summary": f"""WITH {LSH}, per_test AS (
   SELECT threshold, test_key, any_value(n_test) AS n_test,
          sum(n_test * n_train) FILTER (similarity >= threshold) AS row_pairs FROM lsh GROUP BY 1, 2
@@ -376,13 +403,13 @@ SELECT file_id, array_to_string(t, '') AS code FROM t""",
   start_col::BIGINT AS start_col, end_row::BIGINT AS end_row, end_col::BIGINT AS end_col FROM placed""",
     "attach_docstring": f"WITH {FOUND} SELECT file_id, identifier, kind, docstring FROM placed",
     "obfuscate_tokens": _OBF,
-    "function_rows": f"""WITH {FOUND}, {FILES}, x AS (
-  SELECT lang || '/' || source AS nwo, 'src/mod' || doc_id || '.ets' AS path, identifier, {strip('docstring')} AS docstring,
-         substr(md5(source), 1, 8) AS sha, start_row, end_row, function
-  FROM placed JOIN documents ON doc_id = file_id WHERE identifier <> 'toString' AND doc_id % 7 <> 0)
-SELECT nwo, path, identifier, docstring,
-  'https://github.com/' || nwo || '/blob/' || sha || '/' || path || '#L' || (start_row + 1) || '-L' || (end_row + 1) AS url,
-  sha1(docstring || {NL} || {strip('function')}) AS function_sha FROM x""",
+    "function_rows": f"""WITH {ROWS} SELECT * EXCLUDE (file_id, kind, start_row, start_col, end_row, end_col, content_bytes)
+FROM (SELECT * EXCLUDE (lang, source, url) REPLACE (lang || '/' || source AS nwo, 'src/mod' || file_id || '.ets' AS path),
+  'https://github.com/' || lang || '/' || source || '/blob/' || sha || '/src/mod' || file_id || '.ets#L' || (start_row + 1) || '-L' || (end_row + 1) AS url
+  FROM found_rows WHERE file_id % 7 <> 0)""",
+    "bulk_rows": f"""WITH {ROWS} SELECT * EXCLUDE (file_id, kind, lang, source, content_bytes) REPLACE (
+  start_row::BIGINT AS start_row, start_col::BIGINT AS start_col, end_row::BIGINT AS end_row, end_col::BIGINT AS end_col),
+  kind AS type FROM found_rows WHERE content_bytes <= {2**20}""",
     "page_fields": """SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
   regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, coalesce(regexp_extract_all(html, '<a href="([^"]*)"', 1)[1], '') AS first_link,
   len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS links FROM pages""",

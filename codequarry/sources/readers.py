@@ -3,9 +3,9 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
 from ..operators.leakage import load_splits
 from ..operators.project import LANGUAGES
-from ..operators.skew import plan_bytes
 
 REPO_INFO_SCHEMA = (
     "full_name string, fork boolean, forks int, stargazers_count int, watchers int, topics array<string>"
@@ -22,18 +22,8 @@ FUNCTION_SCHEMA = (
 )
 
 
-def spread(df: DataFrame, bytes_per_core: int = 16 << 20) -> DataFrame:
-    """Give a small input to all cores.
-
-    A file of one row group is one task whatever the number of cores. Inputs beyond a few
-    mebibytes per core come in enough splits and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_core else df
-
-
 def functions_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(FUNCTION_SCHEMA).parquet(path)
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -92,7 +82,8 @@ def tolerant_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def source_tree(spark: SparkSession, root: str, language: str = "arkts") -> DataFrame:
-    """Source files under a folder by the language's extension; undecodable files are skipped."""
+    """Source files under a folder by the language's extension. Undecodable files have null content:
+    they give no functions and show up in the status of a run."""
     df = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -100,22 +91,33 @@ def source_tree(spark: SparkSession, root: str, language: str = "arkts") -> Data
         .load(root)
     )
     decoded = F.try_validate_utf8(F.col("content").cast("string"))
-    path = F.regexp_replace("path", r"\Afile:/*", "/")
-    return df.select(path.alias("file_id"), path.alias("path"), decoded.alias("content")).where("content is not null")
+    path = _local_path(F.col("path"))
+    return df.select(path.alias("file_id"), path.alias("path"), decoded.alias("content"))
+
+
+def _local_path(path: Column) -> Column:
+    """Local paths without their scheme, as the other readers and callers write them."""
+    return F.regexp_replace(path, r"\Afile:/*", "/")
 
 
 def classified_files(spark: SparkSession, path: str, language: str) -> DataFrame:
-    """Files of one language out of JSON objects {language: [paths]}, one object per file."""
+    """(list_file, path) of the files of one language, out of JSON objects {language: [paths]}.
+
+    There is one object per list file, and its paths are relative to the list file's folder, the
+    checked-out repository; ``path`` has both, as ``source_tree`` gives paths.
+    """
     text = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("list_file"),
+        _local_path(F.col("_metadata.file_path")).alias("list_file"),
         F.from_json("value", "map<string, array<string>>").alias("by_language"),
     )
-    return text.select("list_file", F.explode(F.col("by_language")[language]).alias("path"))
+    inside = text.select("list_file", F.explode(F.col("by_language")[language]).alias("inside"))
+    folder = F.regexp_replace("list_file", r"[^/]*\z", "")
+    return inside.select("list_file", F.when(F.col("inside").startswith("/"), F.col("inside")).otherwise(F.concat(folder, "inside")).alias("path"))
 
 
 def repo_urls(rows: DataFrame) -> DataFrame:
     """Distinct, trimmed, non-blank urls of a repository list."""
-    return rows.select(F.trim("url").alias("url")).where("url <> ''").distinct()
+    return rows.select(strip("url").alias("url")).where("url <> ''").distinct()
 
 
 def repo_list_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -108,19 +108,19 @@ def test_similar_sets_misses_nothing(spark, corpus, frequent):
 
 
 def test_similar_sets_with_hot_tokens_split(spark, corpus, monkeypatch):
-    with_hot_keys_split(spark, monkeypatch)
+    with_hot_keys_split(monkeypatch)
     test_similar_sets_misses_nothing(spark, corpus, 8)
 
 
-def with_hot_keys_split(spark, monkeypatch):
-    """Three rows make a key hot, and no lookup is small enough to be broadcast."""
-    monkeypatch.setattr(skew, "HOT_ROWS", 3)
-    monkeypatch.setattr(skew, "SALTS", 4)
-    monkeypatch.setattr(skew, "broadcast_limit", lambda df: -1)
+def with_hot_keys_split(monkeypatch):
+    """Keys that make more than one pair are cut into cells of one."""
+    plain = skew.skew_join
+    for module in (similarity, neardup):
+        monkeypatch.setattr(module, "skew_join", lambda *args: plain(*args, side=1))
 
 
 def test_near_duplicates_with_hot_keys_split(spark, df, corpus, monkeypatch):
-    with_hot_keys_split(spark, monkeypatch)
+    with_hot_keys_split(monkeypatch)
     test_near_duplicates(df, corpus)
     test_docstring_fuzzy(df, corpus)
 
@@ -161,7 +161,7 @@ def test_near_duplicates(df, corpus):
     rows = {s: [r[0] for r in corpus if r[1] == s and sig[r[0]]] for s in ("train", "test")}
     summary = {r.threshold: r for r in neardup.near_dup_summary(df).collect()}
     pairs = neardup.near_dup_pairs(df).collect()
-    for t, (n, rows_per_band) in neardup.BANDS.items():
+    for t, (n, rows_per_band) in {0.5: (25, 5), 0.7: (14, 9), 0.8: (9, 13), 0.9: (5, 25)}.items():
         candidates = matched = total = 0
         for x in rows["test"]:
             near = [
@@ -178,6 +178,39 @@ def test_near_duplicates(df, corpus):
     assert len(top) == 3 and top[0].similarity == 1.0
 
 
+def test_any_threshold(df):
+    assert [neardup.banding(t) for t in neardup.THRESHOLDS] == [(25, 5), (14, 9), (9, 13), (5, 25)]
+    bands, rows = neardup.banding(0.6)
+    assert bands * rows <= 128
+    pairs = neardup.near_dup_pairs(df, thresholds=(0.6,)).collect()
+    assert pairs and min(r.similarity for r in pairs) >= 0.6 and max(r.similarity for r in pairs) == 1.0
+
+
+def test_best_match(df):
+    pairs = neardup.near_dup_pairs(df, thresholds=(0.5,)).collect()
+    want = {}
+    for r in pairs:
+        best = want.get(r.test_id)
+        if best is None or (-r.similarity, r.train_id) < (-best.similarity, best.train_id):
+            want[r.test_id] = r
+    got = neardup.near_dup_best(df, threshold=0.5).collect()
+    assert {(r.test_id, r.train_id, r.similarity) for r in got} == {(r.test_id, r.train_id, r.similarity) for r in want.values()}
+
+
+def test_signatures_do_not_depend_on_blocks(monkeypatch):
+    import pandas as pd
+
+    batch = pd.Series([[5, 7, 11], None, [], list(range(1000)), [3], [hashing.PRIME - 1]])
+    whole = hashing.signatures_of(batch)
+    a, b = hashing.permutations()
+    for h, s in zip(batch, whole):
+        assert (s is None) == (not h)
+        assert s is None or s.tolist() == [min((x * v + y) % hashing.PRIME for v in h) for x, y in zip(a, b)]
+    monkeypatch.setattr(hashing, "_BLOCK", 3)
+    again = hashing.signatures_of(batch)
+    assert all((x is None and y is None) or x.tolist() == y.tolist() for x, y in zip(whole, again))
+
+
 def test_near_dup_exact_counts_rows(df, corpus):
     want = sum(
         jaccard(shingles(x[4]), shingles(y[4])) >= 0.7

@@ -37,7 +37,8 @@ def test_source_tree(spark, tmp_path):
     (tmp_path / "o" / "r" / "bad.ets").write_bytes(b"\xff\xfe function")
     (tmp_path / "o" / "r" / "other.ts").write_text(CODE)
     rows = readers.source_tree(spark, str(tmp_path)).collect()
-    assert [(r.path, r.content) for r in rows] == [(f"{tmp_path}/o/r/a.ets", CODE + "// 中文")]
+    found = {r.path: r.content for r in rows}
+    assert found == {f"{tmp_path}/o/r/a.ets": CODE + "// 中文", f"{tmp_path}/o/r/bad.ets": None}
 
 
 def test_tolerant_jsonl(spark, tmp_path):
@@ -61,7 +62,7 @@ def test_line_order_over_many_splits(spark, tmp_path):
 def test_lists(spark, tmp_path):
     (tmp_path / "enry.json").write_text(json.dumps({"TypeScript": ["a.ets", "b/c.ets"], "JSON": ["d.json"]}))
     rows = readers.classified_files(spark, f"{tmp_path}/enry.json", "TypeScript").collect()
-    assert sorted(r.path for r in rows) == ["a.ets", "b/c.ets"]
+    assert sorted(r.path for r in rows) == [f"{tmp_path}/a.ets", f"{tmp_path}/b/c.ets"]
     assert readers.classified_files(spark, f"{tmp_path}/enry.json", "Go").count() == 0
     (tmp_path / "repos.csv").write_text("full_name,url\na/b, https://x/a/b \nc/d,\ne/f,https://x/a/b\n")
     urls = readers.repo_urls(readers.repo_list_csv(spark, f"{tmp_path}/repos.csv"))
@@ -127,12 +128,13 @@ def test_extraction_to_deduplication(spark, tmp_path):
 
 
 def test_extract_path(spark, tmp_path):
-    (tmp_path / "repo" / "test").mkdir(parents=True)
-    (tmp_path / "repo" / "test" / "a.ets").write_text(CODE)
+    for folder in ("test", "src"):
+        (tmp_path / "repo" / folder).mkdir(parents=True)
+        (tmp_path / "repo" / folder / "a.ets").write_text(CODE)
     assert jobs.extract_path(spark, f"{tmp_path}/repo", f"{tmp_path}/out.json", "o/r", "c1") == 1
     (row,) = spark.read.json(f"{tmp_path}/out.json").collect()
-    assert (row.path, row.url) == ("test/a.ets", "https://github.com/o/r/blob/c1/test/a.ets#L2-L2")
-    assert jobs.extract_path(spark, f"{tmp_path}/repo/test/a.ets", f"{tmp_path}/single") == 1
+    assert (row.path, row.language, row.url) == ("src/a.ets", "arkts", "https://github.com/o/r/blob/c1/src/a.ets#L2-L2")
+    assert jobs.extract_path(spark, f"{tmp_path}/repo/src/a.ets", f"{tmp_path}/single") == 1
     (row,) = spark.read.parquet(f"{tmp_path}/single").collect()
     assert (row.path, row.nwo, row.identifier) == ("", "", "add")
 
@@ -141,7 +143,8 @@ def test_scan_takes_classified_files_only(spark, tmp_path):
     (tmp_path / "repos" / "o" / "r").mkdir(parents=True)
     for name in ("a", "b"):
         (tmp_path / "repos" / "o" / "r" / f"{name}.ets").write_text(CODE)
-    listed = spark.createDataFrame([(f"{tmp_path}/repos/o/r/b.ets",)], "path string")
+    (tmp_path / "repos" / "o" / "r" / "languages.json").write_text('{"arkts": ["b.ets"], "other": ["a.ets"]}')
+    listed = readers.classified_files(spark, f"{tmp_path}/repos/o/r/languages.json", "arkts")
     jobs.scan_repositories(spark, f"{tmp_path}/repos", f"{tmp_path}/out", classified=listed)
     assert [r.path for r in spark.read.parquet(f"{tmp_path}/out").collect()] == ["b.ets"]
 
@@ -152,8 +155,36 @@ def test_bulk_jobs(spark, tmp_path, job, folder):
     spark.createDataFrame([("p1", CODE), ("p2", " " * 40000 + CODE)], "path string, content string").write.json(f"{tmp_path}/js")
     spark.createDataFrame([("p1", CODE)], "file_name string, raw_text string").write.json(f"{tmp_path}/raw")
     job(spark, f"{tmp_path}/{folder}", f"{tmp_path}/out")
-    # The JSON job's limit is 32 KiB, so its second file gives nothing.
-    assert spark.read.parquet(f"{tmp_path}/out").count() == (2 if folder == "pq" else 1)
+    # The JSON job's limit is 32 KiB, so its second file gives nothing but a status.
+    rows = spark.read.parquet(f"{tmp_path}/out")
+    assert rows.count() == (2 if folder == "pq" else 1)
+    assert {r.language for r in rows.collect()} == {"arkts"}
+    if folder != "raw":
+        assert {(r.type, r.start_point.row) for r in rows.collect()} == {("function", 1)}
+        status = sorted(r.status for r in spark.read.parquet(f"{tmp_path}/out_status").collect())
+        assert status == (["ok", "ok"] if folder == "pq" else ["ok", "too_large"])
+
+
+def test_large_files_keep_their_functions(spark, tmp_path):
+    big = CODE + "// filler\n" * 500_000
+    spark.createDataFrame([("big", big)], "file_name string, raw_text string").write.json(f"{tmp_path}/raw")
+    assert len(big) > 5_000_000 and jobs.extract_jsonl(spark, f"{tmp_path}/raw", f"{tmp_path}/out") == 1
+
+
+def test_undecodable_files_have_a_status(spark, tmp_path):
+    (tmp_path / "repos" / "o" / "r").mkdir(parents=True)
+    (tmp_path / "repos" / "o" / "r" / "a.ets").write_text(CODE)
+    (tmp_path / "repos" / "o" / "r" / "b.ets").write_bytes(b"\xff\xfe function f() { }")
+    assert jobs.scan_repositories(spark, f"{tmp_path}/repos", f"{tmp_path}/out") == 1
+    status = {r.file_id[-5:]: r.status for r in spark.read.parquet(f"{tmp_path}/out_status").collect()}
+    assert status == {"a.ets": "ok", "b.ets": "undecodable"}
+
+
+@pytest.mark.parametrize("name", ["o/r.git", "o##r", "o/r"])
+def test_license_names_are_canonical(spark, name):
+    records = spark.createDataFrame([("gitee", name, "MIT", 1)], "source string, repo string, license string, line_no int")
+    rows = spark.createDataFrame([(1, "gitee", "o/r"), (2, "gitee", "o/other"), (3, None, None)], "id int, source string, nwo string")
+    assert [r.id for r in curate.filter_license(rows, curate.license_map(records)).collect()] == [1]
 
 
 def test_reports(spark):
