@@ -1,12 +1,14 @@
 """Functions out of source files, as relational operators over structural events.
 
-A file's text is cut at its structural marks: braces, semicolons, arrows and runs of comments.
-Strings and comments are matched whole, so their braces never count. Each piece becomes one row
-(text before the mark, the mark); windows over a file's rows then give offsets, line numbers and
-brace depth, and pair every opening brace with the closing one at its depth.
-
-The only shuffle moves each file's text once, by file id. Exploding, both windows and the join
-back to the text all reuse that partitioning, and a file is at most ``max_bytes`` long.
+A file's text is cut at its structural marks: brackets of all three kinds, string literals and runs
+of comments. Windows over a file's pieces give offsets, lines and bracket depth, and pair brackets.
+What stands between one bracket and its partner is a scope. A scope's own text, with everything in
+inner brackets shrunk to one character a pair, is its skeleton; in it a function header is flat
+text however deeply its parameters or types nest. One pattern per skeleton finds the headers, and
+a window carries their places back into the file.
+
+The only shuffle moves each file's text once, by file id; exploding, all windows, the skeletons and
+the join back to the text reuse that partitioning. A file is the unit of work of one task.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,186 +42,309 @@ DEFAULT_LANGUAGE = "arkts"
 # Characters per piece of a file's text when functions are cut out of it.
 _CHUNK = 1024
 
-_NOISE = rf"""(?:{STRING}|[^{{}};"'`/=]++|=(?!>)|/(?![/*]))*+"""
-_EVENT = rf"{_NOISE}(?:(?:{COMMENT})(?:\s*+(?:{COMMENT}))*+|=>|[{{}};]|\z)"
+# Skeleton characters: a pair of brackets of each kind with all it holds, a string, comments.
+_P, _K, _B, _S, _C = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
+# What ends the gap before a find, its header, and its body.
+_GAP, _HEAD, _NEXT = "\ue010", "\ue011", "\ue012"
+_PRIVATE = _P + _K + _B + _S + _C + _GAP + _HEAD + _NEXT
+_SHRUNK = {"(": _P, "[": _K, "{": _B, "string": _S, "comment": _C}
+
+_NOISE = r"""(?:[^(){}\[\]"'`/]++|/(?![/*]))*+"""
+_EVENT = rf"{_NOISE}(?:(?:{COMMENT})(?:\s*+(?:{COMMENT}))*+|{STRING}|[(){{}}\[\]]|\z)"
 
-_PARAMS = r"\((?:[^()]++|\((?:[^()]++|\((?:[^()]++|\([^()]*+\))*+\))*+\))*+\)"
-_TYPE = r"""(?:\s*:[\w$.<>\[\]|&, \t'"]++)?"""
-_GENERIC = r"(?:<[^<>(){}]*(?:<[^<>(){}]*>[^<>(){}]*)*>\s*)?"
-_DECORATORS = rf"(?:@{NAME}(?:{_PARAMS})?\s*+)*+"
+# Patterns over skeletons. Blanks may hold comments anywhere.
+_W = rf"[\s{_C}]"
+# A header starts where a word does; looking nowhere else keeps long words and blobs linear.
+_START = r"(?<![\p{L}\p{N}_$.#@])"
+_GENERIC = rf"(?:<[^;{_B}]*?>{_W}*+)?"
+_UNIT = (
+    rf"(?:(?:keyof|typeof|readonly|unique|infer|asserts|new){_W}++)*+"
+    rf"(?:{NAME}(?:\.{NAME})*+(?:[ \t]*+<[^;]*?>)?|[{_P}{_K}{_B}{_S}]|-?[0-9][\w.]*+)(?:[ \t]*+{_K})*+"
+)
+_TYPE = rf"(?:[|&]{_W}*+)?{_UNIT}(?:{_W}*+(?:[|&]|=>|\bis\b){_W}*+{_UNIT})*"
+_OF_TYPE = rf"{_W}*+:{_W}*+{_TYPE}"
+_DECORATORS = rf"(?:@{NAME}(?:\.{NAME})*+(?:{_W}*+{_P})?{_W}*+)*+"
+_EXPORT = rf"(?:export{_W}++(?:default{_W}++)?)?"
 _MODIFIERS = (
-    r"(?:(?:public|private|protected|static|async|override|abstract|readonly|declare|get|set)\s++)*+"
+    rf"(?:(?:public|private|protected|static|async|override|abstract|readonly|declare|get|set){_W}++)*+"
 )
-# A header starts where a word does; looking nowhere else keeps long words and blobs linear.
-_START = r"(?<![\p{L}\p{N}_$.])"
+_FUNCTION = rf"function\b{_W}*+\*?{_W}*+(?:{NAME})?"
+_METHOD = rf"(?:\*{_W}*+)?(?:#?{NAME}|{_S}|{_K}|[0-9]++)\??"
+_BEFORE_PARAMETERS = rf"{_MODIFIERS}(?:{_FUNCTION}|{_METHOD}){_W}*+{_GENERIC}"
 _DECLARATION = (
-    rf"{_START}{_DECORATORS}(?:export\s++(?:default\s++)?)?{_DECORATORS}{_MODIFIERS}"
-    rf"(?:function\b\s*\*?\s*(?:{NAME})?|\*?{NAME})\s*{_GENERIC}{_PARAMS}{_TYPE}\s*\z"
+    rf"{_DECORATORS}{_EXPORT}{_DECORATORS}{_BEFORE_PARAMETERS}{_P}(?:{_OF_TYPE})?{_W}*+{_B}"
 )
-_ARROW = rf"(?:{_START}async\b\s*)?(?:{_GENERIC}{_PARAMS}{_TYPE}|{_START}{NAME})\s*\z"
-_EXPRESSION = (
-    rf"""\A\s*+(?:{STRING}|[^\n;,(){{}}\[\]"'`]++|{_PARAMS}|\[(?:[^\[\]]++|\[[^\[\]]*+\])*+\])*+"""
+_CLASS = rf"(?:abstract{_W}++)?(?:class|struct|interface|enum|namespace)\b"
+_EXPORTED_CLASS = rf"{_DECORATORS}export{_W}++(?:default{_W}++)?{_DECORATORS}{_CLASS}[^;{_B}]*+{_B}"
+_EXPORTED_VALUE = rf"export{_W}++(?:const|let|var){_W}++{NAME}(?:{_OF_TYPE})?"
+# Types that may hold arrows are passed over: aliases, declared variables, and members where
+# members have types.
+_ALIAS = rf"\btype{_W}++{NAME}{_W}*+{_GENERIC}={_W}*+{_TYPE}"
+_VARIABLE = rf"\b(?:const|let|var){_W}++{NAME}{_W}*+!?{_OF_TYPE}"
+_MEMBER = rf"{_START}{NAME}{_W}*+[?!]?{_OF_TYPE}"
+_ARROW = rf"(?:{_START}async\b{_W}*+)?(?:{_GENERIC}{_P}(?:{_OF_TYPE})?|{_START}{NAME}){_W}*+=>"
+# Up to a comma, semicolon or line end, unless the next line goes on or this one asks for more.
+_EXPRESSION = rf"(?:[^;,\n]++|\n(?={_W}*+(?:[.?:*/%+]|&&|\|\||=>))|(?<=[=>&|+*/%?:-])\n)*+"
+_BODY = rf"{_W}*+(?:{_B}|{_EXPRESSION})"
+
+
+def _pattern(members_have_types: bool) -> str:
+    passed = "|".join([_ALIAS, _VARIABLE] + [_MEMBER] * members_have_types)
+    return (
+        rf"(?s)(.*?)(?:((?<![\p{{L}}\p{{N}}_$.#])(?:{_EXPORTED_CLASS}|{_DECLARATION}))"
+        rf"|({_START}{_EXPORTED_VALUE})(?=({_W}*+(?:={_W}*+{_EXPRESSION})?))"
+        rf"|({passed})|({_ARROW})(?=({_BODY})))"
+    )
+
+
+_BINDING = (
+    rf"\s*(?:(?:export\s+)?(?:const|let|var)\s+{NAME}\s*(?::[^=]*)?=\s*|(?:{NAME}|{_S})\s*:\s*"
+    rf"|(?:(?:public|private|protected|static|readonly)\s+)*{NAME}\s*=\s*)?"
 )
-_BINDING = rf"\A\s*(?:(?:export\s+)?(?:const|let|var)\s+{NAME}\s*(?::[^=]*)?=|(?:{NAME}|{STRING})\s*:)?\s*\z"
 
 # Words that look like a method name in front of a parenthesis and a brace.
 _CONTROL = ("if", "for", "while", "switch", "catch", "with", "return", "function", "super", "new")
 
+_SCOPE = ("file_id", "inside", "scope")
+# Offsets are summed in blocks of so many finds.
+_BLOCK = 256
+
 
 def _events(files: DataFrame) -> DataFrame:
-    """(file_id, pos, noise, mark, kind): one row per structural event, text order."""
+    """One row per structural mark, with the text before it: (file_id, pos, noise, kind, ...)."""
     # The line end keeps the last piece free of a mark even when the file ends in one.
     pieces = F.regexp_extract_all(F.concat("content", F.lit("\n")), F.lit(_EVENT), F.lit(0))
     rows = files.select("file_id", F.posexplode(pieces).alias("pos", "piece")).where("piece <> ''")
     rows = staged(rows, noise=F.regexp_extract("piece", rf"\A{_NOISE}", 0))
-    mark = F.substr(F.col("piece"), F.length("noise") + 1)
-    rows = rows.withColumn("mark", mark)
-    kind = F.when(F.col("mark").startswith("/"), "comment").otherwise(F.col("mark"))
-    return rows.withColumn("kind", kind)
-
-
-def _placed(events: DataFrame) -> DataFrame:
-    """Events with offsets, line numbers, brace depth and their neighbours."""
-    w = Window.partitionBy("file_id").orderBy("pos")
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    step = F.when(F.col("kind") == "{", 1).when(F.col("kind") == "}", -1).otherwise(0)
-    rows = events.withColumns({
+    mark = F.substr(F.col("piece"), F.length("noise") + 1, F.lit(1))
+    return rows.withColumns({
+        "kind": F.when(mark == "/", "comment").when(mark.isin('"', "'", "`"), "string").otherwise(mark),
         "len": F.length("piece"),
         "lines": count_newlines(F.col("piece")),
         "tail": F.length(F.substring_index("piece", "\n", -1)),
     }).drop("piece")
-    rows = rows.withColumns({
+
+
+def _items(events: DataFrame) -> DataFrame:
+    """Events with their places, their bracket's partner, and the scope whose text they carry."""
+    w = Window.partitionBy("file_id").orderBy("pos")
+    so_far, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    opens, closes = F.col("kind").isin("(", "[", "{"), F.col("kind").isin(")", "]", "}")
+    step = F.when(opens, 1).when(closes, -1).otherwise(0)
+    blank = text.strip("noise") == ""
+    role = (
+        F.when(F.col("noise").rlike(rf"\b(?:interface\b[^;]*|type\s+{NAME}\s*(?:<[^;]*>)?\s*=\s*)\z"), "types")
+        .when(F.col("noise").rlike(r"\b(?:class|struct)\b[^;]*\z"), "members")
+    )
+    rows = events.withColumns({
         "end": F.sum("len").over(so_far),
         "end_row": F.sum("lines").over(so_far),
         "depth": F.sum(step).over(so_far),
-        "kind_1": F.lag("kind", 1).over(w),
-        "kind_2": F.lag("kind", 2).over(w),
-        "mark_1": F.lag("mark", 1).over(w),
-        "mark_2": F.lag("mark", 2).over(w),
-        "noise_1": F.lag("noise", 1).over(w),
-        "len_1": F.lag("len", 1).over(w),
-        "lines_1": F.lag("lines", 1).over(w),
-        "next_noise": F.lead("noise", 1).over(w),
-        "next_kind": F.lead("kind", 1).over(w),
+        "opener": F.lag("kind").over(w),
+        "opened_as": F.lag(F.when(F.col("kind") == "{", role)).over(w),
+        # A parenthesis with a type, an arrow or a block behind it holds parameters.
+        "then_typed": F.lead(F.col("noise").rlike(r"\A\s*(?::|=>)") | (blank & (F.col("kind") == "{"))).over(w),
     })
-    # Offsets at which the line a piece starts in, and the one before it starts in, begin.
-    line_start = F.max(F.when(F.col("lines") > 0, F.col("end") - F.col("tail")))
+    line_start = F.max(F.when(F.col("lines") > 0, F.col("end") - F.col("tail"))).over(before)
+    shrunk = F.create_map(*[F.lit(x) for pair in _SHRUNK.items() for x in pair])
     rows = rows.withColumns({
-        f"line_{back}": F.coalesce(
-            line_start.over(w.rowsBetween(Window.unboundedPreceding, -back)), F.lit(0).cast("bigint")
-        )
-        for back in (1, 2)
+        # Where the line that a piece starts in begins.
+        "line_start": F.coalesce(line_start, F.lit(0).cast("bigint")),
+        "inside": F.when(opens, F.col("depth") - 1).when(closes, F.col("depth") + 1).otherwise(F.col("depth")),
+        "level": F.when(opens, F.col("depth") - 1).when(closes, F.col("depth")),
+        "text": F.concat(
+            F.translate("noise", _PRIVATE, "_" * len(_PRIVATE)), F.coalesce(F.try_element_at(shrunk, "kind"), F.lit(""))
+        ),
+    })
+    pair = Window.partitionBy("file_id", "level").orderBy("pos")
+    rows = rows.withColumns({
+        "close_end": F.when(opens, F.lead("end").over(pair)),
+        "close_row": F.when(opens, F.lead("end_row").over(pair)),
     })
-    level = F.when(F.col("kind") == "{", F.col("depth") - 1).when(F.col("kind") == "}", F.col("depth"))
-    return rows.where(F.col("kind").isin("{", "}", "=>")).withColumn("level", level)
+    # Every scope ends in the one closing bracket that carries its last text.
+    earlier = Window.partitionBy("file_id", "inside").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("scope", F.coalesce(F.sum(closes.cast("int")).over(earlier), F.lit(0)))
+    own = Window.partitionBy(*_SCOPE).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("at", F.coalesce(F.sum(F.length("text")).over(own), F.lit(0)).cast("int"))
+
+
+def _found_in(items: DataFrame) -> DataFrame:
+    """Scopes with their items, role and opener, and the finds in their skeletons: of each, the gap
+    before it with its offset, its header and its body."""
+    item = F.struct(
+        "at", "pos", "text", (F.col("end") - F.col("len")).alias("start"), (F.col("end_row") - F.col("lines")).alias("row"),
+        "line_start", "end", "end_row", "close_end", "close_row", "kind", "opener", "opened_as", "then_typed",
+    )
+    scopes = items.groupBy(*_SCOPE).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    first, last = F.col("items")[0], F.element_at("items", -1)
+    typed = (first["opener"] == "(") & F.coalesce(last["then_typed"], F.lit(False))
+    scopes = staged(
+        scopes,
+        opener=first["opener"],
+        role=F.coalesce(F.when(first["opener"] == "{", first["opened_as"]).when(typed, "members"), F.lit("code")),
+        skeleton=F.array_join(F.transform("items", lambda i: i["text"]), ""),
+    )
 
+    def marked(members_have_types: bool) -> Column:
+        parts = f"$1$5{_GAP}$2$3$6{_HEAD}$4$7{_NEXT}"
+        return F.regexp_replace("skeleton", F.lit(_pattern(members_have_types)), F.lit(parts))
 
-def _matched(rows: DataFrame) -> DataFrame:
-    """Opening braces with their closing one: at one depth they alternate."""
-    w = Window.partitionBy("file_id", "level").orderBy("pos")
-    return rows.withColumns({
-        "close": F.lead("end").over(w),
-        "close_row": F.lead("end_row").over(w),
-        "close_kind": F.lead("kind").over(w),
-    }).where((F.col("kind") == "=>") | ((F.col("kind") == "{") & (F.col("close_kind") == "}")))
+    parts = F.split(F.when(F.col("role") == "code", marked(False)).otherwise(marked(True)), _NEXT, -1)
+    scopes = staged(scopes, parts=F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))))
+    scopes = scopes.drop("skeleton").where(F.size("parts") > 0)
+    # Each part takes up its gap and header; the body behind stays to be searched.
+    scopes = staged(scopes, lengths=F.transform("parts", lambda p: (F.instr(p, F.lit(_HEAD)) - F.lit(2)).cast("int")))
 
+    def total(a: Column) -> Column:
+        return F.aggregate(a, F.lit(0), lambda x, y: x + y)
 
-def _unclosed(c: Column) -> Column:
-    opened = F.length(c) - F.length(F.replace(c, F.lit("("), F.lit("")))
-    closed = F.length(c) - F.length(F.replace(c, F.lit(")"), F.lit("")))
-    return F.greatest(opened - closed, F.lit(0))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("lengths") - 1) / _BLOCK).cast("int")),
+        lambda b: total(F.slice("lengths", b * _BLOCK + 1, F.lit(_BLOCK))),
+    )
+    scopes = staged(scopes, blocks=blocks)
+    scopes = staged(
+        scopes,
+        firsts=F.transform(F.sequence(F.lit(0), F.size("blocks") - 1), lambda b: total(F.slice("blocks", F.lit(1), b))),
+    ).drop("blocks")
+
+    def find(p: Column, k: Column) -> Column:
+        block = F.floor(k / _BLOCK).cast("int")
+        offset = F.get("firsts", block) + total(F.slice("lengths", block * _BLOCK + 1, k % _BLOCK))
+        behind = F.substring_index(p, _GAP, -1)
+        return F.struct(
+            k.alias("find"), offset.alias("offset"), F.substring_index(p, _GAP, 1).alias("gap"),
+            F.substring_index(behind, _HEAD, 1).alias("header"),
+            F.regexp_replace(F.substring_index(behind, _HEAD, -1), rf"{_W}++\z", "").alias("body"),
+        )
 
+    finds = F.filter(F.transform("parts", find), lambda f: f["header"] != "")
+    return staged(scopes, finds=finds).drop("parts", "lengths", "firsts").where(F.size("finds") > 0)
 
-def _bodies(rows: DataFrame) -> DataFrame:
-    """Rows that may be functions: header text with its place, comment before it, end of body.
 
-    What follows an arrow is a block, an expression that runs into a brace (the function then
-    starts at the arrow before this row), or an expression that ends by itself.
-    """
-    own = F.when(F.col("kind") == "{", F.col("noise")).otherwise(F.col("next_noise"))
-    rows = rows.withColumns({
-        "after": own,
-        "opens": F.col("kind") == "{",
-        "behind_arrow": F.coalesce(F.col("kind_1") == "=>", F.lit(False)),
-    })
-    # Only text behind an arrow is looked at as an expression.
-    expr = F.when(F.col("behind_arrow") | ~F.col("opens"), F.regexp_extract("after", _EXPRESSION, 0))
-    rows = staged(rows, expr=expr)
-    rows = rows.withColumn("halt", F.substr(F.col("after"), F.length("expr") + 1, F.lit(1)))
-    # A brace takes part in the body when only blanks, or an unclosed bracket, stand before it.
-    rows = rows.withColumn("joined", (text.strip("after") == "") | F.col("halt").isin("(", "["))
-    joined = F.coalesce("joined", F.lit(False))
-    rows = staged(
-        rows,
-        from_arrow=F.col("opens") & F.col("behind_arrow") & joined,
-        plain=~F.col("opens") & ~((F.col("next_kind") == "{") & joined),
-        expr=F.regexp_replace("expr", r"(?<!\s)\s+\z", ""),
-        own_start=F.col("end") - F.col("len"),
-        own_row=F.col("end_row") - F.col("lines"),
-    )
-    from_arrow, plain = F.col("from_arrow"), F.col("plain")
-    return rows.where(F.col("opens") | F.col("plain")).select(
-        "file_id",
-        (from_arrow | plain).alias("is_arrow"),
-        F.when(from_arrow, F.col("noise_1")).otherwise(F.col("noise")).alias("header"),
-        F.when(from_arrow, F.col("own_start") - F.col("len_1")).otherwise(F.col("own_start")).alias("header_start"),
-        F.when(from_arrow, F.col("own_row") - F.col("lines_1")).otherwise(F.col("own_row")).alias("header_row"),
-        F.when(from_arrow, F.col("line_2")).otherwise(F.col("line_1")).alias("header_line"),
-        F.when(from_arrow, F.when(F.col("kind_2") == "comment", F.col("mark_2")))
-        .otherwise(F.when(F.col("kind_1") == "comment", F.col("mark_1"))).alias("comments"),
-        F.when(plain, F.col("end") + F.length("expr"))
-        .when(from_arrow, F.col("close") + _unclosed(F.col("noise")))
-        .otherwise(F.col("close")).alias("stop"),
-        F.when(plain, F.col("end_row") + count_newlines(F.col("expr")))
-        .otherwise(F.col("close_row")).alias("end_row"),
+def _located(scopes: DataFrame) -> DataFrame:
+    """One row per find, with its places in the file."""
+    nothing = {"text": "string", "start": "bigint", "row": "bigint", "line_start": "bigint", "end": "bigint",
+               "end_row": "bigint", "close_end": "bigint", "close_row": "bigint", "kind": "string"}
+    asked = {"find": "int", "what": "string", "gap": "string", "header": "string", "body": "string"}
+
+    def entry(at: Column, values: dict[str, Column]) -> Column:
+        fields = [values[n].cast(t).alias(n) if n in values else F.lit(None).cast(t).alias(n) for n, t in (nothing | asked).items()]
+        return F.struct(at.cast("int").alias("at"), *fields)
+
+    there = F.transform(
+        F.filter("items", lambda i: i["text"] != ""), lambda i: entry(i["at"], {n: i[n] for n in nothing})
     )
 
+    def places(f: Column) -> Column:
+        head_at = f["offset"] + F.length(f["gap"])
+        before_parameters = F.length(F.regexp_extract(f["header"], rf"\A({_DECORATORS}{_EXPORT}{_DECORATORS}{_BEFORE_PARAMETERS}){_P}", 1))
+        arrow_parameters = F.length(F.regexp_extract(f["header"], rf"\A((?:async\b{_W}*+)?{_GENERIC}){_P}", 1))
+        is_arrow = f["header"].endswith("=>")
+        has = F.contains(f["header"], F.lit(_P))
+        comment = F.length(F.regexp_extract(f["gap"], rf"(?s)\A(.*){_C}{_BINDING}\z", 1))
+        commented = f["gap"].rlike(rf"{_C}{_BINDING}\z")
+        last = head_at + F.length(f["header"]) + F.length(f["body"]) - 1
+        of = {"find": f["find"]}
+        return F.array(
+            entry(head_at, of | {"what": F.lit("head"), "gap": f["gap"], "header": f["header"], "body": f["body"]}),
+            entry(last, of | {"what": F.lit("last")}),
+            entry(F.when(has, head_at + F.when(is_arrow, arrow_parameters).otherwise(before_parameters)), of | {"what": F.lit("parameters")}),
+            entry(F.when(commented, f["offset"] + comment), of | {"what": F.lit("comments")}),
+        )
 
-def _declared(bodies: DataFrame) -> DataFrame:
-    """Bodies whose header is a function header, with kind, identifier and parameters."""
-    head = F.when(F.col("is_arrow"), F.regexp_extract("header", _ARROW, 0)).otherwise(
-        F.regexp_extract("header", _DECLARATION, 0)
+    wanted = F.filter(F.flatten(F.transform("finds", places)), lambda e: e["at"].isNotNull())
+    rows = scopes.select(*_SCOPE, "role", "opener", F.inline(F.concat(there, wanted)))
+    order = Window.partitionBy(*_SCOPE).orderBy("at", F.col("what").isNotNull())
+    item = F.when(F.col("what").isNull(), F.struct("at", *nothing))
+    rows = rows.withColumn("i", F.last(item, ignorenulls=True).over(order)).where("what IS NOT NULL")
+    within = F.col("at") - F.col("i.at")
+    lead_text = F.substr(F.col("i.text"), F.lit(1), within)
+    newlines = count_newlines(lead_text)
+    start = F.col("i.start") + within
+    on_mark = within == F.length("i.text") - 1
+    group = on_mark & F.col("i.kind").isin("(", "[", "{")
+    literal = on_mark & F.col("i.kind").isin("string", "comment")
+    rows = rows.select(
+        *_SCOPE, "role", "opener", "find", "what", "gap", "header", "body",
+        start.alias("start"),
+        (F.col("i.row") + newlines).alias("row"),
+        F.when(newlines > 0, F.length(F.substring_index(lead_text, "\n", -1)))
+        .otherwise(start - F.col("i.line_start")).cast("bigint").alias("col"),
+        F.when(group, F.col("i.close_end")).when(literal, F.col("i.end")).otherwise(start + 1).alias("stop"),
+        F.when(group, F.col("i.close_row")).when(literal, F.col("i.end_row"))
+        .otherwise(F.col("i.row") + count_newlines(F.substr(F.col("i.text"), F.lit(1), within + 1))).alias("stop_row"),
     )
-    rows = staged(bodies, head=head).where("head <> ''")
-    undecorated = F.regexp_replace("head", rf"\A{_DECORATORS}(?:export\s++(?:default\s++)?)?{_DECORATORS}", "")
+
+    def of(what: str, column: str) -> Column:
+        return F.max(F.when(F.col("what") == what, F.col(column)))
+
+    return rows.groupBy(*_SCOPE, "find").agg(
+        *[of("head", c).alias(c) for c in ("role", "opener", "gap", "header", "body", "start")],
+        of("head", "row").alias("start_row"), of("head", "col").alias("start_col"),
+        of("last", "stop").alias("stop"), of("last", "stop_row").alias("end_row"),
+        of("parameters", "start").alias("parameters_start"), of("parameters", "stop").alias("parameters_stop"),
+        of("comments", "start").alias("comments_start"), of("comments", "stop").alias("comments_stop"),
+    ).where("stop IS NOT NULL")
+
+
+def _declared(found: DataFrame) -> DataFrame:
+    """Finds that are functions or exports, with kind, identifier and flags."""
     rows = staged(
-        rows,
-        prefix=F.substr(F.col("header"), F.lit(1), F.length("header") - F.length("head")),
-        core=F.when(F.col("is_arrow"), F.col("head")).otherwise(undecorated),
+        found,
+        is_arrow=F.col("header").endswith("=>"),
+        core=F.regexp_replace("header", rf"\A{_DECORATORS}{_EXPORT}{_DECORATORS}", ""),
+        exported=F.col("header").rlike(rf"\A{_DECORATORS}export\b"),
+        decorated=F.col("header").startswith("@") | F.col("header").rlike(rf"\Aexport{_W}++(?:default{_W}++)?@"),
+        starts_statement=F.col("gap").rlike(rf"(?:\A|[\n,;{_B}{_C}])[^\S\n]*+\z"),
+        behind_operator=F.col("gap").rlike(r"(?:[=(,:?&|\[!+]|\breturn|\bnew|\bdefault)\s*\z"),
+    )
+    is_class = F.col("core").rlike(rf"\A{_CLASS}[^{_P}{_B}]*+{_B}\z") & F.col("exported")
+    is_value = F.col("core").rlike(r"\A(?:const|let|var)\b") & F.col("exported") & ~F.col("is_arrow")
+    name = (
+        F.when(F.col("is_arrow"), F.regexp_extract("core", rf"\A(?:async\b\s*)?({NAME}){_W}*+=>\z", 1))
+        .when(is_class, F.regexp_extract("core", rf"\A{_CLASS}{_W}*+({NAME})", 1))
+        .when(is_value, F.regexp_extract("core", rf"\A(?:const|let|var){_W}++({NAME})", 1))
+        .otherwise(F.regexp_extract("core", rf"\A{_MODIFIERS}(?:function\b{_W}*+\*?{_W}*+|\*{_W}*+)?(#?{NAME}|{_S}|{_K}|[0-9]++)?", 1))
     )
-    name_at = rf"\A{_MODIFIERS}(?:function\b\s*\*?\s*|\*)?({NAME})?\s*{_GENERIC}({_PARAMS}){_TYPE}\s*\z"
-    bare = F.regexp_extract("core", rf"\A(?:async\b\s*)?({NAME})\s*\z", 1)
     rows = staged(
         rows,
-        identifier=F.when(F.col("is_arrow"), bare).otherwise(F.regexp_extract("core", name_at, 1)),
-        parameters=F.when(F.col("is_arrow"), F.regexp_extract("core", rf"({_PARAMS}){_TYPE}\s*\z", 1))
-        .otherwise(F.regexp_extract("core", name_at, 2)),
+        identifier=name,
+        is_other=is_class | is_value,
         is_function=F.col("core").rlike(rf"\A{_MODIFIERS}function\b") & ~F.col("is_arrow"),
-        exported=F.col("head").rlike(rf"\A{_DECORATORS}export\b") | F.col("prefix").rlike(r"\A\s*export\b"),
-        decorated=F.col("head").startswith("@"),
-        starts_statement=F.col("prefix").rlike(r"(?:\A|[\n,])[^\S\n]*+\z"),
+        no_parameters=F.col("parameters_stop") - F.col("parameters_start"),
     )
-    in_expression = (F.col("identifier") == "") | F.col("prefix").rlike(r"(?:[=(,:?&|\[!+]|\breturn|\bnew)\s*\z")
+    inner = F.col("opener").isin("(", "[") & (text.strip("gap") == "")
+    in_expression = (F.col("identifier") == "") | F.col("behind_operator") | F.coalesce(inner, F.lit(False))
     kind = (
         F.when(F.col("is_arrow"), "arrow")
-        .when(F.col("is_function") & in_expression & ~F.col("exported"), "function_expression")
-        .when(F.col("is_function") & F.col("exported") & F.col("decorated"), "decorated_export")
-        .when(F.col("is_function") & F.col("exported"), "export")
+        .when((F.col("is_other") | F.col("is_function")) & F.col("exported") & F.col("decorated"), "decorated_export")
+        .when((F.col("is_other") | F.col("is_function")) & F.col("exported"), "export")
+        .when(F.col("is_function") & in_expression, "function_expression")
         .when(F.col("is_function") & F.col("decorated"), "decorated_function")
         .when(F.col("is_function"), "function")
         .when(F.col("identifier") == "constructor", "constructor")
-        .when((F.col("identifier") == "build") & F.col("parameters").rlike(r"\A\(\s*\)\z"), "build")
+        .when((F.col("identifier") == "build") & (F.col("no_parameters") == 2), "build")
         .otherwise("method")
     )
-    # A capitalised call with a trailing block, and nothing else around it, is a UI component.
-    component = F.col("core").rlike(rf"\A\p{{Lu}}[\p{{L}}\p{{N}}_$]*\s*{_PARAMS}\s*\z") & ~F.col("decorated")
-    method = F.col("starts_statement") & ~F.col("identifier").isin(*_CONTROL) & ~component
-    rows = staged(rows, kind=kind, is_method=method)
-    return rows.where(~F.col("kind").isin("method", "build", "constructor") | F.col("is_method"))
+    # In code, a capitalised call with a trailing block is a UI component; in a class, a method.
+    component = F.col("core").rlike(rf"\A\p{{Lu}}[\p{{L}}\p{{N}}_$]*\s*{_P}\s*{_B}\z") & ~F.col("decorated") & (F.col("role") != "members")
+    method = F.col("starts_statement") & ~F.col("identifier").isin(*_CONTROL) & ~component & (
+        F.coalesce(F.col("opener"), F.lit("{")) == "{"
+    )
+    # An arrow behind a member's colon with nothing but a plain type for a body is a type as well.
+    plain_type = F.col("body").rlike(
+        rf"\A{_W}*+(?:void|string|number|boolean|any|never|unknown|object|undefined|null)\b(?:{_K})*{_W}*+\z"
+    ) & F.col("gap").rlike(rf"{NAME}\??\s*:\s*\z")
+    type_arrow = F.col("is_arrow") & ((F.col("role") == "types") | plain_type)
+    rows = staged(rows, kind=kind, is_method=method, type_arrow=type_arrow)
+    return rows.where(
+        ~F.col("type_arrow") & (~F.col("kind").isin("method", "build", "constructor") | F.col("is_method"))
+    )
 
 
 def _found(texts: DataFrame) -> DataFrame:
-    return _declared(_bodies(_matched(_placed(_events(texts)))))
+    return _declared(_located(_found_in(_items(_events(texts)))))
 
 
 def docstring_of(comments: Column) -> Column:
@@ -256,20 +381,9 @@ def extract_functions(files: DataFrame, max_bytes: int | None = None) -> DataFra
     texts = files.where(within_size("content", max_bytes)).select("file_id", "content")
     # Both sides of the join below start from this one exchange and stay partitioned by file_id.
     texts = texts.repartition("file_id")
-    found = _found(texts)
-    lead_ws = F.length("head") - F.length(F.regexp_replace("head", r"\A\s+", ""))
-    before = F.length("prefix") + lead_ws
-    lead_text = F.substr(F.col("header"), F.lit(1), before)
-    attached = F.col("prefix").rlike(_BINDING)
-    found = found.select(
-        "file_id", "kind", "identifier", "parameters", "exported",
-        F.when(attached, F.col("comments")).alias("comments"),
-        (F.col("header_start") + before).alias("start"),
-        "stop",
-        (F.col("header_row") + count_newlines(lead_text)).alias("start_row"),
-        F.when(F.contains(lead_text, F.lit("\n")), F.length(F.substring_index(lead_text, "\n", -1)))
-        .otherwise(F.col("header_start") + before - F.col("header_line")).alias("start_col"),
-        "end_row",
+    found = _found(texts).select(
+        "file_id", "kind", "identifier", "exported", "start", "stop", "start_row", "start_col", "end_row",
+        "parameters_start", "parameters_stop", "comments_start", "comments_stop",
     )
     # Cutting each function out of the whole text would walk the text once per function; cut out
     # of short chunks it costs the function's own length. A file's finds meet its text in one row.
@@ -277,22 +391,35 @@ def extract_functions(files: DataFrame, max_bytes: int | None = None) -> DataFra
     finds = found.groupBy("file_id").agg(F.collect_list(F.struct(*fields)).alias("finds"))
     chunks = F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0))
 
-    def cut_out(chunk: Column, find: Column) -> Column:
-        start, stop = find["start"], find["stop"]
+    def between(chunk: Column, start: Column, stop: Column) -> Column:
         numbers = F.sequence(F.floor(start / _CHUNK).cast("int"), F.floor((stop - 1) / _CHUNK).cast("int"))
         around = F.array_join(F.transform(numbers, lambda i: F.get(chunk, i)), "")
-        function = F.substr(around, (start % _CHUNK).cast("int") + 1, (stop - start).cast("int"))
-        return F.struct(*[find[c].alias(c) for c in fields], function.alias("function"))
+        return F.when(start.isNotNull(), F.substr(around, (start % _CHUNK).cast("int") + 1, (stop - start).cast("int")))
+
+    def cut_out(chunk: Column, find: Column) -> Column:
+        return F.struct(
+            *[find[c].alias(c) for c in fields],
+            between(chunk, find["start"], find["stop"]).alias("function"),
+            between(chunk, find["parameters_start"], find["parameters_stop"]).alias("parameters"),
+            between(chunk, find["comments_start"], find["comments_stop"]).alias("comments"),
+        )
 
     cuts = let(chunks, lambda chunk: F.transform("finds", lambda find: cut_out(chunk, find)))
     # inline_outer: a plain one is given a filter on the array's size, which would cut twice.
     cut = texts.join(finds, "file_id").select("file_id", F.inline_outer(cuts))
     last_line = F.substring_index("function", "\n", -1)
     end_col = F.length(last_line) + F.when(F.col("start_row") == F.col("end_row"), F.col("start_col")).otherwise(F.lit(0))
+    # A name that is a string or computed is shrunk in the skeleton; it is the first in the text.
+    written_name = F.regexp_extract("function", rf"\A[^\"'`\[(]*+({STRING}|\[[^\]]*+\])", 1)
     cut = cut.withColumns({
-        "end_col": end_col,
+        "end_col": end_col.cast("bigint"),
         "docstring": docstring_of(F.col("comments")),
-    }).drop("comments", "start", "stop")
+        "parameters": F.coalesce("parameters", F.lit("")),
+        "identifier": F.when(F.col("identifier").isin(_S, _K), written_name).otherwise(F.col("identifier")),
+    }).select(
+        "file_id", "kind", "identifier", "parameters", "exported", "start_row", "start_col", "end_row", "end_col",
+        "function", "docstring",
+    )
     others = files.drop("content")
     return others.join(cut, "file_id") if others.columns != ["file_id"] else cut
 

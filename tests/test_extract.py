@@ -33,7 +33,7 @@ CASES = {
     "class": (
         "export class A extends B {\n  constructor(n: string) { super(n) }\n  private async go<T>(x: T): Promise<T> {\n"
         "    if (x) { while (true) { break } } else { try { a() } catch (e) { b() } }\n    switch (x) { default: }\n  }\n  get size(): number { return 1 }\n}",
-        [("constructor", "constructor", "(n: string)"), ("method", "go", "(x: T)"), ("method", "size", "()")],
+        [("export", "A", ""), ("constructor", "constructor", "(n: string)"), ("method", "go", "(x: T)"), ("method", "size", "()")],
     ),
     "component": (
         "@Entry\n@Component\nstruct Index {\n  @State n: number = 0\n  build() {\n    Column({ space: 5 }) {\n      Text('a').onClick(() => { this.n++ })\n    }\n  }\n}",
@@ -48,6 +48,38 @@ CASES = {
         [("function_expression", "", "(u)"), ("function_expression", "named", "(v)")],
     ),
     "multi-line parameters": ("function f(\n  a: number,\n  b: (c: string) \n) {\n}", [("function", "f", "(\n  a: number,\n  b: (c: string) \n)")]),
+    "callback types": (
+        "function f(cb: (x: number) => void) { cb(1) }\nclass A {\n  method(cb: (x: number) => void): void { }\n  on: (e: Event) => void = (e) => { }\n}",
+        [("function", "f", "(cb: (x: number) => void)"), ("method", "method", "(cb: (x: number) => void)"), ("arrow", "", "(e)")],
+    ),
+    "types in signatures": (
+        "function a(): () => void { return g }\nfunction b(a: number): { x: number } { return { x: a } }\nfunction c(a: { x: number }) { }\n"
+        "function d(a = {}) { }\nfunction e(a = g(h(i(j(k(1)))))) { }\nfunction f<T extends Map<string, Array<T>>>(x: T): Map<string, Array<T>> { }",
+        [("function", "a", "()"), ("function", "b", "(a: number)"), ("function", "c", "(a: { x: number })"), ("function", "d", "(a = {})"),
+         ("function", "e", "(a = g(h(i(j(k(1))))))"), ("function", "f", "(x: T)")],
+    ),
+    "method names": (
+        "class A {\n  Foo(a: number) { }\n  Bar() { }\n  [Symbol.iterator]() { }\n  'a-b'() { }\n  #p() { }\n  foo?() { }\n  *gen() { }\n}",
+        [("method", n, p) for n, p in [("Foo", "(a: number)"), ("Bar", "()"), ("[Symbol.iterator]", "()"), ("'a-b'", "()"), ("#p", "()"), ("foo", "()"), ("gen", "()")]],
+    ),
+    "arrow types and bodies": (
+        "const f = (a: number): Map<string, {x: number}> => { return m }\nconst g = a => b => a + b\nconst h = (a) => a\n  .b()\n  .c()\nlet z = 1",
+        [("arrow", "", "(a: number)"), ("arrow", "a", ""), ("arrow", "b", ""), ("arrow", "", "(a)")],
+    ),
+    "types only": (
+        "type F = (x: number) => void\ninterface I {\n  on: (e: Event) => void\n  go(): void\n}\nlet k: (x: number) => void\ndeclare function q(a: () => void): void;\n", [],
+    ),
+    "other exports": (
+        "export const x = 1\nexport interface I { }\nexport const f = (a) => a\n@Component\nexport struct S { build() { } }",
+        [("export", "x", ""), ("export", "I", ""), ("export", "f", ""), ("arrow", "", "(a)"), ("decorated_export", "S", ""), ("build", "build", "()")],
+    ),
+    "object literals": (
+        "let o = {\n  go(x) { return x },\n  on: (e) => { },\n  v: function (u) { }\n}\nRow() {\n  Text('a')\n}",
+        [("method", "go", "(x)"), ("arrow", "", "(e)"), ("function_expression", "", "(u)")],
+    ),
+    "comments anywhere": (
+        "function f(a /* one ( */, b // two {\n) /* three } */ {\n}\nfunction g() { return /* ) */ 1 }", [("function", "f", "(a /* one ( */, b // two {\n)"), ("function", "g", "()")],
+    ),
     "unclosed": ("function f() {\n  return {", []),
     "nothing": ("let a = { b: 1 }\nif (a) { }\n", []),
     "empty": ("", []),
@@ -94,6 +126,14 @@ def test_bodies(spark):
     assert texts["braces in literals and comments", "f"].endswith("return /a/ }")
     assert texts["exports and decorators", "d"] == "@Builder\nexport function d() { }"
     assert texts["class", "go"].startswith("private async go<T>")
+    assert texts["class", "A"] == CASES["class"][0]
+    assert texts["types in signatures", "b"] == "function b(a: number): { x: number } { return { x: a } }"
+    assert texts["types in signatures", "a"] == "function a(): () => void { return g }"
+    assert texts["arrow types and bodies", "(a: number)"] == "(a: number): Map<string, {x: number}> => { return m }"
+    assert texts["arrow types and bodies", "a"] == "a => b => a + b" and texts["arrow types and bodies", "b"] == "b => a + b"
+    assert texts["arrow types and bodies", "(a)"] == "(a) => a\n  .b()\n  .c()"
+    assert texts["other exports", "x"] == "export const x = 1" and texts["other exports", "f"] == "export const f = (a) => a"
+    assert texts["other exports", "S"] == "@Component\nexport struct S { build() { } }"
 
 
 @pytest.mark.parametrize("before, want", [
