@@ -89,9 +89,11 @@ _BODY = rf"{_W}*+(?:{_B}|{_EXPRESSION})"
 
 
 def _pattern(members_have_types: bool) -> str:
+    """Gap and header from where the last match ended; without that anchor a skeleton's tail would
+    be searched again from each of its characters."""
     passed = "|".join([_ALIAS, _VARIABLE] + [_MEMBER] * members_have_types)
     return (
-        rf"(?s)(.*?)(?:((?<![\p{{L}}\p{{N}}_$.#])(?:{_EXPORTED_CLASS}|{_DECLARATION}))"
+        rf"(?s)\G(.*?)(?:((?<![\p{{L}}\p{{N}}_$.#])(?:{_EXPORTED_CLASS}|{_DECLARATION}))"
         rf"|({_START}{_EXPORTED_VALUE})(?=({_W}*+(?:={_W}*+{_EXPRESSION})?))"
         rf"|({passed})|({_ARROW})(?=({_BODY})))"
     )
@@ -136,36 +138,47 @@ def _items(events: DataFrame) -> DataFrame:
         F.when(F.col("noise").rlike(rf"\b(?:interface\b[^;]*|type\s+{NAME}\s*(?:<[^;]*>)?\s*=\s*)\z"), "types")
         .when(F.col("noise").rlike(r"\b(?:class|struct)\b[^;]*\z"), "members")
     )
+    shrunk = F.create_map(*[F.lit(x) for pair in _SHRUNK.items() for x in pair])
+    # From here on rows carry one text, the noise as it stands in the skeleton.
     rows = events.withColumns({
+        "text": F.concat(
+            F.translate("noise", _PRIVATE, "_" * len(_PRIVATE)), F.coalesce(F.try_element_at(shrunk, "kind"), F.lit(""))
+        ),
+        "role": F.when(F.col("kind") == "{", role),
+        "typed": F.col("noise").rlike(r"\A\s*(?::|=>)") | (blank & (F.col("kind") == "{")),
+    }).drop("noise")
+    rows = rows.withColumns({
         "end": F.sum("len").over(so_far),
         "end_row": F.sum("lines").over(so_far),
         "depth": F.sum(step).over(so_far),
         "opener": F.lag("kind").over(w),
-        "opened_as": F.lag(F.when(F.col("kind") == "{", role)).over(w),
+        "opened_as": F.lag("role").over(w),
         # A parenthesis with a type, an arrow or a block behind it holds parameters.
-        "then_typed": F.lead(F.col("noise").rlike(r"\A\s*(?::|=>)") | (blank & (F.col("kind") == "{"))).over(w),
+        "then_typed": F.lead("typed").over(w),
     })
     line_start = F.max(F.when(F.col("lines") > 0, F.col("end") - F.col("tail"))).over(before)
-    shrunk = F.create_map(*[F.lit(x) for pair in _SHRUNK.items() for x in pair])
     rows = rows.withColumns({
         # Where the line that a piece starts in begins.
         "line_start": F.coalesce(line_start, F.lit(0).cast("bigint")),
         "inside": F.when(opens, F.col("depth") - 1).when(closes, F.col("depth") + 1).otherwise(F.col("depth")),
         "level": F.when(opens, F.col("depth") - 1).when(closes, F.col("depth")),
-        "text": F.concat(
-            F.translate("noise", _PRIVATE, "_" * len(_PRIVATE)), F.coalesce(F.try_element_at(shrunk, "kind"), F.lit(""))
-        ),
-    })
+    }).drop("role", "typed", "tail", "depth")
     pair = Window.partitionBy("file_id", "level").orderBy("pos")
     rows = rows.withColumns({
         "close_end": F.when(opens, F.lead("end").over(pair)),
         "close_row": F.when(opens, F.lead("end_row").over(pair)),
+    }).drop("level")
+    # Every scope ends in the one closing bracket that carries its last text, and scopes of one
+    # depth follow each other: their numbers and offsets come from one order.
+    depth = Window.partitionBy("file_id", "inside").orderBy("pos")
+    earlier = depth.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({
+        "scope": F.coalesce(F.sum(closes.cast("int")).over(earlier), F.lit(0)),
+        "sum": F.coalesce(F.sum(F.length("text")).over(earlier), F.lit(0)),
+        "starts": F.coalesce(F.lag(closes).over(depth), F.lit(True)),
     })
-    # Every scope ends in the one closing bracket that carries its last text.
-    earlier = Window.partitionBy("file_id", "inside").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("scope", F.coalesce(F.sum(closes.cast("int")).over(earlier), F.lit(0)))
-    own = Window.partitionBy(*_SCOPE).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("at", F.coalesce(F.sum(F.length("text")).over(own), F.lit(0)).cast("int"))
+    first = F.max(F.when(F.col("starts"), F.col("sum"))).over(depth.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("at", (F.col("sum") - first).cast("int")).drop("sum", "starts")
 
 
 def _found_in(items: DataFrame) -> DataFrame:

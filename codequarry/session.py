@@ -1,7 +1,10 @@
 """Session settings the jobs expect, and the shared folder for written intermediates."""
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,11 +35,11 @@ def local_session(cores: int = 8, app: str = "codequarry", memory: str = "12g")
     return spark
 
 
-_local_dirs: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's folder for intermediates; a local one only on a local master without any."""
+    """The cluster's folder for intermediates, as the session names it.
+
+    Where it names none, a local master gets a temporary folder; a cluster has to name one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
@@ -48,9 +51,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+_local_dirs: dict[str, str] = {}
+# Paths given out and not yet deleted, by Spark application.
+_given: dict[str, list[str]] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; deleted by ``release``, or when Python ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -62,3 +72,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the intermediates of this application but the first ``keep``."""
+    given = _given.get(spark.sparkContext.applicationId, [])
+    conf = spark._jsc.hadoopConfiguration()
+    for path in given[keep:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    del given[keep:]
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Deletes on leaving what was written inside; results have to be written out before."""
+    before = len(_given.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, keep=before)
+
+
+@atexit.register
+def _release_all() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            release(spark)

@@ -204,3 +204,16 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
     df = session.written(spark.range(5), "numbers")
     assert df.count() == 5 and folder in df.inputFiles()[0]
     assert df.where(F.col("id") > 10).count() == 0
+
+
+def test_intermediates_leave_nothing_behind(spark, tmp_path):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with session.intermediates(spark):
+        df = session.written(spark.range(5), "numbers")
+        df.write.parquet(f"{tmp_path}/result")
+        assert len(set(os.listdir(folder)) - before) == 1
+    assert set(os.listdir(folder)) == before
+    assert spark.read.parquet(f"{tmp_path}/result").count() == 5
