@@ -1,0 +1,29 @@
+"""The registered queries: names, result columns, and SQL counterparts over whole tables."""
+
+import __spark_entry__ as entry
+import corpus_pipeline
+import pytest
+from compare import connect, differences
+
+from codequarry.llm.oracles import ORACLES
+from codequarry.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    registered = entry.queries()
+    assert all(registered[n] is q for n, q in QUERIES.items()) and registered["pipeline"] is corpus_pipeline.run
+    assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql(spark, name):
+    assert differences(QUERIES[name](spark, SF), connect(SF), ORACLES[name]) == []
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_document_is_in_the_result(spark, name):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
+    assert QUERIES[name](spark, SF).select("doc_id").distinct().count() == docs.distinct().count()
