@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import exact_key, short_sha
+from ..session import written
 from .project import join_topics, repo_key
 
 # Licence ids whose code may be redistributed; spelling matters.
@@ -56,26 +57,27 @@ def enrich(functions: DataFrame, repos: DataFrame) -> DataFrame:
 def best_functions(enriched: DataFrame) -> DataFrame:
     """Best-starred row per function_sha, and how many urls share the hash.
 
-    One aggregation: each task reduces its rows to one candidate per hash before the shuffle, so
-    a hash that owns a third of the table still sends one row per task.
-    Ties go to the smaller url, then path.
+    The winner is chosen on thin columns: each task sends one candidate per hash, so a hash that
+    owns a third of the table still sends one row per task, and function texts are neither sorted
+    nor aggregated. Then whole rows are looked up, by hash and a digest of the row.
+    Ties go to the smaller url, then path; rows alike in all columns are one.
     """
-    rest = [c for c in enriched.columns if c != "function_sha"]
+    digest = F.xxhash64(*enriched.columns)
     rank = F.struct(
         F.col("stargazers_count").isNull(),
         -F.col("stargazers_count"),
         F.col("url").isNull(),
         F.col("url"),
         F.col("path"),
+        F.col("_row"),
     )
-    return (
-        enriched.groupBy("function_sha")
-        .agg(
-            F.min_by(F.struct(*rest), rank).alias("r"),
-            F.count("url").alias("duplicate_count"),
-        )
-        .select("function_sha", "r.*", "duplicate_count")
+    thin = enriched.select("function_sha", "stargazers_count", "url", "path", digest.alias("_row"))
+    winners = thin.groupBy(F.col("function_sha").alias("_sha")).agg(
+        F.min_by("_row", rank).alias("_best"), F.count("url").alias("duplicate_count")
     )
+    rows = enriched.withColumn("_row", digest)
+    won = rows["function_sha"].eqNullSafe(winners["_sha"]) & (rows["_row"] == winners["_best"])
+    return rows.join(winners, won).select(*enriched.columns, "duplicate_count").distinct()
 
 
 def duplicate_urls(enriched: DataFrame) -> DataFrame:
@@ -90,23 +92,29 @@ def duplicate_urls(enriched: DataFrame) -> DataFrame:
 
 
 def duplicate_lists(enriched: DataFrame, page_size: int = 1000) -> DataFrame:
-    """The duplicates of every hash as sorted lists of at most ``page_size`` urls.
+    """The duplicates of every hash as numbered, sorted pages of ``page_size`` urls, the last shorter.
 
-    Most hashes have one page; a hot one has many. A range shuffle on (hash, url) cuts hot
-    hashes across tasks, and paging then works inside one range at a time.
+    Returns (function_sha, page, first_url, duplicates). A url's page follows from its rank within
+    the hash: its place in a range plus the rows of the hash in the ranges before. The range shuffle
+    on (hash, url) cuts hot hashes across tasks, and only counts per hash and range meet in one.
     """
     ranged = duplicate_urls(enriched).repartitionByRange("function_sha", "duplicate_url")
     ranged = ranged.withColumn("_range", F.spark_partition_id())
-    order = Window.partitionBy("function_sha", "_range").orderBy("duplicate_url")
-    page = F.floor((F.row_number().over(order) - 1) / page_size)
+    place = F.row_number().over(Window.partitionBy("function_sha", "_range").orderBy("duplicate_url"))
+    # Written, as both branches below need the same ranges.
+    ranged = written(ranged.withColumn("_place", place), "ranged-urls")
+    counts = ranged.groupBy("function_sha", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("function_sha").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(
+        F.col("function_sha").alias("_sha"), F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
+    same = ranged["function_sha"].eqNullSafe(counts["_sha"]) & (ranged["_range"] == counts["_of"])
+    page = F.floor((F.col("_before") + F.col("_place") - 1) / page_size)
     return (
-        ranged.withColumn("_page", page)
-        .groupBy("function_sha", "_range", "_page")
-        .agg(
-            F.array_sort(F.collect_list("duplicate_url")).alias("duplicates"),
-            F.min("duplicate_url").alias("first_url"),
-        )
-        .select("function_sha", "first_url", "duplicates")
+        ranged.join(counts, same)
+        .groupBy("function_sha", page.alias("page"))
+        .agg(F.array_sort(F.collect_list("duplicate_url")).alias("duplicates"))
+        .select("function_sha", "page", F.col("duplicates")[0].alias("first_url"), "duplicates")
     )
 
 

@@ -205,7 +205,10 @@ def duplicate_urls(spark, sf):
 @query
 def duplicate_lists(spark, sf):
     lists = curate.duplicate_lists(functions(spark, sf), page_size=2)
-    return lists.select("function_sha", F.explode("duplicates").alias("duplicate_url"))
+    return lists.select(
+        "function_sha", "page", "first_url", F.element_at("duplicates", -1).alias("last_url"),
+        F.size("duplicates").cast("bigint").alias("n"), F.array_join("duplicates", " ").alias("urls"),
+    )
 
 
 @query

@@ -271,7 +271,10 @@ SELECT id, f.source, nwo FROM functions f JOIN license_map m ON m.source = f.sou
   SELECT *, row_number() OVER (PARTITION BY function_sha ORDER BY stargazers_count DESC NULLS LAST, url, path) AS rn,
          count(url) OVER (PARTITION BY function_sha) AS duplicate_count FROM enriched) WHERE rn = 1""",
     "duplicate_urls": f"WITH {ENRICHED} SELECT function_sha, url AS duplicate_url FROM enriched",
-    "duplicate_lists": f"WITH {FN} SELECT function_sha, url AS duplicate_url FROM functions",
+    "duplicate_lists": f"""WITH {FN}, r AS (
+  SELECT function_sha, url, (row_number() OVER (PARTITION BY function_sha ORDER BY url) - 1) // 2 AS page FROM functions WHERE url IS NOT NULL)
+SELECT function_sha, page, min(url) AS first_url, max(url) AS last_url, count(*) AS n, string_agg(url, ' ' ORDER BY url) AS urls
+FROM r GROUP BY 1, 2""",
     "merge_datasets": f"""WITH u AS (
   SELECT 0 AS o, doc_id AS id, 'github' AS source, source AS nwo, {views.FIRST_LINE} AS docstring, text AS function,
          NULL::BIGINT AS stars, {views.FIRST_LINE} AS k FROM documents

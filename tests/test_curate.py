@@ -22,6 +22,20 @@ def test_best_functions(spark):
     assert pairs == {("h1", "u1"), ("h1", "u2"), ("h1", "u3"), ("h2", "v1"), ("h2", "v2"), (None, "n1"), (None, "n2")}
 
 
+def test_best_functions_is_thin(spark):
+    rows = spark.createDataFrame(
+        [("h", "u", "p", 1, "text"), ("h", "u", "p", 1, "text"), ("h", "v", "p", 2, "other")],
+        "function_sha string, url string, path string, stargazers_count int, function string",
+    )
+    best = curate.best_functions(rows)
+    assert [(r.url, r.function, r.duplicate_count) for r in best.collect()] == [("v", "other", 3)]
+    alike = curate.best_functions(rows.where("url = 'u'"))
+    assert [(r.url, r.duplicate_count) for r in alike.collect()] == [("u", 2)]
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.split("Initial Plan")[-1].splitlines() if "SortAggregate" in line]
+    assert all("function#" not in line.replace("function_sha", "") for line in sorts)
+
+
 def test_enrich_takes_one_row_per_repository(spark):
     functions = spark.createDataFrame(
         [("a/x", "s" * 40, "u1"), ("a/y", "t" * 40, "u2")], "nwo string, function_sha string, url string"
@@ -38,6 +52,8 @@ def test_duplicate_lists_page_a_hot_hash(spark):
     cold = spark.range(50).select(F.concat(F.lit("c"), "id").alias("function_sha"), F.concat(F.lit("v"), "id").alias("url"))
     lists = curate.duplicate_lists(hot.unionAll(cold), page_size=100).cache()
     assert lists.agg(F.max(F.size("duplicates"))).first()[0] <= 100
+    pages = lists.where("function_sha = 'hot'").orderBy("page").collect()
+    assert [(r.page, r.first_url, len(r.duplicates)) for r in pages] == [(k, f"u{100 * k:05d}", 100) for k in range(50)]
     urls = lists.select("function_sha", F.explode("duplicates").alias("u"))
     assert urls.where("function_sha = 'hot'").distinct().count() == 5000
     assert urls.count() == 5050
