@@ -1,5 +1,6 @@
 """Enrichment, deduplication, licence filtering and merging."""
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -164,6 +165,46 @@ def canonical_repo(name: str, source: str) -> Column:
     return F.coalesce(repo_key(name, F.coalesce(F.col(source), F.lit(""))), F.col(name), F.lit(""))
 
 
+def field(name: str, absent: str | None = None) -> Column:
+    """A record's value as text; ``absent`` for a record without the key, null for a null."""
+    value = F.try_element_at("record", F.lit(name)).cast("string")
+    return F.when(F.map_contains_key("record", name), value).otherwise(F.lit(absent).cast("string"))
+
+
+def _record_key() -> Column:
+    return exact_key(field("docstring", ""), field("function", ""))
+
+
+def filter_docstring_records(records: DataFrame, order: list, deduplicate: bool = True) -> DataFrame:
+    """``filter_docstring`` of free-form records (a column ``record``), all keys kept."""
+    kept = records.where(F.coalesce(field("docstring"), F.lit("")) != "")
+    return keep_first(kept, _record_key(), order) if deduplicate else kept
+
+
+def merge_records(
+    sources: list[DataFrame], order: list[str], labels: list[str] | None = None, drop_keys=DROPPED_KEYS
+) -> DataFrame:
+    """``merge_datasets`` of free-form records: whichever keys a record has, but the dropped ones.
+
+    An absent key counts as '' record by record; a null stays a value of its own.
+    """
+    parts = []
+    for i, df in enumerate(sources):
+        gone = [*drop_keys, "source"] if labels else [*drop_keys]
+        record = F.map_filter("record", lambda k, _: ~k.isin(gone)) if gone else F.col("record")
+        if labels:
+            record = F.map_concat(record, F.create_map(F.lit("source"), F.parse_json(F.lit(json.dumps(labels[i])))))
+        parts.append(df.select(record.alias("record"), *order, F.lit(i).alias("_ordinal"), _record_key().alias("_merge_key")))
+    union = reduce(DataFrame.unionByName, parts)
+    return keep_first(union, F.col("_merge_key"), ["_ordinal", *order]).drop("_merge_key", "_ordinal")
+
+
+def filter_license_records(records: DataFrame, licenses: DataFrame, any_case: bool = False) -> DataFrame:
+    """``filter_license`` of free-form records."""
+    keyed = records.withColumns({"source": field("source"), "nwo": field("nwo")})
+    return filter_license(keyed, licenses, any_case).drop("source", "nwo")
+
+
 def license_map(records: DataFrame, order: str = "line_no") -> DataFrame:
     """(source, repo) -> license; the last record of a repository wins.
 

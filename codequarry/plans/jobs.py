@@ -74,27 +74,25 @@ def parquet_to_jsonl(spark: SparkSession, input_dir: str, output: str) -> int:
     return sinks.write_jsonl(spark.read.parquet(input_dir), output)
 
 
-def filter_docstring(spark: SparkSession, path: str, schema: str, output: str, deduplicate: bool = True) -> int:
-    rows = readers.tolerant_jsonl(spark, path, schema)
-    kept = curate.filter_docstring(rows, readers.LINE_ORDER, deduplicate)
-    return sinks.write_jsonl(kept.drop(*readers.LINE_ORDER), output)
+def filter_docstring(spark: SparkSession, path: str, output: str, deduplicate: bool = True) -> int:
+    """JSON lines with a docstring, first per (docstring, function); all keys of a line are kept."""
+    records = readers.jsonl_records(spark, path)
+    return sinks.write_records(curate.filter_docstring_records(records, readers.LINE_ORDER, deduplicate), output)
 
 
-def filter_license(spark: SparkSession, path: str, schema: str, licenses: str, output: str) -> int:
-    rows = readers.tolerant_jsonl(spark, path, schema)
+def filter_license(spark: SparkSession, path: str, licenses: str, output: str) -> int:
+    """JSON lines of repositories with an allowed licence; all keys of a line are kept."""
     allowed = curate.license_map(readers.license_records(spark, licenses))
-    kept = curate.filter_license(rows, allowed)
-    return sinks.write_jsonl(kept.drop(*readers.LINE_ORDER), output)
+    return sinks.write_records(curate.filter_license_records(readers.jsonl_records(spark, path), allowed), output)
 
 
 def merge(
-    spark: SparkSession, inputs: list[tuple[str, str]], output: str,
+    spark: SparkSession, inputs: list[str], output: str,
     labels: list[str] | None = None, drop_keys=curate.DROPPED_KEYS,
 ) -> int:
-    """Merge JSON-lines files given as (path, schema)."""
-    sources = [readers.tolerant_jsonl(spark, path, schema) for path, schema in inputs]
-    merged = curate.merge_datasets(sources, readers.LINE_ORDER, labels, drop_keys)
-    return sinks.write_jsonl(merged.drop(*readers.LINE_ORDER), output)
+    """Merge JSON-lines files, whatever keys their lines have."""
+    sources = [readers.jsonl_records(spark, path) for path in inputs]
+    return sinks.write_records(curate.merge_records(sources, readers.LINE_ORDER, labels, drop_keys), output)
 
 
 def audit(splits: DataFrame, id_col: str = "id") -> dict[str, DataFrame]:

@@ -81,6 +81,19 @@ def tolerant_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return _numbered(df).where("_corrupt_record is null").drop("_corrupt_record")
 
 
+def jsonl_records(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines as they are: ``record``, a map from key to value of any type, and the lines' order.
+
+    Every key is kept, and a key that is absent differs from one that is null. Blank lines and
+    lines that hold no JSON object are left out.
+    """
+    lines = _numbered(spark.read.text(path))
+    parsed = lines.withColumn("value", F.when(F.json_object_keys("value").isNotNull(), F.try_parse_json("value")))
+    return parsed.where("value IS NOT NULL").select(
+        F.col("value").cast("map<string,variant>").alias("record"), *LINE_ORDER
+    )
+
+
 def source_tree(spark: SparkSession, root: str, language: str = "arkts") -> DataFrame:
     """Source files under a folder by the language's extension. Undecodable files have null content:
     they give no functions and show up in the status of a run."""

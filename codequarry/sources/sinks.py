@@ -26,6 +26,13 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return seen.get["rows"]
 
 
+def write_records(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """JSON lines of a column ``record``, a map from key to value of any type."""
+    df, seen = _counted(df.select(F.to_json("record").alias("value")))
+    df.write.mode(mode).text(path)
+    return seen.get["rows"]
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     df, seen = _counted(df)
     df.write.mode(mode).option("header", "true").csv(path)

@@ -117,13 +117,12 @@ def test_extraction_to_deduplication(spark, tmp_path):
     assert len(dup.duplicates) == 2
     assert next((tmp_path / "out" / "functions").glob("*.parquet")).name.endswith(".gz.parquet")
     jobs.parquet_to_jsonl(spark, f"{tmp_path}/out/functions", f"{tmp_path}/jsonl")
-    schema = "nwo string, docstring string, function string, source string"
-    jobs.merge(spark, [(f"{tmp_path}/jsonl", schema), (f"{tmp_path}/jsonl", schema)], f"{tmp_path}/merged", ["github", "gitee"])
+    jobs.merge(spark, [f"{tmp_path}/jsonl", f"{tmp_path}/jsonl"], f"{tmp_path}/merged", ["github", "gitee"])
     merged = spark.read.json(f"{tmp_path}/merged").collect()
     assert [r.source for r in merged] == ["github"]
-    jobs.filter_docstring(spark, f"{tmp_path}/merged", schema, f"{tmp_path}/with-docs")
+    jobs.filter_docstring(spark, f"{tmp_path}/merged", f"{tmp_path}/with-docs")
     (tmp_path / "licenses.jsonl").write_text('{"source": "github", "repo": "o/r2", "license": "MIT", "allowed": true}\n')
-    jobs.filter_license(spark, f"{tmp_path}/with-docs", schema, f"{tmp_path}/licenses.jsonl", f"{tmp_path}/final")
+    jobs.filter_license(spark, f"{tmp_path}/with-docs", f"{tmp_path}/licenses.jsonl", f"{tmp_path}/final")
     assert spark.read.json(f"{tmp_path}/final").count() == 1
 
 
@@ -217,3 +216,30 @@ def test_intermediates_leave_nothing_behind(spark, tmp_path):
         assert len(set(os.listdir(folder)) - before) == 1
     assert set(os.listdir(folder)) == before
     assert spark.read.parquet(f"{tmp_path}/result").count() == 5
+
+
+def test_records_keep_their_keys(spark, tmp_path):
+    lines = [
+        '{"docstring": "d", "function": "f", "extra": {"deep": [1, "ü"]}, "n": 1.5, "imports": ["x"], "source": "old"}',
+        "", "broken {", "[1]", '{"function": "g", "docstring": null}', '{"function": "g"}', '{"function": "g", "docstring": ""}',
+        '{"docstring": "d", "function": "f", "other": true}',
+    ]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
+    assert readers.jsonl_records(spark, f"{tmp_path}/a.jsonl").count() == 5
+    assert jobs.merge(spark, [f"{tmp_path}/a.jsonl"], f"{tmp_path}/merged", ["new"]) == 3
+    got = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/merged").collect()]
+    # An absent docstring counts as '', a null one does not.
+    assert sorted(got, key=str) == sorted([
+        {"docstring": "d", "function": "f", "extra": {"deep": [1, "ü"]}, "n": 1.5, "source": "new"},
+        {"function": "g", "docstring": None, "source": "new"},
+        {"function": "g", "source": "new"},
+    ], key=str)
+    assert jobs.filter_docstring(spark, f"{tmp_path}/a.jsonl", f"{tmp_path}/all", deduplicate=False) == 2
+    assert jobs.filter_docstring(spark, f"{tmp_path}/a.jsonl", f"{tmp_path}/first") == 1
+    (row,) = spark.read.text(f"{tmp_path}/first").collect()
+    assert json.loads(row.value) == json.loads(lines[0])
+    (tmp_path / "l.jsonl").write_text('{"source": "gitee", "repo": "o##r", "license": "MIT", "allowed": true}\n')
+    (tmp_path / "b.jsonl").write_text('{"source": "gitee", "nwo": "o/r", "more": [null]}\n{"source": "gitee", "nwo": "o/q"}\n{}\n')
+    assert jobs.filter_license(spark, f"{tmp_path}/b.jsonl", f"{tmp_path}/l.jsonl", f"{tmp_path}/licensed") == 1
+    (row,) = spark.read.text(f"{tmp_path}/licensed").collect()
+    assert json.loads(row.value) == {"source": "gitee", "nwo": "o/r", "more": [None]}
