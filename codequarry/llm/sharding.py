@@ -66,19 +66,17 @@ def sharded(
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, seed: int = 0) -> None:
-    """Write ``path/shard=k/`` with the records of shard k in slot order."""
-    rows = sharded(docs, shards, seed).select("shard", "slot", "record.*") if not {
-        "shard", "slot"
-    } & set(docs.columns) else sharded(docs, shards, seed).select("shard", "slot", "record")
-    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
-        "shard"
-    ).parquet(path)
+    """Write ``path/shard=k/`` with (slot, record) of shard k in slot order."""
+    rows = sharded(docs, shards, seed).select("shard", "slot", "record")
+    ordered = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    ordered.write.partitionBy("shard").parquet(path)
 
 
 def places(docs: DataFrame, shards: int = 40, seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     text = whole_text(F.col("record.text"))
-    return sharded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shards, seed, bucket_bytes).select(
+    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return sharded(thin, shards, seed, bucket_bytes).select(
         "record.doc_id",
         (F.octet_length(text).cast("long") + F.lit(ROW_OVERHEAD)).alias("size"),
         F.crc32(text).alias("text_crc32"),

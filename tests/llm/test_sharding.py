@@ -56,4 +56,6 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == docs.count()
     assert {r["shard"] for r in back.select("shard").collect()} == {0, 1, 2}
-    assert set(docs.columns) <= set(back.columns)
+    assert back.select("record.*").columns == docs.columns
+    whole = {(r["doc_id"], r["text"]) for r in docs.collect()}
+    assert {(r["doc_id"], r["text"]) for r in back.select("record.*").collect()} == whole
