@@ -35,6 +35,8 @@ SHINGLE = 3
 SEED = 42
 # Nodes with more fingerprints are refined; a task compares at most this many squared.
 NODE = 2048
+# Refinements at most. Four leave 20 open bits, so a node is bounded by 2**20 fingerprints anyway.
+LEVELS = 4
 # Children of a tree node, and pairs of nodes looked at in one step: they have up to FANOUT squared
 # times as many pairs of children, of some 64 bytes each while these are formed.
 FANOUT = 8
@@ -259,15 +261,14 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(distinct: DataFrame, node_size: int = NODE) -> DataFrame:
     """Edges (u, v) that connect the fingerprints of ``distinct`` (fp) as all links within three
     bits would."""
-    edges, masks = None, [0]
+    edges, masks, level = None, [0], 0
     rows = _dealt(distinct.select(F.lit(0).cast("long").alias("mask"), "fp"), masks)
     while True:
-        masks = sorted({f for m in masks for f in finer_masks(m)})
+        masks, level = sorted({f for m in masks for f in finer_masks(m)}), level + 1
         # Counted by partial aggregation on keys alone; only nodes above the size remain.
         sizes = rows.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > node_size)
         large = written(sizes.select("mask", "pattern"), "large-nodes")
-        # With all bits in the mask a node is one fingerprint.
-        refine = masks != [(1 << BITS) - 1] and not large.isEmpty()
+        refine = level < LEVELS and not large.isEmpty()
         small = rows.join(large, ["mask", "pattern"], "left_anti") if refine else rows
         order = small.select("mask", "pattern", "fp", gray_rank(F.col("fp")).alias("rank"))
         sorted_ = order.repartition("mask", "pattern").sortWithinPartitions("mask", "pattern", "rank")
