@@ -2,8 +2,10 @@
 
 A suffix automaton of each language's labelled text tells how far a text can be followed inside it.
 A text is parsed from left to right into the longest phrases that occur in the language's text; a
-phrase costs the logarithm of that text's length (a place to copy from), and the language with the
-fewest bits per character wins. Ties go to the first language by name.
+phrase costs the logarithm of that text's length (a place to copy from) and that of the alphabet
+(how far), so the short phrases of a short text are not cheap. A letter the language lacks costs as
+much as a phrase of the longest text and a letter of the alphabet, alike in all languages. The
+language with the fewest bits per character wins. Ties go to the first language by name.
 
 The labelled sample is bounded: ``SAMPLE_DOCS`` documents and ``SAMPLE_CHARS`` characters a
 language, chosen by a hash of their ids, so the automata have one size whatever the corpus. Texts to
@@ -11,7 +13,8 @@ predict are parsed whole, in lock-step over many at once, restarting every ``BLO
 that long texts spread over lanes; only letters count, lower-cased, other runs are one blank.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is every text if
-nothing was learned; rows may repeat; rows with a null id are in no fold and neither learned from
+nothing was learned; labelled texts without a letter are not learned from, and a label that has no
+others is never predicted; rows may repeat; rows with a null id are in no fold and neither learned from
 nor held out; an empty table gives an empty result; other columns never matter.
 """
 
@@ -55,7 +58,7 @@ def sample(docs: DataFrame, max_docs: int = SAMPLE_DOCS, max_chars: int = SAMPLE
     """
     labelled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text")
-    ).where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    ).where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{M}]"))
     keyed = labelled.select("lang", F.xxhash64("doc_id").alias("order"), "doc_id")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     chosen = keyed.withColumn("rank", rank).where(F.col("rank") <= max_docs).select("lang", "doc_id").distinct()
@@ -106,8 +109,9 @@ class Models:
     """
 
     def __init__(self, labelled: dict[str, str]):
-        self.languages = sorted(labelled)
-        codes = [self._raw(labelled[lang]) for lang in self.languages]
+        raw = {lang: self._raw(text) for lang, text in sorted(labelled.items())}
+        self.languages = [lang for lang, c in raw.items() if (c != _BLANK).any()]
+        codes = [raw[lang] for lang in self.languages]
         letters = np.concatenate([c[c > _BLANK] for c in codes]) if codes else np.empty(0, np.uint32)
         values, counts = np.unique(letters, return_counts=True)
         kept = np.sort(values[np.lexsort((values, -counts))][: ALPHABET - 2])
@@ -115,7 +119,7 @@ class Models:
         self.symbols[_BLANK] = _BLANK
         self.symbols[kept] = np.arange(2, 2 + len(kept))
         self.width = 2 + len(kept)
-        tables, self.starts, self.bits, offset = [], [], [], 1
+        tables, self.starts, lengths, offset = [], [], [], 1
         for c in codes:
             step, n = _automaton(self.symbols[c].tolist())
             table = np.zeros((1 + len(step), self.width), np.int32)
@@ -126,10 +130,14 @@ class Models:
             again = -np.where(table[1] > 0, table[1], offset)
             tables.append(np.where(table > 0, table, again))
             self.starts.append(offset)
-            self.bits.append(math.log2(max(2, n)))
+            lengths.append(math.log2(max(2, n)))
             offset += 1 + len(step)
         blank = np.zeros((1, self.width), np.int32)
         self.table = np.concatenate([blank, *tables]).ravel()
+        # Bits of a phrase in each language, and of a letter a language lacks in all.
+        letter = math.log2(self.width)
+        self.bits = np.array(lengths) + letter
+        self.literal = max(lengths, default=0.0) + 2 * letter
 
     @staticmethod
     def _raw(text: str) -> np.ndarray:
@@ -145,7 +153,13 @@ class Models:
 
     def phrases(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Phrases of each block (rows) in each language (columns)."""
+        return self.parsed(blocks)[0]
+
+    def parsed(self, blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of each block (rows) in each language (columns), and how many of them are letters
+        the language lacks."""
         out = np.zeros((len(blocks), len(self.languages)), np.int64)
+        lacking = np.zeros_like(out)
         order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
         for a in range(0, len(order), LANES):
             lanes = order[a : a + LANES]
@@ -158,13 +172,16 @@ class Models:
             for lang, start in enumerate(self.starts):
                 state = np.full(len(lanes), start, np.int32)
                 count = np.zeros(len(lanes), np.int32)
+                lacks = np.zeros(len(lanes), np.int32)
                 for at in range(sizes[0]):
                     n = running[at]
                     new = self.table[state[:n] * self.width + symbols[at, :n]]
                     count[:n] += new < 0
+                    lacks[:n] += new == -start
                     np.abs(new, out=state[:n])
                 out[lanes, lang] = count
-        return out
+                lacking[lanes, lang] = lacks
+        return out, lacking
 
     def predict(self, batch: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text; the score is the winner's margin over the next, as a share."""
@@ -177,9 +194,10 @@ class Models:
                 blocks.append(symbols[a : a + BLOCK])
         if not self.languages or not blocks:
             return [(UNKNOWN, 0.0)] * len(batch)
+        phrases, lacking = self.parsed(blocks)
         total = np.zeros((len(batch), len(self.languages)))
-        np.add.at(total, owners, self.phrases(blocks))
-        bits = total * np.array(self.bits) / np.maximum(1, size)[:, None]
+        np.add.at(total, owners, (phrases - lacking) * self.bits + lacking * self.literal)
+        bits = total / np.maximum(1, size)[:, None]
         best = bits.argmin(axis=1)
         ranked = np.sort(bits, axis=1)
         margin = 1 - ranked[:, 0] / ranked[:, 1].clip(1e-12) if len(self.languages) > 1 else np.ones(len(batch))

@@ -103,3 +103,18 @@ def test_nothing_learned(spark):
     docs = documents(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {(r["lang_pred"], r["score"]) for r in langid.identify(docs).collect()} == {("und", 0.0)}
     assert langid.identify(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("junk", ["", "123", "ok", "merci ", "e t a o i n s r h l d u c m p f g"])
+def test_tiny_samples_win_nothing(junk):
+    text = "A dog and a cat sat far away from the man, and the rat ran on the mat."
+    models = langid.Models({**SAMPLE, "junk": junk})
+    assert [lang for lang, _ in models.predict([text, "Le chien est sur la table, le chat au loin."])] == ["en", "fr"]
+
+
+def test_letterless_texts_take_no_place_in_the_sample(spark):
+    # Ids of all folds; every language's first texts by the order of ids have no letter.
+    rows = [(i, "" if i % 2 else "123", "en") for i in range(400)] + [(i, "the cat sat", "en") for i in range(400, 410)]
+    rows += [(i, "42", "xx") for i in range(410, 420)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert "cat" in langid.sample(docs)["en"] and "xx" not in langid.sample(docs)
