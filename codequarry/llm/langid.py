@@ -21,6 +21,7 @@ nor held out; an empty table gives an empty result; other columns never matter.
 import hashlib
 import json
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from .common import per_batch, texts
 # The bound on labelled text, for each language.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 40_000
-# Characters with a symbol of their own, the most frequent of the sample; others match nothing.
+# Columns of a language's table, for its most frequent letters; moves by others are sorted keys.
 ALPHABET = 126
 BLOCK = 2048
 # Blocks parsed side by side.
@@ -42,7 +43,9 @@ LANES = 16_384
 FOLDS = 5
 UNKNOWN = "und"
 
+# Symbols of letters outside the sample and of blanks; the state between phrases.
 _OTHER, _BLANK = 0, 1
+_START = 1
 
 
 def fold(doc_id: str | Column = "doc_id") -> Column:
@@ -99,46 +102,83 @@ def _automaton(symbols: list[int]) -> tuple[list[dict[int, int]], int]:
     return step, len(symbols)
 
 
-class Models:
-    """All languages' automata in one table.
+class _Part(NamedTuple):
+    """One language's automaton."""
+
+    column: np.ndarray
+    table: np.ndarray
+    columns: int
+    keys: np.ndarray
+    targets: np.ndarray
+    again: np.ndarray
+
+    def move(self, state: np.ndarray, symbols: np.ndarray, width: int) -> np.ndarray:
+        column = self.column[symbols]
+        new = self.table[state * self.columns + column]
+        if len(self.keys):
+            rare = np.flatnonzero(column == 0)
+            if len(rare):
+                symbol = symbols[rare]
+                key = state[rare].astype(np.int64) * width + symbol
+                at = np.searchsorted(self.keys, key).clip(max=len(self.keys) - 1)
+                new[rare] = np.where(self.keys[at] == key, self.targets[at], self.again[symbol])
+        return new
 
-    A cell has the next state for (state, symbol); where there is none, minus the state after
-    starting a new phrase with that symbol. Each language also has a row for being between phrases,
-    where a text begins and where a symbol leads that the language lacks (a phrase of its own).
-    State 0 is never used, so signs are never lost.
+
+class Models:
+    """All languages' automata as tables.
+
+    Every letter of the sample has a symbol; letters outside it are one symbol that all languages
+    lack. A language's table has columns for the blank and its most frequent letters, and column 0
+    for all other symbols. A cell has the next state for (state, column); where there is none, minus
+    the state after starting a new phrase with that symbol. Each language also has a row for being
+    between phrases, where a text begins and where a symbol leads that the language lacks (a phrase
+    of its own). Moves by the language's rarer letters are looked up by (state, symbol) in a sorted
+    list. State 0 is never used, so signs are never lost.
     """
 
     def __init__(self, labelled: dict[str, str]):
         raw = {lang: self._raw(text) for lang, text in sorted(labelled.items())}
         self.languages = [lang for lang, c in raw.items() if (c != _BLANK).any()]
         codes = [raw[lang] for lang in self.languages]
-        letters = np.concatenate([c[c > _BLANK] for c in codes]) if codes else np.empty(0, np.uint32)
-        values, counts = np.unique(letters, return_counts=True)
-        kept = np.sort(values[np.lexsort((values, -counts))][: ALPHABET - 2])
-        self.symbols = np.zeros(0x110000, np.uint8)
+        letters = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.uint32)
+        letters = letters[letters > _BLANK]
+        self.symbols = np.zeros(0x110000, np.int32)
         self.symbols[_BLANK] = _BLANK
-        self.symbols[kept] = np.arange(2, 2 + len(kept))
-        self.width = 2 + len(kept)
-        tables, self.starts, lengths, offset = [], [], [], 1
-        for c in codes:
-            step, n = _automaton(self.symbols[c].tolist())
-            table = np.zeros((1 + len(step), self.width), np.int32)
-            for state, moves in enumerate(step):
-                moves.pop(_OTHER, None)
-                for symbol, target in moves.items():
-                    table[1 + state, symbol] = offset + 1 + target
-            again = -np.where(table[1] > 0, table[1], offset)
-            tables.append(np.where(table > 0, table, again))
-            self.starts.append(offset)
-            lengths.append(math.log2(max(2, n)))
-            offset += 1 + len(step)
-        blank = np.zeros((1, self.width), np.int32)
-        self.table = np.concatenate([blank, *tables]).ravel()
+        self.symbols[letters] = np.arange(2, 2 + len(letters))
+        self.width = 2 + len(letters)
+        self.parts = [self._part(self.symbols[c]) for c in codes]
+        lengths = [math.log2(max(2, len(c))) for c in codes]
         # Bits of a phrase in each language, and of a letter a language lacks in all.
         letter = math.log2(self.width)
         self.bits = np.array(lengths) + letter
         self.literal = max(lengths, default=0.0) + 2 * letter
 
+    def _part(self, symbols: np.ndarray) -> "_Part":
+        step, _ = _automaton(symbols.tolist())
+        values, counts = np.unique(symbols[symbols > _BLANK], return_counts=True)
+        frequent = np.sort(values[np.lexsort((values, -counts))][: ALPHABET - 2])
+        column = np.zeros(self.width, np.int32)
+        column[_BLANK] = 1
+        column[frequent] = np.arange(2, 2 + len(frequent))
+        columns = column.tolist()
+        table = np.zeros((_START + 1 + len(step), 2 + len(frequent)), np.int32)
+        rare: list[tuple[int, int]] = []
+        for state, moves in enumerate(step, _START + 1):
+            for symbol, target in moves.items():
+                if columns[symbol]:
+                    table[state, columns[symbol]] = _START + 1 + target
+                else:
+                    rare.append((state * self.width + symbol, _START + 1 + target))
+        begin = table[_START + 1]
+        table = np.where(table > 0, table, -np.where(begin > 0, begin, _START)).astype(np.int32)
+        # After starting a new phrase with a symbol that has no column.
+        again = np.full(self.width, -_START, np.int32)
+        for symbol, target in step[0].items():
+            again[symbol] = -(_START + 1 + target)
+        keys, targets = np.array(sorted(rare), np.int64).reshape(-1, 2).T
+        return _Part(column, table.ravel(), table.shape[1], keys.copy(), targets.astype(np.int32), again)
+
     @staticmethod
     def _raw(text: str) -> np.ndarray:
         """Lower-cased letters as code points, every run of anything else as one blank."""
@@ -149,7 +189,7 @@ class Models:
     def coded(self, text: str) -> np.ndarray:
         """A text's symbols; empty if it has no letter."""
         codes = self._raw(text)
-        return self.symbols[codes] if (codes != _BLANK).any() else np.empty(0, np.uint8)
+        return self.symbols[codes] if (codes != _BLANK).any() else np.empty(0, np.int32)
 
     def phrases(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Phrases of each block (rows) in each language (columns)."""
@@ -169,15 +209,15 @@ class Models:
                 symbols[: sizes[k], k] = blocks[i]
             # Lanes come longest first, so those still running are the first ones.
             running = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-            for lang, start in enumerate(self.starts):
-                state = np.full(len(lanes), start, np.int32)
+            for lang, part in enumerate(self.parts):
+                state = np.full(len(lanes), _START, np.int32)
                 count = np.zeros(len(lanes), np.int32)
                 lacks = np.zeros(len(lanes), np.int32)
                 for at in range(sizes[0]):
                     n = running[at]
-                    new = self.table[state[:n] * self.width + symbols[at, :n]]
+                    new = part.move(state[:n], symbols[at, :n], self.width)
                     count[:n] += new < 0
-                    lacks[:n] += new == -start
+                    lacks[:n] += new == -_START
                     np.abs(new, out=state[:n])
                 out[lanes, lang] = count
                 lacking[lanes, lang] = lacks
@@ -187,7 +227,7 @@ class Models:
         """(language, score) of each text; the score is the winner's margin over the next, as a share."""
         owners, blocks, size = [], [], [0] * len(batch)
         for k, text in enumerate(batch):
-            symbols = self.coded(text) if text else np.empty(0, np.uint8)
+            symbols = self.coded(text) if text else np.empty(0, np.int32)
             size[k] = len(symbols)
             for a in range(0, len(symbols), BLOCK):
                 owners.append(k)

@@ -118,3 +118,38 @@ def test_letterless_texts_take_no_place_in_the_sample(spark):
     rows += [(i, "42", "xx") for i in range(410, 420)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert "cat" in langid.sample(docs)["en"] and "xx" not in langid.sample(docs)
+
+
+@pytest.mark.parametrize("columns", [2, 3, 7, 126])
+def test_rare_letters_are_parsed_like_frequent_ones(monkeypatch, columns):
+    monkeypatch.setattr(langid, "ALPHABET", columns)
+    models = langid.Models({**SAMPLE, "zh": SCRIPTS["zh"][0]})
+    for text in ["the dog sat far away on the mat", "le chien", "zzz the q le 我们今天去公园", "猫在桌子上 the cat", "a" * 100]:
+        symbols = models.coded(text)
+        blocks = [symbols[a : a + langid.BLOCK] for a in range(0, len(symbols), langid.BLOCK)]
+        sources = [SAMPLE["en"], SAMPLE["fr"], SCRIPTS["zh"][0]]
+        assert models.phrases(blocks).sum(axis=0).tolist() == [phrases(models, text, s) for s in sources]
+
+
+# Text to learn from and text to tell.
+SCRIPTS = {
+    "zh": ("我们今天去公园散步,天气很好。猫在桌子上睡觉,狗在外面跑。他们明天要去学校学习中文。", "今天天气很好,我们去学校。"),
+    "ja": ("私たちは今日公園へ散歩に行きます。猫は机の上で寝ています。犬は外で走っています。明日は学校で日本語を勉強します。", "今日は学校へ行きます。犬は寝ています。"),
+    "ko": ("우리는 오늘 공원에 산책하러 갑니다. 고양이는 책상 위에서 자고 있습니다. 내일은 학교에서 한국어를 공부합니다.", "오늘은 학교에서 공부합니다. 고양이는 자고 있습니다."),
+    "ru": ("мы сегодня идём гулять в парк, погода хорошая. кошка спит на столе, а собака бегает на улице. завтра мы пойдём в школу.", "собака спит на улице, а кошка на столе."),
+    "el": ("σήμερα πάμε βόλτα στο πάρκο, ο καιρός είναι καλός. η γάτα κοιμάται στο τραπέζι και ο σκύλος τρέχει έξω.", "ο σκύλος κοιμάται στο πάρκο και η γάτα έξω."),
+    "ar": ("نذهب اليوم إلى الحديقة والطقس جميل. القطة تنام على الطاولة والكلب يركض في الخارج. غدا نذهب إلى المدرسة.", "الكلب ينام في الحديقة والقطة على الطاولة."),
+}
+
+
+def test_scripts_side_by_side(spark):
+    docs = documents(spark, "/root/testdata/sf0.01").where("lang is not null")
+    learned = {**langid.sample(docs), **{lang: learn for lang, (learn, _) in SCRIPTS.items()}}
+    models = langid.Models(learned)
+    assert (models.coded("".join(t for _, t in SCRIPTS.values())) != 0).all()
+    tell = {lang: text for lang, (_, text) in SCRIPTS.items()}
+    for lang in ("en", "fr"):
+        tell[lang] = learned[lang][1000:1200]
+    assert {lang: models.predict([text])[0][0] for lang, text in tell.items()} == {lang: lang for lang in tell}
+    scores = dict(zip(tell, (s for _, s in models.predict(list(tell.values())))))
+    assert all(s > 0.05 for s in scores.values())
