@@ -56,21 +56,34 @@ def fold(doc_id: str | Column = "doc_id") -> Column:
 def sample(docs: DataFrame, max_docs: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Labelled text of each language, from the documents of all folds but 0.
 
-    Chosen on ids alone: a rank limit that Spark applies before the shuffle, so a language with
-    most of the rows sends no more than the others. Texts are fetched for the chosen ids only.
+    Chosen on distinct ids alone, by a rank limit that Spark applies before the shuffle, so a language
+    with most of the rows sends no more than the others. Texts are fetched for the chosen ids only,
+    one for each id (the smallest beginning, where its rows differ), and share the characters
+    evenly; what short ones leave goes to the longer.
     """
     labelled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text")
     ).where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{M}]"))
-    keyed = labelled.select("lang", F.xxhash64("doc_id").alias("order"), "doc_id")
+    keyed = labelled.select("lang", F.xxhash64("doc_id").alias("order"), "doc_id").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    chosen = keyed.withColumn("rank", rank).where(F.col("rank") <= max_docs).select("lang", "doc_id").distinct()
+    chosen = keyed.withColumn("rank", rank).where(F.col("rank") <= max_docs).select("lang", "doc_id")
     rows = labelled.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi")
     part = F.substring("text", 1, max_chars)
+    one = rows.groupBy("lang", "doc_id").agg(F.min(part).alias("part"))
     found: dict[str, list[tuple]] = {}
-    for r in rows.select("lang", F.xxhash64("doc_id").alias("order"), part.alias("part")).collect():
-        found.setdefault(r["lang"], []).append((r["order"], r["part"]))
-    return {lang: "\n".join(p for _, p in sorted(parts))[:max_chars] for lang, parts in sorted(found.items())}
+    for r in one.select("lang", F.xxhash64("doc_id").alias("order"), "doc_id", "part").collect():
+        found.setdefault(r["lang"], []).append((r["order"], r["doc_id"], r["part"]))
+    return {lang: _even([p for *_, p in sorted(parts)], max_chars) for lang, parts in sorted(found.items())}
+
+
+def _even(parts: list[str], max_chars: int) -> str:
+    """The beginnings of texts, joined, as evenly long as they and ``max_chars`` allow."""
+    left = max(0, max_chars - (len(parts) - 1))
+    share = [0] * len(parts)
+    for done, k in enumerate(sorted(range(len(parts)), key=lambda k: len(parts[k]))):
+        share[k] = min(len(parts[k]), -(-left // (len(parts) - done)))
+        left -= share[k]
+    return "\n".join(p[:n] for p, n in zip(parts, share))[:max_chars]
 
 
 def _automaton(symbols: list[int]) -> tuple[list[dict[int, int]], int]:

@@ -153,3 +153,25 @@ def test_scripts_side_by_side(spark):
     assert {lang: models.predict([text])[0][0] for lang, text in tell.items()} == {lang: lang for lang in tell}
     scores = dict(zip(tell, (s for _, s in models.predict(list(tell.values())))))
     assert all(s > 0.05 for s in scores.values())
+
+
+def test_sample_holds_one_row_of_an_id(spark):
+    rows = [(7, f"copy {'x' * (i % 3)}", "en") for i in range(500)] + [(i, f"text of {i}", "en") for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").where(langid.fold() != 0)
+    ids = {r["doc_id"] for r in docs.select("doc_id").distinct().collect()}
+    assert 7 in ids
+    lines = langid.sample(docs)["en"].split("\n")
+    assert sorted(lines) == sorted(["copy " if i == 7 else f"text of {i}" for i in ids])
+    # An id's many rows take one place.
+    assert len(langid.sample(docs, max_docs=5)["en"].split("\n")) == 5
+
+
+def test_sample_shares_its_characters(spark):
+    rows = [(i, chr(97 + i) * (100_000 if i < 20 else 10), "en") for i in range(26)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").where(langid.fold() != 0)
+    kept = {r["doc_id"] for r in docs.collect()}
+    sample = langid.sample(docs, max_chars=2000)["en"]
+    counts = {i: sample.count(chr(97 + i)) for i in kept}
+    long = [n for i, n in counts.items() if i < 20]
+    assert len(sample) <= 2000 and max(long) - min(long) <= 1 and sum(counts.values()) > 1900
+    assert all(n == 10 for i, n in counts.items() if i >= 20)
