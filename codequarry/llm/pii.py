@@ -1,12 +1,14 @@
 """Personal data by offset-preserving deobfuscation.
 
 Detectors for e-mail addresses, IP addresses, card and phone numbers run on a text as it is; what
-they find are the base spans. Then two transducers rewrite the text, each output character keeping
-the place of the source characters it came from: one character by character (look-alike letters,
-full-width and foreign digits and marks, invisible characters), one over disguises (digits spelled
-as words, "at" and "dot" in brackets or as words between what would be an address). The same
-detectors run on the result, and their spans go back to source places. A span that overlaps a base
-span of its kind is dropped, so base spans always stay.
+they find are the base spans. Then transducers rewrite the text, each output character keeping the
+place of the source characters it came from: one character by character (look-alike letters,
+full-width and foreign digits and marks, invisible characters), the others over disguises (dots
+spelled or bracketed between numbers, digits spelled as words, "at" and "dot" in brackets or as words
+between what would be an address, its local part included). Few digits spelled among plain ones are
+rewritten where a detector finds something in the result. The same detectors run after each
+transducer that changed the text, so none hides what another has shown, and their spans go back to
+source places. A span inside one of its kind found before is dropped, so base spans always stay.
 
 Places count code points, ends are exclusive. Every scan is linear in the text: no pattern can
 start again inside a run it has failed on.
@@ -180,29 +182,58 @@ _ITEM = rf"(?:{_WORD}|{'|'.join(MARKS)}|[0-9]+)"
 _RUN = re.compile(rf"\+?{_ITEM}(?:[\x20,-]{{1,3}}{_ITEM})*\b", re.I)
 _TOKEN = re.compile(rf"{_ITEM}|\+", re.I)
 _STARTER = re.compile(rf"(?<![A-Za-z0-9])(?:\+|plus[\x20,-]{{1,3}})?(?:{_WORD}|[0-9]+)(?=[\x20,-]{{1,3}}(?:{_WORD}|{'|'.join(MARKS)}|[0-9]))", re.I)
+# Runs with as many digit words are rewritten as they are, others where a detector accepts the result.
 LEAST_SPELLED = 3
+_MARK_WORDS = frozenset(w.encode() for w in MARKS)
+_COMMA = re.compile(r"[\x20-]*,[\x20,-]*")
+
+
+def _joined(text: str, a: int, b: int) -> tuple[list[tuple[int, int, str]], str]:
+    """The changes that make a run one string of digits and marks, and that string."""
+    changes, out, last = [], [], a
+    for m in _TOKEN.finditer(text, a, b):
+        new = DIGITS.get(m[0].lower()) or MARKS.get(m[0].lower()) or m[0]
+        if m.start() > last:
+            changes.append((last, m.start(), ""))
+        if new != m[0]:
+            changes.append((*m.span(), new))
+        out.append(new)
+        last = m.end()
+    return changes, "".join(out)
+
+
+def _number(text: str) -> bool:
+    return bool(ips(text) or cards(text) or phones(text))
 
 
 def spelled_digits(text: Rewritten) -> None:
-    """Runs with at least three digit words become one string of digits and marks."""
-    if sum(map(_DIGIT_WORDS.__contains__, words(text.text))) < LEAST_SPELLED:
+    """Runs with at least three digit words, and others that have a digit or mark spelled and hold an
+    address or number when written out, become one string of digits and marks."""
+    there = set(words(text.text))
+    if there.isdisjoint(_DIGIT_WORDS) and there.isdisjoint(_MARK_WORDS):
         return
     changes, at = [], 0
     while start := _STARTER.search(text.text, at):
         run = _RUN.match(text.text, start.start())
         at = run.end() if run else start.end()
-        if not run or len(_first(_SPELLED, run[0], LEAST_SPELLED)) < LEAST_SPELLED:
+        if not run:
             continue
-        tokens = list(_TOKEN.finditer(run[0]))
-        last = run.start()
-        for i, m in enumerate(tokens):
-            new = DIGITS.get(m[0].lower()) or MARKS.get(m[0].lower()) or m[0]
-            a, b = run.start() + m.start(), run.start() + m.end()
-            if a > last:
-                changes.append((last, a, ""))
-            if new != m[0]:
-                changes.append((a, b, new))
-            last = b
+        if len(_first(_SPELLED, run[0], LEAST_SPELLED)) >= LEAST_SPELLED:
+            changes += _joined(text.text, *run.span())[0]
+            continue
+        whole = [run.span()]
+        commas = [m.span() for m in _COMMA.finditer(text.text, *run.span())]
+        between = zip([run.start(), *(b for _, b in commas)], [*(a for a, _ in commas), run.end()])
+        # A number with commas inside, or else numbers between commas.
+        for spans in (whole, list(between) if commas else []):
+            found = []
+            for a, b in spans:
+                if any(c.isalpha() for c in text.text[a:b]):
+                    new, number = _joined(text.text, a, b)
+                    found += new if _number(number) else []
+            if found:
+                changes += found
+                break
     text.replace(changes)
 
 
@@ -216,18 +247,65 @@ def _first(pattern: re.Pattern, text: str, n: int) -> list[re.Match]:
 
 
 _AT = re.compile(r"\s{0,2}[\[({<]\s{0,2}at\s{0,2}[\])}>]\s{0,2}|\s{1,2}at\s{1,2}|\s{0,2}@\s{0,2}", re.I)
-_DOT = r"(?:\s{0,2}[\[({<]\s{0,2}(?:dot|point|punkt|punto)\s{0,2}[\])}>]\s{0,2}|\s{1,2}dot\s{1,2}|\.)"
+_BRACKETED = r"\s{0,2}[\[({<]\s{0,2}(?:dot|point|punkt|punto|\.)\s{0,2}[\])}>]\s{0,2}"
+_BRACKETED_SIGN = re.compile(r"[\[({<]\s{0,2}\.\s{0,2}[\])}>]")
+_DOT = rf"(?:{_BRACKETED}|\s{{1,2}}dot\s{{1,2}}|\.)"
 _DOTS = re.compile(_DOT, re.I)
+_DOT_BEFORE = re.compile(rf"(?:{_BRACKETED}|\s{{1,2}}dot\s{{1,2}})\Z", re.I)
+# Longest spelled dot: five letters, a bracket and two blanks on either side, and two more outside.
+_DOT_LENGTH = 15
 _SPELLED_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
 # Words behind a bare "at" that start no domain.
 _NO_DOMAIN = frozenset(("a", "an", "the", "this", "that", "my", "our", "your", "his", "her", "their", "its"))
 
 
+# Four numbers, each in digits or up to three digit words, with dots of any form between.
+_OCTET = rf"(?:[0-9]++|\b(?:{_WORD})(?:[\x20-](?:{_WORD})){{0,2}}\b)"
+_OCTET_DOT = rf"(?:{_BRACKETED}|\s{{1,2}}(?:dot|point|punkt|punto)\s{{1,2}}|\.)"
+_SPELLED_IP = re.compile(rf"(?<![0-9]){_OCTET}(?:{_OCTET_DOT}{_OCTET}){{3}}", re.I)
+_IP_TOKEN = re.compile(rf"(?P<dot>{_OCTET_DOT})|{_WORD}|[0-9]+|[\x20-]", re.I)
+
+
+def _has_dots(text: str, there: set[bytes]) -> bool:
+    return not there.isdisjoint(_DOT_WORDS) or bool(_BRACKETED_SIGN.search(text))
+
+
+def spelled_dots(text: Rewritten) -> None:
+    """Spelled and bracketed dots between four numbers become signs where that makes an IP address."""
+    if not _has_dots(text.text, set(words(text.text))):
+        return
+    changes = []
+    for run in _SPELLED_IP.finditer(text.text):
+        new, out = [], []
+        for m in _IP_TOKEN.finditer(text.text, *run.span()):
+            plain = "." if m["dot"] else DIGITS.get(m[0].lower(), "" if m[0] in " -" else m[0])
+            out.append(plain)
+            if plain != m[0]:
+                new.append((*m.span(), plain))
+        if ips("".join(out)):
+            changes += new
+    text.replace(changes)
+
+
+def _local_dots(text: str, end: int, free: int) -> list[Span]:
+    """Spelled dots of the local part that ends at ``end``, in order; none starts before ``free``."""
+    found = []
+    while True:
+        while end > free and text[end - 1] in _LOCAL:
+            end -= 1
+        dot = _DOT_BEFORE.search(text, max(free, end - _DOT_LENGTH), end)
+        if not dot or dot.start() <= free or text[dot.start() - 1] not in _LOCAL:
+            return found[::-1]
+        found.append(dot.span())
+        end = dot.start()
+
+
 def spelled_addresses(text: Rewritten) -> None:
     """"at" and "dot" between the parts of an address become signs. A bare word "at" counts only
-    where some dot is spelled too; plain addresses stay as they are."""
+    where some dot is spelled too; plain addresses stay as they are. Dots count in the local part as
+    in the domain."""
     there = set(words(text.text))
-    if there.isdisjoint(_DOT_WORDS) and not (b"at" in there and any(c in text.text for c in "[({<")):
+    if not _has_dots(text.text, there) and not (b"at" in there and any(c in text.text for c in "[({<")):
         return
     changes, free = [], 0
     for at in _AT.finditer(text.text):
@@ -241,8 +319,12 @@ def spelled_addresses(text: Rewritten) -> None:
         bracket = at[0].strip()[0] in "[({<"
         bare = not bracket and at[0].strip() != "@"
         first = text.text[domain.start() : dots[0].start()].lower()
-        if not (bracket or spelled) or bare and first in _NO_DOMAIN:
+        if bare and first in _NO_DOMAIN:
             continue
+        local = _local_dots(text.text, at.start(), free)
+        if not (bracket or spelled or local):
+            continue
+        changes += [(*d, ".") for d in local]
         changes.append((*at.span(), "@"))
         changes += [(*d.span(), ".") for d in spelled]
         free = domain.end()
@@ -253,18 +335,19 @@ def all_spans(text: str, base: dict[str, list[Span]] | None = None) -> dict[str,
     """Base spans and those found after rewriting, each kind in order."""
     spans = {kind: list(found) for kind, found in (base or base_spans(text)).items()}
     plain = Rewritten(text)
-    for transducer in (plain_characters, spelled_digits, spelled_addresses):
+    for transducer in (plain_characters, spelled_dots, spelled_digits, spelled_addresses):
+        before = plain.text
         transducer(plain)
-    if plain.text == text:
-        return spans
-    for kind, found in base_spans(plain.text).items():
-        known, more, k = spans[kind], [], 0
-        for a, b in map(plain.source, found):
-            while k < len(known) and known[k][1] <= a:
-                k += 1
-            if k == len(known) or not (known[k][0] <= a and b <= known[k][1]):
-                more.append((a, b))
-        spans[kind] = sorted(known + more)
+        if plain.text == before:
+            continue
+        for kind, found in base_spans(plain.text).items():
+            known, more, k = spans[kind], [], 0
+            for a, b in map(plain.source, found):
+                while k < len(known) and known[k][1] <= a:
+                    k += 1
+                if k == len(known) or not (known[k][0] <= a and b <= known[k][1]):
+                    more.append((a, b))
+            spans[kind] = sorted(known + more)
     return spans
 
 

@@ -110,3 +110,45 @@ def test_redacted(spark):
     rows = {(r["doc_id"], r["text"], r["n_chars"]) for r in got.collect()}
     assert (50, "Mail <EMAIL>!", 13) in rows and (4, None, None) in rows
     assert pii.redacted(empty(spark)).collect() == [] and pii.find(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, kind, found",
+    [
+        ("host 192 dot 168 dot 1 dot 10 up", "ip", "192 dot 168 dot 1 dot 10"),
+        ("192[.]168[.]1[.]1", "ip", "192[.]168[.]1[.]1"),
+        ("10(dot)0(dot)0(dot)1", "ip", "10(dot)0(dot)0(dot)1"),
+        ("192.168.1[.]1", "ip", "192.168.1[.]1"),
+        ("ten 10[.]zero[.]0[.]1", "ip", "10[.]zero[.]0[.]1"),
+        ("one two three 192 dot 168 dot 1 dot 10", "ip", "192 dot 168 dot 1 dot 10"),
+        ("call +44 seven 700 900 one 23 now", "phone", "+44 seven 700 900 one 23"),
+        ("plus 44 7700 900 123", "phone", "plus 44 7700 900 123"),
+        ("pay 4111 1111 1111 111 one now", "card", "4111 1111 1111 111 one"),
+        ("four 111 1111 1111 111 one, 2 items", "card", "four 111 1111 1111 111 one"),
+        ("john dot doe at example dot com", "email", "john dot doe at example dot com"),
+        ("ask john[dot]doe[at]example[dot]com", "email", "john[dot]doe[at]example[dot]com"),
+        ("ask john[.]doe@example[.]com", "email", "john[.]doe@example[.]com"),
+        ("it is john dot doe at example.com", "email", "john dot doe at example.com"),
+    ],
+)
+def test_few_spelled_parts(text, kind, found):
+    assert [text[a:b] for a, b in pii.all_spans(text)[kind]] == [found]
+    assert pii.masked(text) == text.replace(found, f"<{kind.upper()}>")
+
+
+def test_spelled_dots_before_a_plain_address():
+    text = "john dot a dot doe@example.com"
+    assert set(pii.base_spans(text)["email"]) < set(pii.all_spans(text)["email"])
+    assert pii.masked(text) == "<EMAIL>"
+
+
+@pytest.mark.parametrize("text", ["version 1 dot 2 and one 3", "300 dot 1 dot 1 dot 1", "one 1234 5678 9012 3456", "two of 12, 15 and 20", "+44 seven 7"])
+def test_numbers_no_detector_accepts_stay(text):
+    assert pii.listed(pii.all_spans(text)) == "" and pii.masked(text) == text
+
+
+@pytest.mark.parametrize("text", ["1 dot " * 200_000, "one, 1, " * 100_000, "a dot " * 200_000 + "b at c.d", "1" * 10**6 + " dot one 1", "a dot b at the.c " * 60_000, "[.]" * 300_000, "one 1 x " * 100_000])
+def test_few_spelled_parts_are_linear(text):
+    start = time.process_time()
+    pii.all_spans(text)
+    assert time.process_time() - start < 12
