@@ -3,8 +3,8 @@
 Fingerprints that differ in at most three bits agree in one of any four groups of bits. That gives
 the index its upper nodes: fingerprints are dealt out by (mask, pattern), a quarter of the bits and
 what stands there, once for each quarter. A node with too many fingerprints is refined the same
-way by a quarter of its remaining bits, as often as it takes, so no task gets an unbounded node
-and no link is lost. Below, a task sorts a node's fingerprints by Gray rank (neighbours then
+way by a quarter of its remaining bits, ``LEVELS`` levels deep at most; a node that is still too
+large goes whole to one task. No link is lost. Below, a task sorts a node's fingerprints by Gray rank (neighbours then
 differ in few bits), factors the bits that runs of them share into a tree of masked patterns, and
 joins the tree with itself from the top, adding up differences over the newly shared bits: a pair
 of subtrees is dropped as soon as these exceed three, or when all it holds is connected already.
@@ -33,9 +33,10 @@ BITS = 64
 DISTANCE = 3
 SHINGLE = 3
 SEED = 42
-# Nodes with more fingerprints are refined; a task compares at most this many squared.
+# Nodes with more fingerprints are refined, down to the last level; a node of the last level may have
+# more, and a task compares as many squared at worst.
 NODE = 2048
-# Refinements at most. Four leave 20 open bits, so a node is bounded by 2**20 fingerprints anyway.
+# Levels of masks at most. Four leave 20 or 21 bits open, so a node has at most 2**21 fingerprints.
 LEVELS = 4
 # Children of a tree node, and pairs of nodes looked at in one step: they have up to FANOUT squared
 # times as many pairs of children, of some 64 bytes each while these are formed.

@@ -72,7 +72,7 @@ def test_blocks_of_shingles_add_up(monkeypatch):
     assert simhash.fingerprint(text) == whole
 
 
-@pytest.mark.parametrize("node_size", [8, 2048])
+@pytest.mark.parametrize("node_size", [2, 8, 2048])
 def test_membership(spark, node_size):
     for docs in (
         awkward(spark),
