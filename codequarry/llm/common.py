@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +45,19 @@ def per_batch(
             yield fn(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Rows in order as tables of at most ``limit`` bytes of text, or of one longer text."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        start = 0
+        for k, more in enumerate(sizes.tolist()):
+            if size and size + more > limit:
+                yield pa.Table.from_batches([*held, batch.slice(start, k - start)])
+                held, size, start = [], 0, k
+            size += more
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -1,9 +1,11 @@
 """Token ids of texts as the ``tokenizers`` library gives them, with a bounded memory of pieces."""
 
 import json
+import re
 from itertools import chain
 
 import tiktoken
+from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from .pretokens import PATTERN, split
@@ -74,8 +76,11 @@ class LibraryEncoder:
         return b"".join([i.to_bytes(WIDTH, "little") for i in ids])
 
 
-def from_json(source: bytes) -> PieceEncoder | LibraryEncoder:
-    """An encoder for a tokenizers file: piece by piece where that provably gives the same ids."""
+def from_json(source: bytes, plain_special: bool = False) -> PieceEncoder | LibraryEncoder:
+    """An encoder for a tokenizers file: piece by piece where that provably gives the same ids.
+
+    With ``plain_special`` the strings of special tokens are ordinary text.
+    """
     spec = json.loads(source)
     model, alphabet = spec["model"], _byte_of_char()
     added = spec.get("added_tokens") or []
@@ -99,13 +104,70 @@ def from_json(source: bytes) -> PieceEncoder | LibraryEncoder:
         single = [v for k, v in known.items() if len(k) == 1]
         if in_order and len(single) == 256 and max(single) < min(merged, default=256):
             ranks = {bytes(alphabet[c] for c in k): v for k, v in known.items()}
-            return PieceEncoder(ranks, special)
+            return PieceEncoder(ranks, {} if plain_special else special)
     tokenizer = Tokenizer.from_str(source.decode())
+    tokenizer.encode_special_tokens = plain_special
     tokenizer.no_truncation()
     tokenizer.no_padding()
     return LibraryEncoder(tokenizer)
 
 
+# A run of spaces with what follows up to the next one.
+_SEGMENT = re.compile(" +[^ ]*")
+_META = "\u2581"
+
+
+class SegmentEncoder(dict):
+    """Text to ids for a sentencepiece model that puts a space in front of each text.
+
+    Where no piece has a space behind another character, nothing merges across the start of a run
+    of spaces: text is cut there, and a segment's ids are looked up or made by the library and
+    remembered. Any other model encodes whole texts. As a dict it maps a segment to its ids' bytes.
+    """
+
+    def __init__(self, model: bytes):
+        super().__init__()
+        self._sp = SentencePieceProcessor(model_proto=model)
+        pieces = [self._sp.id_to_piece(i) for i in range(self._sp.get_piece_size())]
+        self._whole = any(re.search(f"[^{_META}]{_META}", p) for p in pieces)
+
+    def _encode(self, text: str) -> bytes:
+        return b"".join([i.to_bytes(WIDTH, "little") for i in self._sp.encode(text)])
+
+    def __missing__(self, segment: str) -> bytes:
+        # The library puts the first space there itself, but in front of nothing.
+        packed = self._encode(segment[1:]) if len(segment) > 1 else self._sp.piece_to_id(_META).to_bytes(WIDTH, "little")
+        if len(segment) <= PIECE_CHARS:
+            if len(self) >= PIECES:
+                self.clear()
+            self[segment] = packed
+        return packed
+
+    def ids(self, text: str) -> bytes:
+        if self._whole or not text or _META in text:
+            return self._encode(text)
+        return b"".join(map(self.__getitem__, _SEGMENT.findall(" " + text)))
+
+    def spelled(self) -> list[bytes]:
+        """The bytes of each id: meta spaces as spaces, byte pieces as their byte."""
+        sp = self._sp
+        names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+        return [
+            bytes([int(n[3:5], 16)]) if sp.is_byte(i) else n.replace(_META, " ").encode() for i, n in enumerate(names)
+        ]
+
+
+def spelled_by_json(source: bytes) -> list[bytes]:
+    """The bytes of each id of a byte-level tokenizers file; a special token's are its name's."""
+    spec, alphabet = json.loads(source), _byte_of_char()
+    special = {t["id"]: t["content"] for t in spec.get("added_tokens") or []}
+    vocab = {i: k for k, i in spec["model"]["vocab"].items()} | special
+    return [
+        vocab.get(i, "").encode() if i in special or i not in vocab else bytes(alphabet[c] for c in vocab[i])
+        for i in range(max(vocab, default=-1) + 1)
+    ]
+
+
 _LOADED: dict[str, PieceEncoder | LibraryEncoder] = {}
 
 

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch
-from . import bpe, exact_dedup, langid, license_scan, packing, pii, quality, sharding, simhash, token_counts
+from . import alignment, bpe, exact_dedup, langid, license_scan, packing, pii, quality, sharding, simhash, token_counts
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.places(documents(spark, sf_dir), shards=40, seed=20)
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return alignment.alignment(documents(spark, sf_dir), a, b)
