@@ -47,13 +47,15 @@ def per_batch(
     return df.mapInArrow(run, schema)
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
-    """Rows in order as tables of at most ``limit`` bytes of text, or of one longer text."""
+def blocks_of(batches: Iterator[pa.RecordBatch], limit: int, row: int = 0) -> Iterator[pa.Table]:
+    """Rows in order as tables of at most ``limit`` bytes of text, or of one longer text; each row
+    counts ``row`` bytes more."""
     held, size = [], 0
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
         start = 0
         for k, more in enumerate(sizes.tolist()):
+            more += row
             if size and size + more > limit:
                 yield pa.Table.from_batches([*held, batch.slice(start, k - start)])
                 held, size, start = [], 0, k

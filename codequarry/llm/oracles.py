@@ -67,4 +67,33 @@ ORACLES = {
           coalesce(array_to_string(list_sort(labels), ','), '') AS labels, coalesce(score, 0)::DOUBLE AS score
         FROM texts LEFT JOIN whole USING (rid)
     """,
+    "op13_ranked_search": r"""
+        WITH lowered AS (
+          SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+          FROM documents
+        ),
+        totals AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM lowered WHERE len(w) > 0),
+        tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM lowered) GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        asked AS (
+          SELECT row_number() OVER () AS qid, item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+          FROM benchmark
+        ),
+        terms AS (SELECT qid, item_id, term, count(*) AS times FROM (SELECT qid, item_id, unnest(w) AS term FROM asked) GROUP BY ALL),
+        weights AS (
+          SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight FROM df, totals
+        ),
+        lengths AS (SELECT rid, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms AS m FROM lowered, totals WHERE len(w) > 0),
+        scored AS (
+          SELECT qid, item_id, rid, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+          FROM terms JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (rid) GROUP BY ALL
+        )
+        SELECT item_id, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS FIRST, rid))::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY rank <= 10
+    """,
 }

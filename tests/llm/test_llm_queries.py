@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     registered = entry.queries()
     assert all(registered[n] is q for n, q in QUERIES.items()) and registered["pipeline"] is corpus_pipeline.run
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(entry.oracle_sql())
