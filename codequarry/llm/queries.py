@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch
-from . import alignment, bpe, exact_dedup, langid, license_scan, packing, pii, quality, search, sharding, simhash, token_counts
+from . import alignment, bpe, exact_dedup, langid, license_scan, packing, pii, quality, repeats, search, sharding, simhash, token_counts
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,11 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment(documents(spark, sf_dir), a, b)
 
 
+@query
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(documents(spark, sf_dir))
+
+
 @query
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)

@@ -25,5 +25,7 @@ def test_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_document_is_in_the_result(spark, name):
+    if name == "op13_ranked_search":
+        pytest.skip("a ranking holds the best documents only")
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
     assert QUERIES[name](spark, SF).select("doc_id").distinct().count() == docs.distinct().count()
