@@ -1,13 +1,21 @@
 """Lexical patterns for TypeScript-family source code and functions over the tokens.
 
+Patterns alone can't tell a regex literal from division, nor find the end of a template whose holes
+hold templates. Texts without a slash that isn't a comment's and without template holes need
+neither: they are cut by patterns in the JVM. The others pass their literals' places through
+``modes``, in Arrow batches, and only what stands between is cut by patterns.
+
 Possessive quantifiers matter: Java evaluates a possessive group in a loop, where a greedy one
 recurses once per repetition and overflows the task's stack on long literals.
 """
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .expr import as_col, let
+from .modes import Modes, whole_literals
 
 NAME = r"[\p{L}_$][\p{L}\p{N}_$]*+"
 COMMENT = r"/\*(?:[^*]++|\*(?!/))*+(?:\*/)?|//[^\n]*+"
@@ -29,15 +37,79 @@ RESERVED = (
 ).split()
 
 
+# A slash that begins or ends no comment.
+_LONE_SLASH = r"(?<![/*])/(?![/*])"
+
+
+def has_plain_literals(c) -> Column:
+    """Whether patterns find all literals: no regex literal, division or template hole."""
+    c = as_col(c)
+    return ~(c.rlike(_LONE_SLASH) | (F.contains(c, F.lit("`")) & F.contains(c, F.lit("${"))))
+
+
+def _lists(texts: pa.Array, of_text, names: list[str]) -> pa.Array:
+    """One list of structs for each text, null for null; ``of_text`` gives a text's rows."""
+    offsets, rows = [0], []
+    for text in texts.to_pylist():
+        if text is not None:
+            rows.extend(of_text(text))
+        offsets.append(len(rows))
+    columns = list(zip(*rows)) or [()] * len(names)
+    types = [pa.bool_() if n == "literal" else pa.string() for n in names]
+    structs = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs, mask=texts.is_null())
+
+
+def _cut_at_literals(text: str) -> list[tuple[str, bool]]:
+    out, at = [], 0
+    for start, end in whole_literals(text):
+        out += [(text[at:start], False), (text[start:end], True)]
+        at = end
+    return [(t, literal) for t, literal in [*out, (text[at:], False)] if t]
+
+
+def _rows_of(**fields: T.DataType) -> T.DataType:
+    return T.ArrayType(T.StructType([T.StructField(n, t) for n, t in fields.items()]))
+
+
+@F.arrow_udf(_rows_of(text=T.StringType(), literal=T.BooleanType()))
+def _at_literals(texts: pa.Array) -> pa.Array:
+    return _lists(texts, _cut_at_literals, ["text", "literal"])
+
+
+@F.arrow_udf(_rows_of(noise=T.StringType(), kind=T.StringType(), mark=T.StringType()))
+def marks(texts: pa.Array) -> pa.Array:
+    """Marks of each text with the text before them; regex literals and the parts of templates are
+    strings, a template's holes brackets of their own."""
+
+    def of_text(text: str):
+        for begin, start, end, kind in Modes().scan(text):
+            yield text[begin:start], "string" if kind == "template" else kind, text[start:end]
+
+    return _lists(texts, of_text, ["noise", "kind", "mark"])
+
+
 def lex(c) -> Column:
     """All tokens including whitespace and comments; joined they give the text back."""
-    return F.regexp_extract_all(as_col(c), F.lit(TOKEN), F.lit(0))
+    c = as_col(c)
+    plain = has_plain_literals(c)
+
+    def cut(text: Column) -> Column:
+        return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+    parts = _at_literals(F.when(~plain, c))
+    odd = F.flatten(F.transform(parts, lambda p: F.when(p["literal"], F.array(p["text"])).otherwise(cut(p["text"]))))
+    return F.when(plain, cut(c)).otherwise(odd)
 
 
 def is_comment(tok: Column) -> Column:
     return tok.startswith("//") | tok.startswith("/*")
 
 
+def _is_code(tok: Column) -> Column:
+    return ~(is_blank(tok) | is_comment(tok))
+
+
 def is_blank(tok: Column) -> Column:
     return tok.rlike(r"\A\s")
 
@@ -46,7 +118,7 @@ def code_tokens(c, comments: bool = True) -> Column:
     """Leaf tokens without whitespace, string literals whole."""
     if comments:
         return F.filter(lex(c), lambda t: ~is_blank(t))
-    return F.filter(lex(c), lambda t: ~(is_blank(t) | is_comment(t)))
+    return F.filter(lex(c), _is_code)
 
 
 def comments_of(c) -> Column:
@@ -68,7 +140,7 @@ def obfuscated(function, parameters, keep_space: bool = False) -> Column:
     rest = F.substr(function, at + F.length(parameters))
     # Without a parameter list (a bare arrow) everything is body.
     body_at = F.when(parameters == "", F.lit(1)).otherwise(F.greatest(F.instr(rest, F.lit("{")), F.lit(1)))
-    keep = (lambda t: ~is_comment(t)) if keep_space else (lambda t: ~(is_blank(t) | is_comment(t)))
+    keep = (lambda t: ~is_comment(t)) if keep_space else _is_code
 
     def tokens(c: Column) -> Column:
         return F.filter(lex(c), keep)
@@ -96,6 +168,7 @@ def obfuscated(function, parameters, keep_space: bool = False) -> Column:
 
     parts = F.struct(
         tokens(parameters).alias("params"),
+        tokens(F.substr(rest, F.lit(1), body_at - 1)).alias("type"),
         tokens(F.substr(rest, body_at)).alias("body"),
     )
     return F.concat(
@@ -106,7 +179,7 @@ def obfuscated(function, parameters, keep_space: bool = False) -> Column:
                 F.array_distinct(F.array_compact(F.concat(n["params"], n["body"]))),
                 lambda order: F.concat(
                     rename(p["params"], n["params"], order),
-                    tokens(F.substr(rest, F.lit(1), body_at - 1)),
+                    p["type"],
                     rename(p["body"], n["body"], order),
                 ),
             ),

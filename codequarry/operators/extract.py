@@ -1,7 +1,7 @@
 """Functions out of source files, as relational operators over structural events.
 
-A file's text is cut at its structural marks: brackets of all three kinds, string literals and runs
-of comments. Windows over a file's pieces give offsets, lines and bracket depth, and pair brackets.
+A file's text is cut at its structural marks: brackets of all three kinds, template holes, string
+and regex literals and runs of comments. Windows over a file's pieces give offsets, lines and bracket depth, and pair brackets.
 What stands between one bracket and its partner is a scope. A scope's own text, with everything in
 inner brackets shrunk to one character a pair, is its skeleton; in it a function header is flat
 text however deeply its parameters or types nest. One pattern per skeleton finds the headers, and
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.expr import count_newlines, let, staged
-from ..functions.lexing import COMMENT, NAME, STRING, code_tokens, obfuscated
+from ..functions.lexing import COMMENT, NAME, STRING, code_tokens, has_plain_literals, marks, obfuscated
 from .project import (
     BLACKLISTED_NAMES,
     function_record,
@@ -42,12 +42,14 @@ DEFAULT_LANGUAGE = "arkts"
 # Characters per piece of a file's text when functions are cut out of it.
 _CHUNK = 1024
 
-# Skeleton characters: a pair of brackets of each kind with all it holds, a string, comments.
-_P, _K, _B, _S, _C = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
+# Skeleton characters: a pair of brackets of each kind with all it holds, a string, comments, and a
+# template hole.
+_P, _K, _B, _S, _C, _H = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
 # What ends the gap before a find, its header, and its body.
 _GAP, _HEAD, _NEXT = "\ue010", "\ue011", "\ue012"
-_PRIVATE = _P + _K + _B + _S + _C + _GAP + _HEAD + _NEXT
-_SHRUNK = {"(": _P, "[": _K, "{": _B, "string": _S, "comment": _C}
+_PRIVATE = _P + _K + _B + _S + _C + _H + _GAP + _HEAD + _NEXT
+_SHRUNK = {"(": _P, "[": _K, "{": _B, "string": _S, "comment": _C, "${": _H}
+_OPENING = ("(", "[", "{", "${")
 
 _NOISE = r"""(?:[^(){}\[\]"'`/]++|/(?![/*]))*+"""
 _EVENT = rf"{_NOISE}(?:(?:{COMMENT})(?:\s*+(?:{COMMENT}))*+|{STRING}|[(){{}}\[\]]|\z)"
@@ -115,23 +117,34 @@ _BLOCK = 256
 def _events(files: DataFrame) -> DataFrame:
     """One row per structural mark, with the text before it: (file_id, pos, noise, kind, ...)."""
     # The line end keeps the last piece free of a mark even when the file ends in one.
-    pieces = F.regexp_extract_all(F.concat("content", F.lit("\n")), F.lit(_EVENT), F.lit(0))
-    rows = files.select("file_id", F.posexplode(pieces).alias("pos", "piece")).where("piece <> ''")
-    rows = staged(rows, noise=F.regexp_extract("piece", rf"\A{_NOISE}", 0))
+    content = F.concat("content", F.lit("\n"))
+    plain = has_plain_literals(content)
+    missing = F.lit(None).cast("string")
+    pieces = F.transform(
+        F.regexp_extract_all(content, F.lit(_EVENT), F.lit(0)),
+        lambda p: F.struct(missing.alias("noise"), missing.alias("kind"), p.alias("mark")),
+    )
+    found = F.when(plain, pieces).otherwise(marks(F.when(~plain, content)))
+    rows = files.select("file_id", F.posexplode(found).alias("pos", "m"))
+    rows = staged(rows, noise=F.coalesce("m.noise", F.regexp_extract("m.mark", rf"\A{_NOISE}", 0)))
+    rows = staged(
+        rows, piece=F.when(F.col("m.noise").isNull(), F.col("m.mark")).otherwise(F.concat("noise", "m.mark")), known=F.col("m.kind")
+    ).drop("m").where("piece <> ''")
     mark = F.substr(F.col("piece"), F.length("noise") + 1, F.lit(1))
+    kind = F.when(mark == "/", "comment").when(mark.isin('"', "'", "`"), "string").otherwise(mark)
     return rows.withColumns({
-        "kind": F.when(mark == "/", "comment").when(mark.isin('"', "'", "`"), "string").otherwise(mark),
+        "kind": F.coalesce("known", kind),
         "len": F.length("piece"),
         "lines": count_newlines(F.col("piece")),
         "tail": F.length(F.substring_index("piece", "\n", -1)),
-    }).drop("piece")
+    }).drop("piece", "known")
 
 
 def _items(events: DataFrame) -> DataFrame:
     """Events with their places, their bracket's partner, and the scope whose text they carry."""
     w = Window.partitionBy("file_id").orderBy("pos")
     so_far, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    opens, closes = F.col("kind").isin("(", "[", "{"), F.col("kind").isin(")", "]", "}")
+    opens, closes = F.col("kind").isin(*_OPENING), F.col("kind").isin(")", "]", "}")
     step = F.when(opens, 1).when(closes, -1).otherwise(0)
     blank = text.strip("noise") == ""
     role = (
@@ -276,7 +289,7 @@ def _located(scopes: DataFrame) -> DataFrame:
     newlines = count_newlines(lead_text)
     start = F.col("i.start") + within
     on_mark = within == F.length("i.text") - 1
-    group = on_mark & F.col("i.kind").isin("(", "[", "{")
+    group = on_mark & F.col("i.kind").isin(*_OPENING)
     literal = on_mark & F.col("i.kind").isin("string", "comment")
     rows = rows.select(
         *_SCOPE, "role", "opener", "find", "what", "gap", "header", "body",
@@ -327,7 +340,7 @@ def _declared(found: DataFrame) -> DataFrame:
         is_function=F.col("core").rlike(rf"\A{_MODIFIERS}function\b") & ~F.col("is_arrow"),
         no_parameters=F.col("parameters_stop") - F.col("parameters_start"),
     )
-    inner = F.col("opener").isin("(", "[") & (text.strip("gap") == "")
+    inner = F.col("opener").isin("(", "[", "${") & (text.strip("gap") == "")
     in_expression = (F.col("identifier") == "") | F.col("behind_operator") | F.coalesce(inner, F.lit(False))
     kind = (
         F.when(F.col("is_arrow"), "arrow")
