@@ -29,14 +29,21 @@ OPENING, CLOSING = ("(", "[", "{", "${"), (")", "]", "}")
 
 
 class Modes:
-    """The state between two marks of a text."""
+    """The state between two marks of a text, or of a piece of a text that ends with a line.
 
-    def __init__(self) -> None:
+    With ``inner``, brackets may have been opened before the piece: closing ones without a partner
+    are kept in ``closed``, and at a ``}`` without one, which may lead back into a template, the
+    scan stops and ``stopped`` is the place behind it.
+    """
+
+    def __init__(self, mode: str = "code", stack: list[tuple[str, bool]] | None = None, inner: bool = False) -> None:
+        self.mode, self.stopped = mode, -1
+        self.closed: str | None = "" if inner else None
         # Open brackets and holes: the bracket, and whether a value stands where it closes.
-        self.stack: list[tuple[str, bool]] = []
+        self.stack = list(stack or [])
         # The last token, and whether it ends a value, which a slash would divide.
         self.last, self.value = "", False
-        self.holes = 0
+        self.holes = sum(bracket == "${" for bracket, _ in self.stack)
 
     def _pass(self, noise: str) -> None:
         """Take up the last token of text without marks."""
@@ -67,33 +74,56 @@ class Modes:
         self.holes += bracket == "${"
         self.last, self.value = bracket, False
 
-    def _close(self, bracket: str) -> bool:
-        """Whether a template goes on behind it."""
+    def _close(self, bracket: str) -> bool | None:
+        """Whether a template goes on behind it; none if that depends on brackets opened before."""
         partner = {")": ("(",), "]": ("[",), "}": ("{", "${")}[bracket]
         if bracket == "}":
             while self.stack and self.stack[-1][0] not in partner:
                 self.stack.pop()
+        if self.closed is not None and not self.stack:
+            if bracket == "}":
+                return None
+            self.closed += bracket
         opened, after = self.stack.pop() if self.stack and self.stack[-1][0] in partner else ("", True)
         self.holes -= opened == "${"
         self.last, self.value = bracket, after
         return opened == "${"
 
-    def scan(self, text: str) -> Iterator[tuple[int, int, int, str]]:
-        """(start of the text before it, start, end, kind) of each mark; the last has no kind.
+    def scan(self, text: str, at: int = 0) -> Iterator[tuple[int, int, int, str]]:
+        """(start of the text before it, start, end, kind) of each mark from ``at`` on; the last has
+        no kind.
 
         A template is a string up to its end, or template text up to a hole, then the hole's
-        brackets with what they hold, and so on.
+        brackets with what they hold, and so on. ``mode`` says what ``at`` stands in, and in the end
+        what the end of the text does.
         """
-        begin = at = 0
-        while mark := _MARK.search(text, at):
-            start, c = mark.start(), mark[0]
-            self._pass(text[at:start])
-            if c in "\"'":
+        begin = at
+        first = at if self.mode == "template" else -1
+        if self.mode == "comment":
+            stop = text.find("*/", at)
+            at = len(text) if stop < 0 else stop + 2
+            yield begin, begin, at, "comment"
+            begin = at
+            if stop < 0:
+                yield begin, begin, begin, ""
+                return
+        self.mode = "code"
+        while first >= 0 or (mark := _MARK.search(text, at)):
+            if first < 0:
+                start, c = mark.start(), mark[0]
+                self._pass(text[at:start])
+            else:
+                # A piece that begins in a template.
+                start = end = first
+                c = ""
+            if c and c in "\"'":
                 end, kind = _QUOTED[c].match(text, start).end(), "string"
                 self.last, self.value = c, True
             elif c == "/":
                 if text.startswith(("//", "/*"), start):
                     end, kind = _COMMENTS.match(text, start).end(), "comment"
+                    if end == len(text) and _is_open(text[start:]):
+                        self.mode = "comment"
                 elif not self.value and (regex := _REGEX.match(text, start)):
                     end, kind = regex.end(), "string"
                     self.last, self.value = "/", True
@@ -101,14 +131,21 @@ class Modes:
                     self.last, self.value = "/", False
                     at = start + 1
                     continue
-            elif c in "([{":
+            elif c and c in "([{":
                 end, kind = start + 1, c
                 self._open(c)
             else:
-                end, kind, first = start + 1, c, start if c == "`" else -1
-                if c != "`" and self._close(c):
-                    yield begin, start, end, kind
-                    begin = first = end
+                if c == "`":
+                    end, first = start + 1, start
+                elif c:
+                    end, kind = start + 1, c
+                    goes_on = self._close(c)
+                    if goes_on is None:
+                        self.stopped = end
+                        return
+                    if goes_on:
+                        yield begin, start, end, kind
+                        begin = first = end
                 if first >= 0:
                     # Template text behind the backtick or the hole.
                     stop = _TEMPLATE.match(text, end).end()
@@ -119,14 +156,22 @@ class Modes:
                         start, end, kind = stop, stop + 2, "${"
                         self._open("${")
                     else:
+                        if stop == len(text):
+                            self.mode = "template"
                         start, end, kind = first, min(stop + 1, len(text)), "string"
                         self.last, self.value = "`", True
+                    first = -1
             yield begin, start, end, kind
             begin = at = end
         self._pass(text[at:])
         yield begin, len(text), len(text), ""
 
 
+def _is_open(comments: str) -> bool:
+    """Whether the last of adjoining comments is a block that doesn't end."""
+    last = [m[0] for m in re.finditer(_COMMENT, comments)][-1]
+    return last.startswith("/*") and (len(last) < 4 or not last.endswith("*/"))
+
 
 def whole_literals(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of each comment and literal, templates with all that their holes hold."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.expr import count_newlines, let, staged
 from ..functions.lexing import COMMENT, NAME, STRING, code_tokens, has_plain_literals, marks, obfuscated
+from .segments import segments
 from .project import (
     BLACKLISTED_NAMES,
     function_record,
@@ -397,14 +398,19 @@ def docstring_of(comments: Column) -> Column:
     return F.when(comments.isNotNull(), let(pieces, build)).otherwise(F.lit(""))
 
 
-def extract_functions(files: DataFrame, max_bytes: int | None = None) -> DataFrame:
+def extract_functions(files: DataFrame, max_bytes: int | None = None, split_above: int | None = None) -> DataFrame:
     """Functions of source files: one row per function, nested ones included.
 
+    With ``split_above``, files of more characters are cut into segments between top-level
+    declarations, each the work of one task; otherwise a file is.
     ``files`` has a unique ``file_id``, ``content`` and any further columns, which are kept.
     Adds kind, identifier, parameters, exported, docstring, function, start/end row and column.
     Files over ``max_bytes`` give no rows; without it there is no limit.
     """
     texts = files.where(within_size("content", max_bytes)).select("file_id", "content")
+    if split_above is not None:
+        cut = segments(texts, split_above)
+        texts = cut.select(F.struct("file_id", "segment", "first_row").alias("file_id"), "content")
     # Both sides of the join below start from this one exchange and stay partitioned by file_id.
     texts = texts.repartition("file_id")
     found = _found(texts).select(
@@ -446,6 +452,9 @@ def extract_functions(files: DataFrame, max_bytes: int | None = None) -> DataFra
         "file_id", "kind", "identifier", "parameters", "exported", "start_row", "start_col", "end_row", "end_col",
         "function", "docstring",
     )
+    if split_above is not None:
+        first = F.col("file_id.first_row")
+        cut = cut.withColumns({"start_row": F.col("start_row") + first, "end_row": F.col("end_row") + first, "file_id": F.col("file_id.file_id")})
     others = files.drop("content")
     return others.join(cut, "file_id") if others.columns != ["file_id"] else cut
 
@@ -464,14 +473,18 @@ def is_kept(identifier: str = "identifier", tokens: str = "function_tokens") ->
     return ~F.col(identifier).isin(*BLACKLISTED_NAMES) & has_min_tokens(tokens)
 
 
-def kept_functions(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
-    """Extracted functions with their text forms, without inherited names and one-token ones.
+def with_language(files: DataFrame, language: str = DEFAULT_LANGUAGE) -> DataFrame:
+    """``language`` as the language of files that have no column of that name."""
+    return files if "language" in files.columns else files.withColumn("language", F.lit(language))
 
-    ``language`` names the language of files that have no column of that name.
-    """
-    if "language" not in files.columns:
-        files = files.withColumn("language", F.lit(language))
-    return with_text_forms(extract_functions(files, max_bytes)).where(is_kept())
+
+def kept_rows(extracted: DataFrame) -> DataFrame:
+    """Extracted functions with their text forms, without inherited names and one-token ones."""
+    return with_text_forms(extracted).where(is_kept())
+
+
+def kept_functions(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
+    return kept_rows(extract_functions(with_language(files, language), max_bytes))
 
 
 def function_rows(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
@@ -482,8 +495,12 @@ def function_rows(files: DataFrame, max_bytes: int | None = None, language: str
 def bulk_rows(files: DataFrame, max_bytes: int | None = None, language: str = DEFAULT_LANGUAGE) -> DataFrame:
     """Function rows with the construct's type and its place: the 22 columns, type, start_point and
     end_point as structs of row and column, counted from zero."""
+    return placed_rows(kept_functions(files, max_bytes, language))
+
+
+def placed_rows(kept: DataFrame) -> DataFrame:
     place = F.struct("type", "start_point", "end_point")
-    found = kept_functions(files, max_bytes, language).withColumns({
+    found = kept.withColumns({
         "type": F.col("kind"),
         "start_point": F.struct(F.col("start_row").cast("int").alias("row"), F.col("start_col").cast("int").alias("col")),
         "end_point": F.struct(F.col("end_row").cast("int").alias("row"), F.col("end_col").cast("int").alias("col")),
@@ -497,17 +514,37 @@ def repository_rows(files: DataFrame, max_bytes: int | None = None, language: st
     ``files`` has path, content and sha; owner and relative path come from the path, test and
     dependency files are left out. One job over all repositories, partitioned by file.
     """
+    return function_rows(repository_files(files), max_bytes, language)
+
+
+def repository_files(files: DataFrame) -> DataFrame:
+    """Source files of repositories with their owner and relative path, their whole path as id."""
     nwo, inner = path_to_nwo("path")
     files = files.withColumns({"file_id": F.col("path"), "nwo": nwo, "path": inner})
-    return function_rows(files.where(is_source_path("path")), max_bytes, language)
+    return files.where(is_source_path("path"))
+
+
+def _files_with_finds(texts: DataFrame) -> DataFrame:
+    """Ids of files in which something is found, without locating it."""
+    scopes = _found_in(_items(_events(texts)))
+    unclosed = F.transform(
+        F.filter("items", lambda i: i["kind"].isin(*_OPENING) & i["close_end"].isNull()),
+        lambda i: (i["at"] + F.length(i["text"]) - 1).cast("int"),
+    )
+    rows = scopes.select("file_id", "role", "opener", unclosed.alias("unclosed"), F.inline("finds"))
+    last = F.col("offset") + F.length("gap") + F.length("header") + F.length("body") - 1
+    nowhere = F.lit(None).cast("bigint")
+    ends = rows.where(~F.array_contains("unclosed", last.cast("int")))
+    return _declared(ends.withColumns({"parameters_start": nowhere, "parameters_stop": nowhere})).select("file_id").distinct()
 
 
-def file_status(files: DataFrame, max_bytes: int | None = None) -> DataFrame:
+def file_status(files: DataFrame, max_bytes: int | None = None, found: DataFrame | None = None) -> DataFrame:
     """(file_id, status) of each file: ok, undecodable for null content, too_large, or unmatched
-    when nothing was found in it."""
+    when nothing was found in it. ``found`` may bring functions already extracted, by file_id."""
     fits = within_size("content", max_bytes)
-    texts = files.where(fits).select("file_id", "content").repartition("file_id")
-    found = _found(texts).select("file_id").distinct().withColumn("found", F.lit(True))
+    if found is None:
+        found = _files_with_finds(files.where(fits).select("file_id", "content").repartition("file_id"))
+    found = found.select("file_id").distinct().withColumn("found", F.lit(True))
     flagged = files.select("file_id", F.col("content").isNull().alias("undecodable"), fits.alias("fits"))
     status = (
         F.when(F.col("undecodable"), "undecodable")

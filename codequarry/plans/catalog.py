@@ -8,7 +8,7 @@ from ..operators import curate, extract, leakage, links, neardup, pages, project
 from ..session import SETTINGS
 from ..sources import readers, sinks
 from . import views
-from .views import documents, files, functions, licenses, repos, table, view
+from .views import documents, files, functions, licenses, literal_files, repos, table, view
 
 QUERIES = {}
 
@@ -472,6 +472,34 @@ def extract_functions(spark, sf):
     )
 
 
+@query
+def segmented_functions(spark, sf):
+    """The same rows from files cut into segments, each chunk and segment in a task of its own."""
+    rows = extract.extract_functions(files(spark, sf), split_above=1000)
+    return rows.select(
+        "file_id", "kind", "identifier", "parameters", "function",
+        F.col("start_row").cast("bigint").alias("start_row"), F.col("start_col").cast("bigint").alias("start_col"),
+        F.col("end_row").cast("bigint").alias("end_row"), F.col("end_col").cast("bigint").alias("end_col"),
+    )
+
+
+@query
+def literal_functions(spark, sf):
+    """Functions around regex literals, divisions and nested templates."""
+    rows = extract.extract_functions(literal_files(spark, sf))
+    return rows.select(
+        "file_id", "kind", "identifier", "parameters", "function", F.col("start_row").cast("bigint").alias("start_row")
+    )
+
+
+@query
+def literal_comments(spark, sf):
+    found = lexing.comments_of("content")
+    return literal_files(spark, sf).select(
+        "file_id", F.array_join(found, "\n").alias("comments"), lexing.remove_comments("content").alias("code")
+    )
+
+
 @query
 def attach_docstring(spark, sf):
     return extract.extract_functions(files(spark, sf)).select("file_id", "identifier", "kind", "docstring")

@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import curate, extract, leakage, neardup, similarity, stats
+from ..operators import curate, extract, leakage, neardup, segments, similarity, stats
+from ..operators.project import function_record
+from ..session import intermediates, written
 from ..sources import readers, sinks
 
 
@@ -16,20 +18,28 @@ def deduplicate(spark: SparkSession, functions_dir: str, info_dir: str, output_d
     return sinks.write_parquet(curate.best_functions(enriched), f"{output_dir}/functions")
 
 
-def _bulk(files: DataFrame, max_bytes: int, output: str, mode: str) -> int:
-    """Bulk rows to ``output``, and each file's status next to it."""
-    sinks.write_parquet(extract.file_status(files, max_bytes), f"{output}_status", mode)
-    return sinks.write_parquet(extract.bulk_rows(files, max_bytes), output, mode)
+def _extract(files: DataFrame, rows_of, output: str, mode: str, max_bytes: int | None = None) -> int:
+    """Rows of the files' functions to ``output``, and each file's status next to it.
+
+    What is found is written once to the shared folder; rows and status are both read from there.
+    """
+    with intermediates(files.sparkSession):
+        # Without a limit files may be of any size; the long ones are cut between declarations.
+        split_above = None if max_bytes else segments.CHUNK
+        found = extract.extract_functions(extract.with_language(files), max_bytes, split_above)
+        extracted = written(found, "extracted")
+        sinks.write_parquet(extract.file_status(files, max_bytes, extracted), f"{output}_status", mode)
+        return sinks.write_parquet(rows_of(extract.kept_rows(extracted)), output, mode)
 
 
 def extract_parquet(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> int:
     files = readers.source_parquet(spark, input_dir)
-    return _bulk(files, extract.PARQUET_MAX_BYTES, output_dir or f"{input_dir}/parsed", "append")
+    return _extract(files, extract.placed_rows, output_dir or f"{input_dir}/parsed", "append", extract.PARQUET_MAX_BYTES)
 
 
 def extract_json(spark: SparkSession, input_dir: str, output_dir: str | None = None) -> int:
     files = readers.source_json(spark, input_dir)
-    return _bulk(files, extract.JSON_MAX_BYTES, output_dir or f"{input_dir}/parsed", "overwrite")
+    return _extract(files, extract.placed_rows, output_dir or f"{input_dir}/parsed", "overwrite", extract.JSON_MAX_BYTES)
 
 
 def extract_jsonl(spark: SparkSession, path: str, output: str) -> int:
@@ -66,8 +76,7 @@ def scan_repositories(
         files = curate.pending_units(files, finished, ["nwo"])
     if shas is not None:
         files = files.join(shas.select("nwo", "sha"), "nwo", "left")
-    sinks.write_parquet(extract.file_status(files), f"{output_dir}_status", "append")
-    return sinks.write_parquet(extract.repository_rows(files), output_dir, "append")
+    return _extract(extract.repository_files(files), function_record, output_dir, "append")
 
 
 def parquet_to_jsonl(spark: SparkSession, input_dir: str, output: str) -> int:

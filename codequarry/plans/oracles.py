@@ -186,6 +186,9 @@ _OBF = f"""
     '( arg_0 : number , arg_1 : number ) => {{ return arg_0 - arg_1 }}' FROM documents
 """.replace("{{", "{").replace("}}", "}")
 
+_PART = views.LITERAL_PARTS
+_TEXT_LINES = f"length(text) - length(replace(text, {NL}, ''))"
+
 # All columns of the extracted rows, from the same parts.
 ROWS = f"""{FOUND}, {FILES}, obf AS ({_OBF}), found_rows AS (
   SELECT p.file_id, p.kind, d.lang, d.source, '' AS nwo, f.sha, f.path, 'arkts' AS language, p.identifier, p.parameters,
@@ -404,6 +407,18 @@ SELECT file_id, len(t) AS n, array_to_string(t, ' ') AS tokens FROM t""",
 SELECT file_id, array_to_string(t, '') AS code FROM t""",
     "extract_functions": f"""WITH {FOUND} SELECT file_id, kind, identifier, parameters, function, start_row::BIGINT AS start_row,
   start_col::BIGINT AS start_col, end_row::BIGINT AS end_row, end_col::BIGINT AS end_col FROM placed""",
+    "segmented_functions": f"""WITH {FOUND} SELECT file_id, kind, identifier, parameters, function, start_row::BIGINT AS start_row,
+  start_col::BIGINT AS start_col, end_row::BIGINT AS end_row, end_col::BIGINT AS end_col FROM placed""",
+    "literal_functions": f"""
+  SELECT doc_id AS file_id, 'function' AS kind, 'classes' || doc_id AS identifier, '(s)' AS parameters, {_PART['classes']} AS function, 0::BIGINT AS start_row
+  FROM documents
+  UNION ALL SELECT doc_id, 'arrow', '', '(x)', {_PART['outer']}, 2 FROM documents
+  UNION ALL SELECT doc_id, 'arrow', 'q', '', {_PART['inner']}, 2 + {_TEXT_LINES} FROM documents
+  UNION ALL SELECT doc_id, 'function', 'hole', '()', {_PART['hole']}, 3 + {_TEXT_LINES} FROM documents
+  UNION ALL SELECT doc_id, 'function', 'tick', '(s, n)', {_PART['tick']}, 4 + {_TEXT_LINES} FROM documents""",
+    "literal_comments": f"""SELECT doc_id AS file_id, '// half ' || chr(96) || 'of it' || {NL} || '/* $' || '{{ */' AS comments,
+  {_PART['classes']} || ' ' || {NL} || 'let k = n / 2 / (n - 1) ;' || {NL} || 'const outer = ' || {_PART['outer']} || {NL}
+    || {_PART['hole']} || {NL} || {_PART['tick']} || {NL} AS code FROM documents""",
     "attach_docstring": f"WITH {FOUND} SELECT file_id, identifier, kind, docstring FROM placed",
     "obfuscate_tokens": _OBF,
     "function_rows": f"""WITH {ROWS} SELECT * EXCLUDE (file_id, kind, start_row, start_col, end_row, end_col, content_bytes)

@@ -73,6 +73,31 @@ FILES = {
     ).replace("{{", "{").replace("}}", "}"),
 }
 
+# documents as the text of a template in small files of regex literals, divisions and holes: the
+# pieces between which functions begin and end.
+_TICK, _SLASH = "chr(96)", "chr(92)"
+_TEMPLATE_TEXT = f"replace(replace(replace(text, {_SLASH}, {_SLASH} || {_SLASH}), {_TICK}, {_SLASH} || {_TICK}), '$', {_SLASH} || '$')"
+_INNER_ARROW = f"'q => {{ return ' || {_TICK} || '}}' || {_TICK} || ' + q }}'".replace("{{", "{").replace("}}", "}")
+LITERAL_PARTS = {
+    "classes": f"'function classes' || {ID} || '(s) {{ return s.replace(/[/*]+/g, \"\") }}'",
+    "gap": f"' // half ' || {_TICK} || 'of it' || {NL} || 'let k = n / 2 / (n - 1) /* $' || '{{ */;' || {NL}",
+    "outer": (
+        f"'(x) => ' || {_TICK} || {_TEMPLATE_TEXT} || ' $' || '{{ [x].map(' || {_INNER_ARROW} || ').join(' || {_TICK} || '{{' || {_TICK} || ') }} y'"
+        f" || {_TICK}"
+    ),
+    "inner": _INNER_ARROW,
+    "hole": f"'function hole() {{ return ' || {_TICK} || '$' || '{{f(' || {_TICK} || '//x' || {_TICK} || ')}}' || {_TICK} || ' ; }}'",
+    "tick": f"'function tick(s, n) {{ if (n) /' || {_TICK} || '/.test(s); return s.split(/[{{(' || chr(39) || ']/).length / 2 }}'",
+}
+LITERAL_PARTS = {k: v.replace("{{", "{").replace("}}", "}") for k, v in LITERAL_PARTS.items()}
+LITERAL_FILES = {
+    "file_id": "doc_id",
+    "content": (
+        f"{LITERAL_PARTS['classes']} || {LITERAL_PARTS['gap']} || 'const outer = ' || {LITERAL_PARTS['outer']} || {NL} || "
+        f"{LITERAL_PARTS['hole']} || {NL} || {LITERAL_PARTS['tick']} || {NL}"
+    ),
+}
+
 # documents with a licence line as licence records, in document order.
 LICENSES = {
     "source": "lang",
@@ -129,13 +154,16 @@ LISTINGS = {
 }
 
 
-# The key by which a large table is dealt out when read: the given files may be one row group each.
+# The key by which a table of one or a few row groups is dealt out when read.
 DEALT_BY = {"documents": "doc_id", "lineitem": "l_orderkey", "pages": "page_id"}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table, read as it lies; only one too small to give each core a split is dealt out, so
+    that small tests run in parallel and no large table moves for a projection."""
     df = spark.read.parquet(f"{sf}/{name}.parquet")
-    return df.repartition(DEALT_BY[name]) if name in DEALT_BY else df
+    few = name in DEALT_BY and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    return df.repartition(DEALT_BY[name]) if few else df
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,6 +187,10 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "documents", FILES)
 
 
+def literal_files(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "documents", LITERAL_FILES)
+
+
 def licenses(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "documents", LICENSES).where("license is not null")
 
