@@ -11,11 +11,12 @@ of all such strings comes out of a parse of the texts:
   all its strings share: 54 bytes from the trigger on for those that begin near it, 54 bytes up to
   it for the others. Cores that occur once in the corpus are no part of a repeated string and go no
   further; this leaves a small part of a corpus.
-- *Suffix arrays.* Occurrences that share a core are dealt together. Sorting them by what stands
-  before the core, read backward, is the suffix array of the dictionary: one order with its common
-  lengths names every phrase end of every length. Sorting them by what follows is the suffix array
-  of the parse. A pair of names, so many bytes before and the rest behind, is a class of equal
-  strings; its earliest member stays, and all others are repeats. Bytes are compared, not hashes.
+- *Suffix arrays.* Occurrences that share a core (by its digest) are dealt together, with the bytes
+  around it that their strings have. Sorting them by what stands before the core, read backward, is
+  the suffix array of the dictionary: one order with its common lengths names every phrase end of
+  every length. Sorting them by what follows is the suffix array of the parse. A pair of names, so
+  many bytes before and the rest behind, is a class of equal strings; its earliest member stays, and
+  all others are repeats.
 
 Texts are read in blocks, dealt by row, not by key, so a group of copies is spread over all blocks;
 a block asks for its cores once however often it has them. A core that occurs more than
@@ -23,9 +24,8 @@ a block asks for its cores once however often it has them. A core that occurs mo
 again by their digest. The blocks' one shuffle of texts serves the three steps that need them.
 
 Defined results: a null text is empty; one with fewer than ``LENGTH`` bytes keeps all. Documents are
-ordered by id, null first, then by a digest of the text, so documents that share an id have a fixed
-order; rows equal in both follow each other in any order, and the later ones are repeats. Rows may
-repeat and each gives a row. An empty table gives an empty result; other columns are left out,
+ordered by id, null first; rows that share an id follow each other as they do in the table, and the
+later ones repeat the earlier. Each row gives a row. An empty table gives an empty result; other columns are left out,
 whatever their names. ``docs`` has to give the same rows in the same order when a lost task reads
 them again, as files do.
 """
@@ -35,6 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,25 +46,24 @@ LENGTH = 100
 # Bytes that the rolling hash covers, and places a string has for its trigger.
 WINDOW = 8
 PLACES = LENGTH - WINDOW + 1
-# A core's bytes, and how many starts its strings have: up to REACH - 1 bytes before the core.
-CORE, REACH = 54, 47
-CONTEXT = REACH - 1 + CORE + REACH - 1
+# A core's bytes, and how many bytes its strings have before or behind it.
+CORE, REACH = 54, 46
 # Bytes of text in a block; a task holds one at a time, with about 60 bytes an input byte.
 BLOCK_BYTES = 4 << 20
 # Occurrences of a core that one part takes.
-GROUP = 1 << 15
+GROUP = 1 << 12
 # Occurrences that are sorted at once.
 SORTED = 1 << 16
 # String starts whose triggers are searched at once.
 _CHUNK = 1 << 22
 
-# Odd, so that powers have inverses modulo 2^64.
+_SIDE = (b"near", b"far")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 _KEYS = "of bigint, key bigint, times bigint"
-_SPOT = "block bigint, row bigint, doc_id bigint, tag bigint, base bigint"
-_LIVE = f"key bigint, salt int, salts int, {_SPOT}, low int, high int, context binary"
+_SPOT = "row bigint, doc_id bigint, base bigint"
+_LIVE = f"core binary, salt int, salts int, {_SPOT}, low int, high int, before binary, behind binary"
 _VERDICT = f"{_SPOT}, mask bigint, digest binary"
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
@@ -73,7 +73,7 @@ class Block:
 
     def __init__(self, table: pa.Table):
         table = table.combine_chunks()
-        self.row, self.tag = (table[c].to_numpy() for c in ("row", "tag"))
+        self.row = table["row"].to_numpy()
         self.doc_id = table["doc_id"]
         whole = [t.as_buffer() if t.is_valid else b"" for t in table["text"].cast(pa.large_binary())]
         self.sizes = np.array([len(w) for w in whole], np.int64)
@@ -128,20 +128,19 @@ def triggers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 
 
 def occurrences(block: Block) -> dict[str, np.ndarray]:
-    """Each core with a place: where its context begins, and its strings' first and last start,
-    counted from there."""
+    """Each core with a place, REACH bytes before it, and its strings' first and last start, counted
+    from there."""
     at, first, last = triggers(block.bytes, block.starts, block.starts + block.sizes)
-    near, far = at - (REACH - 1), at - 2 * (REACH - 1) - 1
+    near, far = at - REACH, at - 2 * REACH - 1
     sides = []
     for base, low, high, side in (
         (near, np.maximum(first, near), last, 0),
-        (far, first, np.minimum(last, far + REACH - 1), 1),
+        (far, first, np.minimum(last, far + REACH), 1),
     ):
         there = low <= high
-        key = _hashes(block.bytes, CORE, base[there] + REACH - 1) ^ np.uint64(side)
-        sides.append((base[there], (low - base)[there], (high - base)[there], key.view(np.int64)))
-    base, low, high, key = (np.concatenate(x) for x in zip(*sides))
-    return {"base": base, "low": low, "high": high, "key": key}
+        key = _hashes(block.bytes, CORE, base[there] + REACH) ^ np.uint64(side)
+        sides.append((base[there], (low - base)[there], (high - base)[there], key.view(np.int64), np.full(len(key), side)))
+    return dict(zip(("base", "low", "high", "key", "side"), (np.concatenate(x) for x in zip(*sides))))
 
 
 def _keys_of(table: pa.Table) -> pa.Table:
@@ -167,13 +166,15 @@ def _live_in(left: pa.Table, right: pa.Table, group: int) -> pa.Table:
     # A text's occurrences of a core may be any number as well: parts are dealt by place.
     spread = (block.starts.searchsorted(base + low, side="right") - 1).astype(np.int64)
     mixed = ((block.row[spread] + base * 7) & 0x7FFFFFFF) % salts
-    contexts = np.lib.stride_tricks.sliding_window_view(block.bytes, CONTEXT)[base]
+    data, at = block.bytes.tobytes(), (base + REACH).tolist()
+    first, last = (base + low).tolist(), (base + high + LENGTH).tolist()
     return pa.table({
-        "key": found["key"][live], "salt": mixed.astype(np.int32), "salts": salts.astype(np.int32),
-        "block": np.full(len(live), left["block"][0].as_py()), "row": block.row[spread],
-        "doc_id": block.doc_id.take(pa.array(spread)), "tag": block.tag[spread], "base": base - block.starts[spread],
+        "core": pa.array([hashlib.blake2b(data[i : i + CORE], digest_size=16, salt=_SIDE[k]).digest() for i, k in zip(at, found["side"][live].tolist())], pa.binary()),
+        "salt": mixed.astype(np.int32), "salts": salts.astype(np.int32),
+        "row": block.row[spread], "doc_id": block.doc_id.take(pa.array(spread)), "base": base - block.starts[spread],
         "low": low.astype(np.int32), "high": high.astype(np.int32),
-        "context": pa.FixedSizeBinaryArray.from_buffers(pa.binary(CONTEXT), len(live), [None, pa.py_buffer(contexts)]).cast(pa.binary()),
+        "before": pa.array([data[i:j] for i, j in zip(first, at)], pa.binary()),
+        "behind": pa.array([data[i + CORE : j] for i, j in zip(at, last)], pa.binary()),
     })
 
 
@@ -191,23 +192,23 @@ def _ordered(group: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, np.concatenate([[0], common]) - 8
 
 
-def classes(group: np.ndarray, contexts: np.ndarray, low: np.ndarray, high: np.ndarray, rank: np.ndarray):
-    """Repeats among occurrences: a mask of starts for each, and (occurrence, start) of all others.
+def classes(group: np.ndarray, before: np.ndarray, behind: np.ndarray, low: np.ndarray, high: np.ndarray, rank: np.ndarray):
+    """Repeats among occurrences: a mask of starts for each, and (occurrences, start) of all others.
 
-    ``group`` numbers the shared cores (equal numbers may still differ in bytes), ``rank`` the
-    places in corpus order.
+    ``group`` numbers the cores, ``before`` and ``behind`` are the bytes next to them, from the core
+    on, ``rank`` the places in corpus order.
     """
-    before, before_common = _ordered(group, contexts[:, REACH - 2 :: -1])
-    behind, behind_common = _ordered(group, contexts[:, REACH - 1 :])
+    before, before_common = _ordered(group, before)
+    behind, behind_common = _ordered(group, behind)
     mask = np.zeros(len(group), np.int64)
     kept = []
     name_before, name_behind = np.empty(len(group), np.int64), np.empty(len(group), np.int64)
-    for start in range(REACH):
+    for start in range(REACH + 1):
         there = np.flatnonzero((low <= start) & (start <= high))
         if not len(there):
             continue
-        name_before[before] = np.cumsum(before_common < REACH - 1 - start)
-        name_behind[behind] = np.cumsum(behind_common < CORE + start)
+        name_before[before] = np.cumsum(before_common < REACH - start)
+        name_behind[behind] = np.cumsum(behind_common < start)
         name = name_before[there] * (len(group) + 1) + name_behind[there]
         order = np.lexsort((rank[there], name))
         earliest = np.ones(len(there), bool)
@@ -217,8 +218,29 @@ def classes(group: np.ndarray, contexts: np.ndarray, low: np.ndarray, high: np.n
     return mask, kept
 
 
+def _side_by_side(strings: pa.Array, backward: bool) -> np.ndarray:
+    """Strings of up to REACH bytes as rows, from their first byte or from their last one on."""
+    sizes = pc.binary_length(strings).to_numpy()
+    there = np.arange(REACH) < sizes[:, None]
+    rows = np.zeros((len(strings), REACH), np.uint8)
+    data = np.frombuffer(b"".join(strings.to_pylist()), np.uint8)
+    if backward:
+        at = np.repeat(np.cumsum(sizes), sizes) - 1 - (np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+        data = data[at]
+    rows[there] = data
+    return rows
+
+
+def _new_parts(table: pa.Table) -> np.ndarray:
+    """Whether a row's (core, salt) differs from the row's before it."""
+    core, salt = table["core"].combine_chunks(), table["salt"].to_numpy()
+    new = np.zeros(len(table), bool)
+    new[1:] = pc.not_equal(core[1:], core[:-1]).to_numpy(zero_copy_only=False) | (np.diff(salt) != 0)
+    return new
+
+
 def _sorted_parts(batches):
-    """Arrow batches in order of (key, salt) as tables of whole parts."""
+    """Arrow batches in order of (core, salt) as tables of whole parts."""
     held, rows = [], 0
     for batch in batches:
         if not batch.num_rows:
@@ -228,11 +250,11 @@ def _sorted_parts(batches):
         if rows < SORTED:
             continue
         table = pa.Table.from_batches(held)
-        part = np.stack([table["key"].to_numpy(), table["salt"].to_numpy()], 1)
-        cut = np.flatnonzero((part != part[-1]).any(1))
-        if len(cut):
-            yield table.slice(0, cut[-1] + 1)
-            held = table.slice(cut[-1] + 1).to_batches()
+        new = _new_parts(table)
+        if new.any():
+            cut = int(np.flatnonzero(new)[-1])
+            yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
             rows = sum(b.num_rows for b in held)
     if held:
         yield pa.Table.from_batches(held)
@@ -242,16 +264,14 @@ def _verdicts(batches):
     for table in _sorted_parts(batches):
         table = table.combine_chunks()
         n = len(table)
-        contexts = np.frombuffer(b"".join(table["context"].to_pylist()), np.uint8).reshape(n, CONTEXT)
-        key, salt, salts, low, high, tag, row, base = (
-            table[c].to_numpy() for c in ("key", "salt", "salts", "low", "high", "tag", "row", "base")
-        )
+        before, behind = (table[c].combine_chunks() for c in ("before", "behind"))
+        salts, low, high, row, base = (table[c].to_numpy() for c in ("salts", "low", "high", "row", "base"))
         doc_id = table["doc_id"]
         there, plain = doc_id.is_valid().to_numpy(), doc_id.fill_null(0).to_numpy()
         rank = np.empty(n, np.int64)
-        rank[np.lexsort((base, row, tag, plain, there))] = np.arange(n)
-        group = np.cumsum(np.concatenate([[False], (np.diff(key) != 0) | (np.diff(salt) != 0)]))
-        mask, kept = classes(group, contexts, low, high, rank)
+        rank[np.lexsort((base, row, plain, there))] = np.arange(n)
+        group = np.cumsum(_new_parts(table))
+        mask, kept = classes(group, _side_by_side(before, True), _side_by_side(behind, False), low, high, rank)
         # Earliest strings of a salted part meet those of the others; the rest is settled.
         at, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for first, start in kept:
@@ -259,12 +279,14 @@ def _verdicts(batches):
             at.append(first)
             starts.append(np.full(len(first), start))
         at, starts = np.concatenate(at), np.concatenate(starts)
-        digests = [
-            hashlib.blake2b(contexts[i, s : s + LENGTH].tobytes(), digest_size=16).digest() for i, s in zip(at.tolist(), starts.tolist())
-        ]
+        digests = []
+        for i, start in zip(at.tolist(), starts.tolist()):
+            left, right = before[i].as_py(), behind[i].as_py()
+            whole = left[len(left) - (REACH - start) :] + right[:start]
+            digests.append(hashlib.blake2b(table["core"][i].as_py() + bytes([start]) + whole, digest_size=16).digest())
         settled = np.flatnonzero(mask)
         take = pa.array(np.concatenate([settled, at]))
-        spots = table.select([c.split()[0] for c in _SPOT.split(", ")]).take(take)
+        spots = table.select(["row", "doc_id", "base"]).take(take)
         spots = spots.append_column("mask", pa.array(np.concatenate([mask[settled], np.int64(1) << starts])))
         spots = spots.append_column("digest", pa.array([None] * len(settled) + digests, pa.binary()))
         yield from spots.combine_chunks().to_batches()
@@ -279,7 +301,7 @@ def _removed(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         text = order[np.searchsorted(block.row[order], right["row"].to_numpy())]
         mask = right["mask"].to_numpy()
         base = block.starts[text] + right["base"].to_numpy()
-        for start in range(REACH):
+        for start in range(REACH + 1):
             at = base[(mask >> start) & 1 == 1] + start
             np.add.at(cover, at, 1)
             np.add.at(cover, at + LENGTH, -1)
@@ -303,20 +325,19 @@ def repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GROUP)
     thin = texts(docs)
     size = thin.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
-    rows = thin.withColumns({"row": F.monotonically_increasing_id(), "tag": F.xxhash64("text")})
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n)).cast("long"))
-    blocks = dealt.select("block", "row", "tag", "doc_id", "text").groupBy("block")
+    block_of = F.pmod(F.xxhash64("row"), F.lit(n)).cast("long")
+    dealt = thin.withColumn("row", F.monotonically_increasing_id()).withColumn("block", block_of)
+    blocks = dealt.select("block", "row", "doc_id", "text").groupBy("block")
     keys = blocks.applyInArrow(_keys_of, _KEYS)
     asked = keys.withColumn("total", F.sum("times").over(Window.partitionBy("key"))).where("total > 1")
     live = blocks.cogroup(asked.select("of", "key", "total").groupBy("of")).applyInArrow(
         lambda key, left, right: _live_in(left, right, group), _LIVE
     )
-    parts = live.repartition("key", "salt").sortWithinPartitions("key", "salt")
+    parts = live.repartition("core", "salt").sortWithinPartitions("core", "salt")
     verdicts = parts.mapInArrow(_verdicts, _VERDICT)
     # Where there is a digest, the string of that place is a repeat unless it is the earliest.
-    place = ["doc_id", "tag", "row", "base", "mask"]
-    meets = F.coalesce(F.hex("digest"), F.concat_ws(":", "row", "base"))
-    earlier = F.row_number().over(Window.partitionBy("meets").orderBy(F.asc_nulls_first("doc_id"), *place[1:]))
-    settled = verdicts.withColumn("meets", meets).withColumn("nth", earlier).where("digest IS NULL OR nth > 1")
-    masks = settled.select(F.col("block").alias("of"), "row", "base", "mask")
+    meets = F.when(F.col("digest").isNull(), F.col("row")).otherwise(F.xxhash64("digest"))
+    earlier = Window.partitionBy("meets", "digest").orderBy(F.asc_nulls_first("doc_id"), "row", "base", "mask")
+    ranked = verdicts.withColumn("meets", meets).withColumn("nth", F.row_number().over(earlier))
+    masks = ranked.where("digest IS NULL OR nth > 1").select(block_of.alias("of"), "row", "base", "mask")
     return blocks.cogroup(masks.groupBy("of")).applyInArrow(_removed, RESULT)
