@@ -374,6 +374,30 @@ def _found(texts: DataFrame) -> DataFrame:
     return _declared(_located(_found_in(_items(_events(texts)))))
 
 
+def cut_out(texts: DataFrame, found: DataFrame, spans: dict[str, tuple[str, str]]) -> DataFrame:
+    """``found`` with the text of each span, named by its start and stop columns.
+
+    Cutting each span out of the whole text would walk the text once per span; cut out of short
+    chunks it costs the span's own length. A file's finds meet its text in one row.
+    """
+    fields = [c for c in found.columns if c != "file_id"]
+    finds = found.groupBy("file_id").agg(F.collect_list(F.struct(*fields)).alias("finds"))
+    chunks = F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+
+    def between(chunk: Column, start: Column, stop: Column) -> Column:
+        numbers = F.sequence(F.floor(start / _CHUNK).cast("int"), F.floor((stop - 1) / _CHUNK).cast("int"))
+        around = F.array_join(F.transform(numbers, lambda i: F.get(chunk, i)), "")
+        return F.when(start.isNotNull(), F.substr(around, (start % _CHUNK).cast("int") + 1, (stop - start).cast("int")))
+
+    def with_texts(chunk: Column, find: Column) -> Column:
+        cut = [between(chunk, find[a], find[b]).alias(name) for name, (a, b) in spans.items()]
+        return F.struct(*[find[c].alias(c) for c in fields], *cut)
+
+    cuts = let(chunks, lambda chunk: F.transform("finds", lambda find: with_texts(chunk, find)))
+    # inline_outer: a plain one is given a filter on the array's size, which would cut twice.
+    return texts.join(finds, "file_id").select("file_id", F.inline_outer(cuts))
+
+
 def docstring_of(comments: Column) -> Column:
     """Docstring out of the run of comments in front of a function.
 
@@ -417,28 +441,8 @@ def extract_functions(files: DataFrame, max_bytes: int | None = None, split_abov
         "file_id", "kind", "identifier", "exported", "start", "stop", "start_row", "start_col", "end_row",
         "parameters_start", "parameters_stop", "comments_start", "comments_stop",
     )
-    # Cutting each function out of the whole text would walk the text once per function; cut out
-    # of short chunks it costs the function's own length. A file's finds meet its text in one row.
-    fields = [c for c in found.columns if c != "file_id"]
-    finds = found.groupBy("file_id").agg(F.collect_list(F.struct(*fields)).alias("finds"))
-    chunks = F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0))
-
-    def between(chunk: Column, start: Column, stop: Column) -> Column:
-        numbers = F.sequence(F.floor(start / _CHUNK).cast("int"), F.floor((stop - 1) / _CHUNK).cast("int"))
-        around = F.array_join(F.transform(numbers, lambda i: F.get(chunk, i)), "")
-        return F.when(start.isNotNull(), F.substr(around, (start % _CHUNK).cast("int") + 1, (stop - start).cast("int")))
-
-    def cut_out(chunk: Column, find: Column) -> Column:
-        return F.struct(
-            *[find[c].alias(c) for c in fields],
-            between(chunk, find["start"], find["stop"]).alias("function"),
-            between(chunk, find["parameters_start"], find["parameters_stop"]).alias("parameters"),
-            between(chunk, find["comments_start"], find["comments_stop"]).alias("comments"),
-        )
-
-    cuts = let(chunks, lambda chunk: F.transform("finds", lambda find: cut_out(chunk, find)))
-    # inline_outer: a plain one is given a filter on the array's size, which would cut twice.
-    cut = texts.join(finds, "file_id").select("file_id", F.inline_outer(cuts))
+    spans = {"function": ("start", "stop"), "parameters": ("parameters_start", "parameters_stop"), "comments": ("comments_start", "comments_stop")}
+    cut = cut_out(texts, found, spans)
     last_line = F.substring_index("function", "\n", -1)
     end_col = F.length(last_line) + F.when(F.col("start_row") == F.col("end_row"), F.col("start_col")).otherwise(F.lit(0))
     # A name that is a string or computed is shrunk in the skeleton; it is the first in the text.

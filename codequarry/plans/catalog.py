@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, lexing, text
+from ..operators import calls as source
 from ..operators import curate, extract, leakage, links, neardup, pages, project, similarity, stats
 from ..session import SETTINGS
 from ..sources import readers, sinks
@@ -228,6 +229,40 @@ def call_links(spark, sf):
     return links.call_links(calls, _imports(spark, sf), view(spark, sf, "part", views.DEFINITIONS))
 
 
+def _callers(spark, sf) -> DataFrame:
+    return view(spark, sf, "part", views.CALLERS)
+
+
+def _resolved(spark, sf) -> DataFrame:
+    apps = _callers(spark, sf)
+    functions = extract.extract_functions(apps.select("file_id", "content"))
+    return source.resolved_calls(source.source_calls(apps), source.source_imports(apps), functions)
+
+
+@query
+def source_calls(spark, sf):
+    """Calls out of source, the function around each, and where each leads."""
+    return _resolved(spark, sf).select(
+        "file_id", "callee", "argument_list", F.col("start_row").cast("bigint").alias("start_row"), F.col("end_row").cast("bigint").alias("end_row"),
+        "caller", "origin", F.coalesce("module", F.lit("")).alias("module"), F.coalesce("name", F.lit("")).alias("name"),
+    )
+
+
+@query
+def source_imports(spark, sf):
+    return source.source_imports(_callers(spark, sf))
+
+
+@query
+def source_call_links(spark, sf):
+    """Calls and imports read out of source, linked to library definitions."""
+    apps = _callers(spark, sf).select("file_id", "nwo", "sha", "path", "content")
+    named = apps.drop("content")
+    found = _resolved(spark, sf).withColumn("identifier", F.coalesce("name", "identifier")).join(named, "file_id")
+    imports = source.source_imports(apps).join(named, "file_id").select("nwo", "path", links.library_of("module").alias("library")).distinct()
+    return links.call_links(found, imports, view(spark, sf, "part", views.DEFINITIONS))
+
+
 def _imports(spark, sf) -> DataFrame:
     """Every call's file imports the library of the part the call names, as a dotted context."""
     parts = table(spark, sf, "part").selectExpr("p_partkey as l_partkey", "lower(p_type) || '.api' as context")

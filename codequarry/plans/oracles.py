@@ -186,6 +186,18 @@ _OBF = f"""
     '( arg_0 : number , arg_1 : number ) => {{ return arg_0 - arg_1 }}' FROM documents
 """.replace("{{", "{").replace("}}", "}")
 
+# The five calls of each application.
+_APP_CALLS = f"""WITH apps AS (SELECT p_partkey AS file_id, 'apps/shop' || p_partkey % 50 AS nwo, substr(md5('apps'), 1, 8) AS sha,
+    'app' || p_partkey || '.ets' AS path, split_part(lower(p_type), '.', 1) AS library FROM part), found AS (
+  SELECT p_partkey AS file_id, 'make_part_' || p_partkey AS identifier, 'made' AS callee, '(n, "' || p_brand || '")' AS argument_list,
+    4::BIGINT AS start_row, 4::BIGINT AS end_row, 'order' || p_partkey AS caller, 'imported' AS origin, lower(p_type) || '.core' AS module,
+    'make_part_' || p_partkey AS name FROM part
+  UNION ALL SELECT p_partkey, 'run', 'ns.deep.run', '(list => {{ return helper(' || {NL} || '    list) }})', 5, 6, 'order' || p_partkey, 'imported', 'tools', 'run' FROM part
+  UNION ALL SELECT p_partkey, 'helper', 'helper', '(' || {NL} || '    list)', 5, 6, 'list', 'local', '', '' FROM part
+  UNION ALL SELECT p_partkey, 'test', '.test', '(a)', 8, 8, 'helper', 'other', '', '' FROM part
+  UNION ALL SELECT p_partkey, 'other' || p_partkey, 'other' || p_partkey, '()', 8, 8, 'helper', 'imported', lower(p_type) || '.core', 'other' || p_partkey FROM part
+)""".replace("{{", "{").replace("}}", "}")
+
 _PART = views.LITERAL_PARTS
 _TEXT_LINES = f"length(text) - length(replace(text, {NL}, ''))"
 
@@ -295,6 +307,19 @@ FROM calls c JOIN imports i ON i.path = c.path JOIN (
   UNION ALL SELECT library, url, identifier FROM definitions
   WHERE length(identifier) > 9 OR (NOT starts_with(identifier, '_') AND contains(identifier, '_'))
 ) d ON d.library = i.library AND d.answers_to = c.identifier""",
+    "source_calls": f"""{_APP_CALLS} SELECT * EXCLUDE (identifier) FROM found""",
+    "source_imports": """
+  SELECT p_partkey AS file_id, lower(p_type) || '.core' AS module, 'make_part_' || p_partkey AS name, 'made' AS alias FROM part
+  UNION ALL SELECT p_partkey, lower(p_type) || '.core', 'other' || p_partkey, 'other' || p_partkey FROM part
+  UNION ALL SELECT p_partkey, 'tools', '*', 'ns' FROM part""",
+    "source_call_links": f"""{_APP_CALLS}, {cte('definitions', 'part', views.DEFINITIONS)}
+SELECT a.nwo, a.sha, a.path, c.identifier, c.argument_list,
+  'https://github.com/' || a.nwo || '/blob/' || a.sha || '/' || a.path || '#L' || (start_row + 1) || '-L' || (end_row + 1) AS call_url, d.url AS definition_url
+FROM found c JOIN apps a USING (file_id) JOIN (
+  SELECT library, url, replace(identifier, '.__init__', '') AS answers_to FROM definitions WHERE identifier LIKE '%.\\_\\_init\\_\\_' ESCAPE '\\'
+  UNION ALL SELECT library, url, identifier FROM definitions
+  WHERE length(identifier) > 9 OR (NOT starts_with(identifier, '_') AND contains(identifier, '_'))
+) d ON d.answers_to = c.identifier AND d.library IN (a.library, 'tools')""",
     "exact_dup_overlap": f"""WITH {FN}, k AS (
   SELECT split, coalesce(function_sha, '') AS sha, md5({norm('docstring')} || '|||' || {norm('function')}) AS pk FROM functions)
 SELECT split_a, split_b,

@@ -132,6 +132,26 @@ DEFINITIONS = {
     "url": "'lib/' || lower(p_type) || '/' || cast(p_partkey as string)",
 }
 
+# part as applications: each imports a library, under another name for part of them, and calls it from
+# nested functions, templates and behind a regex literal. $ and { apart, for holes.
+_PART = "cast(p_partkey as string)"
+_MADE = "'make_part_' || " + _PART
+CALLERS = {
+    "file_id": "p_partkey",
+    "nwo": "'apps/shop' || cast(p_partkey % 50 as string)",
+    "sha": "substr(md5('apps'), 1, 8)",
+    "path": f"'app' || {_PART} || '.ets'",
+    "content": (
+        f"'import {{ ' || {_MADE} || ' as made, /* {{ */ other' || {_PART} || ' }} from \"' || lower(p_type) || '.core\"' || {NL} || "
+        f"'import * as ns from \"tools\" // from \"no\"' || {NL} || "
+        f"'function order' || {_PART} || '(n: number) {{' || {NL} || "
+        f"'  // never(called)' || {NL} || "
+        f"'  const t = ' || chr(96) || p_name || ' $' || '{{made(n, \"' || p_brand || '\")}} no(text)' || chr(96) || {NL} || "
+        f"'  return ns.deep.run(list => {{ return helper(' || {NL} || '    list) }})' || {NL} || '}}' || {NL} || "
+        f"'function helper(a) {{ return /no(/.test(a) || other' || {_PART} || '() }}' || {NL}"
+    ).replace("{{", "{").replace("}}", "}"),
+}
+
 # pages as a repository list with blanks.
 REPO_LIST = {
     "url": "case when page_id % 5 = 0 then '   ' else ' ' || split_part(url, '?', 1) || '  ' end",
