@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import staged
 from ..functions.hashing import NUM_PERM, PRIME, signature_similarity, text_hash31, with_minhash
-from ..functions.text import shingles, shingles_of, word_tokens
+from ..functions.text import jaccard, shingles, shingles_of, word_tokens
 from ..session import written
 from .similarity import similar_sets
 from .skew import skew_join
@@ -179,34 +179,102 @@ def top_near_dups(df: DataFrame, id_col: str = "id", threshold: float = 0.5, n:
     )
 
 
-def near_dup_exact(df: DataFrame, id_col: str = "id", threshold: float = 0.7) -> DataFrame:
-    """Pairs of distinct contents with exact shingle Jaccard of at least ``threshold``.
+@functools.cache
+def sure_banding(threshold: float, recall: float = 0.98, num_perm: int = NUM_PERM) -> tuple[int, int]:
+    """(bands, rows per band) with the most rows, so the fewest chance meetings, for which a pair at
+    the threshold meets with at least the probability ``recall``."""
+    for rows in range(num_perm, 0, -1):
+        bands = num_perm // rows
+        if 1.0 - (1.0 - threshold**rows) ** bands >= recall:
+            return bands, rows
+    return num_perm, 1
 
-    The alternative to banding when no pair may be missed.
-    """
+
+def _shingle_sets(df: DataFrame, id_col: str, signed: bool = False) -> DataFrame:
+    """Distinct shingle sets: (key, test_id, train_id, n_test, n_train, tokens), on request with their
+    signature."""
     rows = df.where(F.col("split").isin("train", "test")).select(
         F.col(id_col).alias("id"), "split", shingles(F.coalesce("function", F.lit(""))).alias("shingles")
     ).where(F.size("shingles") > 0)
     hashed = F.array_sort(F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s))))
-    keyed = rows.select("id", "split", hashed.alias("tokens")).withColumn(
+    keyed = rows.select("id", "split", hashed.alias("tokens"), *(["shingles"] if signed else [])).withColumn(
         "key", F.sha2(F.array_join(F.transform("tokens", lambda h: h.cast("string")), " "), 256)
     )
-    table = written(
-        keyed.groupBy("key").agg(
-            F.min(F.when(F.col("split") == "test", F.col("id"))).alias("test_id"),
-            F.min(F.when(F.col("split") == "train", F.col("id"))).alias("train_id"),
-            F.count(F.when(F.col("split") == "test", 1)).alias("n_test"),
-            F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
-            F.first("tokens").alias("tokens"),
-        ),
-        "shingle-sets",
+    sets = keyed.groupBy("key").agg(
+        F.min(F.when(F.col("split") == "test", F.col("id"))).alias("test_id"),
+        F.min(F.when(F.col("split") == "train", F.col("id"))).alias("train_id"),
+        F.count(F.when(F.col("split") == "test", 1)).alias("n_test"),
+        F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
+        F.first("tokens").alias("tokens"),
+        *([F.first("shingles").alias("shingles")] if signed else []),
     )
-    test, train = table.where("n_test > 0"), table.where("n_train > 0")
-    pairs = similar_sets(test.select("key", "tokens"), train.select("key", "tokens"), threshold)
-    l_ids = test.select(F.col("key").alias("left_key"), "test_id", "n_test")
-    r_ids = train.select(F.col("key").alias("right_key"), "train_id", "n_train")
+    if signed:
+        sets = with_minhash(sets, F.transform("shingles", text_hash31)).drop("shingles")
+    return written(sets, "shingle-sets")
+
+
+def _named(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    l_ids = table.where("n_test > 0").select(F.col("key").alias("left_key"), "test_id", "n_test")
+    r_ids = table.where("n_train > 0").select(F.col("key").alias("right_key"), "train_id", "n_train")
     pairs = pairs.join(l_ids, ["left_key"])
     pairs = pairs.join(r_ids, ["right_key"])
     return pairs.select(
         "test_id", "train_id", F.col("n_test").alias("test_rows"), F.col("n_train").alias("train_rows"), "similarity"
     )
+
+
+def _sure_pairs(table: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(left_key, right_key, similarity) of the signed sets that meet in a band and are similar."""
+    bands, rows = sure_banding(threshold, recall)
+    banded = F.inline(F.expr("array(" + ", ".join(
+        f"named_struct('band', {i}, 'bucket', xxhash64(slice(signature, {i * rows + 1}, {rows})))" for i in range(bands)
+    ) + ")"))
+    left = table.where("n_test > 0").select(F.col("key").alias("left_key"), banded)
+    right = table.where("n_train > 0").select(F.col("key").alias("right_key"), banded)
+    met = skew_join(right, left, ["band", "bucket"], ["right_key"], ["left_key"]).select("left_key", "right_key").distinct()
+    met = met.join(table.select(F.col("key").alias("left_key"), F.col("tokens").alias("l")), ["left_key"])
+    met = met.join(table.select(F.col("key").alias("right_key"), F.col("tokens").alias("r")), ["right_key"])
+    close = met.withColumn("similarity", jaccard(F.col("l"), F.col("r"))).where(F.col("similarity") >= threshold)
+    return close.select("left_key", "right_key", "similarity")
+
+
+def near_dup_sure(df: DataFrame, id_col: str = "id", threshold: float = 0.7, recall: float = 0.98) -> DataFrame:
+    """Near-duplicate pairs by bands chosen for their recall at the threshold, and an exact check.
+
+    The pairs of ``near_dup_exact`` but for those that meet in no band, a share of at most
+    1 - ``recall`` even at the threshold; ``near_dup_recall`` measures it.
+    """
+    table = _shingle_sets(df, id_col, signed=True)
+    return _named(_sure_pairs(table, threshold, recall), table)
+
+
+def near_dup_recall(
+    df: DataFrame, id_col: str = "id", thresholds: tuple[float, ...] = (0.7, 0.8, 0.9), recall: float = 0.98, sample: int = 1
+) -> DataFrame:
+    """Per threshold: pairs that the exact join has, those of them that ``near_dup_sure`` finds, and
+    the recall. With ``sample``, test sets with a key hash divisible by it are asked against all."""
+    table = _shingle_sets(df, id_col, signed=True)
+    asked = table.where((F.col("n_test") == 0) | (F.pmod(F.xxhash64("key"), F.lit(sample)) == 0))
+    asked = asked if sample > 1 else table
+    exact = written(
+        similar_sets(
+            asked.where("n_test > 0").select("key", "tokens"), table.where("n_train > 0").select("key", "tokens"), min(thresholds)
+        ), "exact-pairs",
+    )
+    rows = None
+    for t in thresholds:
+        found = _sure_pairs(table, t, recall).select("left_key", "right_key", F.lit(True).alias("found"))
+        met = exact.where(F.col("similarity") >= t).join(found, ["left_key", "right_key"], "left")
+        one = met.agg(F.count(F.lit(1)).alias("exact_pairs"), F.count("found").alias("found_pairs")).select(F.lit(t).alias("threshold"), "*")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.withColumn("recall", F.round(F.coalesce(F.try_divide("found_pairs", "exact_pairs"), F.lit(1.0)), 6))
+
+
+def near_dup_exact(df: DataFrame, id_col: str = "id", threshold: float = 0.7) -> DataFrame:
+    """Pairs of distinct contents with exact shingle Jaccard of at least ``threshold``.
+
+    The alternative to banding when no pair may be missed.
+    """
+    table = _shingle_sets(df, id_col)
+    test, train = table.where("n_test > 0"), table.where("n_train > 0")
+    return _named(similar_sets(test.select("key", "tokens"), train.select("key", "tokens"), threshold), table)

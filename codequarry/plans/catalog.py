@@ -349,6 +349,22 @@ def top_near_dups(spark, sf):
     return neardup.top_near_dups(functions(spark, sf))
 
 
+@query
+def near_dup_sure(spark, sf):
+    return neardup.near_dup_sure(functions(spark, sf), threshold=0.7)
+
+
+@query
+def near_dup_recall(spark, sf):
+    """Over all test rows, not a sample of them."""
+    return neardup.near_dup_recall(functions(spark, sf))
+
+
+@query
+def docstring_best(spark, sf):
+    return similarity.docstring_best(functions(spark, sf))
+
+
 @query
 def near_dup_exact(spark, sf):
     return neardup.near_dup_exact(functions(spark, sf), threshold=0.7)

@@ -143,6 +143,22 @@ LSH = f"""{CONTENTS}, {_PERM}, hashes AS (
   JOIN contents ct ON ct.key = test_key JOIN contents cr ON cr.key = train_key
 )"""
 
+# Bands for a recall of 0.98 at the threshold, and what they find of the exact pairs.
+_SURE = "(0.7::DOUBLE, 25, 5), (0.8::DOUBLE, 18, 7), (0.9::DOUBLE, 11, 11)"
+SURE = f"""{CONTENTS}, {_PERM}, sets AS (
+  SELECT array_to_string(list_sort(sh), '|') AS k, any_value(sh) AS sh, min(test_id) AS test_id, min(train_id) AS train_id,
+         sum(n_test)::BIGINT AS n_test, sum(n_train)::BIGINT AS n_train FROM shingled GROUP BY 1
+), hashes AS (SELECT k, {_HASH} AS h FROM (SELECT k, unnest(sh) AS s FROM sets)
+), sig AS (SELECT k, i, min((a * h + b) % {PRIME}) AS m FROM hashes, perm GROUP BY k, i
+), bands AS (
+  SELECT threshold, k, i // n_rows AS band, string_agg(m, ',' ORDER BY i) AS bucket
+  FROM sig, (VALUES {_SURE}) v(threshold, n_bands, n_rows) WHERE i < n_bands * n_rows GROUP BY 1, 2, 3
+), met AS (SELECT DISTINCT threshold, te.k AS test_k, tr.k AS train_k FROM bands te JOIN bands tr USING (threshold, band, bucket)
+), sim AS (
+  SELECT a.k AS test_k, b.k AS train_k, a.test_id, b.train_id, a.n_test AS test_rows, b.n_train AS train_rows, {jaccard('a.sh', 'b.sh')} AS similarity
+  FROM sets a, sets b WHERE a.n_test > 0 AND b.n_train > 0
+    AND least(len(a.sh), len(b.sh)) >= 0.69 * greatest(len(a.sh), len(b.sh)))"""
+
 # Expected functions of the files view, from its parts.
 _HEAD_ROWS = "CASE doc_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END"
 _LINES = f"(length(text) - length(replace(text, {NL}, '')))"
@@ -374,6 +390,18 @@ SELECT test_id, train_id, n_test AS test_rows, n_train AS train_rows, similarity
 SELECT *, round(coalesce(candidate_rows * 100.0::DOUBLE / nullif(test_rows, 0), 0), 6) AS pct FROM z""",
     "top_near_dups": f"""WITH {LSH} SELECT test_id, train_id, similarity FROM lsh
 WHERE threshold = 0.5 AND similarity >= 0.5 ORDER BY similarity DESC, test_id, train_id LIMIT 10""",
+    "near_dup_sure": f"""WITH {SURE} SELECT test_id, train_id, test_rows, train_rows, similarity
+FROM sim JOIN met USING (test_k, train_k) WHERE threshold = 0.7 AND similarity >= 0.7""",
+    "near_dup_recall": f"""WITH {SURE} SELECT threshold, count(test_id) AS exact_pairs, count(test_id) FILTER (met.test_k IS NOT NULL) AS found_pairs,
+  round(coalesce(count(test_id) FILTER (met.test_k IS NOT NULL)::DOUBLE / nullif(count(test_id), 0), 1.0), 6) AS recall
+FROM (VALUES {_SURE}) v(threshold, n_bands, n_rows) LEFT JOIN sim ON similarity >= threshold LEFT JOIN met USING (threshold, test_k, train_k)
+GROUP BY threshold""",
+    "docstring_best": f"""WITH {DOCSTRINGS}, best AS (
+  SELECT * FROM sims WHERE similarity > 0
+  QUALIFY row_number() OVER (PARTITION BY test_docstring ORDER BY similarity DESC, train_docstring) = 1
+)
+SELECT t.docstring AS test_docstring, train_docstring, coalesce(similarity, 0)::DOUBLE AS similarity
+FROM (SELECT DISTINCT docstring FROM d WHERE split = 'test' AND docstring <> '') t LEFT JOIN best ON test_docstring = t.docstring""",
     "near_dup_exact": f"""WITH {CONTENTS}, sets AS (
   SELECT array_to_string(list_sort(sh), '|') AS k, any_value(sh) AS sh, min(test_id) AS test_id, min(train_id) AS train_id,
          sum(n_test)::BIGINT AS n_test, sum(n_train)::BIGINT AS n_train FROM shingled GROUP BY 1
