@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from ..functions import hashing, lexing, text
 from ..operators import calls as source
 from ..operators import curate, extract, leakage, links, neardup, pages, project, similarity, stats
-from ..session import SETTINGS
-from ..sources import readers, sinks
+from ..session import SETTINGS, scratch
+from ..sources import ledger, readers, sinks
 from . import views
 from .views import documents, files, functions, licenses, literal_files, repos, table, view
 
@@ -413,6 +413,21 @@ def top_repos(spark, sf):
     return stats.top_repos(functions(spark, sf))
 
 
+@query
+def resumed_rows(spark, sf):
+    """Rows of all documents by two runs after one that was stopped before its manifest."""
+    path = scratch(spark, "ledger")
+    units = functions(spark, sf).select("nwo", "id", "function")
+
+    def work(todo):
+        return todo.select("nwo", "id", F.octet_length("function").cast("bigint").alias("n_bytes"))
+
+    work(units).write.parquet(f"{path}/rows/run=stopped")
+    ledger.resume(spark, path, units.where(F.crc32("nwo") % 2 == 0), ["nwo"], work)
+    ledger.resume(spark, path, units, ["nwo"], work)
+    return ledger.results(spark, path).select("nwo", "id", "n_bytes")
+
+
 # --- text functions
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..operators import curate, extract, leakage, neardup, segments, similarity, stats
 from ..operators.project import function_record
 from ..session import intermediates, written
-from ..sources import readers, sinks
+from ..sources import ledger, readers, sinks
 
 
 def deduplicate(spark: SparkSession, functions_dir: str, info_dir: str, output_dir: str) -> int:
@@ -79,6 +79,24 @@ def scan_repositories(
     return _extract(extract.repository_files(files), function_record, output_dir, "append")
 
 
+def resume_scan(spark: SparkSession, repos_dir: str, output_dir: str, shas: DataFrame | None = None) -> int:
+    """``scan_repositories`` that may be stopped and run again: repositories whose rows are complete
+    are passed over, and no row is there twice. ``ledger.results`` reads the rows."""
+    files = readers.source_tree(spark, repos_dir)
+    inner = F.substr(F.col("path"), F.lit(len(repos_dir.rstrip("/")) + 2))
+    files = files.withColumn("path", F.concat(F.lit("/data/repos/"), inner))
+    nwo, _ = extract.path_to_nwo("path")
+    files = files.withColumn("nwo", nwo)
+    if shas is not None:
+        files = files.join(shas.select("nwo", "sha"), "nwo", "left")
+
+    def work(todo: DataFrame) -> DataFrame:
+        found = extract.extract_functions(extract.with_language(extract.repository_files(todo)), None, segments.CHUNK)
+        return function_record(extract.kept_rows(found))
+
+    return ledger.resume(spark, output_dir, files, ["nwo"], work)
+
+
 def parquet_to_jsonl(spark: SparkSession, input_dir: str, output: str) -> int:
     return sinks.write_jsonl(spark.read.parquet(input_dir), output)
 

@@ -427,6 +427,7 @@ SELECT measure, i::BIGINT AS point, round(x, 6) AS x,
   round(sum(n * exp(-0.5 * pow((x - value) / h, 2))) / (total * h * sqrt(2 * pi())), 10) AS density
 FROM g JOIN v USING (measure) GROUP BY measure, i, x, total, h""",
     "top_repos": f"WITH {FN} SELECT nwo, count(*) AS n FROM functions WHERE nwo IS NOT NULL GROUP BY 1 ORDER BY n DESC, nwo LIMIT 10",
+    "resumed_rows": f"WITH {FN} SELECT nwo, id, strlen(function)::BIGINT AS n_bytes FROM functions",
     "docstring_tokens": f"""WITH d AS (SELECT doc_id, regexp_extract_all({summary('text')}, {_DOC_TOKEN}) AS t FROM documents)
 SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens FROM d""",
     "word_tokens": f"SELECT doc_id, array_to_string({words('text')}, ' ') AS tokens FROM documents",
