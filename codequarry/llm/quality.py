@@ -205,10 +205,11 @@ def passed(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     fit and once to filter, so that they need not move."""
     probability = fitted(features(docs).select(votes().alias("pattern")))
 
-    @F.pandas_udf("array<long>")
-    def measure(part: pd.Series) -> pd.Series:
+    def measure_all(part: pd.Series) -> pd.Series:
         return part.map(measured)
 
+    # Said to be nondeterministic, so that the filter below doesn't measure once more.
+    measure = F.pandas_udf(measure_all, "array<long>").asNondeterministic()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, measure(whole_text()).alias("m"))
     rows = rows.select("row", *[F.col("m")[i].alias(f) for i, f in enumerate(FEATURES)])

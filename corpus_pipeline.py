@@ -5,7 +5,6 @@ again as the next one's ``docs``. All but the last return the columns of ``docum
 returns packed pieces. The stages need no other table, so ``sf_dir`` is only there to be passed.
 """
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from codequarry.llm import exact_dedup, packing, pii, quality, simhash
