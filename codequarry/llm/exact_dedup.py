@@ -91,10 +91,10 @@ def survivors(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The documents that stay, with all their columns.
 
     The rest of a row travels with its text through the same two steps. Of rows that agree in text
-    and id, which one's other columns stay is open.
+    and id, the one stays whose other columns have the largest hash, so runs agree.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    rank = F.coalesce(F.col("rest.doc_id").cast("long"), F.lit(-(1 << 63)))
+    rank = F.struct(F.coalesce(F.col("rest.doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64(F.to_json("rest")))
     rows = docs.select(
         sha256(whole_text()).alias("digest"),
         whole_text().alias("text"),

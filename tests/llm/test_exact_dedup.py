@@ -66,3 +66,10 @@ def test_many_identical_rows(spark):
     docs = spark.range(150_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("same").alias("text"))
     rows = exact_dedup.membership(docs).groupBy("kept", "group_size").count().collect()
     assert sorted(map(tuple, rows)) == [(False, 150_000, 149_999), (True, 150_000, 1)]
+
+
+def test_rows_equal_in_id_and_text_have_a_rule(spark):
+    rows = [(1, "same", c) for c in "abcdef"]
+    schema = "doc_id long, text string, lang string"
+    kept = {tuple(exact_dedup.survivors(spark.createDataFrame(r, schema).repartition(3)).first()) for r in (rows, rows[::-1], rows[3:] + rows[:3])}
+    assert len(kept) == 1
