@@ -428,6 +428,77 @@ def resumed_rows(spark, sf):
     return ledger.results(spark, path).select("nwo", "id", "n_bytes")
 
 
+# --- what is written and read back
+
+def _source_path():
+    return F.concat(F.lit("src/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".ets"))
+
+
+def _digests(files):
+    return files.select("path", F.md5("content").alias("content_md5"))
+
+
+@query
+def read_source_parquet(spark, sf):
+    """Raw sources through the parquet sink and its scan."""
+    path = scratch(spark, "raw-parquet")
+    sinks.write_parquet(documents(spark, sf).select(F.col("text").alias("content"), _source_path().alias("max_stars_repo_path")), path)
+    return _digests(readers.source_parquet(spark, path))
+
+
+@query
+def read_source_json(spark, sf):
+    """Raw sources as gzipped JSON, spread after reading."""
+    path = scratch(spark, "raw-json")
+    rows = documents(spark, sf).select(F.col("text").alias("content"), _source_path().alias("path"))
+    rows.write.option("compression", "gzip").json(path)
+    return _digests(readers.source_json(spark, path, partitions=spark.sparkContext.defaultParallelism))
+
+
+@query
+def read_source_jsonl(spark, sf):
+    """Raw sources through the JSON lines sink and their scan."""
+    path = scratch(spark, "raw-jsonl")
+    sinks.write_by_extension(documents(spark, sf).select(F.col("text").alias("raw_text"), _source_path().alias("file_name")), f"{path}.json")
+    return _digests(readers.source_jsonl(spark, f"{path}.json"))
+
+
+@query
+def read_tolerant_jsonl(spark, sf):
+    """JSON lines among blank and broken ones."""
+    path = scratch(spark, "tolerant")
+    line = F.to_json(F.struct("doc_id", "text"))
+    broken = F.when(F.col("doc_id") % 3 == 0, F.expr("left(line, 12)")).otherwise(F.lit("  "))
+    lines = documents(spark, sf).select("doc_id", line.alias("line")).select(F.explode(F.array("line", broken)).alias("value"))
+    lines.write.text(path)
+    return readers.tolerant_jsonl(spark, path, "doc_id bigint, text string").select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query
+def read_repo_csv(spark, sf):
+    """The repository list through the CSV sink and its scan."""
+    path = scratch(spark, "repo-list")
+    rows = table(spark, sf, "pages").select("page_id", "url", F.concat(F.lit('a "b", '), "url").alias("description"))
+    sinks.write_csv(rows, path)
+    return readers.repo_list_csv(spark, path).select(F.col("page_id").cast("bigint").alias("page_id"), "url", "description")
+
+
+@query
+def run_outcomes(spark, sf):
+    """Rows written for either outcome of a run; a null outcome is a failure."""
+    rows = documents(spark, sf).select("doc_id", F.when(F.col("doc_id") % 7 > 0, F.col("n_chars") > 500).alias("ok"))
+    parts = zip(("success", "failure"), curate.success_and_failure(rows, F.col("ok")))
+    counts = [(name, sinks.write_parquet(part, scratch(spark, f"outcome-{name}"))) for name, part in parts]
+    return spark.createDataFrame(counts, "outcome string, n bigint")
+
+
+@query
+def supported_languages(spark, sf):
+    named = F.when(F.col("doc_id") % 3 == 0, "ArkTS").when(F.col("doc_id") % 3 == 1, "arkts").otherwise(F.col("lang"))
+    rows = documents(spark, sf).select("doc_id", named.alias("language"))
+    return rows.where(project.is_supported_language("language"))
+
+
 # --- text functions
 
 

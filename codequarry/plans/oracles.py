@@ -427,6 +427,15 @@ SELECT measure, i::BIGINT AS point, round(x, 6) AS x,
   round(sum(n * exp(-0.5 * pow((x - value) / h, 2))) / (total * h * sqrt(2 * pi())), 10) AS density
 FROM g JOIN v USING (measure) GROUP BY measure, i, x, total, h""",
     "top_repos": f"WITH {FN} SELECT nwo, count(*) AS n FROM functions WHERE nwo IS NOT NULL GROUP BY 1 ORDER BY n DESC, nwo LIMIT 10",
+    **{
+        name: "SELECT 'src/' || lang || '/' || doc_id || '.ets' AS path, md5(text) AS content_md5 FROM documents"
+        for name in ("read_source_parquet", "read_source_json", "read_source_jsonl")
+    },
+    "read_tolerant_jsonl": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "read_repo_csv": "SELECT page_id, url, 'a \"b\", ' || url AS description FROM pages",
+    "run_outcomes": """SELECT CASE WHEN doc_id % 7 > 0 AND n_chars > 500 THEN 'success' ELSE 'failure' END AS outcome, count(*) AS n
+FROM documents GROUP BY 1""",
+    "supported_languages": """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'ArkTS' ELSE 'arkts' END AS language FROM documents WHERE doc_id % 3 < 2""",
     "resumed_rows": f"WITH {FN} SELECT nwo, id, strlen(function)::BIGINT AS n_bytes FROM functions",
     "docstring_tokens": f"""WITH d AS (SELECT doc_id, regexp_extract_all({summary('text')}, {_DOC_TOKEN}) AS t FROM documents)
 SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens FROM d""",
