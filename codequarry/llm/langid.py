@@ -35,6 +35,8 @@ from .common import per_batch, texts
 # The bound on labelled text, for each language.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 40_000
+# Ids ranked for each that is chosen.
+SPARE = 4
 # Columns of a language's table, for its most frequent letters; moves by others are sorted keys.
 ALPHABET = 126
 BLOCK = 2048
@@ -56,15 +58,21 @@ def fold(doc_id: str | Column = "doc_id") -> Column:
 def sample(docs: DataFrame, max_docs: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Labelled text of each language, from the documents of all folds but 0.
 
-    Chosen on distinct ids alone, by a rank limit that Spark applies before the shuffle, so a language
-    with most of the rows sends no more than the others. Texts are fetched for the chosen ids only,
+    Chosen on distinct ids alone: a language's ids are counted (approximately), and only those with a
+    hash below what about ``SPARE`` times as many as asked for have are ranked. So few rows of a
+    language meet in one task, however many rows or tasks there are. Texts are fetched for the chosen ids only,
     one for each id (the smallest beginning, where its rows differ), and share the characters
     evenly; what short ones leave goes to the longer.
     """
     labelled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text")
     ).where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{M}]"))
-    keyed = labelled.select("lang", F.xxhash64("doc_id").alias("order"), "doc_id").distinct()
+    keyed = labelled.select("lang", F.xxhash64("doc_id").alias("order"), "doc_id")
+    counts = keyed.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    share = F.col("order") / F.lit(2.0**64) + F.lit(0.5)
+    low = share * F.col("ids") <= F.lit(float(SPARE * max_docs))
+    # One row a language, as few as the sample has texts for.
+    keyed = keyed.join(F.broadcast(counts), "lang").where(low | F.col("doc_id").isNull()).select("lang", "order", "doc_id").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     chosen = keyed.withColumn("rank", rank).where(F.col("rank") <= max_docs).select("lang", "doc_id")
     rows = labelled.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi")
