@@ -46,6 +46,23 @@ def test_buckets_are_near_their_size(spark):
     assert len(counts) == n and max(counts) < 4 * sum(counts) / n
 
 
+def test_equal_rows_spread(spark):
+    """A third of the rows agree in id and text."""
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("x" * 500).alias("text")
+    )
+    placed, n = sharding.buckets(docs, seed=3, bucket_bytes=20_000)
+    counts = [r["count"] for r in placed.groupBy("bucket").count().collect()]
+    assert n > 20 and len(counts) == n and max(counts) < 3 * 3000 / n
+
+
+def test_one_bucket_at_a_time_keeps_the_setting(spark):
+    key = sharding._SIDE_BY_SIDE
+    before = spark.conf.get(key, None)
+    assert sharding.places(documents(spark), bucket_bytes=5_000).count() == documents(spark).count()
+    assert spark.conf.get(key, None) == before
+
+
 def test_empty(spark):
     assert sharding.places(empty(spark)).collect() == []
 
