@@ -185,7 +185,11 @@ def whole_literals(text: str) -> Iterator[tuple[int, int]]:
                 outer = -1
         elif kind == "template":
             outer = start
-        elif kind in ("string", "comment"):
+        elif kind == "comment":
+            # One mark may hold several, with blanks between them.
+            for comment in re.finditer(_COMMENT, text[start:end]):
+                yield start + comment.start(), start + comment.end()
+        elif kind == "string":
             yield start, end
     if outer >= 0:
         yield outer, len(text)

@@ -153,7 +153,10 @@ SURE = f"""{CONTENTS}, {_PERM}, sets AS (
 ), bands AS (
   SELECT threshold, k, i // n_rows AS band, string_agg(m, ',' ORDER BY i) AS bucket
   FROM sig, (VALUES {_SURE}) v(threshold, n_bands, n_rows) WHERE i < n_bands * n_rows GROUP BY 1, 2, 3
-), met AS (SELECT DISTINCT threshold, te.k AS test_k, tr.k AS train_k FROM bands te JOIN bands tr USING (threshold, band, bucket)
+), met AS (
+  SELECT DISTINCT threshold, te.k AS test_k, tr.k AS train_k
+  FROM (SELECT * FROM bands WHERE k IN (SELECT k FROM sets WHERE n_test > 0)) te
+  JOIN (SELECT * FROM bands WHERE k IN (SELECT k FROM sets WHERE n_train > 0)) tr USING (threshold, band, bucket)
 ), sim AS (
   SELECT a.k AS test_k, b.k AS train_k, a.test_id, b.train_id, a.n_test AS test_rows, b.n_train AS train_rows, {jaccard('a.sh', 'b.sh')} AS similarity
   FROM sets a, sets b WHERE a.n_test > 0 AND b.n_train > 0

@@ -77,6 +77,11 @@ def test_code_without_comments_stays_as_it_is(spark):
     assert all(r.code == r.content == r.all for r in got.collect())
 
 
+def test_adjoining_comments_are_tokens_of_their_own():
+    text = "a / 2 // one\n  // two\n/* three *//* four */"
+    assert [text[a:b] for a, b in whole_literals(text)] == ["// one", "// two", "/* three */", "/* four */"]
+
+
 def test_only_comments_go(spark):
     source = "let a = /[/*]+/ // one\nlet b = `${f(`//x`)} /* no */` /* two */ + 1 / 2 // three / four\n"
     rows = spark.createDataFrame([(source,)], "content string")
