@@ -50,8 +50,11 @@ def buckets(docs: DataFrame, seed: int = 0, bucket_bytes: int = BUCKET_BYTES) ->
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")
     keyed = docs.select(record, F.monotonically_increasing_id().alias("place"))
     keyed = keyed.select(F.struct(F.xxhash64(F.lit(seed), "place").alias("key"), "place", "record").alias("entry"))
-    scattered = keyed.select(F.pmod("entry.key", F.lit(n)).alias("bucket"), "entry")
-    listed = scattered.repartition(min(n, MOST_TASKS), "bucket").groupBy("bucket").agg(
+    tasks = min(n, MOST_TASKS)
+    bucket = F.pmod("entry.key", F.lit(n))
+    scattered = keyed.select(bucket.alias("bucket"), F.pmod(bucket, F.lit(tasks)).cast("int").alias("task"), "entry")
+    # Dealt by number, not by its hash: a task has its own buckets and no other's.
+    listed = scattered.repartitionById(tasks, F.col("task")).groupBy("task", "bucket").agg(
         F.sort_array(F.collect_list("entry")).alias("entries")
     )
     mixed = listed.select("bucket", F.shuffle("entries", seed=seed).alias("entries"))
