@@ -44,7 +44,8 @@ def skew_join(
     hot = cells(left, right, on, side)
 
     def dealt(df: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
-        marked = df.join(hot, on, "left")
+        # Hot keys are fewer than both sides' rows over ``side``: a table to send, not to move rows for.
+        marked = df.join(F.broadcast(hot), on, "left")
         parts = F.coalesce(F.col(f"_{own}_parts"), F.lit(1))
         mine = F.pmod(F.xxhash64(*spread), parts).cast("int").alias(f"_{own}_part")
         theirs = F.sequence(F.lit(0), F.coalesce(F.col(f"_{other}_parts"), F.lit(1)) - 1)

@@ -245,3 +245,30 @@ def test_statistics(spark):
         x = r.point * 99 / 199
         want = sum(math.exp(-0.5 * ((x - i) / h) ** 2) for i in range(100)) / (100 * h * math.sqrt(2 * math.pi))
         assert abs(r.density - want) < 1e-12
+
+
+def test_few_candidates_of_large_sets_and_none_lost(spark, monkeypatch):
+    """Near copies share tokens all along their prefixes, strangers one or two of a common stock."""
+    rng = random.Random(3)
+    sets = []
+    for i in range(60):
+        base = rng.sample(range(3000), 150 + i)
+        sets.append(base)
+        for changed in (5, 20, 30):
+            copy = list(base)
+            copy[:changed] = [10_000 + i * 100 + k for k in range(changed)]
+            sets.append(copy)
+    keyed = [(f"k{i}", [f"t{x}" for x in dict.fromkeys(s)]) for i, s in enumerate(sets)]
+    left, right = (spark.createDataFrame(keyed[k::2], "key string, tokens array<string>") for k in (0, 1))
+    candidates, seen = similarity._candidates, []
+
+    def counted(*args):
+        out = candidates(*args)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(similarity, "_candidates", counted)
+    got = {(r.left_key, r.right_key) for r in similarity.similar_sets(left, right, 0.7).collect()}
+    want = {(a, b) for a, s in keyed[::2] for b, r in keyed[1::2] if jaccard(set(s), set(r)) >= 0.7}
+    assert got == want and len(want) > 100
+    assert seen[0] <= 2 * len(want)
