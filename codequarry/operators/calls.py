@@ -90,7 +90,7 @@ def source_calls(files: DataFrame) -> DataFrame:
     texts = files.where("content IS NOT NULL").select("file_id", "content").repartition("file_id")
     calls, functions = _call_marks(_marks(texts)), _functions(texts)
     parameters = functions.where("parameters_start IS NOT NULL").select("file_id", F.col("parameters_start").alias("arguments_start"))
-    calls = calls.join(parameters, ["file_id", "arguments_start"], "left_anti")
+    calls = calls.join(parameters.hint("merge"), ["file_id", "arguments_start"], "left_anti")
     cut = cut_out(texts, _within(calls, functions), {"argument_list": ("arguments_start", "arguments_stop")})
     return cut.select(
         "file_id", "identifier", "callee", "argument_list",
@@ -161,7 +161,8 @@ def resolved_calls(calls: DataFrame, imports: DataFrame, functions: DataFrame) -
     defined = functions.select("file_id", F.col("identifier").alias("_first")).where("_first <> ''").distinct().withColumn("_defined", F.lit(True))
     first = F.substring_index("callee", ".", 1)
     rows = calls.withColumn("_first", F.when(first != "", first))
-    rows = rows.join(aliases, ["file_id", "_first"], "left").join(defined, ["file_id", "_first"], "left")
+    # Merged: what comes out of texts grows with the files, whatever the planner takes their size for.
+    rows = rows.join(aliases.hint("merge"), ["file_id", "_first"], "left").join(defined.hint("merge"), ["file_id", "_first"], "left")
     imported = F.col("_import").isNotNull()
     alone = F.col("callee") == F.col("_first")
     return rows.select(

@@ -394,8 +394,10 @@ def cut_out(texts: DataFrame, found: DataFrame, spans: dict[str, tuple[str, str]
         return F.struct(*[find[c].alias(c) for c in fields], *cut)
 
     cuts = let(chunks, lambda chunk: F.transform("finds", lambda find: with_texts(chunk, find)))
+    # Merged in place: texts made by a query can be far larger than the planner's estimate from the
+    # files, which would send all of them through the driver.
     # inline_outer: a plain one is given a filter on the array's size, which would cut twice.
-    return texts.join(finds, "file_id").select("file_id", F.inline_outer(cuts))
+    return texts.hint("merge").join(finds.hint("merge"), "file_id").select("file_id", F.inline_outer(cuts))
 
 
 def docstring_of(comments: Column) -> Column:

@@ -56,7 +56,8 @@ def call_links(
     if stopwords:
         calls = calls.where(~F.col("identifier").isin(stopwords))
     scope = imports.select("nwo", "path", "library")
-    linked = calls.join(targets, "identifier").join(scope, ["nwo", "path", "library"], "left_semi")
+    # Merged: every definition of every library is no table to send through the driver.
+    linked = calls.join(targets.hint("merge"), "identifier").join(scope.hint("merge"), ["nwo", "path", "library"], "left_semi")
     kept = ["nwo", "sha", "path", *[c for c in ("language",) if c in calls.columns], "identifier", "argument_list"]
     return linked.select(
         *kept, source_url("nwo", "sha", "path", "start_row", "end_row").alias("call_url"), "definition_url"

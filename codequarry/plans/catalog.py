@@ -257,7 +257,7 @@ def source_imports(spark, sf):
 def source_call_links(spark, sf):
     """Calls and imports read out of source, linked to library definitions."""
     apps = _callers(spark, sf).select("file_id", "nwo", "sha", "path", "content")
-    named = apps.drop("content")
+    named = apps.drop("content").hint("merge")
     found = _resolved(spark, sf).withColumn("identifier", F.coalesce("name", "identifier")).join(named, "file_id")
     imports = source.source_imports(apps).join(named, "file_id").select("nwo", "path", links.library_of("module").alias("library")).distinct()
     return links.call_links(found, imports, view(spark, sf, "part", views.DEFINITIONS))
