@@ -81,3 +81,10 @@ def test_where_calls_lead(spark):
     assert got["ns.deep.call"] == ("imported", "tools", "call")
     assert got["helper"] == ("local", None, None)
     assert got["check"] == got[".test"] == ("other", None, None)
+
+
+def test_nothing_made_of_texts_is_broadcast(spark):
+    """The planner takes texts made by a query for as small as the files they are made from."""
+    few = files(spark)
+    out = calls.resolved_calls(calls.source_calls(few), calls.source_imports(few), extract.extract_functions(few))
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
