@@ -83,8 +83,9 @@ def test_where_calls_lead(spark):
     assert got["check"] == got[".test"] == ("other", None, None)
 
 
-def test_nothing_made_of_texts_is_broadcast(spark):
+def test_nothing_made_of_texts_is_broadcast(spark, tmp_path):
     """The planner takes texts made by a query for as small as the files they are made from."""
-    few = files(spark)
+    files(spark).write.parquet(f"{tmp_path}/files")
+    few = spark.read.parquet(f"{tmp_path}/files")
     out = calls.resolved_calls(calls.source_calls(few), calls.source_imports(few), extract.extract_functions(few))
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
