@@ -10,11 +10,11 @@ recurses once per repetition and overflows the task's stack on long literals.
 """
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .expr import as_col, let
+from .expr import as_col, let, staged
 from .modes import Modes, whole_literals
 
 NAME = r"[\p{L}_$][\p{L}\p{N}_$]*+"
@@ -89,10 +89,11 @@ def marks(texts: pa.Array) -> pa.Array:
     return _lists(texts, of_text, ["noise", "kind", "mark"])
 
 
-def lex(c) -> Column:
-    """All tokens including whitespace and comments; joined they give the text back."""
+def lex(c, known_plain: Column | None = None) -> Column:
+    """All tokens including whitespace and comments; joined they give the text back. ``known_plain``
+    may say that patterns find all literals, without another look at the text."""
     c = as_col(c)
-    plain = has_plain_literals(c)
+    plain = has_plain_literals(c) if known_plain is None else known_plain | has_plain_literals(c)
 
     def cut(text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
@@ -129,21 +130,11 @@ def remove_comments(c) -> Column:
     return F.array_join(F.filter(lex(c), lambda t: ~is_comment(t)), "")
 
 
-def obfuscated(function, parameters, keep_space: bool = False) -> Column:
-    """Tokens with parameter and body identifiers renamed arg_0, arg_1, … by first appearance.
-
-    The text before the parameter list and the return type stay as they are. So do members after
-    a dot, parameter types and reserved words. Comments are dropped.
-    """
-    function, parameters = as_col(function), as_col(parameters)
-    at = F.when(parameters == "", F.lit(1)).otherwise(F.greatest(F.instr(function, parameters), F.lit(1)))
-    rest = F.substr(function, at + F.length(parameters))
-    # Without a parameter list (a bare arrow) everything is body.
-    body_at = F.when(parameters == "", F.lit(1)).otherwise(F.greatest(F.instr(rest, F.lit("{")), F.lit(1)))
-    keep = (lambda t: ~is_comment(t)) if keep_space else _is_code
+def _renamed(parts: Column, keep_space: bool) -> Column:
+    """Tokens of the lexed parts (head, params, type, body), comments dropped and names replaced."""
 
-    def tokens(c: Column) -> Column:
-        return F.filter(lex(c), keep)
+    def kept(part: str) -> Column:
+        return F.filter(parts[part], (lambda t: ~is_comment(t)) if keep_space else _is_code)
 
     def names(toks: Column, typed: bool) -> Column:
         stops = [".", "?."] + ([":"] if typed else [])
@@ -153,7 +144,7 @@ def obfuscated(function, parameters, keep_space: bool = False) -> Column:
             if keep_space:
                 before = F.when((i > 1) & is_blank(F.coalesce(before, F.lit(""))), F.get(toks, i - 2)).otherwise(before)
             free = ~F.coalesce(before, F.lit("")).isin(stops)
-            return F.when(t.rlike(rf"\A(?!(?:{'|'.join(RESERVED)})\z){NAME}\z") & free, t)
+            return F.when(t.rlike(rf"\A{NAME}\z") & ~t.isin(RESERVED) & free, t)
 
         return F.transform(toks, name_or_null)
 
@@ -166,14 +157,10 @@ def obfuscated(function, parameters, keep_space: bool = False) -> Column:
             ),
         )
 
-    parts = F.struct(
-        tokens(parameters).alias("params"),
-        tokens(F.substr(rest, F.lit(1), body_at - 1)).alias("type"),
-        tokens(F.substr(rest, body_at)).alias("body"),
-    )
+    code = F.struct(*[kept(p).alias(p) for p in ("params", "type", "body")])
     return F.concat(
-        tokens(F.substr(function, F.lit(1), at - 1)),
-        let(parts, lambda p: let(
+        kept("head"),
+        let(code, lambda p: let(
             F.struct(names(p["params"], True).alias("params"), names(p["body"], False).alias("body")),
             lambda n: let(
                 F.array_distinct(F.array_compact(F.concat(n["params"], n["body"]))),
@@ -185,3 +172,72 @@ def obfuscated(function, parameters, keep_space: bool = False) -> Column:
             ),
         )),
     )
+
+
+def renamed(parts: Column, keep_space: bool = False) -> Column:
+    """``obfuscated`` of the ``_parts`` that ``with_tokens`` adds."""
+    return let(parts, lambda p: _renamed(p, keep_space))
+
+
+def obfuscated(function, parameters, keep_space: bool = False) -> Column:
+    """Tokens with parameter and body identifiers renamed arg_0, arg_1, … by first appearance.
+
+    The text before the parameter list and the return type stay as they are. So do members after
+    a dot, parameter types and reserved words. Comments are dropped.
+    """
+    function, parameters = as_col(function), as_col(parameters)
+    at = F.when(parameters == "", F.lit(1)).otherwise(F.greatest(F.instr(function, parameters), F.lit(1)))
+    rest = F.substr(function, at + F.length(parameters))
+    parts = {"head": F.substr(function, F.lit(1), at - 1), "params": parameters} | _behind(rest, _body_at(rest, parameters))
+    return renamed(F.struct(*[lex(c).alias(n) for n, c in parts.items()]), keep_space)
+
+
+def _body_at(rest: Column, parameters: Column) -> Column:
+    # Without a parameter list (a bare arrow) everything is body.
+    return F.when(parameters == "", F.lit(1)).otherwise(F.greatest(F.instr(rest, F.lit("{")), F.lit(1)))
+
+
+def _behind(rest: Column, body_at: Column) -> dict[str, Column]:
+    return {"type": F.substr(rest, F.lit(1), body_at - 1), "body": F.substr(rest, body_at)}
+
+
+def _last_is_code(tokens: Column) -> Column:
+    last = F.coalesce(F.get(tokens, F.size(tokens) - 1), F.lit(""))
+    # A backslash may have lost what it escapes, and with it the literal that it stands in.
+    return ~(is_comment(last) | last.rlike(r"""\A["'`\\]"""))
+
+
+def with_tokens(df: DataFrame, function: str = "function", parameters: str = "parameters") -> DataFrame:
+    """Add function_tokens (code tokens) and _parts, the tokens of the text before the parameter list,
+    of the list, of the return type and of the body, from one reading of each text.
+
+    Tokens of the whole text are those of its parts wherever no token runs across a border. Borders
+    stand at brackets, so only an open literal or comment can; there the whole text is read as well.
+    """
+    function, parameters = as_col(function), as_col(parameters)
+    df = staged(
+        df,
+        _plain=F.coalesce(has_plain_literals(function), F.lit(False)),
+        _found=F.when(parameters == "", F.lit(1)).otherwise(F.instr(function, parameters)),
+    )
+    at = F.greatest("_found", F.lit(1))
+    df = staged(
+        df,
+        # Cut at brackets, a plain text's parts are plain.
+        _whole=F.coalesce(
+            F.col("_plain") & (F.col("_found") > 0) & ((parameters == "") | (parameters.startswith("(") & parameters.endswith(")"))),
+            F.lit(False),
+        ),
+        _head=F.substr(function, F.lit(1), at - 1),
+        _rest=F.substr(function, at + F.length(parameters)),
+    )
+    df = staged(df, _body_at=_body_at(F.col("_rest"), parameters))
+    cut = {"head": F.col("_head"), "params": parameters} | _behind(F.col("_rest"), F.col("_body_at"))
+    df = staged(df, _cut=F.struct(*[c.alias(n) for n, c in cut.items()])).drop("_plain", "_found", "_head", "_rest", "_body_at")
+    df = staged(df, _parts=F.struct(*[lex(F.col("_cut")[n], F.col("_whole")).alias(n) for n in cut])).drop("_cut")
+    seamless = F.col("_whole")
+    for n in ("head", "params", "type"):
+        seamless = seamless & _last_is_code(F.col("_parts")[n])
+    df = staged(df, _seamless=F.coalesce(seamless, F.lit(False))).drop("_whole")
+    whole = F.when(F.col("_seamless"), F.concat(*[F.col("_parts")[n] for n in cut])).otherwise(lex(F.when(~F.col("_seamless"), function), F.col("_seamless")))
+    return staged(df, function_tokens=F.filter(whole, lambda t: ~is_blank(t))).drop("_seamless")

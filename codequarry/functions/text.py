@@ -26,6 +26,13 @@ def strip(c) -> Column:
     return F.regexp_replace(as_col(c), rf"(?U)\A{_WS}+|(?<!{_WS}){_WS}+\z", "")
 
 
+def stripped(c) -> Column:
+    """``strip`` of a column that seldom has blanks at its ends: others are not searched."""
+    c = as_col(c)
+    ends = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1))
+    return F.when(ends.rlike(rf"(?U){_WS}"), strip(c)).otherwise(c)
+
+
 def normalize(c) -> Column:
     """Strip, lower, squeeze whitespace runs to one space; null counts as empty."""
     text = F.lower(strip(F.coalesce(as_col(c), F.lit(""))))

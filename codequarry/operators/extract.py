@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.expr import count_newlines, let, staged
-from ..functions.lexing import COMMENT, NAME, STRING, code_tokens, has_plain_literals, marks, obfuscated
+from ..functions.lexing import COMMENT, NAME, STRING, has_plain_literals, marks, renamed, with_tokens
 from .segments import segments
 from .project import (
     BLACKLISTED_NAMES,
@@ -467,12 +467,11 @@ def extract_functions(files: DataFrame, max_bytes: int | None = None, split_abov
 
 def with_text_forms(functions: DataFrame) -> DataFrame:
     """Add docstring_summary, code tokens and the obfuscated forms."""
-    return functions.withColumns({
+    return with_tokens(functions).withColumns({
         "docstring_summary": text.docstring_summary("docstring"),
-        "function_tokens": code_tokens("function"),
-        "obf_function": F.array_join(obfuscated("function", "parameters", keep_space=True), ""),
-        "obf_function_tokens": obfuscated("function", "parameters", keep_space=False),
-    })
+        "obf_function": F.array_join(renamed(F.col("_parts"), keep_space=True), ""),
+        "obf_function_tokens": renamed(F.col("_parts"), keep_space=False),
+    }).drop("_parts")
 
 
 def is_kept(identifier: str = "identifier", tokens: str = "function_tokens") -> Column:

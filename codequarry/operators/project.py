@@ -57,7 +57,7 @@ def function_record(df: DataFrame, *further: str) -> DataFrame:
         df = df.withColumn(c, F.coalesce(F.col(c), empty) if c in have else empty)
     return (
         df.withColumn("docstring_tokens", text.docstring_tokens("docstring_summary"))
-        .withColumns({c: text.strip(c) for c in STRIPPED_FIELDS})
+        .withColumns({c: text.stripped(c) for c in STRIPPED_FIELDS})
         .withColumn("url", source_url("nwo", "sha", "path", "start_row", "end_row"))
         .withColumn("function_sha", function_sha("docstring", "function"))
         .select(*FUNCTION_COLUMNS, *further)
