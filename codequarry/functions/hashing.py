@@ -63,8 +63,8 @@ def permutations(num_perm: int = NUM_PERM) -> tuple[list[int], list[int]]:
     return a, b
 
 
-# Shingle hashes permuted at once: 128 rows of so many 8-byte numbers.
-_BLOCK = 1 << 13
+# Shingle hashes permuted at once: 128 rows of so many 8-byte numbers stay in a core's cache.
+_BLOCK = 1 << 9
 
 
 def signatures_of(hashes: pd.Series, num_perm: int = NUM_PERM) -> pd.Series:
@@ -74,24 +74,35 @@ def signatures_of(hashes: pd.Series, num_perm: int = NUM_PERM) -> pd.Series:
     block's minima per row are merged into the rows' signatures.
     """
     a, b = permutations(num_perm)
-    mul, add = np.array(a, np.int64)[:, None], np.array(b, np.int64)[:, None]
+    mul, add = np.array(a, np.uint64)[:, None], np.array(b, np.uint64)[:, None]
     sizes = np.array([0 if h is None else len(h) for h in hashes], np.int64)
-    low = np.full((num_perm, len(sizes)), PRIME, np.int64)
+    # One row a text, so that its minima are written side by side.
+    low = np.full((len(sizes), num_perm), PRIME, np.uint32)
     filled = np.flatnonzero(sizes)
     if len(filled):
-        flat = np.concatenate([np.asarray(hashes.iloc[i], np.int64) for i in filled])
+        flat = np.concatenate([np.asarray(hashes.iloc[i], np.int64) for i in filled]).astype(np.uint64)
         owner = np.repeat(filled, sizes[filled])
+        wide = np.empty((2, num_perm, _BLOCK), np.uint64)
+        narrow = np.empty((2, num_perm, _BLOCK), np.uint32)
         for at in range(0, len(flat), _BLOCK):
             own = owner[at : at + _BLOCK]
-            # x mod (2^31-1) by folding: 31-bit factors keep the product below 2^63.
-            x = mul * flat[None, at : at + _BLOCK] + add
-            x = (x & PRIME) + (x >> 31)
-            x = (x & PRIME) + (x >> 31)
-            x[x == PRIME] = 0
+            x, high = wide[:, :, : len(own)]
+            y, less = narrow[:, :, : len(own)]
+            # x mod (2^31-1) by folding: 31-bit factors keep the product below 2^62, so one fold
+            # leaves less than twice the modulus, and y - modulus wraps around where y is below it.
+            np.multiply(mul, flat[None, at : at + _BLOCK], out=x)
+            np.add(x, add, out=x)
+            np.right_shift(x, 31, out=high)
+            np.bitwise_and(x, PRIME, out=x)
+            np.add(x, high, out=y, casting="unsafe")
+            np.subtract(y, np.uint32(PRIME), out=less)
+            np.minimum(y, less, out=y)
             starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            rows = own[starts]
-            low[:, rows] = np.minimum(low[:, rows], np.minimum.reduceat(x, starts, axis=1))
-    return pd.Series([low[:, i] if n else None for i, n in enumerate(sizes)], index=hashes.index, dtype=object)
+            ends = np.r_[starts[1:], len(own)]
+            for row, start, end in zip(own[starts], starts, ends):
+                np.minimum(low[row], y[:, start:end].min(axis=1), out=low[row])
+    low = low.astype(np.int64)
+    return pd.Series([low[i] if n else None for i, n in enumerate(sizes)], index=hashes.index, dtype=object)
 
 
 def with_minhash(df: DataFrame, hashes: Column, name: str = "signature", num_perm: int = NUM_PERM) -> DataFrame:
