@@ -26,6 +26,11 @@ def strip(c) -> Column:
     return F.regexp_replace(as_col(c), rf"(?U)\A{_WS}+|(?<!{_WS}){_WS}+\z", "")
 
 
+def is_blank(c) -> Column:
+    """Whether ``strip`` leaves nothing."""
+    return as_col(c).rlike(rf"(?U)\A{_WS}*+\z")
+
+
 def stripped(c) -> Column:
     """``strip`` of a column that seldom has blanks at its ends: others are not searched."""
     c = as_col(c)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import count_newlines, staged
 from ..functions.lexing import NAME, remove_comments
-from .extract import _SHRUNK, _events, _found_in, _items, _declared, _located, cut_out
+from .extract import _SHRUNK, _events, _found, _scopes, cut_out
 
 # Words before a parenthesis that are no call.
 _NO_CALLS = (
@@ -36,10 +36,8 @@ def _noise(text: Column, kind: Column) -> Column:
 
 
 def _marks(texts: DataFrame) -> DataFrame:
-    rows = staged(_items(_events(texts)), noise=_noise(F.col("text"), F.col("kind")))
-    scope = Window.partitionBy("file_id", "inside", "scope").orderBy("pos")
-    first = scope.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("role", F.first("opened_as").over(first))
+    rows = _scopes(_events(texts)).select("file_id", "inside", F.col("opened_as").alias("role"), F.inline("items"))
+    return staged(rows, noise=_noise(F.col("text"), F.col("kind")))
 
 
 def _call_marks(marks: DataFrame) -> DataFrame:
@@ -60,10 +58,6 @@ def _call_marks(marks: DataFrame) -> DataFrame:
     )
 
 
-def _functions(texts: DataFrame) -> DataFrame:
-    return _declared(_located(_found_in(_items(_events(texts)))))
-
-
 def _within(calls: DataFrame, functions: DataFrame) -> DataFrame:
     """Calls with the innermost function around each, its name and where it starts."""
     nothing = F.lit(None)
@@ -88,7 +82,7 @@ def source_calls(files: DataFrame) -> DataFrame:
     leading dot behind another expression), argument_list, start_row, end_row, and the innermost
     function around it: caller ('' for none or one without a name) and caller_row."""
     texts = files.where("content IS NOT NULL").select("file_id", "content").repartition("file_id")
-    calls, functions = _call_marks(_marks(texts)), _functions(texts)
+    calls, functions = _call_marks(_marks(texts)), _found(texts)
     parameters = functions.where("parameters_start IS NOT NULL").select("file_id", F.col("parameters_start").alias("arguments_start"))
     calls = calls.join(parameters.hint("merge"), ["file_id", "arguments_start"], "left_anti")
     cut = cut_out(texts, _within(calls, functions), {"argument_list": ("arguments_start", "arguments_stop")})
@@ -107,7 +101,7 @@ def source_imports(files: DataFrame) -> DataFrame:
     """
     texts = files.where("content IS NOT NULL").select("file_id", "content").repartition("file_id")
     marks = _marks(texts)
-    begin = F.col("end") - F.col("len")
+    begin = F.col("start")
     w = Window.partitionBy("file_id").orderBy("pos")
     marks = marks.withColumns({
         # The last import or export keyword so far, outside all brackets.
@@ -115,12 +109,13 @@ def source_imports(files: DataFrame) -> DataFrame:
             F.when((F.col("inside") == 0) & F.col("noise").rlike(_STATEMENT), begin + F.length(F.regexp_extract("noise", _STATEMENT, 1))), ignorenulls=True
         ).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         "before": F.lag("noise").over(w),
+        "opener": F.lag("kind").over(w),
     })
     literal = F.col("kind") == "string"
     statement = literal & (F.col("inside") == 0) & F.col("noise").rlike(rf"{_FROM}|{_BARE}") & F.col("keyword").isNotNull()
     called = literal & (F.col("opener") == "(") & (F.trim("noise") == "") & F.col("before").rlike(r"(?<![\p{L}\p{N}_$.])(?:require|import)\s*\z")
     found = marks.where(statement | called).select(
-        "file_id", F.when(statement, F.col("keyword")).otherwise(F.col("end") - F.col("len") + F.length("noise")).alias("start"), F.col("end").alias("stop"),
+        "file_id", F.when(statement, F.col("keyword")).otherwise(F.col("start") + F.length("noise")).alias("start"), F.col("end").alias("stop"),
     )
     cut = cut_out(texts, found, {"text": ("start", "stop")}).where("text IS NOT NULL")
     cut = staged(cut, text=remove_comments("text"))

@@ -1,14 +1,15 @@
 """Functions out of source files, as relational operators over structural events.
 
 A file's text is cut at its structural marks: brackets of all three kinds, template holes, string
-and regex literals and runs of comments. Windows over a file's pieces give offsets, lines and bracket depth, and pair brackets.
-What stands between one bracket and its partner is a scope. A scope's own text, with everything in
+and regex literals and runs of comments. Running sums over a file's marks (``places``) give offsets,
+lines and bracket depth, and pair brackets. What stands between one bracket and its partner is a scope. A scope's own text, with everything in
 inner brackets shrunk to one character a pair, is its skeleton; in it a function header is flat
 text however deeply its parameters or types nest. One pattern per skeleton finds the headers, and
 a window carries their places back into the file.
 
-The only shuffle moves each file's text once, by file id; exploding, all windows, the skeletons and
-the join back to the text reuse that partitioning. A file is the unit of work of one task.
+One shuffle moves each file's text, by file id, and one the scopes in which something is found; the
+windows that place finds and the join back to the text reuse that partitioning. Marks are neither
+sorted nor shuffled. A file is the unit of work of one task.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.expr import count_newlines, let, staged
 from ..functions.lexing import COMMENT, NAME, STRING, has_plain_literals, marks, renamed, with_tokens
+from .places import scopes_of
 from .segments import segments
 from .project import (
     BLACKLISTED_NAMES,
@@ -116,7 +118,7 @@ _BLOCK = 256
 
 
 def _events(files: DataFrame) -> DataFrame:
-    """One row per structural mark, with the text before it: (file_id, pos, noise, kind, ...)."""
+    """(file_id, events): each file's structural marks in order, with the text before each of them."""
     # The line end keeps the last piece free of a mark even when the file ends in one.
     content = F.concat("content", F.lit("\n"))
     plain = has_plain_literals(content)
@@ -126,91 +128,59 @@ def _events(files: DataFrame) -> DataFrame:
         lambda p: F.struct(missing.alias("noise"), missing.alias("kind"), p.alias("mark")),
     )
     found = F.when(plain, pieces).otherwise(marks(F.when(~plain, content)))
-    rows = files.select("file_id", F.posexplode(found).alias("pos", "m"))
-    rows = staged(rows, noise=F.coalesce("m.noise", F.regexp_extract("m.mark", rf"\A{_NOISE}", 0)))
-    rows = staged(
-        rows, piece=F.when(F.col("m.noise").isNull(), F.col("m.mark")).otherwise(F.concat("noise", "m.mark")), known=F.col("m.kind")
-    ).drop("m").where("piece <> ''")
-    mark = F.substr(F.col("piece"), F.length("noise") + 1, F.lit(1))
-    kind = F.when(mark == "/", "comment").when(mark.isin('"', "'", "`"), "string").otherwise(mark)
-    return rows.withColumns({
-        "kind": F.coalesce("known", kind),
-        "len": F.length("piece"),
-        "lines": count_newlines(F.col("piece")),
-        "tail": F.length(F.substring_index("piece", "\n", -1)),
-    }).drop("piece", "known")
-
-
-def _items(events: DataFrame) -> DataFrame:
-    """Events with their places, their bracket's partner, and the scope whose text they carry."""
-    w = Window.partitionBy("file_id").orderBy("pos")
-    so_far, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    opens, closes = F.col("kind").isin(*_OPENING), F.col("kind").isin(")", "]", "}")
-    step = F.when(opens, 1).when(closes, -1).otherwise(0)
-    blank = text.strip("noise") == ""
-    role = (
-        F.when(F.col("noise").rlike(rf"\b(?:interface\b[^;]*|type\s+{NAME}\s*(?:<[^;]*>)?\s*=\s*)\z"), "types")
-        .when(F.col("noise").rlike(r"\b(?:class|struct)\b[^;]*\z"), "members")
-    )
     shrunk = F.create_map(*[F.lit(x) for pair in _SHRUNK.items() for x in pair])
-    # From here on rows carry one text, the noise as it stands in the skeleton.
-    rows = events.withColumns({
-        "text": F.concat(
-            F.translate("noise", _PRIVATE, "_" * len(_PRIVATE)), F.coalesce(F.try_element_at(shrunk, "kind"), F.lit(""))
-        ),
-        "role": F.when(F.col("kind") == "{", role),
-        "typed": F.col("noise").rlike(r"\A\s*(?::|=>)") | (blank & (F.col("kind") == "{")),
-    }).drop("noise")
-    rows = rows.withColumns({
-        "end": F.sum("len").over(so_far),
-        "end_row": F.sum("lines").over(so_far),
-        "depth": F.sum(step).over(so_far),
-        "opener": F.lag("kind").over(w),
-        "opened_as": F.lag("role").over(w),
-        # A parenthesis with a type, an arrow or a block behind it holds parameters.
-        "then_typed": F.lead("typed").over(w),
-    })
-    line_start = F.max(F.when(F.col("lines") > 0, F.col("end") - F.col("tail"))).over(before)
-    rows = rows.withColumns({
-        # Where the line that a piece starts in begins.
-        "line_start": F.coalesce(line_start, F.lit(0).cast("bigint")),
-        "inside": F.when(opens, F.col("depth") - 1).when(closes, F.col("depth") + 1).otherwise(F.col("depth")),
-        "level": F.when(opens, F.col("depth") - 1).when(closes, F.col("depth")),
-    }).drop("role", "typed", "tail", "depth")
-    pair = Window.partitionBy("file_id", "level").orderBy("pos")
-    rows = rows.withColumns({
-        "close_end": F.when(opens, F.lead("end").over(pair)),
-        "close_row": F.when(opens, F.lead("end_row").over(pair)),
-    }).drop("level")
-    # Every scope ends in the one closing bracket that carries its last text, and scopes of one
-    # depth follow each other: their numbers and offsets come from one order.
-    depth = Window.partitionBy("file_id", "inside").orderBy("pos")
-    earlier = depth.rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns({
-        "scope": F.coalesce(F.sum(closes.cast("int")).over(earlier), F.lit(0)),
-        "sum": F.coalesce(F.sum(F.length("text")).over(earlier), F.lit(0)),
-        "starts": F.coalesce(F.lag(closes).over(depth), F.lit(True)),
-    })
-    first = F.max(F.when(F.col("starts"), F.col("sum"))).over(depth.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("at", (F.col("sum") - first).cast("int")).drop("sum", "starts")
 
+    def kind_of(m: Column, noise: Column) -> Column:
+        mark = F.substr(m["mark"], F.length(noise) + 1, F.lit(1))
+        kind = F.when(mark == "/", "comment").when(mark.isin('"', "'", "`"), "string").otherwise(mark)
+        return F.coalesce(m["kind"], kind)
+
+    def event(m: Column, noise: Column, kind: Column, lines: Column) -> Column:
+        role = (
+            F.when(noise.rlike(rf"\b(?:interface\b[^;]*|type\s+{NAME}\s*(?:<[^;]*>)?\s*=\s*)\z"), "types")
+            .when(noise.rlike(r"\b(?:class|struct)\b[^;]*\z"), "members")
+        )
+        block = kind == "{"
+        return F.struct(
+            kind.alias("kind"),
+            # From here on marks carry one text, the noise as it stands in the skeleton.
+            F.concat(F.translate(noise, _PRIVATE, "_" * len(_PRIVATE)), F.coalesce(F.try_element_at(shrunk, kind), F.lit(""))).alias("text"),
+            F.when(block, role).alias("role"),
+            ((block & text.is_blank(noise)) | noise.rlike(r"\A\s*(?::|=>)")).alias("typed"),
+            F.length(F.when(m["noise"].isNull(), m["mark"]).otherwise(F.concat(noise, m["mark"]))).alias("len"),
+            (F.size(lines) - 1).alias("lines"),
+            F.length(F.element_at(lines, -1)).alias("tail"),
+        )
 
-def _found_in(items: DataFrame) -> DataFrame:
+    def with_noise(m: Column, noise: Column) -> Column:
+        piece = F.when(m["noise"].isNull(), m["mark"]).otherwise(F.concat(noise, m["mark"]))
+        return let(kind_of(m, noise), lambda kind: let(F.split(piece, "\n", -1), lambda lines: event(m, noise, kind, lines)))
+
+    rows = staged(files.select("file_id", "content"), found=found).drop("content")
+    noise = F.transform("found", lambda m: F.coalesce(m["noise"], F.regexp_extract(m["mark"], rf"\A{_NOISE}", 0)))
+    rows = staged(rows, noise=noise)
+    events = F.filter(F.zip_with("found", "noise", with_noise), lambda e: e["len"] > 0)
+    return staged(rows, events=events).drop("found", "noise")
+
+
+def _scopes(events: DataFrame) -> DataFrame:
+    """One row per scope: the bracket that opened it and as what, whether a type, an arrow or a block
+    stands behind its end (a parenthesis then holds parameters), and its items: the marks whose text
+    it holds, with their places and their bracket's partner."""
+    return events.select("file_id", F.inline(scopes_of("events")))
+
+
+def _found_in(scopes: DataFrame) -> DataFrame:
     """Scopes with their items, role and opener, and the finds in their skeletons: of each, the gap
     before it with its offset, its header and its body."""
-    item = F.struct(
-        "at", "pos", "text", (F.col("end") - F.col("len")).alias("start"), (F.col("end_row") - F.col("lines")).alias("row"),
-        "line_start", "end", "end_row", "close_end", "close_row", "kind", "opener", "opened_as", "then_typed",
-    )
-    scopes = items.groupBy(*_SCOPE).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    first, last = F.col("items")[0], F.element_at("items", -1)
-    typed = (first["opener"] == "(") & F.coalesce(last["then_typed"], F.lit(False))
+    typed = (F.col("opener") == "(") & F.coalesce("then_typed", F.lit(False))
     scopes = staged(
         scopes,
-        opener=first["opener"],
-        role=F.coalesce(F.when(first["opener"] == "{", first["opened_as"]).when(typed, "members"), F.lit("code")),
-        skeleton=F.array_join(F.transform("items", lambda i: i["text"]), ""),
-    )
+        role=F.coalesce(F.when(F.col("opener") == "{", F.col("opened_as")).when(typed, "members"), F.lit("code")),
+        skeleton=F.array_join("items.text", ""),
+    ).drop("opened_as", "then_typed")
+    # Every header has one of these; most scopes are argument lists and conditions without.
+    scopes = scopes.where(F.col("skeleton").contains(_B) | F.col("skeleton").contains("=>") | F.col("skeleton").contains("export"))
 
     def marked(members_have_types: bool) -> Column:
         parts = f"$1$5{_GAP}$2$3$6{_HEAD}$4$7{_NEXT}"
@@ -371,7 +341,10 @@ def _declared(found: DataFrame) -> DataFrame:
 
 
 def _found(texts: DataFrame) -> DataFrame:
-    return _declared(_located(_found_in(_items(_events(texts)))))
+    # Marks are placed by file in Arrow batches, which Spark does not see: their scopes are dealt by
+    # file once more, only those with finds.
+    scopes = _found_in(_scopes(_events(texts))).repartition("file_id")
+    return _declared(_located(scopes))
 
 
 def cut_out(texts: DataFrame, found: DataFrame, spans: dict[str, tuple[str, str]]) -> DataFrame:
@@ -531,7 +504,7 @@ def repository_files(files: DataFrame) -> DataFrame:
 
 def _files_with_finds(texts: DataFrame) -> DataFrame:
     """Ids of files in which something is found, without locating it."""
-    scopes = _found_in(_items(_events(texts)))
+    scopes = _found_in(_scopes(_events(texts)))
     unclosed = F.transform(
         F.filter("items", lambda i: i["kind"].isin(*_OPENING) & i["close_end"].isNull()),
         lambda i: (i["at"] + F.length(i["text"]) - 1).cast("int"),
@@ -548,7 +521,7 @@ def file_status(files: DataFrame, max_bytes: int | None = None, found: DataFrame
     when nothing was found in it. ``found`` may bring functions already extracted, by file_id."""
     fits = within_size("content", max_bytes)
     if found is None:
-        found = _files_with_finds(files.where(fits).select("file_id", "content").repartition("file_id"))
+        found = _files_with_finds(files.where(fits).select("file_id", "content"))
     found = found.select("file_id").distinct().withColumn("found", F.lit(True))
     flagged = files.select("file_id", F.col("content").isNull().alias("undecodable"), fits.alias("fits"))
     status = (

@@ -220,3 +220,17 @@ def test_many_files_stay_apart(spark):
     )
     rows = extract.extract_functions(f).collect()
     assert len(rows) == n and all(r.identifier == f"f{r.file_id}" for r in rows)
+
+
+def test_marks_are_neither_sorted_nor_shuffled(spark):
+    """What is found in a file comes out of one reading: no task holds a partition's marks."""
+    texts = files(spark, {"s": SAMPLE}).select("file_id", "content")
+    plan = extract._files_with_finds(texts)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_only_scopes_with_finds_are_dealt_again(spark):
+    texts = files(spark, {"s": SAMPLE}).select("file_id", "content")
+    plan = extract._found(texts)._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")
+    assert len(plan) == 2 and "Window" in plan[0] and "Window" not in plan[1]
+    assert "finds" in plan[1] and "Generate posexplode" not in plan[1]
