@@ -82,14 +82,17 @@ def boundaries(chunk: str, state: tuple[str, list], least: int) -> list[int]:
     return found
 
 
-def _entries(table: pa.Table) -> pa.Table:
-    """The state each chunk of a file begins in; summaries only, no text."""
-    rows = sorted(zip(table["chunk"].to_pylist(), table["nodes"].to_pylist()))
-    state, out = ("code", []), []
-    for _, nodes in rows:
-        out.append(json.dumps(state))
-        state = composed(state, json.loads(nodes))
-    return pa.table({"file_id": pa.array([table["file_id"][0].as_py()] * len(rows), table["file_id"].type), "chunk": pa.array([k for k, _ in rows], pa.int32()), "state": out})
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _entries(summaries: pa.Array) -> pa.Array:
+    """The state each chunk of a file begins in, from its chunks' summaries in order; no text."""
+    out = []
+    for nodes in summaries.to_pylist():
+        state, states = ("code", []), []
+        for n in nodes:
+            states.append(json.dumps(state))
+            state = composed(state, json.loads(n))
+        out.append(states)
+    return pa.array(out, pa.list_(pa.string()))
 
 
 @F.arrow_udf(T.StringType())
@@ -120,21 +123,33 @@ def segments(files: DataFrame, chunk: int = CHUNK) -> DataFrame:
     cut = files.where(long).select("file_id", F.posexplode(F.regexp_extract_all("content", F.lit(lines), F.lit(0))).alias("chunk", "text"))
     chunks = cut.where("text <> ''").repartition("file_id", "chunk")
     thin = chunks.select("file_id", "chunk", _summaries("text").alias("nodes"))
-    kind = files.schema["file_id"].dataType.simpleString()
-    entries = thin.groupBy("file_id").applyInArrow(_entries, f"file_id {kind}, chunk int, state string")
-    parts = chunks.join(entries, ["file_id", "chunk"]).select("file_id", "chunk", F.posexplode(_parts("text", "state", F.lit(int(chunk * LEAST)))).alias("part", "text"))
-    parts = parts.withColumn("rows", count_newlines(F.col("text")))
+    listed = thin.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "nodes"))).alias("nodes"))
+    states = F.arrays_zip(F.col("nodes.chunk").alias("chunk"), _entries("nodes.nodes").alias("state"))
+    entries = listed.select("file_id", F.inline(states))
+    parts = chunks.join(entries, ["file_id", "chunk"]).select("file_id", "chunk", _parts("text", "state", F.lit(int(chunk * LEAST))).alias("parts"))
+    # What follows is read from this exchange twice: chunks are cut once, and both sides need the text.
+    parts = parts.repartition("file_id", "chunk")
     # Thin again: how many segments and rows a file's chunks before have.
-    sizes = parts.groupBy("file_id", "chunk").agg(F.max("part").alias("more"), F.sum("rows").alias("rows"))
+    sizes = parts.select(
+        "file_id", "chunk", (F.size("parts") - 1).alias("more"), count_newlines(F.array_join("parts", "")).alias("rows")
+    )
     before = Window.partitionBy("file_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(
         "file_id", "chunk",
         F.coalesce(F.sum("more").over(before), F.lit(0)).alias("segments_before"),
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
     )
-    placed = parts.join(sizes, ["file_id", "chunk"]).withColumn("segment", F.col("segments_before") + F.col("part"))
-    inside = Window.partitionBy("file_id", "chunk").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("row", F.col("rows_before") + F.coalesce(F.sum("rows").over(inside), F.lit(0)))
+    # posexplode_outer: a plain one is given a filter on the array's size, which would cut again, and
+    # the exchange would be another one. No chunk is without parts.
+    placed = parts.join(sizes, ["file_id", "chunk"]).select(
+        "file_id", "chunk", "segments_before", "rows_before", "parts", F.posexplode_outer("parts").alias("part", "text")
+    )
+    # A chunk has few parts, by LEAST.
+    inside = count_newlines(F.array_join(F.slice("parts", F.lit(1), F.col("part")), ""))
+    placed = placed.select(
+        "file_id", "chunk", "part", "text",
+        (F.col("segments_before") + F.col("part")).alias("segment"), (F.col("rows_before") + inside).alias("row"),
+    )
     joined = placed.groupBy("file_id", "segment").agg(
         F.min("row").alias("first_row"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "part", "text"))), lambda p: p["text"]), "").alias("content"),

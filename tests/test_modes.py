@@ -147,3 +147,11 @@ def test_large_files_are_cut(spark):
     text = large(5, 400)
     sizes = [len(r.content) for r in segments.segments(files(spark, [text]), 20_000).collect()]
     assert len(text) > 150_000 and len(sizes) > 20 and max(sizes) < 20_000
+
+
+def test_chunks_are_cut_once(spark):
+    cut = segments.segments(files(spark, [large(1, 40), large(2, 25)]), 300)
+    cut.collect()
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")].split("\n")
+    assert any("ReusedExchange" in line for line in final) and sum("ArrowEvalPython [_parts" in line for line in final) == 1
