@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .expr import as_col, let, staged
-from .modes import Modes, whole_literals
+from .modes import whole_literals
 
 NAME = r"[\p{L}_$][\p{L}\p{N}_$]*+"
 COMMENT = r"/\*(?:[^*]++|\*(?!/))*+(?:\*/)?|//[^\n]*+"
@@ -77,18 +77,6 @@ def _at_literals(texts: pa.Array) -> pa.Array:
     return _lists(texts, _cut_at_literals, ["text", "literal"])
 
 
-@F.arrow_udf(_rows_of(noise=T.StringType(), kind=T.StringType(), mark=T.StringType()))
-def marks(texts: pa.Array) -> pa.Array:
-    """Marks of each text with the text before them; regex literals and the parts of templates are
-    strings, a template's holes brackets of their own."""
-
-    def of_text(text: str):
-        for begin, start, end, kind in Modes().scan(text):
-            yield text[begin:start], "string" if kind == "template" else kind, text[start:end]
-
-    return _lists(texts, of_text, ["noise", "kind", "mark"])
-
-
 def lex(c, known_plain: Column | None = None) -> Column:
     """All tokens including whitespace and comments; joined they give the text back. ``known_plain``
     may say that patterns find all literals, without another look at the text."""

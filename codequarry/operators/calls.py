@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import count_newlines, staged
 from ..functions.lexing import NAME, remove_comments
-from .extract import _SHRUNK, _events, _found, _scopes, cut_out
+from .extract import _found, cut_out, scopes
+from .places import SHRUNK
 
 # Words before a parenthesis that are no call.
 _NO_CALLS = (
@@ -32,11 +33,11 @@ _BARE = r"\bimport\s*\z"
 
 def _noise(text: Column, kind: Column) -> Column:
     """The text before a mark, out of its skeleton text."""
-    return F.when(kind.isin(*_SHRUNK), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    return F.when(kind.isin(*SHRUNK), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)
 
 
 def _marks(texts: DataFrame) -> DataFrame:
-    rows = _scopes(_events(texts)).select("file_id", "inside", F.col("opened_as").alias("role"), F.inline("items"))
+    rows = scopes(texts).select("file_id", "inside", F.col("opened_as").alias("role"), F.inline("items"))
     return staged(rows, noise=_noise(F.col("text"), F.col("kind")))
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.expr import count_newlines, let, staged
-from ..functions.lexing import COMMENT, NAME, STRING, has_plain_literals, marks, renamed, with_tokens
-from .places import scopes_of
+from ..functions.lexing import COMMENT, NAME, STRING, renamed, with_tokens
+from .places import GAP, HEAD, NEXT, SHRUNK, header_scopes_of, scopes_of
 from .segments import segments
 from .project import (
     BLACKLISTED_NAMES,
@@ -42,21 +42,16 @@ KINDS = (
 # The language of files that do not say.
 DEFAULT_LANGUAGE = "arkts"
 
-# Characters per piece of a file's text when functions are cut out of it.
+# Characters per piece of a file's text when functions are cut out of it; no pieces are made where
+# bytes times finds are no more than that.
 _CHUNK = 1024
+_SHORT = 1 << 17
 
-# Skeleton characters: a pair of brackets of each kind with all it holds, a string, comments, and a
-# template hole.
-_P, _K, _B, _S, _C, _H = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
-# What ends the gap before a find, its header, and its body.
-_GAP, _HEAD, _NEXT = "\ue010", "\ue011", "\ue012"
-_PRIVATE = _P + _K + _B + _S + _C + _H + _GAP + _HEAD + _NEXT
-_SHRUNK = {"(": _P, "[": _K, "{": _B, "string": _S, "comment": _C, "${": _H}
+# The skeleton's characters.
+_P, _K, _B, _S, _C, _H = (SHRUNK[k] for k in ("(", "[", "{", "string", "comment", "${"))
+_GAP, _HEAD, _NEXT = GAP, HEAD, NEXT
 _OPENING = ("(", "[", "{", "${")
 
-_NOISE = r"""(?:[^(){}\[\]"'`/]++|/(?![/*]))*+"""
-_EVENT = rf"{_NOISE}(?:(?:{COMMENT})(?:\s*+(?:{COMMENT}))*+|{STRING}|[(){{}}\[\]]|\z)"
-
 # Patterns over skeletons. Blanks may hold comments anywhere.
 _W = rf"[\s{_C}]"
 # A header starts where a word does; looking nowhere else keeps long words and blobs linear.
@@ -93,12 +88,17 @@ _EXPRESSION = rf"(?:[^;,\n]++|\n(?={_W}*+(?:[.?:*/%+]|&&|\|\||=>))|(?<=[=>&|+*/%
 _BODY = rf"{_W}*+(?:{_B}|{_EXPRESSION})"
 
 
+# What any of the headers below begins with, and that no word goes on there: most places of a
+# skeleton are seen to hold none before the headers are tried one by one.
+_MAY_START = rf"(?=[@*#<\p{{L}}\p{{N}}_${_P}{_K}{_S}])(?!(?<=[\p{{L}}\p{{Nd}}_])[\p{{L}}\p{{Nd}}_])"
+
+
 def _pattern(members_have_types: bool) -> str:
     """Gap and header from where the last match ended; without that anchor a skeleton's tail would
     be searched again from each of its characters."""
     passed = "|".join([_ALIAS, _VARIABLE] + [_MEMBER] * members_have_types)
     return (
-        rf"(?s)\G(.*?)(?:((?<![\p{{L}}\p{{N}}_$.#])(?:{_EXPORTED_CLASS}|{_DECLARATION}))"
+        rf"(?s)\G(.*?){_MAY_START}(?:((?<![\p{{L}}\p{{N}}_$.#])(?:{_EXPORTED_CLASS}|{_DECLARATION}))"
         rf"|({_START}{_EXPORTED_VALUE})(?=({_W}*+(?:={_W}*+{_EXPRESSION})?))"
         rf"|({passed})|({_ARROW})(?=({_BODY})))"
     )
@@ -117,57 +117,17 @@ _SCOPE = ("file_id", "inside", "scope")
 _BLOCK = 256
 
 
-def _events(files: DataFrame) -> DataFrame:
-    """(file_id, events): each file's structural marks in order, with the text before each of them."""
-    # The line end keeps the last piece free of a mark even when the file ends in one.
-    content = F.concat("content", F.lit("\n"))
-    plain = has_plain_literals(content)
-    missing = F.lit(None).cast("string")
-    pieces = F.transform(
-        F.regexp_extract_all(content, F.lit(_EVENT), F.lit(0)),
-        lambda p: F.struct(missing.alias("noise"), missing.alias("kind"), p.alias("mark")),
-    )
-    found = F.when(plain, pieces).otherwise(marks(F.when(~plain, content)))
-    shrunk = F.create_map(*[F.lit(x) for pair in _SHRUNK.items() for x in pair])
-
-    def kind_of(m: Column, noise: Column) -> Column:
-        mark = F.substr(m["mark"], F.length(noise) + 1, F.lit(1))
-        kind = F.when(mark == "/", "comment").when(mark.isin('"', "'", "`"), "string").otherwise(mark)
-        return F.coalesce(m["kind"], kind)
-
-    def event(m: Column, noise: Column, kind: Column, lines: Column) -> Column:
-        role = (
-            F.when(noise.rlike(rf"\b(?:interface\b[^;]*|type\s+{NAME}\s*(?:<[^;]*>)?\s*=\s*)\z"), "types")
-            .when(noise.rlike(r"\b(?:class|struct)\b[^;]*\z"), "members")
-        )
-        block = kind == "{"
-        return F.struct(
-            kind.alias("kind"),
-            # From here on marks carry one text, the noise as it stands in the skeleton.
-            F.concat(F.translate(noise, _PRIVATE, "_" * len(_PRIVATE)), F.coalesce(F.try_element_at(shrunk, kind), F.lit(""))).alias("text"),
-            F.when(block, role).alias("role"),
-            ((block & text.is_blank(noise)) | noise.rlike(r"\A\s*(?::|=>)")).alias("typed"),
-            F.length(F.when(m["noise"].isNull(), m["mark"]).otherwise(F.concat(noise, m["mark"]))).alias("len"),
-            (F.size(lines) - 1).alias("lines"),
-            F.length(F.element_at(lines, -1)).alias("tail"),
-        )
-
-    def with_noise(m: Column, noise: Column) -> Column:
-        piece = F.when(m["noise"].isNull(), m["mark"]).otherwise(F.concat(noise, m["mark"]))
-        return let(kind_of(m, noise), lambda kind: let(F.split(piece, "\n", -1), lambda lines: event(m, noise, kind, lines)))
-
-    rows = staged(files.select("file_id", "content"), found=found).drop("content")
-    noise = F.transform("found", lambda m: F.coalesce(m["noise"], F.regexp_extract(m["mark"], rf"\A{_NOISE}", 0)))
-    rows = staged(rows, noise=noise)
-    events = F.filter(F.zip_with("found", "noise", with_noise), lambda e: e["len"] > 0)
-    return staged(rows, events=events).drop("found", "noise")
-
-
-def _scopes(events: DataFrame) -> DataFrame:
+def scopes(texts: DataFrame, with_headers: bool = False) -> DataFrame:
     """One row per scope: the bracket that opened it and as what, whether a type, an arrow or a block
     stands behind its end (a parenthesis then holds parameters), and its items: the marks whose text
-    it holds, with their places and their bracket's partner."""
-    return events.select("file_id", F.inline(scopes_of("events")))
+    it holds, with their places and their bracket's partner. ``with_headers`` leaves out scopes that
+    can't hold a header, and items without a text."""
+    found = (header_scopes_of if with_headers else scopes_of)("content")
+    role = (
+        F.when(F.col("before").rlike(rf"\b(?:interface\b[^;]*|type\s+{NAME}\s*(?:<[^;]*>)?\s*=\s*)\z"), "types")
+        .when(F.col("before").rlike(r"\b(?:class|struct)\b[^;]*\z"), "members")
+    )
+    return staged(texts.select("file_id", F.inline(found)), opened_as=role).drop("before")
 
 
 def _found_in(scopes: DataFrame) -> DataFrame:
@@ -179,8 +139,6 @@ def _found_in(scopes: DataFrame) -> DataFrame:
         role=F.coalesce(F.when(F.col("opener") == "{", F.col("opened_as")).when(typed, "members"), F.lit("code")),
         skeleton=F.array_join("items.text", ""),
     ).drop("opened_as", "then_typed")
-    # Every header has one of these; most scopes are argument lists and conditions without.
-    scopes = scopes.where(F.col("skeleton").contains(_B) | F.col("skeleton").contains("=>") | F.col("skeleton").contains("export"))
 
     def marked(members_have_types: bool) -> Column:
         parts = f"$1$5{_GAP}$2$3$6{_HEAD}$4$7{_NEXT}"
@@ -229,9 +187,7 @@ def _located(scopes: DataFrame) -> DataFrame:
         fields = [values[n].cast(t).alias(n) if n in values else F.lit(None).cast(t).alias(n) for n, t in (nothing | asked).items()]
         return F.struct(at.cast("int").alias("at"), *fields)
 
-    there = F.transform(
-        F.filter("items", lambda i: i["text"] != ""), lambda i: entry(i["at"], {n: i[n] for n in nothing})
-    )
+    there = F.transform("items", lambda i: entry(i["at"], {n: i[n] for n in nothing}))
 
     def places(f: Column) -> Column:
         head_at = f["offset"] + F.length(f["gap"])
@@ -343,8 +299,7 @@ def _declared(found: DataFrame) -> DataFrame:
 def _found(texts: DataFrame) -> DataFrame:
     # Marks are placed by file in Arrow batches, which Spark does not see: their scopes are dealt by
     # file once more, only those with finds.
-    scopes = _found_in(_scopes(_events(texts))).repartition("file_id")
-    return _declared(_located(scopes))
+    return _declared(_located(_found_in(scopes(texts, with_headers=True)).repartition("file_id")))
 
 
 def cut_out(texts: DataFrame, found: DataFrame, spans: dict[str, tuple[str, str]]) -> DataFrame:
@@ -355,12 +310,16 @@ def cut_out(texts: DataFrame, found: DataFrame, spans: dict[str, tuple[str, str]
     """
     fields = [c for c in found.columns if c != "file_id"]
     finds = found.groupBy("file_id").agg(F.collect_list(F.struct(*fields)).alias("finds"))
-    chunks = F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    # What few finds ask of a short text is counted off from its start.
+    short = F.octet_length("content").cast("bigint") * F.size("finds") <= _SHORT
+    chunks = F.when(short, F.array("content")).otherwise(F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0)))
+    step = F.when(short, F.lit(2**31 - 1)).otherwise(F.lit(_CHUNK))
 
     def between(chunk: Column, start: Column, stop: Column) -> Column:
-        numbers = F.sequence(F.floor(start / _CHUNK).cast("int"), F.floor((stop - 1) / _CHUNK).cast("int"))
-        around = F.array_join(F.transform(numbers, lambda i: F.get(chunk, i)), "")
-        return F.when(start.isNotNull(), F.substr(around, (start % _CHUNK).cast("int") + 1, (stop - start).cast("int")))
+        first, last = (F.floor(at / step).cast("int") for at in (start, stop - 1))
+        several = F.array_join(F.transform(F.sequence(first, last), lambda i: F.get(chunk, i)), "")
+        around = F.when(first == last, F.get(chunk, first)).otherwise(several)
+        return F.when(start.isNotNull(), F.substr(around, (start % step).cast("int") + 1, (stop - start).cast("int")))
 
     def with_texts(chunk: Column, find: Column) -> Column:
         cut = [between(chunk, find[a], find[b]).alias(name) for name, (a, b) in spans.items()]
@@ -397,6 +356,28 @@ def docstring_of(comments: Column) -> Column:
     return F.when(comments.isNotNull(), let(pieces, build)).otherwise(F.lit(""))
 
 
+def _written_name(function: str) -> Column:
+    """A name that is a string or computed is shrunk in the skeleton; it is the first in the text."""
+    written = F.regexp_extract(function, rf"\A[^\"'`\[(]*+({STRING}|\[[^\]]*+\])", 1)
+    return F.when(F.col("identifier").isin(_S, _K), written).otherwise(F.col("identifier"))
+
+
+def with_docstrings(files: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Functions as ``extract_functions`` finds them, with kind, identifier and docstring only: what
+    is in front of a function is cut out of the text, not the function."""
+    texts = files.where(within_size("content", max_bytes)).select("file_id", "content").repartition("file_id")
+    shrunk = F.when(F.col("identifier").isin(_S, _K), F.col("start"))
+    found = _found(texts).select(
+        "file_id", "kind", "identifier", shrunk.alias("named_start"), "stop", "comments_start", "comments_stop"
+    )
+    cut = cut_out(texts, found, {"named": ("named_start", "stop"), "comments": ("comments_start", "comments_stop")})
+    cut = cut.select(
+        "file_id", "kind", _written_name("named").alias("identifier"), docstring_of(F.col("comments")).alias("docstring")
+    )
+    others = files.drop("content")
+    return others.join(cut, "file_id") if others.columns != ["file_id"] else cut
+
+
 def extract_functions(files: DataFrame, max_bytes: int | None = None, split_above: int | None = None) -> DataFrame:
     """Functions of source files: one row per function, nested ones included.
 
@@ -420,13 +401,11 @@ def extract_functions(files: DataFrame, max_bytes: int | None = None, split_abov
     cut = cut_out(texts, found, spans)
     last_line = F.substring_index("function", "\n", -1)
     end_col = F.length(last_line) + F.when(F.col("start_row") == F.col("end_row"), F.col("start_col")).otherwise(F.lit(0))
-    # A name that is a string or computed is shrunk in the skeleton; it is the first in the text.
-    written_name = F.regexp_extract("function", rf"\A[^\"'`\[(]*+({STRING}|\[[^\]]*+\])", 1)
     cut = cut.withColumns({
         "end_col": end_col.cast("bigint"),
         "docstring": docstring_of(F.col("comments")),
         "parameters": F.coalesce("parameters", F.lit("")),
-        "identifier": F.when(F.col("identifier").isin(_S, _K), written_name).otherwise(F.col("identifier")),
+        "identifier": _written_name("function"),
     }).select(
         "file_id", "kind", "identifier", "parameters", "exported", "start_row", "start_col", "end_row", "end_col",
         "function", "docstring",
@@ -504,12 +483,12 @@ def repository_files(files: DataFrame) -> DataFrame:
 
 def _files_with_finds(texts: DataFrame) -> DataFrame:
     """Ids of files in which something is found, without locating it."""
-    scopes = _found_in(_scopes(_events(texts)))
+    found = _found_in(scopes(texts, with_headers=True))
     unclosed = F.transform(
         F.filter("items", lambda i: i["kind"].isin(*_OPENING) & i["close_end"].isNull()),
         lambda i: (i["at"] + F.length(i["text"]) - 1).cast("int"),
     )
-    rows = scopes.select("file_id", "role", "opener", unclosed.alias("unclosed"), F.inline("finds"))
+    rows = found.select("file_id", "role", "opener", unclosed.alias("unclosed"), F.inline("finds"))
     last = F.col("offset") + F.length("gap") + F.length("header") + F.length("body") - 1
     nowhere = F.lit(None).cast("bigint")
     ends = rows.where(~F.array_contains("unclosed", last.cast("int")))

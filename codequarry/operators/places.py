@@ -1,8 +1,9 @@
 """Where the marks of files stand, over Arrow batches of whole files.
 
-Running sums over a file's marks give their offsets, lines and bracket depth; brackets of one level
-that follow each other are partners; marks of one depth between two closing brackets share a scope.
-All of it is sums and one sort over the batch's marks as numpy columns, with no loop over files.
+Patterns cut a text at its marks, or the mode stack where they can't tell. Running sums over a
+file's marks give their offsets, lines and bracket depth; brackets of one level that follow each
+other are partners; marks of one depth between two closing brackets share a scope. All but the
+cutting is sums and one sort over the batch's marks as numpy columns, with no loop over files.
 """
 
 import numpy as np
@@ -12,7 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.modes import CLOSING, OPENING
+from ..functions.modes import CLOSING, OPENING, marks_of
+
+# Skeleton characters: a pair of brackets of each kind with all it holds, a string, comments, and a
+# template hole.
+SHRUNK = {"(": "\ue000", "[": "\ue001", "{": "\ue002", "string": "\ue003", "comment": "\ue004", "${": "\ue005"}
+# What ends the gap before a find, its header, and its body.
+GAP, HEAD, NEXT = "\ue010", "\ue011", "\ue012"
+_PRIVATE = "".join([*SHRUNK.values(), GAP, HEAD, NEXT])
+# What ``text.strip`` takes away.
+_BLANKS = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 _ITEM = {
     "at": T.IntegerType(), "pos": T.IntegerType(), "text": T.StringType(), "start": T.LongType(), "row": T.LongType(),
@@ -20,7 +30,7 @@ _ITEM = {
     "kind": T.StringType(),
 }
 _SCOPE = {
-    "inside": T.IntegerType(), "scope": T.IntegerType(), "opener": T.StringType(), "opened_as": T.StringType(), "then_typed": T.BooleanType(),
+    "inside": T.IntegerType(), "scope": T.IntegerType(), "opener": T.StringType(), "before": T.StringType(), "then_typed": T.BooleanType(),
 }
 
 
@@ -32,17 +42,42 @@ def _cast(columns: dict, types: dict[str, T.DataType]) -> dict[str, pa.Array]:
     return {n: (c if isinstance(c, pa.Array) else pa.array(c)).cast(to_arrow_type(types[n])) for n, c in columns.items()}
 
 
-@F.arrow_udf(_list_of(**_SCOPE, items=_list_of(**_ITEM)))
-def scopes_of(events: pa.Array) -> pa.Array:
-    """Of each file's marks (kind, text, role, typed, len, lines, tail) the scopes with their items;
-    null for null."""
-    counts = pc.fill_null(pc.list_value_length(events), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    marks = events.flatten()
-    given = dict(zip([f.name for f in marks.type], marks.flatten()))
-    size, lines, tail = (given[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("len", "lines", "tail"))
+def _cut(contents: pa.Array) -> tuple[np.ndarray, dict]:
+    """How many marks each file has, and of each mark the text before it, its kind, and length, line
+    ends and characters behind the last line end of both together."""
+    counts, noises, kinds, numbers = [], [], [], []
+    # What is no UTF-8 reads as it does in the JVM's patterns.
+    for content in contents.cast(pa.large_binary()).to_pylist():
+        before = len(kinds)
+        text = "" if content is None else content.decode("utf-8", "replace") + "\n"
+        for begin, start, end, kind in marks_of(text):
+            if end > begin:
+                noises.append(text[begin:start])
+                kinds.append("string" if kind == "template" else kind)
+                lines = text.count("\n", begin, end)
+                numbers += (end - begin, lines, end - 1 - text.rfind("\n", begin, end) if lines else end - begin)
+        counts.append(len(kinds) - before)
+    size, lines, tail = np.array(numbers, np.int64).reshape(-1, 3).T
+    marks = {"noise": pa.array(noises, pa.string()), "kind": pa.array(kinds, pa.string()), "size": size, "lines": lines, "tail": tail}
+    return np.array(counts, np.int64), marks
+
+
+def _flags(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _scopes(contents: pa.Array, with_headers: bool) -> pa.Array:
+    counts, given = _cut(contents)
+    size, lines, tail = given["size"], given["lines"], given["tail"]
     opens, closes = (
-        pc.is_in(given["kind"], value_set=pa.array(k, given["kind"].type)).to_numpy(zero_copy_only=False).astype(np.int64)
-        for k in (OPENING, CLOSING)
+        _flags(pc.is_in(given["kind"], value_set=pa.array(k, pa.string()))).astype(np.int64) for k in (OPENING, CLOSING)
+    )
+    block = _flags(pc.equal(given["kind"], "{"))
+    # In a skeleton the text before a mark is followed by what stands for the mark and all it opens.
+    shrunk = pa.array([SHRUNK.get(k, "") for k in given["kind"].to_pylist()], pa.string())
+    texts = pc.binary_join_element_wise(pc.replace_substring_regex(given["noise"], f"[{_PRIVATE}]", "_"), shrunk, "")
+    typed = _flags(pc.match_substring_regex(given["noise"], r"\A[ \t\n\v\f\r]*(?::|=>)")) | (
+        block & _flags(pc.match_substring_regex(given["noise"], rf"\A[{_BLANKS}]*\z"))
     )
     n = len(size)
     file = np.repeat(np.arange(len(counts)), counts)
@@ -83,30 +118,57 @@ def scopes_of(events: pa.Array) -> pa.Array:
     begins[1:] |= closes[order[:-1]] > 0
     scope, begin = np.cumsum(begins) - 1, np.flatnonzero(begins)
     begin_of_depth = np.maximum.accumulate(np.where(apart, scope, 0)) if n else scope
-    length = pc.utf8_length(given["text"]).to_numpy(zero_copy_only=False).astype(np.int64)[order]
+    number = scope
+    length = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)[order]
     before = np.cumsum(length) - length
+    at = before - before[begin][scope]
+    ends = np.append(begin[1:], n)[: len(begin)]
 
-    closed = partner[order] >= 0
-    items = _cast({
-        "at": before - before[begin][scope],
-        "pos": (here - first)[order],
-        "text": given["text"].take(pa.array(order)),
-        "start": (end - size)[order], "row": (end_row - lines)[order], "line_start": line_start[order],
-        "end": end[order], "end_row": end_row[order],
-        "close_end": pa.array(end[partner[order]], mask=~closed), "close_row": pa.array(end_row[partner[order]], mask=~closed),
-        "kind": given["kind"].take(pa.array(order)),
+    kept, items = np.ones(len(begin), bool), np.arange(n)
+    if with_headers:
+        header = block | _flags(pc.or_(pc.match_substring(given["noise"], "=>"), pc.match_substring(given["noise"], "export")))
+        kept = np.bincount(scope, header[order], len(begin)) > 0
+        items = np.flatnonzero(kept[scope] & (length > 0))
+    begin, ends, scope, at, marks = begin[kept], ends[kept], scope[items], at[items], order[items]
+
+    closed = partner[marks] >= 0
+    columns = _cast({
+        "at": at,
+        "pos": here[marks] - first[marks],
+        "text": texts.take(pa.array(marks)),
+        "start": (end - size)[marks], "row": (end_row - lines)[marks], "line_start": line_start[marks],
+        "end": end[marks], "end_row": end_row[marks],
+        "close_end": pa.array(end[partner[marks]], mask=~closed), "close_row": pa.array(end_row[partner[marks]], mask=~closed),
+        "kind": given["kind"].take(pa.array(marks)),
     }, _ITEM)
-    rows = pa.StructArray.from_arrays(list(items.values()), list(items))
-    ends = np.append(begin[1:], n)[: len(begin)]
+    rows = pa.StructArray.from_arrays(list(columns.values()), list(columns))
     head, last = order[begin], order[ends - 1]
+    opened = head > first[head]
     scopes = _cast({
-        "inside": inside[head], "scope": (scope - begin_of_depth)[begin],
-        "opener": neighbour(given["kind"], head - 1, head > first[head]),
-        "opened_as": neighbour(given["role"], head - 1, head > first[head]),
-        "then_typed": neighbour(given["typed"], last + 1, last + 1 < (first + counts[file])[last]),
+        "inside": inside[head], "scope": (number - begin_of_depth)[begin],
+        "opener": neighbour(given["kind"], head - 1, opened),
+        "before": neighbour(given["noise"], head - 1, opened & block[head - 1]),
+        "then_typed": neighbour(pa.array(typed), last + 1, last + 1 < (first + counts[file])[last]),
     }, _SCOPE)
-    scopes["items"] = pa.ListArray.from_arrays(pa.array(np.append(begin, n), pa.int32()), rows)
+    of_scope = np.bincount(scope, minlength=len(kept))[kept]
+    scopes["items"] = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(of_scope)), pa.int32()), rows)
     found = pa.StructArray.from_arrays(list(scopes.values()), list(scopes))
     per_file = np.bincount(of_file[begin], minlength=len(counts))
     offsets = np.append(0, np.cumsum(per_file))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found, mask=events.is_null())
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found, mask=contents.is_null())
+
+
+_SCOPES = _list_of(**_SCOPE, items=_list_of(**_ITEM))
+
+
+@F.arrow_udf(_SCOPES)
+def scopes_of(contents: pa.Array) -> pa.Array:
+    """The scopes of each file's text with all their items; null for null."""
+    return _scopes(contents, with_headers=False)
+
+
+@F.arrow_udf(_SCOPES)
+def header_scopes_of(contents: pa.Array) -> pa.Array:
+    """The scopes that can hold a header, with the items that have a text; most scopes are argument
+    lists and conditions without a block, an arrow or an export."""
+    return _scopes(contents, with_headers=True)

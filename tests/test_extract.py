@@ -234,3 +234,11 @@ def test_only_scopes_with_finds_are_dealt_again(spark):
     plan = extract._found(texts)._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")
     assert len(plan) == 2 and "Window" in plan[0] and "Window" not in plan[1]
     assert "finds" in plan[1] and "Generate posexplode" not in plan[1]
+
+
+def test_a_text_passes_to_python_once(spark):
+    """Its marks are cut, placed and gathered in one step: none of them travels on its own."""
+    texts = spark.createDataFrame([(1, SAMPLE)], "file_id long, content string")
+    for found in (extract._found(texts), extract._files_with_finds(texts)):
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("ArrowEvalPython [") == 1
