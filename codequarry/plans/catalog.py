@@ -639,7 +639,7 @@ def literal_comments(spark, sf):
 
 @query
 def attach_docstring(spark, sf):
-    return extract.extract_functions(files(spark, sf)).select("file_id", "identifier", "kind", "docstring")
+    return extract.with_docstrings(files(spark, sf)).select("file_id", "identifier", "kind", "docstring")
 
 
 @query

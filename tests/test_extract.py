@@ -242,3 +242,25 @@ def test_a_text_passes_to_python_once(spark):
     for found in (extract._found(texts), extract._files_with_finds(texts)):
         plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_docstrings_without_functions(spark):
+    """The same docstrings and names, from files cut in pieces and from short ones, read plain or not."""
+    one = "// about f{0}\nfunction f{0}(a) {{ return '{1}' }}\nclass C{0} {{\n  /** ä{0} */\n  'm-{0}'(x: () => void): void {{ }}\n}}\n"
+    files = [
+        (k, "".join(one.format(i, tail * (k * 40)) for i in range(k)) + odd)
+        for k in (0, 1, 40) for tail, odd in (("x", ""), ("é", ""), ("z", "let r = a / b / `${() => { }}`"))
+    ]
+    files = [(i, content) for i, (_, content) in enumerate(files)] + [(99, None)]
+    df = spark.createDataFrame(files, "file_id long, content string")
+    assert max(len(c or "") for _, c in files) * 80 > extract._SHORT > 8 * len(one)
+    whole = extract.extract_functions(df)
+    rows = sorted(map(tuple, extract.with_docstrings(df).select("file_id", "kind", "identifier", "docstring").collect()))
+    assert rows == sorted(map(tuple, whole.select("file_id", "kind", "identifier", "docstring").collect()))
+    for i, content in files[:-1]:
+        n = [0, 1, 40][i // 3]
+        of_file = sorted(r[2:] for r in rows if r[0] == i and r[1] != "arrow")
+        assert of_file == sorted([(f"'m-{j}'", f"ä{j}") for j in range(n)] + [(f"f{j}", f"about f{j}") for j in range(n)])
+    for r in whole.where("kind = 'function'").collect():
+        content = dict(files)[r["file_id"]]
+        assert r["function"] in content and r["function"].startswith(f"function {r['identifier']}(a) {{")
