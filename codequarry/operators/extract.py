@@ -310,8 +310,9 @@ def cut_out(texts: DataFrame, found: DataFrame, spans: dict[str, tuple[str, str]
     """
     fields = [c for c in found.columns if c != "file_id"]
     finds = found.groupBy("file_id").agg(F.collect_list(F.struct(*fields)).alias("finds"))
-    # What few finds ask of a short text is counted off from its start.
-    short = F.octet_length("content").cast("bigint") * F.size("finds") <= _SHORT
+    # What few finds ask of a short text is counted off from its start; what is no UTF-8 is first read
+    # by the pattern, as everywhere.
+    short = (F.octet_length("content").cast("bigint") * F.size("finds") <= _SHORT) & F.is_valid_utf8("content")
     chunks = F.when(short, F.array("content")).otherwise(F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0)))
     step = F.when(short, F.lit(2**31 - 1)).otherwise(F.lit(_CHUNK))
 
