@@ -1,9 +1,10 @@
-"""Row hashes, pair keys and MinHash signatures."""
+"""Row hashes, pair keys, MinHash signatures and hashed shingle sets."""
 
 import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,3 +127,117 @@ def signature_similarity(a: Column, b: Column, num_perm: int = NUM_PERM) -> Colu
     """Share of equal positions of two signatures."""
     equal = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
     return F.aggregate(equal, F.lit(0), lambda acc, x: acc + x) / F.lit(float(num_perm))
+
+
+# Bytes of text that are cut into words at once, and the longest word that is hashed with others.
+_TEXT = 1 << 22
+_LONG = 256
+
+_WORD = np.zeros(256, np.int8)
+_WORD[np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_", np.uint8)] = 1
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers in which every bit of ``x`` reaches every bit of the result."""
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at ``starts``, eight bytes a step; eight bytes follow the last word."""
+    eights = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
+    hashes = mixed(lengths.astype(np.uint64) + _STEP)
+    for i in np.flatnonzero(lengths > _LONG):
+        digest = hashlib.blake2b(data[starts[i] : starts[i] + lengths[i]].tobytes(), digest_size=8).digest()
+        hashes[i] ^= np.frombuffer(digest, np.uint64)[0]
+    live = np.flatnonzero(lengths <= _LONG)
+    at, left = starts[live], lengths[live]
+    while len(live):
+        part = eights[at].view(np.uint64).ravel() & _LOW_BYTES[np.minimum(left, 8)]
+        hashes[live] = mixed(hashes[live] ^ part) + _STEP
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    return hashes
+
+
+def _cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts in one run, their words' starts and lengths in it, and each word's text."""
+    data = np.frombuffer(b"\n".join([*texts, bytes(8)]), np.uint8)
+    edges = np.diff(_WORD[data], prepend=np.int8(0))
+    starts = np.flatnonzero(edges == 1)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return data, starts, np.flatnonzero(edges == -1) - starts, np.searchsorted(ends, starts, side="right")
+
+
+def shingle_sets_of(texts: list[bytes], k: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted 64-bit hashes of the distinct ``shingles`` of each text one after the other, and the
+    place where each text's end. Texts are cut in blocks of bounded size."""
+    out, counts, at = [], [], 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= _TEXT):
+            size += len(texts[end])
+            end += 1
+        block = texts[at:end]
+        data, starts, lengths, owner = _cut(block)
+        words = _word_hashes(data, starts, lengths)
+        hashes = np.zeros(max(len(words) - k + 1, 0), np.uint64)
+        for j in range(k):
+            hashes = mixed(hashes + words[j : j + len(hashes)])
+        own = owner[: len(hashes)]
+        inside = own == owner[k - 1 :]
+        hashes, own = hashes[inside], own[inside]
+        # Fewer than k words are one shingle, joined without a space.
+        few = np.flatnonzero((n := np.bincount(owner, minlength=len(block))) * (n < k))
+        if len(few):
+            first = np.cumsum(n) - n
+            joined = [b"".join(data[s : s + w].tobytes() for s, w in zip(starts[f : f + m], lengths[f : f + m])) for f, m in zip(first[few], n[few])]
+            data, starts, lengths, _ = _cut(joined)
+            hashes, own = np.r_[hashes, _word_hashes(data, starts, lengths)], np.r_[own, few]
+        order = np.lexsort((hashes, own))
+        hashes, own = hashes[order], own[order]
+        new = np.ones(len(own), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (own[1:] != own[:-1])
+        out.append(hashes[new])
+        counts.append(np.bincount(own[new], minlength=len(block)))
+        at = end
+    empty = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    return np.concatenate(out or empty[0]), np.cumsum(np.concatenate(counts or empty[1]))
+
+
+def list_array(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    offsets = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def with_shingle_sets(df: DataFrame, text: str, tokens: bool = True) -> DataFrame:
+    """Instead of the column ``text``: ``key`` (SHA-256) and ``size`` of its shingle set and, unless
+    left out, ``tokens``, the sorted hashes of the shingles. Texts without words have no row.
+
+    Made in numpy from whole Arrow batches, without a string for each shingle.
+    """
+    kept = [c for c in df.columns if c != text]
+    rows = df.select(*kept, F.col(text).cast("binary").alias(text))
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text]
+    schema = ", ".join([*kinds, "key binary", "size int", *(["tokens array<bigint>"] if tokens else [])])
+
+    def cut(batches):
+        for batch in batches:
+            values, ends = shingle_sets_of(batch.column(text).to_pylist())
+            sizes = np.diff(ends, prepend=0)
+            keys = [hashlib.sha256(values[e - n : e].tobytes()).digest() if n else None for e, n in zip(ends, sizes)]
+            columns = [batch.column(c) for c in kept] + [pa.array(keys, pa.binary()), pa.array(sizes.astype(np.int32))]
+            names = [*kept, "key", "size"]
+            if tokens:
+                columns.append(list_array(values.view(np.int64), sizes))
+                names.append("tokens")
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(sizes > 0))
+
+    return rows.mapInArrow(cut, schema)

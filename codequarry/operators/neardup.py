@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import staged
-from ..functions.hashing import NUM_PERM, PRIME, signature_similarity, text_hash31, with_minhash
-from ..functions.text import jaccard, shingles, shingles_of, word_tokens
+from ..functions.hashing import NUM_PERM, PRIME, shingle_hashes, signature_similarity, text_hash31, with_minhash, with_shingle_sets
+from ..functions.text import shingles_of, word_tokens
 from ..session import written
-from .similarity import similar_sets
+from .similarity import compared, similar_sets
 from .skew import skew_join
 
 # The thresholds a report has.
@@ -190,27 +190,34 @@ def sure_banding(threshold: float, recall: float = 0.98, num_perm: int = NUM_PER
     return num_perm, 1
 
 
+def _set_rows(df: DataFrame, id_col: str, tokens: bool = True, signed: bool = False) -> DataFrame:
+    """(id, split, key, size) of every train/test function with shingles, on request with its
+    tokens, the hashed shingles, and its signature."""
+    text = F.coalesce("function", F.lit("")).alias("function")
+    rows = df.where(F.col("split").isin("train", "test")).select(F.col(id_col).alias("id"), "split", text)
+    if signed:
+        rows = with_minhash(rows, shingle_hashes("function"))
+    return with_shingle_sets(rows, "function", tokens)
+
+
 def _shingle_sets(df: DataFrame, id_col: str, signed: bool = False) -> DataFrame:
-    """Distinct shingle sets: (key, test_id, train_id, n_test, n_train, tokens), on request with their
-    signature."""
-    rows = df.where(F.col("split").isin("train", "test")).select(
-        F.col(id_col).alias("id"), "split", shingles(F.coalesce("function", F.lit(""))).alias("shingles")
-    ).where(F.size("shingles") > 0)
-    hashed = F.array_sort(F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s))))
-    keyed = rows.select("id", "split", hashed.alias("tokens"), *(["shingles"] if signed else [])).withColumn(
-        "key", F.sha2(F.array_join(F.transform("tokens", lambda h: h.cast("string")), " "), 256)
-    )
-    sets = keyed.groupBy("key").agg(
+    """Distinct shingle sets: (id, key, test_id, train_id, n_test, n_train), on request with their
+    signature. Not the sets themselves, which are larger than the texts; ``_sides`` makes those."""
+    sets = _set_rows(df, id_col, tokens=False, signed=signed).groupBy("key").agg(
         F.min(F.when(F.col("split") == "test", F.col("id"))).alias("test_id"),
         F.min(F.when(F.col("split") == "train", F.col("id"))).alias("train_id"),
         F.count(F.when(F.col("split") == "test", 1)).alias("n_test"),
         F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
-        F.first("tokens").alias("tokens"),
-        *([F.first("shingles").alias("shingles")] if signed else []),
+        # Below 2^31, so half the width does.
+        *([F.first("signature").cast("array<int>").alias("signature")] if signed else []),
     )
-    if signed:
-        sets = with_minhash(sets, F.transform("shingles", text_hash31)).drop("shingles")
-    return written(sets, "shingle-sets")
+    # Written once, since the short ids are given anew each time.
+    return written(sets.withColumn("id", F.monotonically_increasing_id()), "shingle-sets")
+
+
+def _sides(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(key, tokens) of the test and of the train functions, made from the texts when read."""
+    return tuple(_set_rows(df.where(F.col("split") == s), id_col).select("key", "tokens") for s in ("test", "train"))
 
 
 def _named(pairs: DataFrame, table: DataFrame) -> DataFrame:
@@ -223,19 +230,17 @@ def _named(pairs: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def _sure_pairs(table: DataFrame, threshold: float, recall: float) -> DataFrame:
+def _sure_pairs(table: DataFrame, left: DataFrame, right: DataFrame, threshold: float, recall: float) -> DataFrame:
     """(left_key, right_key, similarity) of the signed sets that meet in a band and are similar."""
     bands, rows = sure_banding(threshold, recall)
     banded = F.inline(F.expr("array(" + ", ".join(
         f"named_struct('band', {i}, 'bucket', xxhash64(slice(signature, {i * rows + 1}, {rows})))" for i in range(bands)
     ) + ")"))
-    left = table.where("n_test > 0").select(F.col("key").alias("left_key"), banded)
-    right = table.where("n_train > 0").select(F.col("key").alias("right_key"), banded)
-    met = skew_join(right, left, ["band", "bucket"], ["right_key"], ["left_key"]).select("left_key", "right_key").distinct()
-    met = met.join(table.select(F.col("key").alias("left_key"), F.col("tokens").alias("l")), ["left_key"])
-    met = met.join(table.select(F.col("key").alias("right_key"), F.col("tokens").alias("r")), ["right_key"])
-    close = met.withColumn("similarity", jaccard(F.col("l"), F.col("r"))).where(F.col("similarity") >= threshold)
-    return close.select("left_key", "right_key", "similarity")
+    tests = table.where("n_test > 0").select(F.col("id").alias("left_id"), banded)
+    trains = table.where("n_train > 0").select(F.col("id").alias("right_id"), banded)
+    met = skew_join(trains, tests, ["band", "bucket"], ["right_id"], ["left_id"]).select("left_id", "right_id").distinct()
+    names = table.select("id", "key")
+    return compared(written(met, "candidates"), names, names, left, right, threshold)
 
 
 def near_dup_sure(df: DataFrame, id_col: str = "id", threshold: float = 0.7, recall: float = 0.98) -> DataFrame:
@@ -245,7 +250,7 @@ def near_dup_sure(df: DataFrame, id_col: str = "id", threshold: float = 0.7, rec
     1 - ``recall`` even at the threshold; ``near_dup_recall`` measures it.
     """
     table = _shingle_sets(df, id_col, signed=True)
-    return _named(_sure_pairs(table, threshold, recall), table)
+    return _named(_sure_pairs(table, *_sides(df, id_col), threshold, recall), table)
 
 
 def near_dup_recall(
@@ -254,16 +259,12 @@ def near_dup_recall(
     """Per threshold: pairs that the exact join has, those of them that ``near_dup_sure`` finds, and
     the recall. With ``sample``, test sets with a key hash divisible by it are asked against all."""
     table = _shingle_sets(df, id_col, signed=True)
-    asked = table.where((F.col("n_test") == 0) | (F.pmod(F.xxhash64("key"), F.lit(sample)) == 0))
-    asked = asked if sample > 1 else table
-    exact = written(
-        similar_sets(
-            asked.where("n_test > 0").select("key", "tokens"), table.where("n_train > 0").select("key", "tokens"), min(thresholds)
-        ), "exact-pairs",
-    )
+    left, right = _sides(df, id_col)
+    asked = left.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0) if sample > 1 else left
+    exact = written(similar_sets(asked, right, min(thresholds)), "exact-pairs")
     rows = None
     for t in thresholds:
-        found = _sure_pairs(table, t, recall).select("left_key", "right_key", F.lit(True).alias("found"))
+        found = _sure_pairs(table, left, right, t, recall).select("left_key", "right_key", F.lit(True).alias("found"))
         met = exact.where(F.col("similarity") >= t).join(found, ["left_key", "right_key"], "left")
         one = met.agg(F.count(F.lit(1)).alias("exact_pairs"), F.count("found").alias("found_pairs")).select(F.lit(t).alias("threshold"), "*")
         rows = one if rows is None else rows.unionByName(one)
@@ -276,5 +277,4 @@ def near_dup_exact(df: DataFrame, id_col: str = "id", threshold: float = 0.7) ->
     The alternative to banding when no pair may be missed.
     """
     table = _shingle_sets(df, id_col)
-    test, train = table.where("n_test > 0"), table.where("n_train > 0")
-    return _named(similar_sets(test.select("key", "tokens"), train.select("key", "tokens"), threshold), table)
+    return _named(similar_sets(*_sides(df, id_col), threshold), table)
