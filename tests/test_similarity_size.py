@@ -91,6 +91,24 @@ def test_near_dup_exact_with_copies(spark, groups, monkeypatch, side):
     assert got(neardup.near_dup_exact(df)) == want and len(want) == 40
 
 
+def test_near_dup_sure_does_not_write_the_sets(spark, unlike):
+    out, share = written_by(spark, unlike, neardup.near_dup_sure)
+    assert [(r.test_id, r.train_id) for r in out] == [(0, 900)]
+    assert share < 0.15
+
+
+@pytest.mark.parametrize("side", [500, 2])
+def test_near_dup_sure_with_copies(spark, groups, monkeypatch, side):
+    """The pairs that share a band, and no other pair of the cells they are compared in."""
+    monkeypatch.setattr(similarity, "SIDE", side)
+    df = spark.createDataFrame(groups, SCHEMA)
+    exact = got(neardup.near_dup_exact(df, threshold=0.5))
+    signed = {r.id: r.key for r in neardup._shingle_sets(df, "id", signed=True).select("id", "key").collect()}
+    assert len(signed) == len({shingles(t or "") for _, s, t in groups if s != "validation"} - {frozenset()})
+    found = got(neardup.near_dup_sure(df, threshold=0.5, recall=0.5))
+    assert found and set(map(str, found)) < set(map(str, exact))
+
+
 @pytest.mark.parametrize("block", [1 << 22, 50])
 def test_shingle_sets_are_those_of_the_words(monkeypatch, block):
     monkeypatch.setattr(hashing, "_TEXT", block)
