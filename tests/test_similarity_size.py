@@ -109,6 +109,18 @@ def test_near_dup_sure_with_copies(spark, groups, monkeypatch, side):
     assert found and set(map(str, found)) < set(map(str, exact))
 
 
+def test_near_dup_recall_does_not_write_the_sets(spark, unlike):
+    out, share = written_by(spark, unlike, neardup.near_dup_recall)
+    assert {(r.threshold, r.exact_pairs, r.found_pairs, r.recall) for r in out} == {(t, 1, 1, 1.0) for t in (0.7, 0.8, 0.9)}
+    assert share < 0.5
+
+
+def test_near_dup_recall_counts_exact_and_sure_pairs(spark, groups):
+    df = spark.createDataFrame(groups, SCHEMA)
+    got = {r.threshold: (r.exact_pairs, r.found_pairs) for r in neardup.near_dup_recall(df, thresholds=(0.5, 0.7), recall=0.5).collect()}
+    assert got == {t: (len(brute(groups, t)), neardup.near_dup_sure(df, threshold=t, recall=0.5).count()) for t in (0.5, 0.7)}
+
+
 @pytest.mark.parametrize("block", [1 << 22, 50])
 def test_shingle_sets_are_those_of_the_words(monkeypatch, block):
     monkeypatch.setattr(hashing, "_TEXT", block)
