@@ -166,6 +166,17 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
     return hashes
 
 
+def _in_blocks(texts: list[bytes]):
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= _TEXT):
+            size += len(texts[end])
+            end += 1
+        yield texts[at:end]
+        at = end
+
+
 def _cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The texts in one run, their words' starts and lengths in it, and each word's text."""
     data = np.frombuffer(b"\n".join([*texts, bytes(8)]), np.uint8)
@@ -178,13 +189,8 @@ def _cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 def shingle_sets_of(texts: list[bytes], k: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Sorted 64-bit hashes of the distinct ``shingles`` of each text one after the other, and the
     place where each text's end. Texts are cut in blocks of bounded size."""
-    out, counts, at = [], [], 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= _TEXT):
-            size += len(texts[end])
-            end += 1
-        block = texts[at:end]
+    out, counts = [], []
+    for block in _in_blocks(texts):
         data, starts, lengths, owner = _cut(block)
         words = _word_hashes(data, starts, lengths)
         hashes = np.zeros(max(len(words) - k + 1, 0), np.uint64)
@@ -206,31 +212,113 @@ def shingle_sets_of(texts: list[bytes], k: int = 3) -> tuple[np.ndarray, np.ndar
         new[1:] = (hashes[1:] != hashes[:-1]) | (own[1:] != own[:-1])
         out.append(hashes[new])
         counts.append(np.bincount(own[new], minlength=len(block)))
-        at = end
     empty = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     return np.concatenate(out or empty[0]), np.cumsum(np.concatenate(counts or empty[1]))
 
 
+_MD5_ADDED = np.floor(np.abs(np.sin(np.arange(1, 65))) * 2.0**32).astype(np.uint32)
+_MD5_TURNED = [n for turns in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for n in turns * 4]
+_MD5_WORD = [(i, 5 * i + 1, 3 * i + 5, 7 * i)[i // 16] % 16 for i in range(64)]
+
+# Messages of one MD5 block are hashed so many at once, which keeps them in a core's cache.
+_LANES = 1 << 12
+
+
+def _md5_heads(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The first 32 bits of the MD5 of each message in ``data``, after which 64 bytes follow."""
+    heads = np.empty(len(starts), np.uint32)
+    short = lengths < 56
+    for i in np.flatnonzero(~short):
+        digest = hashlib.md5(data[starts[i] : starts[i] + lengths[i]].tobytes()).digest()
+        heads[i] = int.from_bytes(digest[:4], "little")
+    windows = np.lib.stride_tricks.as_strided(data, (len(data) - 63, 64), (1, 1))
+    places, column = np.flatnonzero(short), np.arange(64)
+    for at in range(0, len(places), _LANES):
+        own = places[at : at + _LANES]
+        n = lengths[own]
+        blocks = windows[starts[own]]
+        blocks[column >= n[:, None]] = 0
+        blocks[np.arange(len(own)), n] = 0x80
+        words = np.ascontiguousarray(blocks.view(np.uint32).T)
+        words[14] = n * 8
+        a, b, c, d = (np.full(len(own), x, np.uint32) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476))
+        f, high = np.empty_like(a), np.empty_like(a)
+        for i in range(64):
+            if i < 16:
+                np.bitwise_xor(c, d, out=f)
+                np.bitwise_and(f, b, out=f)
+                np.bitwise_xor(f, d, out=f)
+            elif i < 32:
+                np.bitwise_xor(b, c, out=f)
+                np.bitwise_and(f, d, out=f)
+                np.bitwise_xor(f, c, out=f)
+            elif i < 48:
+                np.bitwise_xor(b, c, out=f)
+                np.bitwise_xor(f, d, out=f)
+            else:
+                np.invert(d, out=f)
+                np.bitwise_or(f, b, out=f)
+                np.bitwise_xor(f, c, out=f)
+            np.add(f, a, out=f)
+            np.add(f, _MD5_ADDED[i], out=f)
+            np.add(f, words[_MD5_WORD[i]], out=f)
+            np.right_shift(f, np.uint32(32 - _MD5_TURNED[i]), out=high)
+            np.left_shift(f, np.uint32(_MD5_TURNED[i]), out=f)
+            np.bitwise_or(f, high, out=f)
+            # The column that ``a`` leaves takes the new one.
+            np.add(f, b, out=a)
+            a, b, c, d = d, a, b, c
+        heads[own] = a + np.uint32(0x67452301)
+    return heads.byteswap()
+
+
+def shingle_hashes_of(texts: list[bytes], k: int = 3) -> list[np.ndarray]:
+    """``shingle_hashes`` of each text, repeated ones included, made block by block like the sets."""
+    out = []
+    for block in _in_blocks(texts):
+        data, starts, lengths, owner = _cut(block)
+        ends = np.cumsum(lengths + 1)
+        first = ends - lengths - 1
+        spaced = np.zeros((ends[-1] if len(ends) else 0) + 64, np.uint8)
+        if len(ends):
+            spaced[: ends[-1]] = data[np.repeat(starts - first, lengths + 1) + np.arange(ends[-1])]
+            spaced[ends - 1] = ord(" ")
+        last = np.arange(k - 1, len(owner))
+        last = last[owner[last] == owner[last - k + 1]] if len(last) else last
+        begins = first[last - k + 1]
+        values = _md5_heads(spaced, begins, ends[last] - 1 - begins).astype(np.int64) % PRIME
+        parts = np.split(values, np.searchsorted(owner[last], np.arange(1, len(block))))
+        for i in np.flatnonzero((n := np.bincount(owner, minlength=len(block))) * (n < k)):
+            words = np.flatnonzero(owner == i)
+            joined = b"".join(data[starts[w] : starts[w] + lengths[w]].tobytes() for w in words)
+            parts[i] = np.array([int(hashlib.md5(joined).hexdigest()[:8], 16) % PRIME], np.int64)
+        out += parts
+    return out
+
+
 def list_array(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     offsets = np.zeros(len(sizes) + 1, np.int32)
     np.cumsum(sizes, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def with_shingle_sets(df: DataFrame, text: str, tokens: bool = True) -> DataFrame:
-    """Instead of the column ``text``: ``key`` (SHA-256) and ``size`` of its shingle set and, unless
-    left out, ``tokens``, the sorted hashes of the shingles. Texts without words have no row.
+def with_shingle_sets(df: DataFrame, text: str, tokens: bool = True, signed: bool = False) -> DataFrame:
+    """Instead of the column ``text``: ``key`` (SHA-256) and ``size`` of its shingle set, on request
+    ``tokens``, the sorted hashes of the shingles, and ``signature``, their MinHash signature. Texts
+    without words have no row.
 
     Made in numpy from whole Arrow batches, without a string for each shingle.
     """
     kept = [c for c in df.columns if c != text]
     rows = df.select(*kept, F.col(text).cast("binary").alias(text))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text]
-    schema = ", ".join([*kinds, "key binary", "size int", *(["tokens array<bigint>"] if tokens else [])])
+    more = ["tokens array<bigint>"] * tokens + ["signature array<bigint>"] * signed
+    schema = ", ".join([*kinds, "key binary", "size int", *more])
 
     def cut(batches):
         for batch in batches:
-            values, ends = shingle_sets_of(batch.column(text).to_pylist())
+            texts = batch.column(text).to_pylist()
+            values, ends = shingle_sets_of(texts)
             sizes = np.diff(ends, prepend=0)
             keys = [hashlib.sha256(values[e - n : e].tobytes()).digest() if n else None for e, n in zip(ends, sizes)]
             columns = [batch.column(c) for c in kept] + [pa.array(keys, pa.binary()), pa.array(sizes.astype(np.int32))]
@@ -238,6 +326,9 @@ def with_shingle_sets(df: DataFrame, text: str, tokens: bool = True) -> DataFram
             if tokens:
                 columns.append(list_array(values.view(np.int64), sizes))
                 names.append("tokens")
+            if signed:
+                columns.append(pa.array(signatures_of(pd.Series(shingle_hashes_of(texts))), pa.list_(pa.int64())))
+                names.append("signature")
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(sizes > 0))
 
     return rows.mapInArrow(cut, schema)

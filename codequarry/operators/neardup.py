@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import staged
-from ..functions.hashing import NUM_PERM, PRIME, shingle_hashes, signature_similarity, text_hash31, with_minhash, with_shingle_sets
+from ..functions.hashing import NUM_PERM, PRIME, signature_similarity, text_hash31, with_minhash, with_shingle_sets
 from ..functions.text import shingles_of, word_tokens
 from ..session import written
 from .similarity import compared, similar_sets
@@ -195,21 +195,21 @@ def _set_rows(df: DataFrame, id_col: str, tokens: bool = True, signed: bool = Fa
     tokens, the hashed shingles, and its signature."""
     text = F.coalesce("function", F.lit("")).alias("function")
     rows = df.where(F.col("split").isin("train", "test")).select(F.col(id_col).alias("id"), "split", text)
-    if signed:
-        rows = with_minhash(rows, shingle_hashes("function"))
-    return with_shingle_sets(rows, "function", tokens)
+    return with_shingle_sets(rows, "function", tokens, signed)
 
 
-def _shingle_sets(df: DataFrame, id_col: str, signed: bool = False) -> DataFrame:
-    """Distinct shingle sets: (id, key, test_id, train_id, n_test, n_train), on request with their
-    signature. Not the sets themselves, which are larger than the texts; ``_sides`` makes those."""
-    sets = _set_rows(df, id_col, tokens=False, signed=signed).groupBy("key").agg(
+def _shingle_sets(df: DataFrame, id_col: str, bandings: list[tuple[int, int]] = ()) -> DataFrame:
+    """Distinct shingle sets: (id, key, test_id, train_id, n_test, n_train) and, for the (bands, rows) of
+    ``bandings`` one after the other, the buckets of the signature's bands. Not the sets themselves,
+    which are larger than the texts; ``_sides`` makes those."""
+    rows = _set_rows(df, id_col, tokens=False, signed=bool(bandings))
+    buckets = ", ".join(f"xxhash64(slice(signature, {i * n + 1}, {n}))" for bands, n in bandings for i in range(bands))
+    sets = (rows.withColumn("buckets", F.expr(f"array({buckets})")) if bandings else rows).groupBy("key").agg(
         F.min(F.when(F.col("split") == "test", F.col("id"))).alias("test_id"),
         F.min(F.when(F.col("split") == "train", F.col("id"))).alias("train_id"),
         F.count(F.when(F.col("split") == "test", 1)).alias("n_test"),
         F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
-        # Below 2^31, so half the width does.
-        *([F.first("signature").cast("array<int>").alias("signature")] if signed else []),
+        *([F.first("buckets").alias("buckets")] if bandings else []),
     )
     # Written once, since the short ids are given anew each time.
     return written(sets.withColumn("id", F.monotonically_increasing_id()), "shingle-sets")
@@ -230,17 +230,24 @@ def _named(pairs: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def _sure_pairs(table: DataFrame, left: DataFrame, right: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """(left_key, right_key, similarity) of the signed sets that meet in a band and are similar."""
-    bands, rows = sure_banding(threshold, recall)
-    banded = F.inline(F.expr("array(" + ", ".join(
-        f"named_struct('band', {i}, 'bucket', xxhash64(slice(signature, {i * rows + 1}, {rows})))" for i in range(bands)
-    ) + ")"))
-    tests = table.where("n_test > 0").select(F.col("id").alias("left_id"), banded)
-    trains = table.where("n_train > 0").select(F.col("id").alias("right_id"), banded)
-    met = skew_join(trains, tests, ["band", "bucket"], ["right_id"], ["left_id"]).select("left_id", "right_id").distinct()
-    names = table.select("id", "key")
-    return compared(written(met, "candidates"), names, names, left, right, threshold)
+def _sure_pairs(table: DataFrame, left: DataFrame, right: DataFrame, thresholds, recall: float) -> DataFrame:
+    """(threshold, left_key, right_key, similarity) of the sets that meet in a band of the threshold and
+    reach it. The table has the bands of all thresholds; pairs of several are compared once."""
+    tests = table.where("n_test > 0").select(F.col("id").alias("left_id"), F.posexplode("buckets").alias("band", "bucket"))
+    trains = table.where("n_train > 0").select(F.col("id").alias("right_id"), F.posexplode("buckets").alias("band", "bucket"))
+    met = skew_join(trains, tests, ["band", "bucket"], ["right_id"], ["left_id"])
+    bands = [t for t in thresholds for _ in range(sure_banding(t, recall)[0])]
+    threshold = F.element_at(F.array(*[F.lit(float(t)) for t in bands]), F.col("band") + 1)
+    met = met.groupBy("left_id", "right_id").agg(
+        F.collect_set(threshold).alias("thresholds")  # at most one entry per threshold
+    )
+    met, names = written(met, "candidates"), table.select("id", "key")
+    close = compared(met.select("left_id", "right_id"), names, names, left, right, min(thresholds))
+    return (
+        close.join(met.select("left_id", "right_id", F.explode("thresholds").alias("threshold")), ["left_id", "right_id"])
+        .where("similarity >= threshold")
+        .select("threshold", "left_key", "right_key", "similarity")
+    )
 
 
 def near_dup_sure(df: DataFrame, id_col: str = "id", threshold: float = 0.7, recall: float = 0.98) -> DataFrame:
@@ -249,8 +256,8 @@ def near_dup_sure(df: DataFrame, id_col: str = "id", threshold: float = 0.7, rec
     The pairs of ``near_dup_exact`` but for those that meet in no band, a share of at most
     1 - ``recall`` even at the threshold; ``near_dup_recall`` measures it.
     """
-    table = _shingle_sets(df, id_col, signed=True)
-    return _named(_sure_pairs(table, *_sides(df, id_col), threshold, recall), table)
+    table = _shingle_sets(df, id_col, [sure_banding(threshold, recall)])
+    return _named(_sure_pairs(table, *_sides(df, id_col), (threshold,), recall).drop("threshold"), table)
 
 
 def near_dup_recall(
@@ -258,13 +265,14 @@ def near_dup_recall(
 ) -> DataFrame:
     """Per threshold: pairs that the exact join has, those of them that ``near_dup_sure`` finds, and
     the recall. With ``sample``, test sets with a key hash divisible by it are asked against all."""
-    table = _shingle_sets(df, id_col, signed=True)
+    table = _shingle_sets(df, id_col, [sure_banding(t, recall) for t in thresholds])
     left, right = _sides(df, id_col)
     asked = left.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0) if sample > 1 else left
     exact = written(similar_sets(asked, right, min(thresholds)), "exact-pairs")
+    sure = written(_sure_pairs(table, left, right, thresholds, recall), "sure-pairs")
     rows = None
     for t in thresholds:
-        found = _sure_pairs(table, left, right, t, recall).select("left_key", "right_key", F.lit(True).alias("found"))
+        found = sure.where(F.col("threshold") == t).select("left_key", "right_key", F.lit(True).alias("found"))
         met = exact.where(F.col("similarity") >= t).join(found, ["left_key", "right_key"], "left")
         one = met.agg(F.count(F.lit(1)).alias("exact_pairs"), F.count("found").alias("found_pairs")).select(F.lit(t).alias("threshold"), "*")
         rows = one if rows is None else rows.unionByName(one)
