@@ -130,7 +130,7 @@ def signature_similarity(a: Column, b: Column, num_perm: int = NUM_PERM) -> Colu
 
 
 # Bytes of text that are cut into words at once, and the longest word that is hashed with others.
-_TEXT = 1 << 22
+_TEXT = 1 << 18
 _LONG = 256
 
 _WORD = np.zeros(256, np.int8)
@@ -149,6 +149,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def order_of(values: np.ndarray, *groups: np.ndarray) -> np.ndarray:
+    """Order by the last of ``groups`` (numbers from 0), then by the one before, at last by value."""
+    order = np.argsort(values)
+    for group in groups:
+        # Numbers of 16 bits are sorted in steps, without comparing them.
+        narrow = group.astype(np.uint16) if len(group) and group.max() < 1 << 16 else group
+        order = order[np.argsort(narrow[order], kind="stable")]
+    return order
+
+
 def _word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """64-bit hashes of the words at ``starts``, eight bytes a step; eight bytes follow the last word."""
     eights = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
@@ -206,7 +216,7 @@ def shingle_sets_of(texts: list[bytes], k: int = 3) -> tuple[np.ndarray, np.ndar
             joined = [b"".join(data[s : s + w].tobytes() for s, w in zip(starts[f : f + m], lengths[f : f + m])) for f, m in zip(first[few], n[few])]
             data, starts, lengths, _ = _cut(joined)
             hashes, own = np.r_[hashes, _word_hashes(data, starts, lengths)], np.r_[own, few]
-        order = np.lexsort((hashes, own))
+        order = order_of(hashes, own)
         hashes, own = hashes[order], own[order]
         new = np.ones(len(own), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (own[1:] != own[:-1])
